@@ -115,7 +115,7 @@ def _normal_quantile(p: np.ndarray) -> np.ndarray:
 
     cdf = np.vectorize(lambda v: 0.5 * (1.0 + erf(v / sqrt(2.0))), otypes=[float])
     z = np.clip(np.log(p / (1 - p)) / 1.702, -5, 5)
-    for _ in range(60):
+    for _ in range(25):
         density = np.exp(-0.5 * z * z) / np.sqrt(2 * np.pi)
         z = np.clip(z - np.clip((cdf(z) - p) / np.maximum(density, 1e-12), -0.5, 0.5), -5.5, 5.5)
     return z
