@@ -69,7 +69,7 @@ def main():
     if args and all(a in Q.FAMILIES for a in args):
         for a in args:
             importlib.import_module(f"sparkkit.queries.{a}")
-        names = list(Q.REGISTRY)
+        names = [n for n, q in Q.REGISTRY.items() if q.run.__module__.rsplit(".", 1)[-1] in args]
     else:
         Q.load()
         names = args or list(Q.REGISTRY)
