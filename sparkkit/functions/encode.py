@@ -88,13 +88,11 @@ def tokens(col: str | Column, analyzer: str = "word", ngram_range: tuple[int, in
     low, high = ngram_range
     if (low, high) == (1, 1):
         return parts
-    sizes = [
-        F.when(
-            F.size(parts) >= n,
-            F.transform(F.sequence(F.lit(1), F.size(parts) - n + 1), lambda i, n=n: F.array_join(F.slice(parts, i, n), glue)),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in range(low, high + 1)
-    ]
+    def runs(n):
+        joined = F.transform(F.sequence(F.lit(1), F.size(parts) - n + 1), lambda i: F.array_join(F.slice(parts, i, n), glue))
+        return F.when(F.size(parts) >= n, joined).otherwise(F.array().cast("array<string>"))
+
+    sizes = [runs(n) for n in range(low, high + 1)]
     return F.concat(*sizes)
 
 
