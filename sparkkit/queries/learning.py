@@ -1 +1,115 @@
-"""Registered queries."""
+"""Estimators and the supervised flow over the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import linear as lin
+from ..operators.split import uniform
+from . import query
+from .helpers import r, sr
+
+
+def _sales(t):
+    """Line items with three features, a price target and a fold that depends on the key only."""
+    return t.lineitem.select(
+        "l_orderkey", "l_linenumber", F.col("l_quantity").alias("x1"), (F.col("l_discount") * 100).alias("x2"),
+        (F.col("l_tax") * 100).alias("x3"), (F.col("l_extendedprice") / 1000).alias("y"), (F.col("l_quantity") * 2 + F.col("l_discount") * 300).alias("y2"),
+        (F.col("l_orderkey") % 3).alias("fold"))
+
+
+SQL_SALES = """sales AS (SELECT l_orderkey, l_linenumber, l_quantity AS x1, l_discount * 100 AS x2, l_tax * 100 AS x3, l_extendedprice / 1000 AS y,
+  l_quantity * 2 + l_discount * 300 AS y2, l_orderkey % 3 AS fold FROM lineitem)"""
+SQL_MOMENTS = """m AS (SELECT count(*)::DOUBLE AS n, avg(x1) AS a1, avg(x2) AS a2, avg(y) AS ay, var_pop(x1) AS s11, var_pop(x2) AS s22,
+  covar_pop(x1, x2) AS s12, covar_pop(x1, y) AS s1y, covar_pop(x2, y) AS s2y, var_pop(y) AS syy FROM sales)"""
+
+
+def _coefficients(t, model):
+    spark = t.spark
+    rows = [(f, float(model.coef[i, k]), y) for k, y in enumerate(model.targets) for i, f in enumerate(model.features)]
+    rows += [("intercept", float(model.intercept[k]), y) for k, y in enumerate(model.targets)]
+    return spark.createDataFrame(rows, "term string, value double, target string").select("target", "term", r("value").alias("value"))
+
+
+def _coef_sql(w1: str, w2: str) -> str:
+    return f"""WITH {SQL_SALES}, {SQL_MOMENTS}, w AS (SELECT *, {w1} AS w1, {w2} AS w2 FROM m)
+SELECT 'y' AS target, 'x1' AS term, {sr('w1')} AS value FROM w UNION ALL SELECT 'y', 'x2', {sr('w2')} FROM w
+UNION ALL SELECT 'y', 'intercept', {sr('ay - w1 * a1 - w2 * a2')} FROM w"""
+
+
+def _closed(penalty: str) -> tuple[str, str]:
+    d11, d22 = f"(s11 + {penalty})", f"(s22 + {penalty})"
+    det = f"({d11} * {d22} - s12 * s12)"
+    return f"({d22} * s1y - s12 * s2y) / {det}", f"({d11} * s2y - s12 * s1y) / {det}"
+
+
+@query("O Gram", _coef_sql(*_closed("0")))
+def linear_regression(t):
+    return _coefficients(t, lin.fit_linear(_sales(t), ["x1", "x2"], ["y"]))
+
+
+@query("O Gram", _coef_sql(*_closed("500000 / n")))
+def ridge_regression(t):
+    return _coefficients(t, lin.fit_linear(_sales(t), ["x1", "x2"], ["y"], "Ridge", alpha=500000.0))
+
+
+SOFT = "sign(s1y) * greatest(abs(s1y) - {a} * {l}, 0) / (s11 + {a} * (1 - {l}))"
+
+
+@query("O Gram", f"""WITH {SQL_SALES}, {SQL_MOMENTS}, w AS (
+  SELECT 'Lasso' AS model, {SOFT.format(a=20.0, l=1.0)} AS w, m.* FROM m UNION ALL SELECT 'ElasticNet', {SOFT.format(a=20.0, l=0.5)}, m.* FROM m
+  UNION ALL SELECT 'LassoLars', {SOFT.format(a=20.0, l=1.0)}, m.* FROM m UNION ALL SELECT 'Lars', s1y / s11, m.* FROM m
+  UNION ALL SELECT 'OrthogonalMatchingPursuit', s1y / s11, m.* FROM m)
+SELECT model, {sr('w')} AS slope, {sr('ay - w * a1')} AS intercept FROM w""")
+def sparse_regressions(t):
+    rows = _sales(t).persist()
+    out = []
+    for name, params in (("Lasso", {"alpha": 20.0}), ("ElasticNet", {"alpha": 20.0, "l1_ratio": 0.5}), ("LassoLars", {"alpha": 20.0}),
+                         ("Lars", {}), ("OrthogonalMatchingPursuit", {})):
+        m = lin.fit_linear(rows, ["x1"], ["y"], name, **params)
+        out.append((name, float(m.coef[0, 0]), float(m.intercept[0])))
+    rows.unpersist()
+    return t.spark.createDataFrame(out, "model string, slope double, intercept double").select(
+        "model", r("slope").alias("slope"), r("intercept").alias("intercept"))
+
+
+@query("O Gram")
+def linear_model_family(t):
+    """Every cross-product model on the same rows (coefficients of three features)."""
+    rows = _sales(t).persist()
+    out = []
+    for name in [*lin.SOLVERS, *lin.TUNED]:
+        targets = ["y", "y2"] if name.startswith("MultiTask") else ["y"]
+        params = {} if name in lin.TUNED else {"alpha": 0.1} if "Lasso" in name or "Elastic" in name else {}
+        if name == "LassoLarsIC":
+            params = {}
+        m = lin.fit_linear(rows, ["x1", "x2", "x3"], targets, name, fold="fold" if name in lin.TUNED else None, **params)
+        for k, y in enumerate(targets):
+            out.append((name, y, *[float(v) for v in m.coef[:, k]], float(m.intercept[k])))
+    rows.unpersist()
+    return t.spark.createDataFrame(out, "model string, target string, x1 double, x2 double, x3 double, intercept double")
+
+
+@query("O Gram", f"""WITH {SQL_SALES}, {SQL_MOMENTS}, f AS (SELECT fold, count(*)::DOUBLE AS n, sum(x1) AS sx, sum(y) AS sy, sum(x1*x1) AS sxx, sum(x1*y) AS sxy, sum(y*y) AS syy FROM sales GROUP BY 1),
+g AS (SELECT unnest([1.0, 100000.0, 10000000.0]) AS alpha),
+t AS (SELECT alpha, f.fold, f.n, f.sx, f.sy, f.sxx, f.sxy, f.syy, a.n - f.n AS tn, a.sx - f.sx AS tx, a.sy - f.sy AS ty, a.sxx - f.sxx AS txx, a.sxy - f.sxy AS txy
+  FROM f, g, (SELECT sum(n) AS n, sum(sx) AS sx, sum(sy) AS sy, sum(sxx) AS sxx, sum(sxy) AS sxy FROM f) a),
+w AS (SELECT *, (txy - tx * ty / tn) / (txx - tx * tx / tn + alpha) AS w FROM t),
+l AS (SELECT alpha, sum(syy - 2 * w * sxy - 2 * (ty / tn - w * tx / tn) * sy + w * w * sxx + 2 * w * (ty / tn - w * tx / tn) * sx + n * pow(ty / tn - w * tx / tn, 2)) AS loss FROM w GROUP BY 1),
+b AS (SELECT alpha FROM l ORDER BY loss LIMIT 1)
+SELECT alpha::DOUBLE AS alpha, {sr('s1y / (s11 + alpha / n)')} AS slope FROM b, m""")
+def ridge_cv(t):
+    m = lin.fit_linear(_sales(t), ["x1"], ["y"], "RidgeCV", fold="fold", grid=(1.0, 1e5, 1e7))
+    row = [(float(m.chosen["alpha"]), float(m.coef[0, 0]))]
+    return t.spark.createDataFrame(row, "alpha double, slope double").withColumn("slope", r("slope"))
+
+
+@query("O Gram", f"""WITH s AS (SELECT l_orderkey, l_linenumber, l_quantity AS x, CASE WHEN l_discount >= 0.05 THEN 1.0 ELSE -1.0 END AS y FROM lineitem),
+m AS (SELECT covar_pop(x, y) / (var_pop(x) + 1.0 / count(*)) AS w, avg(x) AS ax, avg(y) AS ay FROM s)
+SELECT l_orderkey, l_linenumber, CASE WHEN ay + w * (x - ax) > 0 THEN 'high' ELSE 'low' END AS prediction FROM s, m""")
+def ridge_classifier(t):
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("x"),
+                             F.when(F.col("l_discount") >= 0.05, "high").otherwise("low").alias("c"))
+    model = lin.fit_ridge_classifier(rows, ["x"], "c", ["low", "high"])
+    # labels in the order (negative, positive)
+    return model.predict(rows).select("l_orderkey", "l_linenumber", "prediction")
