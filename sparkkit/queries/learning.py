@@ -113,3 +113,190 @@ def ridge_classifier(t):
     model = lin.fit_ridge_classifier(rows, ["x"], "c", ["low", "high"])
     # labels in the order (negative, positive)
     return model.predict(rows).select("l_orderkey", "l_linenumber", "prediction")
+
+
+# ---- estimator catalogue -------------------------------------------------------------------
+
+from ..operators import estimators as est  # noqa: E402
+
+
+def _flags(t):
+    """Line items with three features and a class that depends on them."""
+    return _sales(t).withColumn("c", F.when(F.col("y") > F.col("x1") * 1.5, "high").when(F.col("x2") > 5, "mid").otherwise("low"))
+
+
+SQL_FLAGS = f"""{SQL_SALES}, flags AS (SELECT *, CASE WHEN y > x1 * 1.5 THEN 'high' WHEN x2 > 5 THEN 'mid' ELSE 'low' END AS c FROM sales)"""
+
+
+@query("O1", f"""WITH {SQL_FLAGS}
+SELECT l_orderkey, l_linenumber, (SELECT c FROM flags GROUP BY 1 ORDER BY count(*) DESC, c LIMIT 1) AS class_guess,
+  {sr('(SELECT avg(y) FROM flags)')} AS mean_guess, {sr('(SELECT median(y) FROM flags)')} AS median_guess FROM flags""")
+def dummy_models(t):
+    rows = _flags(t)
+    a = est.fit_estimator("DummyClassifier", rows, [], "c").predict(rows).withColumnRenamed("prediction", "class_guess").drop("probability")
+    b = est.fit_estimator("DummyRegressor", rows, [], "y").predict(a).withColumn("mean_guess", r("prediction")).drop("prediction")
+    c = est.fit_estimator("DummyRegressor", rows, [], "y", strategy="median").predict(b).withColumn("median_guess", r("prediction"))
+    return c.select("l_orderkey", "l_linenumber", "class_guess", "mean_guess", "median_guess")
+
+
+def _nb_oracle(score: str) -> str:
+    return f"""WITH {SQL_FLAGS}, k AS (SELECT c, count(*)::DOUBLE AS n, avg(x1) AS m1, avg(x2) AS m2, var_pop(x1) AS v1, var_pop(x2) AS v2,
+  sum(x1) AS s1, sum(x2) AS s2, sum((x1 > 20)::INT) AS b1, sum((x2 > 5)::INT) AS b2 FROM flags GROUP BY 1),
+z AS (SELECT greatest(var_pop(x1), var_pop(x2)) * 1e-9 AS eps, count(*) AS total FROM flags),
+q AS (SELECT l_orderkey, l_linenumber, x1, x2, y, k.c, {score} AS s FROM flags f, k, z)
+SELECT l_orderkey, l_linenumber, y, arg_max(c, (floor(s * 1e9 + 0.5), -ascii(c))) AS prediction FROM q GROUP BY 1, 2, 3, x1, x2"""
+
+
+@query("O8", _nb_oracle("ln(k.n / total) - 0.5 * ln(2 * pi() * (v1 + eps)) - pow(x1 - m1, 2) / (2 * (v1 + eps)) - 0.5 * ln(2 * pi() * (v2 + eps)) - pow(x2 - m2, 2) / (2 * (v2 + eps))"))
+def gaussian_nb(t):
+    rows = _flags(t)
+    done = est.fit_estimator("GaussianNB", rows, ["x1", "x2"], "c").predict(rows)
+    return done.select("l_orderkey", "l_linenumber", "y", "prediction").distinct()
+
+
+@query("O8", _nb_oracle("ln(k.n / total) + x1 * ln((s1 + 1) / (s1 + s2 + 2)) + x2 * ln((s2 + 1) / (s1 + s2 + 2))"))
+def multinomial_nb(t):
+    rows = _flags(t)
+    done = est.fit_estimator("MultinomialNB", rows, ["x1", "x2"], "c").predict(rows)
+    return done.select("l_orderkey", "l_linenumber", "y", "prediction").distinct()
+
+
+@query("O8", f"""WITH {SQL_FLAGS}, k AS (SELECT c, count(*)::DOUBLE AS n, sum((x1 > 20)::INT) AS b1, sum((x2 > 5)::INT) AS b2 FROM flags GROUP BY 1),
+q AS (SELECT DISTINCT (x1 > 20)::INT AS h1, (x2 > 5)::INT AS h2, k.c, ln(n) + CASE WHEN x1 > 20 THEN ln((b1 + 1) / (n + 2)) ELSE ln(1 - (b1 + 1) / (n + 2)) END
+  + CASE WHEN x2 > 5 THEN ln((b2 + 1) / (n + 2)) ELSE ln(1 - (b2 + 1) / (n + 2)) END AS s FROM flags, k),
+w AS (SELECT h1, h2, arg_max(c, s) AS prediction FROM q GROUP BY 1, 2)
+SELECT l_orderkey, l_linenumber, prediction FROM flags JOIN w ON h1 = (x1 > 20)::INT AND h2 = (x2 > 5)::INT""")
+def bernoulli_nb(t):
+    rows = _flags(t).withColumn("x1", F.col("x1") - 20).withColumn("x2", F.col("x2") - 5)
+    done = est.fit_estimator("BernoulliNB", rows, ["x1", "x2"], "c").predict(rows)
+    return done.select("l_orderkey", "l_linenumber", "prediction")
+
+
+@query("O7", """
+SELECT l_orderkey, l_linenumber, CASE WHEN a = b OR a = c THEN a WHEN b = c THEN b ELSE least(a, b, c) END AS vote FROM (
+  SELECT l_orderkey, l_linenumber, l_returnflag AS a, CASE WHEN l_quantity < 17 THEN 'A' ELSE 'N' END AS b, CASE WHEN l_discount > 0.05 THEN 'R' ELSE 'N' END AS c FROM lineitem)""")
+def voting(t):
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("a"), F.when(F.col("l_quantity") < 17, "A").otherwise("N").alias("b"),
+                             F.when(F.col("l_discount") > 0.05, "R").otherwise("N").alias("c"))
+    return est.vote(rows, ["a", "b", "c"]).select("l_orderkey", "l_linenumber", "vote")
+
+
+def _spend(t):
+    """Customers by balance and order behaviour."""
+    orders = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"), F.avg("o_totalprice").alias("mean_price"))
+    return t.customer.join(orders, F.col("c_custkey") == F.col("o_custkey")).select(
+        "c_custkey", (F.col("c_acctbal") / 1000).alias("x1"), F.col("n_orders").cast("double").alias("x2"),
+        F.floor(F.col("mean_price") / 1000).cast("double").alias("x3"), F.col("c_mktsegment").alias("c"), (F.col("c_nationkey") % 5).cast("double").alias("y"))
+
+
+SQL_SPEND = """spend AS (SELECT c_custkey, c_acctbal / 1000 AS x1, n::DOUBLE AS x2, floor(p / 1000) AS x3, c_mktsegment AS c, (c_nationkey % 5)::DOUBLE AS y FROM customer
+  JOIN (SELECT o_custkey, count(*) AS n, avg(o_totalprice) AS p FROM orders GROUP BY 1) ON o_custkey = c_custkey)"""
+
+
+@query("O9", f"""WITH {SQL_SPEND}, d AS (SELECT a.c_custkey, b.y, row_number() OVER (PARTITION BY a.c_custkey ORDER BY sqrt(pow(a.x1 - b.x1, 2) + pow(a.x2 - b.x2, 2)), b.c_custkey) AS k
+  FROM spend a, spend b) SELECT c_custkey, {sr('avg(y)')} AS prediction FROM d WHERE k <= 5 GROUP BY 1""")
+def k_neighbours_regressor(t):
+    rows = _spend(t)
+    done = est.fit_estimator("KNeighborsRegressor", rows, ["x1", "x2"], "y", key="c_custkey").predict(rows)
+    return done.select("c_custkey", r("prediction").alias("prediction"))
+
+
+@query("O9", f"""WITH {SQL_SPEND}, d AS (SELECT a.c_custkey, b.c, row_number() OVER (PARTITION BY a.c_custkey ORDER BY sqrt(pow(a.x1 - b.x1, 2) + pow(a.x2 - b.x2, 2)), b.c_custkey) AS k
+  FROM spend a, spend b), v AS (SELECT c_custkey, c, count(*) AS n FROM d WHERE k <= 7 GROUP BY 1, 2)
+SELECT c_custkey, c AS prediction FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY n DESC, c) AS r FROM v) WHERE r = 1""")
+def k_neighbours_classifier(t):
+    rows = _spend(t)
+    done = est.fit_estimator("KNeighborsClassifier", rows, ["x1", "x2"], "c", key="c_custkey", n_neighbors=7).predict(rows)
+    return done.select("c_custkey", "prediction")
+
+
+@query("O9", f"""WITH {SQL_SPEND}, d AS (SELECT a.c_custkey, b.c, b.y FROM spend a, spend b WHERE sqrt(pow(a.x1 - b.x1, 2) + pow(a.x2 - b.x2, 2)) <= 1.05),
+v AS (SELECT c_custkey, c, count(*) AS n FROM d GROUP BY 1, 2), w AS (SELECT c_custkey, c AS class_guess FROM (
+  SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY n DESC, c) AS r FROM v) WHERE r = 1)
+SELECT c_custkey, class_guess, {sr('avg(y)')} AS mean_guess FROM d JOIN w USING (c_custkey) GROUP BY 1, 2""")
+def radius_neighbours(t):
+    rows = _spend(t)
+    a = est.fit_estimator("RadiusNeighborsClassifier", rows, ["x1", "x2"], "c", radius=1.05).predict(rows)
+    a = a.select("c_custkey", "x1", "x2", F.col("prediction").alias("class_guess"))
+    b = est.fit_estimator("RadiusNeighborsRegressor", rows, ["x1", "x2"], "y", radius=1.05).predict(a)
+    return b.select("c_custkey", "class_guess", r("prediction").alias("mean_guess"))
+
+
+def _catalogue_scores(t, names, rows, label, **params):
+    """Score of every named model on the rows it was fitted on (one row per model)."""
+    rows = rows.persist()
+    out = []
+    for name in names:
+        model = est.fit_estimator(name, rows, ["x1", "x2", "x3"], label, **params.get(name, {}))
+        done = model.predict(rows)
+        if model.kind == "classifier":
+            score = done.agg(F.avg((F.col("prediction") == F.col(label)).cast("double"))).first()[0]
+        else:
+            e = F.col("prediction") - F.col(label)
+            score = done.agg(1 - F.avg(e * e) / F.var_pop(label)).first()[0]
+        out.append((name, model.kind, float(score)))
+    rows.unpersist()
+    return t.spark.createDataFrame(out, "estimator string, kind string, score double")
+
+
+@query("O2 O10 O12")
+def linear_classifiers(t):
+    return _catalogue_scores(t, ["LogisticRegression", "LinearSVC", "SGDClassifier", "SGDClassifierLog", "Perceptron", "PassiveAggressiveClassifier",
+                                 "RidgeClassifier", "RidgeClassifierCV"], _flags(t), "c",
+                             Perceptron={"epochs": 2}, PassiveAggressiveClassifier={"epochs": 2}, LinearSVC={"max_iter": 15}, SGDClassifier={"max_iter": 10})
+
+
+@query("O2")
+def logistic_regression_cv(t):
+    return _catalogue_scores(t, ["LogisticRegressionCV"], _flags(t), "c", LogisticRegressionCV={"max_iter": 30, "folds": 2})
+
+
+@query("O3 O4")
+def tree_models(t):
+    small = {"n_estimators": 5}
+    forests = {n: small for n in ("RandomForestClassifier", "BaggingClassifier", "ExtraTreesClassifier")}
+    return _catalogue_scores(t, ["DecisionTreeClassifier", "ExtraTreeClassifier", *forests], _flags(t), "c", **forests)
+
+
+@query("O3 O4 O5")
+def tree_regressors(t):
+    small = {"n_estimators": 5}
+    forests = {n: small for n in ("RandomForestRegressor", "BaggingRegressor", "ExtraTreesRegressor", "GradientBoostingRegressor")}
+    return _catalogue_scores(t, ["DecisionTreeRegressor", "ExtraTreeRegressor", *forests], _sales(t), "y", **forests)
+
+
+@query("O5 O6")
+def boosted_models(t):
+    rows = _flags(t)
+    a = _catalogue_scores(t, ["GradientBoostingClassifier", "AdaBoostClassifier"], rows, "c", GradientBoostingClassifier={"n_estimators": 3, "maxDepth": 3},
+                          AdaBoostClassifier={"n_estimators": 4})
+    return a.unionByName(_catalogue_scores(t, ["AdaBoostRegressor"], rows, "y", AdaBoostRegressor={"n_estimators": 4}))
+
+
+@query("O7")
+def voting_classifier(t):
+    return _catalogue_scores(t, ["VotingClassifier"], _flags(t), "c")
+
+
+@query("O11 O12")
+def robust_linear_regressors(t):
+    return _catalogue_scores(t, ["LinearSVR", "HuberRegressor", "SGDRegressor", "PassiveAggressiveRegressor"], _sales(t), "y",
+                             LinearSVR={"max_iter": 8}, PassiveAggressiveRegressor={"epochs": 2, "C": 0.001})
+
+
+@query("O13 O14")
+def kernel_models(t):
+    kernel = {"n_components": 24}
+    a = _catalogue_scores(t, ["SVC", "GaussianProcessClassifier"], _flags(t), "c", SVC=kernel | {"max_iter": 10}, GaussianProcessClassifier=kernel | {"max_iter": 30})
+    return a.unionByName(_catalogue_scores(t, ["SVR", "GaussianProcessRegressor"], _sales(t), "y", SVR=kernel | {"max_iter": 4}, GaussianProcessRegressor=kernel))
+
+
+@query("O15 O16")
+def outlier_tolerant_regressors(t):
+    return _catalogue_scores(t, ["RANSACRegressor", "TheilSenRegressor"], _sales(t), "y2")
+
+
+@query("O17")
+def dense_networks(t):
+    a = _catalogue_scores(t, ["MLPClassifier"], _flags(t), "c", MLPClassifier={"max_iter": 30})
+    return a.unionByName(_catalogue_scores(t, ["MLPRegressor"], _sales(t), "y", MLPRegressor={"max_iter": 30}))
