@@ -389,7 +389,9 @@ def fourier_features(df: DataFrame, features: Sequence[str], n: int, gamma: floa
             return pd.Series([], dtype=object)
         return pd.Series(list(scale * np.cos(np.stack(x.to_numpy()).astype(float) @ w + b)))
 
-    mapped = df.withColumn("__rff", waves(F.array(*[F.col(f"`{f}`").cast("double") for f in features])))
+    # kept out of pushed-down filters and merged projections, which would repeat the call per column
+    once = waves.asNondeterministic()
+    mapped = df.withColumn("__rff", once(F.array(*[F.col(f"`{f}`").cast("double") for f in features])))
     return mapped.select(*df.columns, *[F.col("__rff")[i].alias(f"__rff{i}") for i in range(n)])
 
 

@@ -46,7 +46,6 @@ def _gram_sql(rows, cols, by, weight):
 
 def _gram_arrow(rows, cols, by, weight):
     width = len(cols) + 1
-    size = width * width
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[tuple, list] = {}
@@ -74,9 +73,8 @@ def _gram_arrow(rows, cols, by, weight):
     # element-wise sums: partial aggregation per (group, cell) on the map side
     cells = parts.select(*by, "n", F.posexplode("g").alias("at", "v"))
     summed = cells.groupBy(*by, "at").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
-    ordered = F.sort_array(F.collect_list(F.struct("at", "v")))
-    return summed.groupBy(*by).agg(F.max("n").alias("n"), F.transform(ordered, lambda x: x["v"]).alias("g")).filter(
-        F.size("g") == size)
+    ordered = summed.groupBy(*by).agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("at", "v"))).alias("cells"))
+    return ordered.select(*by, "n", F.col("cells.v").alias("g"))
 
 
 def gram_matrix(df: DataFrame, cols: Sequence[str], weight: str | None = None) -> tuple[int, np.ndarray]:
