@@ -319,7 +319,7 @@ def _online(update: str):
             classes = [1]
         p = len(features)
         rows = df.filter("__label is not null").select(*[F.col(f"`{f}`").cast("double").alias(f"__f{i}") for i, f in enumerate(features)], "__label")
-        rows = rows.dropna().persist()
+        rows = rows.persist()
         w = np.zeros((len(classes), p + 1))
         names = [f"__f{i}" for i in range(p)]
         for _epoch in range(epochs):
@@ -328,6 +328,7 @@ def _online(update: str):
             def local(batches, start=start):
                 here, n = start.copy(), 0
                 for pdf in batches:
+                    pdf = pdf.dropna()
                     x = np.column_stack([np.ones(len(pdf)), pdf[names].to_numpy(float)])
                     y = pdf["__label"].to_numpy(float)
                     n += len(pdf)
@@ -581,7 +582,8 @@ def _forward(weights, x):
 def _mlp_regressor(df, features, labels, kind, weight=None, hidden: Sequence[int] = (16,), max_iter: int = 60, lr: float = 0.05, seed: int = 42, **_):
     """Dense network; every epoch sums gradients over the partitions and takes one Adam step."""
     p = len(features)
-    rows = df.filter("__label is not null").select(*[F.col(f"`{f}`").cast("double").alias(f"__f{i}") for i, f in enumerate(features)], "__label").dropna().persist()
+    rows = df.filter("__label is not null").select(*[F.col(f"`{f}`").cast("double").alias(f"__f{i}") for i, f in enumerate(features)], "__label")
+    rows = rows.persist()
     names = [f"__f{i}" for i in range(p)]
     stats = rows.agg(*[a for c in [*names, "__label"] for a in (F.avg(c).alias(f"{c}_m"), F.stddev_pop(c).alias(f"{c}_s"))]).first()
     mean = np.array([stats[f"{c}_m"] or 0.0 for c in names])
@@ -606,6 +608,7 @@ def _mlp_regressor(df, features, labels, kind, weight=None, hidden: Sequence[int
         def gradients(batches, now=now):
             layers, total, loss, n = unpack(now), np.zeros_like(now), 0.0, 0
             for pdf in batches:
+                pdf = pdf.dropna()
                 x = (pdf[names].to_numpy(float) - mean) / std
                 y = ((pdf["__label"].to_numpy(float) - ym) / ys)[:, None]
                 acts = _forward(layers, x)

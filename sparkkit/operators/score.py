@@ -22,7 +22,8 @@ def predict_with(df: DataFrame, loader: Callable[[], Callable], features: Sequen
     `loader` runs once per worker and returns a function that maps a 2-d array of features to
     predictions (a preprocessor, or another method than `predict`, goes into that function).
     """
-    udf = predict_batch_udf(loader, return_type=return_type or DoubleType(), batch_size=batch_size)
+    udf = predict_batch_udf(loader, return_type=return_type or DoubleType(), batch_size=batch_size,
+                            input_tensor_shapes=[[len(features)]])
     scored = udf(F.array(*[F.col(f"`{f}`").cast("double") for f in features]))
     return df.select(F.lit(model_name).alias("model_name"), F.col(key).alias("key"), scored.alias("prediction"))
 

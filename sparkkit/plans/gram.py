@@ -6,6 +6,8 @@ Z = [1, cols].  Sums of disjoint row sets add up, so folds, streams and partitio
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -26,19 +28,20 @@ def gram(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), weight: str
         raise ValueError(f"{width} columns make a matrix too large for one task; reduce or hash them first")
     rows = df.select(*by, *[F.col(f"`{c}`").cast("double").alias(c) for c in cols],
                      *([F.col(weight).cast("double").alias("__w")] if weight else []))
-    rows = rows.dropna("any", subset=cols) if cols else rows
+    # incomplete rows are left out inside the sums: a filter on dozens of computed columns would be
+    # pushed below their projection, where deriving constraints takes the optimizer minutes
     return _gram_sql(rows, cols, by, weight) if width <= SQL_WIDTH else _gram_arrow(rows, cols, by, weight)
 
 
 def _gram_sql(rows, cols, by, weight):
     z = [F.lit(1.0), *[F.col(f"`{c}`") for c in cols]]
-    w = F.col("__w") if weight else None
+    full = functools.reduce(operator.and_, [c.isNotNull() & ~F.isnan(c) for c in z[1:]], F.lit(True))
+    w = F.when(full, F.col("__w") if weight else F.lit(1.0))
     sums = {}
     for i in range(len(z)):
         for j in range(i, len(z)):
-            term = z[i] * z[j] if w is None else z[i] * z[j] * w
-            sums[(i, j)] = F.sum(term).alias(f"__s{i}_{j}")
-    totals = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *sums.values())
+            sums[(i, j)] = F.sum(z[i] * z[j] * w).alias(f"__s{i}_{j}")
+    totals = rows.groupBy(*by).agg(F.count(w).alias("n"), *sums.values())
     cell = lambda i, j: F.coalesce(F.col(f"__s{min(i, j)}_{max(i, j)}"), F.lit(0.0))
     full = F.array(*[cell(i, j) for i in range(len(z)) for j in range(len(z))])
     return totals.select(*by, "n", full.alias("g"))
@@ -56,6 +59,7 @@ def _gram_arrow(rows, cols, by, weight):
             return frame
 
         for pdf in batches:
+            pdf = pdf.dropna(subset=cols)
             groups = pdf.groupby(by, dropna=False, sort=False) if by else [((), pdf)]
             for key, part in groups:
                 z = np.column_stack([np.ones(len(part)), part[cols].to_numpy(float)])
