@@ -12,7 +12,7 @@ HEADLINE = (
     "market_basket", "frequent_itemsets", "pearson", "spearman", "kendall", "correlation_matrix", "pack_features", "parse_number",
     "scale_standard", "scale_robust", "one_hot", "count_vectorize", "tf_idf", "add_lags", "running_count", "neighbour_context",
     "range_join_counts", "pivot_measures", "classifier_metrics", "regressor_metrics", "kfold_stratified", "profile_features",
-    "linear_regression", "ridge_cv", "gaussian_nb", "k_neighbours_classifier", "forecast_trend", "forecast_prophet_style",
+    "linear_regression", "ridge_cv", "gaussian_nb", "k_neighbours_classifier", "forecast_trend", "forecast_seasonal",
     "holiday_terms", "extract_entities", "align_annotations", "dbscan", "pca", "predict", "predict_sequence", "windowed_stats",
 )
 

@@ -1 +1,159 @@
-"""Registered queries."""
+"""Entity operators over the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import entities as ent
+from ..operators import rules as ru
+from ..operators.split import split_texts as hold_out_texts
+from . import query
+from .helpers import r, sr
+
+# two words of the invented prose serve as a dictionary
+PHRASES = (("that", "WORD"), ("les", "WORD"), ("with", "LINK"))
+
+
+def _gazetteer(t, phrases=PHRASES):
+    """The dictionary, as rows derived from the labels that exist in the documents table."""
+    rows = F.array(*[F.struct(F.lit(p).alias("phrase"), F.lit(k).alias("type"), F.lit(f"{k.lower()}s of the list").alias("description")) for p, k in phrases])
+    return t.documents.select(F.inline(rows)).distinct()
+
+
+def _sql_spans(table: str, key: str, pattern: str, name: str) -> str:
+    """Offsets of all matches: lengths of the parts between matches and of the matches add up."""
+    return f"""SELECT k AS key, hit AS entity, (sum(length(gap)) OVER w + coalesce(sum(length(hit)) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::INT AS start,
+  (sum(length(gap)) OVER w + sum(length(hit)) OVER w)::INT AS "end", '{name}' AS type
+FROM (SELECT {key} AS k, unnest(regexp_extract_all(text, '{pattern}')) AS hit, unnest(list_slice(regexp_split_to_array(text, '{pattern}'), 1, len(regexp_extract_all(text, '{pattern}')))) AS gap,
+  generate_subscripts(regexp_extract_all(text, '{pattern}'), 1) AS i FROM {table})
+WINDOW w AS (PARTITION BY k ORDER BY i)"""
+
+
+@query("P1", " UNION ALL ".join(_sql_spans("documents", "doc_id", p, n) for n, p in (
+    ("EMAIL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"), ("DATE", r"\d{4}-\d{2}-\d{2}"), ("CARDINAL", r"\d+"))))
+def extract_patterns(t):
+    wanted = {k: ent.PATTERNS[k] for k in ("EMAIL", "DATE", "CARDINAL")}
+    return ent.pattern_entities(t.documents, "doc_id", "text", wanted).drop("description")
+
+
+SQL_WORDS = r"""w AS (SELECT doc_id AS k, hit, start FROM (
+  SELECT k AS doc_id, hit, (sum(length(gap)) OVER w + coalesce(sum(length(hit)) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::INT AS start
+  FROM (SELECT doc_id AS k, unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS hit, unnest(list_slice(regexp_split_to_array(text, '[\p{L}\p{N}_]+'), 1, len(regexp_extract_all(text, '[\p{L}\p{N}_]+')))) AS gap,
+    generate_subscripts(regexp_extract_all(text, '[\p{L}\p{N}_]+'), 1) AS i FROM documents) WINDOW w AS (PARTITION BY k ORDER BY i)))"""
+
+
+@query("P1", f"""WITH {SQL_WORDS} SELECT k AS key, hit AS entity, start, (start + length(hit))::INT AS "end",
+  CASE lower(hit) WHEN 'with' THEN 'LINK' ELSE 'WORD' END AS type, CASE lower(hit) WHEN 'with' THEN 'links of the list' ELSE 'words of the list' END AS description
+FROM w WHERE lower(hit) IN ('that', 'les', 'with')""")
+def extract_dictionary(t):
+    return ent.gazetteer_entities(t.documents, "doc_id", "text", _gazetteer(t))
+
+
+@query("P1")
+def extract_entities(t):
+    return ent.extract_entities(t.documents, "doc_id", "text", _gazetteer(t, (*PHRASES, ("is the", "PHRASE"))))
+
+
+@query("P9", """
+SELECT event_id AS key, event_type AS type, CASE event_type WHEN 'click' THEN 'A click' WHEN 'view' THEN 'A view' END AS description FROM events""")
+def describe_types(t):
+    spans = t.events.select(F.col("event_id").alias("key"), F.col("event_type").alias("type"))
+    table = t.events.select(F.col("event_type").alias("type")).distinct().filter("type in ('click', 'view')").withColumn("description", F.concat(F.lit("A "), "type"))
+    return ent.describe_types(spans, table).select("key", "type", "description")
+
+
+def _annotated(t):
+    """Two annotated words per document; the second one has two types."""
+    rows = F.array(F.struct(F.lit("the").alias("entity"), F.lit("ART").alias("entity_type"), F.lit(0).alias("o")),
+                   F.struct(F.lit("that").alias("entity"), F.lit("FIRST").alias("entity_type"), F.lit(1).alias("o")),
+                   F.struct(F.lit("that").alias("entity"), F.lit("LATER").alias("entity_type"), F.lit(2).alias("o")))
+    return t.documents.select("text").distinct().select("text", F.inline(rows))
+
+
+SQL_TEXT_WORDS = SQL_WORDS.replace("SELECT doc_id AS k, unnest", "SELECT sha256(text) AS k, unnest").replace("FROM documents)", "FROM (SELECT DISTINCT text FROM documents))")
+
+
+@query("P3", f"""WITH {SQL_TEXT_WORDS}, h AS (SELECT *, row_number() OVER (PARTITION BY k, hit ORDER BY start) AS i FROM w WHERE hit IN ('the', 'that'))
+SELECT k AS text_id, start, (start + length(hit))::INT AS "end", CASE WHEN hit = 'the' THEN 'ART' WHEN i = 1 THEN 'FIRST' ELSE 'LATER' END AS type FROM h""")
+def align_annotations(t):
+    return ent.align_annotations(_annotated(t), order="o")
+
+
+def _nested(t):
+    """Spans made from line items: order as text, nested and equal spans included."""
+    return t.lineitem.select(F.col("l_orderkey").alias("key"), F.floor("l_quantity").cast("int").alias("start"),
+                             (F.floor("l_quantity") + F.col("l_linenumber") * 4).cast("int").alias("end"), F.col("l_returnflag").alias("type"))
+
+
+@query("P4", """
+WITH s AS (SELECT DISTINCT l_orderkey AS key, floor(l_quantity)::INT AS start, (floor(l_quantity) + l_linenumber * 4)::INT AS "end" FROM lineitem)
+SELECT * FROM s a WHERE NOT EXISTS (SELECT 1 FROM s b WHERE a.key = b.key AND b.start <= a.start AND b."end" >= a."end" AND (b.start, b."end") <> (a.start, a."end"))""")
+def drop_contained_spans(t):
+    return ent.drop_contained_spans(_nested(t)).select("key", "start", "end")
+
+
+def _tagged_texts(t):
+    """Texts with the spans of two words as gold annotation."""
+    texts = t.conversations.select(F.concat_ws("-", "conv_id", "turn").alias("key"), "text")
+    words = ent.words(texts, "key", "text").filter(F.lower("word").isin("the", "les", "and", "une"))
+    kind = F.when(F.lower("word").isin("the", "les"), "ART").otherwise("FUNC")
+    return texts, words.select("key", "start", "end", kind.alias("type"))
+
+
+@query("P2 P5 P7")
+def train_tagger(t):
+    texts, spans = _tagged_texts(t)
+    _, report = ent.train_tagger(texts, "key", "text", spans, epochs=8, n_features=1 << 10)
+    return report.withColumn("value", r("value"))
+
+
+@query("P2 P11")
+def compare_taggers(t):
+    texts, spans = _tagged_texts(t)
+    a, _ = ent.train_tagger(texts, "key", "text", spans, epochs=4, n_features=1 << 10, name="a")
+    return ent.compare_taggers(a.extract(texts, "key", "text"), spans)
+
+
+SQL_FOUND = """g AS (SELECT DISTINCT CASE WHEN l_orderkey % 3 = 0 THEN 'test' ELSE 'train' END AS subset, l_orderkey AS key, l_linenumber AS s, l_returnflag AS ty FROM lineitem),
+p AS (SELECT DISTINCT CASE WHEN l_orderkey % 3 = 0 THEN 'test' ELSE 'train' END AS subset, l_orderkey AS key, l_linenumber AS s, CASE WHEN l_quantity < 25 THEN l_returnflag ELSE 'X' END AS ty FROM lineitem WHERE l_linenumber < 6)"""
+
+
+def _gold_and_found(t):
+    base = t.lineitem.withColumn("subset", F.when(F.col("l_orderkey") % 3 == 0, "test").otherwise("train"))
+    gold = base.select("subset", F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("start"), (F.col("l_linenumber") + 1).alias("end"), F.col("l_returnflag").alias("type"))
+    kind = F.when(F.col("l_quantity") < 25, F.col("l_returnflag")).otherwise("X")
+    found = base.filter("l_linenumber < 6").select("subset", F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("start"), (F.col("l_linenumber") + 1).alias("end"), kind.alias("type"))
+    return gold, found
+
+
+@query("P6 H10", f"""WITH {SQL_FOUND}, c AS (SELECT subset, (SELECT count(*) FROM g WHERE g.subset = x.subset) AS g, (SELECT count(*) FROM p WHERE p.subset = x.subset) AS p,
+  (SELECT count(*) FROM g JOIN p USING (subset, key, s, ty) WHERE g.subset = x.subset) AS tp FROM (SELECT DISTINCT subset FROM g) x)
+SELECT 'model' AS model_name, subset, 'Precision' AS metric, {sr('tp / p')} AS value FROM c UNION ALL SELECT 'model', subset, 'Recall', {sr('tp / g')} FROM c
+UNION ALL SELECT 'model', subset, 'F-score', {sr('2 * (tp / p) * (tp / g) / (tp / p + tp / g)')} FROM c""")
+def evaluate_spans(t):
+    gold, found = _gold_and_found(t)
+    return ent.evaluate_spans(gold, found).withColumn("value", r("value"))
+
+
+@query("P11", f"""WITH {SQL_FOUND} SELECT g.ty AS type_a, p.ty AS type_b, count(*)::BIGINT AS n FROM g FULL JOIN p USING (key, s) GROUP BY 1, 2""")
+def compare_span_types(t):
+    return ent.compare_taggers(*_gold_and_found(t))
+
+
+@query("P8", """
+SELECT doc_id, CASE WHEN ('0x' || substr(md5(text || '|42'), 1, 8))::BIGINT / 4294967296.0 < 0.3 THEN 'test' ELSE 'train' END AS subset FROM documents""")
+def split_texts(t):
+    return hold_out_texts(t.documents.select("doc_id", "text"), "text").select("doc_id", "subset")
+
+
+@query("P10", f"""
+WITH {SQL_WORDS}, pairs AS (SELECT DISTINCT k AS g, lower(hit) AS i FROM w WHERE lower(hit) IN ('that', 'les', 'with', 'the', 'une')),
+n AS (SELECT count(DISTINCT g)::DOUBLE AS n FROM pairs), one AS (SELECT i, count(*) AS f FROM pairs GROUP BY 1),
+two AS (SELECT a.i AS l, b.i AS r, count(*) AS f FROM pairs a JOIN pairs b ON a.g = b.g AND a.i <> b.i GROUP BY 1, 2)
+SELECT l || ' -> ' || r AS rule, {sr('two.f / n')} AS support, {sr('two.f / a.f')} AS confidence, {sr('two.f / a.f / (b.f / n)')} AS lift
+FROM two JOIN one a ON a.i = l JOIN one b ON b.i = r, n WHERE two.f >= 0.02 * n AND two.f / a.f >= 0.2""")
+def entity_rules(t):
+    phrases = tuple((p, "WORD") for p in ("that", "les", "with", "the", "une"))
+    spans = ent.gazetteer_entities(t.documents, "doc_id", "text", _gazetteer(t, phrases))
+    found = ru.market_basket(ent.entity_baskets(spans), "group", "item", 0.02, 0.2, 2)
+    return found.select("rule", r("support").alias("support"), r("confidence").alias("confidence"), r("lift").alias("lift"))
