@@ -131,6 +131,8 @@ def distances(q: np.ndarray, p: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 def salted(queries: DataFrame, points: DataFrame, leaf_rows: int) -> tuple[DataFrame, DataFrame]:
     """Spread the queries of a crowded leaf over several tasks; its points are copied to each."""
+    # fresh column identities: both sides may come from the same rows
+    points = points.select(*[F.col(c).alias(f"__fresh_{c}") for c in points.columns]).toDF(*points.columns)
     crowd = queries.groupBy("leaf").agg((F.floor(F.count(F.lit(1)) / leaf_rows) + 1).alias("__salts"))
     q = queries.join(crowd, "leaf").withColumn("__salt", F.pmod(F.xxhash64("__q"), F.col("__salts"))).drop("__salts")
     p = points.join(crowd, "leaf").withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__salts") - 1))).drop("__salts")

@@ -1 +1,89 @@
-"""Registered queries."""
+"""Clustering over the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import cluster as cl
+from . import query
+from .expressions import _places
+from .helpers import r
+from .learning import SQL_SPEND, _spend
+from .scoring import _vectors
+
+
+@query("L5", f"""WITH RECURSIVE {SQL_SPEND}, e AS (SELECT a.c_custkey AS a, b.c_custkey AS b FROM spend a, spend b WHERE sqrt(pow(a.x1 - b.x1, 2) + pow(a.x2 - b.x2, 2)) <= 0.3),
+n AS (SELECT a, count(*) AS n FROM e GROUP BY 1), c AS (SELECT a FROM n WHERE n >= 5), ce AS (SELECT e.a, e.b FROM e SEMI JOIN c ON e.a = c.a WHERE e.b IN (SELECT a FROM c)),
+l AS (SELECT a, a AS root FROM c UNION SELECT ce.b, l.root FROM l JOIN ce ON l.a = ce.a),
+m AS (SELECT a, min(root) AS root FROM l GROUP BY 1),
+b AS (SELECT spend.c_custkey AS key, coalesce(any_value(own.root), min(m.root)) AS root FROM spend LEFT JOIN m own ON own.a = spend.c_custkey LEFT JOIN e ON e.a = spend.c_custkey LEFT JOIN m ON m.a = e.b GROUP BY 1),
+f AS (SELECT root, row_number() OVER (ORDER BY k) - 1 AS label FROM (SELECT root, min(key) AS k FROM b WHERE root IS NOT NULL GROUP BY 1))
+SELECT key, coalesce(label, -1)::BIGINT AS label FROM b LEFT JOIN f USING (root)""")
+def dbscan(t):
+    return cl.dbscan(_spend(t), "c_custkey", ["x1", "x2"], 0.3, 5)
+
+
+@query("L6", f"""WITH {SQL_SPEND}, d AS (SELECT c_custkey AS key, pow(x1 - 2, 2) + pow(x2 - 8, 2) AS a, pow(x1 - 5, 2) + pow(x2 - 10, 2) AS b, pow(x1 - 8, 2) + pow(x2 - 12, 2) AS c FROM spend)
+SELECT key, CASE WHEN a <= b AND a <= c THEN 0 WHEN b <= c THEN 1 ELSE 2 END::BIGINT AS label FROM d""")
+def assign_to_centres(t):
+    return cl.assign_to_centres(_spend(t), "c_custkey", ["x1", "x2"], [(2, 8), (5, 10), (8, 12)])
+
+
+@query("L6")
+def kmeans(t):
+    return cl.kmeans(_vectors(t), "vec_id", [f"e{i}" for i in range(64)], 10)
+
+
+@query("L1")
+def hdbscan(t):
+    done = cl.hdbscan(_spend(t), "c_custkey", ["x1", "x2"], 8, levels=6)
+    return done.select("key", "label", r("probability").alias("probability"), r("outlier_score").alias("outlier_score"))
+
+
+@query("L2")
+def hdbscan_by_dim(t):
+    spend = t.orders.groupBy("o_custkey", "o_orderstatus").agg((F.sum("o_totalprice") / 1e5).alias("spend"))
+    return cl.hdbscan_by_dim(spend, "o_custkey", "o_orderstatus", "spend", ["F", "O", "P"], min_cluster_size=8, levels=5).select("key", "label")
+
+
+@query("L3")
+def hdbscan_geo(t):
+    return cl.hdbscan_geo(_places(t), "c_custkey", "lat", "long", min_cluster_size=6, levels=5).select("key", "label")
+
+
+@query("L4 G19")
+def hdbscan_grouped(t):
+    return cl.hdbscan_grouped(_spend(t), "c_custkey", "c", ["x1", "x2"], min_cluster_size=6, levels=5).select("key", "label")
+
+
+@query("L7")
+def agglomerative(t):
+    a = cl.agglomerative(_spend(t), "c_custkey", ["x1", "x2"], 4).withColumn("linkage", F.lit("ward"))
+    b = cl.agglomerative(_spend(t), "c_custkey", ["x1", "x2"], linkage="single", distance_threshold=0.3).withColumn("linkage", F.lit("single"))
+    return a.unionByName(b)
+
+
+@query("L8")
+def birch(t):
+    return cl.birch(_vectors(t), "vec_id", [f"e{i}" for i in range(64)], 10)
+
+
+@query("L9")
+def spectral(t):
+    return cl.spectral(_vectors(t), "vec_id", [f"e{i}" for i in range(64)], 10, max_iter=5)
+
+
+@query("L10")
+def mean_shift(t):
+    return cl.mean_shift(_spend(t), "c_custkey", ["x1", "x2"], 2.0, 6)
+
+
+@query("L11")
+def affinity_propagation(t):
+    return cl.affinity_propagation(_spend(t), "c_custkey", ["x1", "x2"], 8, max_iter=4)
+
+
+@query("L12")
+def feature_agglomeration(t):
+    done = cl.feature_agglomeration(_vectors(t), "vec_id", [f"e{i}" for i in range(12)], 4)
+    return done.select("key", *[r(c).alias(c) for c in done.columns[1:]])
