@@ -13,7 +13,7 @@ HEADLINE = (
     "scale_standard", "scale_robust", "one_hot", "count_vectorize", "tf_idf", "add_lags", "running_count", "neighbour_context",
     "range_join_counts", "pivot_measures", "classifier_metrics", "regressor_metrics", "kfold_stratified", "profile_features",
     "linear_regression", "ridge_cv", "gaussian_nb", "k_neighbours_classifier", "forecast_trend", "forecast_seasonal",
-    "holiday_terms", "extract_entities", "align_annotations", "dbscan", "pca", "predict", "predict_sequence", "windowed_stats",
+    "holiday_terms", "extract_patterns", "align_annotations", "dbscan", "pca", "predict", "predict_sequence", "windowed_stats",
 )
 
 

@@ -78,7 +78,7 @@ def gazetteer_entities(df: DataFrame, key: str, text: str, gazetteer: DataFrame)
     Phrases and texts meet in an equi-join on the first word; the whole phrase is then compared with
     the text at that place.  Nothing is broadcast by force, since dictionaries can be large.
     """
-    first = F.regexp_extract(F.lower("phrase"), r"\w{2,}|\w|[^\w\s]", 0)
+    first = F.regexp_extract(F.lower("phrase"), r"(?U)\w{2,}|\w|[^\w\s]", 0)
     entries = gazetteer.filter("phrase is not null and phrase <> ''").select(first.alias("__first"), "phrase", "type", "description").distinct()
     found = words(df, key, text).withColumn("__first", F.lower("word"))
     single = entries.filter(F.lower("phrase") == F.col("__first"))

@@ -29,7 +29,7 @@ def frequent_itemsets(df: DataFrame, group: str, item: str, min_support: float =
     """
     if not 0 < min_support <= 1:
         raise ValueError("min_support must lie in (0, 1]")
-    pairs = df.select(F.col(group).alias("g"), F.col(item).cast("string").alias("i")).dropna().distinct()
+    pairs = df.select(F.col(group).alias("g"), F.col(item).cast("string").alias("i")).dropna().distinct().persist()
     n_groups = pairs.select("g").distinct().count()
     least = _threshold(n_groups, min_support)
     single = pairs.groupBy("i").agg(F.count(F.lit(1)).alias("freq")).filter(F.col("freq") >= least)
@@ -37,7 +37,7 @@ def frequent_itemsets(df: DataFrame, group: str, item: str, min_support: float =
         found = single.select(F.array("i").alias("items"), "freq")
     else:
         kept = pairs.join(single.select("i"), "i", "left_semi")
-        rows = kept.groupBy("g").agg(F.collect_list("i").alias("items")).filter(F.size("items") > 1)
+        rows = kept.groupBy("g").agg(F.collect_list("i").alias("items")).filter(F.size("items") > 1).persist()
         n_rows = rows.count()
         # single items are already counted, so only baskets of two or more items are mined
         pairs_up = single.select(F.array("i").alias("items"), "freq")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .ordered import match
 
-LEAF_ROWS = 20_000
+LEAF_ROWS = 2_000
 MAX_LEAVES = 16_384
 SAMPLE_ROWS = 100_000
 _BLOCK_CELLS = 4_000_000
