@@ -165,3 +165,15 @@ def register_sql_functions(spark) -> None:
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION euclidean_distance(a ARRAY<DOUBLE>, b ARRAY<DOUBLE>) RETURNS DOUBLE
         RETURN sqrt(aggregate(zip_with(a, b, (x, y) -> (x - y) * (x - y)), CAST(0 AS DOUBLE), (s, v) -> s + v))""")
+    # a mark is dropped when it occurs twice or stands before the last mark of the other kind
+    last = "(CASE WHEN instr(t, '{m}') > 0 THEN length(t) - instr(reverse(t), '{m}') + 1 ELSE 0 END)"
+    many = "length(t) - length(translate(t, '{m}', '')) > 1"
+    comma, dot = last.format(m=","), last.format(m=".")
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION parse_number_text(s STRING) RETURNS DOUBLE
+        RETURN try_cast(translate(element_at(transform(array(translate(s, ' ', '')), t -> translate(translate(t,
+          CASE WHEN {many.format(m=",")} OR {comma} < {dot} THEN ',' ELSE '' END, ''),
+          CASE WHEN {many.format(m=".")} OR {comma} > {dot} THEN '.' ELSE '' END, '')), 1), ',', '.') AS DOUBLE)""")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION serial_timestamp(x DOUBLE) RETURNS TIMESTAMP_NTZ
+        RETURN timestamp_ntz'1899-12-30' + make_dt_interval(0, 0, 0, CAST(x * 86400 AS DECIMAL(18, 6)))""")

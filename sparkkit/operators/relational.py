@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.ordered import HOT_GROUP_ROWS, largest_group, match, running_sum, with_position
+from ..plans.ordered import largest_group, match, running_sum, with_position
 
 MAX_PIVOT_VALUES = 10_000
 
@@ -57,7 +57,7 @@ def unpivot(df: DataFrame, ids: Sequence[str], values: Sequence[str], name: str
 
 
 def concat_series(df: DataFrame, by: Sequence[str], order: Sequence[str], col: str | Column, sep: str = ";",
-                  part_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+                  part_rows: int = 200_000) -> DataFrame:
     """One string per group in order.  A group with more than `part_rows` rows comes in several
     numbered parts, so that no string outgrows a task."""
     text = (F.col(col) if isinstance(col, str) else col).cast("string")

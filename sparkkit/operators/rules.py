@@ -8,12 +8,21 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.ordered import largest_group
+
 MAX_RULE_ITEMS = 20
+MAX_BASKET_ITEMS = 1_000_000
 
 
 def baskets(df: DataFrame, group: str, item: str) -> DataFrame:
-    """(group, items): the distinct items of each group, sorted."""
+    """(group, items): the distinct items of each group, sorted.
+
+    An array has to fit into one row, so larger groups are refused; `market_basket` has no such
+    limit, since it collects frequent items only.
+    """
     pairs = df.select(group, item).dropna().distinct()
+    if largest_group(pairs, [group]) > MAX_BASKET_ITEMS:
+        raise ValueError(f"a group has more than {MAX_BASKET_ITEMS} distinct items")
     return pairs.groupBy(group).agg(F.sort_array(F.collect_list(item)).alias("items"))
 
 

@@ -3,23 +3,29 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isDefined():
-        return
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names; a temporary one only in local mode."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not sc.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         shared = tempfile.mkdtemp(prefix="sparkkit-checkpoint-")
-    sc.setCheckpointDir(shared)
+    return shared
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder for intermediate tables next to the checkpoints."""
+    return f"{_shared_folder(spark)}/sparkkit-{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame) -> DataFrame:
     """Materialise `df` in the shared checkpoint folder and return the stored rows."""
-    _ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(_shared_folder(spark))
     return df.checkpoint(eager=True)

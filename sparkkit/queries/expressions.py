@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from ..functions import distance, nulls, parse, scale
 from ..functions.spec import Feature
+from ..plans.durable import scratch_folder
 from ..sources import tables
 from . import query
 from .helpers import r, sr
@@ -33,8 +32,7 @@ def read_table(t):
 
 @query("A2", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def write_table_roundtrip(t):
-    folder = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    path = f"{folder}/{next(tempfile._get_candidate_names())}"
+    path = scratch_folder(t.spark)
     schema = t.supplier.schema
     tables.write_table(t.supplier, f"{path}-csv", "csv")
     middle = tables.read_table(t.spark, f"{path}-csv", "csv", schema)
@@ -203,13 +201,16 @@ def rename_columns(t):
 
 @query("B", """
 SELECT o_orderkey, date_diff('day', DATE '1899-12-30', o_orderdate::DATE)::BIGINT AS serial, (o_orderkey * 10)::BIGINT AS number,
-  printf('%.5f', o_orderkey::DOUBLE) AS txt, 5.0::DOUBLE AS dist FROM orders""")
+  printf('%.5f', o_orderkey::DOUBLE) AS txt, 5.0::DOUBLE AS dist, o_totalprice AS price,
+  strftime(DATE '1899-12-30' + (40000 + o_orderkey % 1000)::INT, '%Y-%m-%d') AS day FROM orders""")
 def sql_functions(t):
     parse.register_sql_functions(t.spark)
     return t.orders.selectExpr(
         "o_orderkey", "CAST(serial_day(CAST(o_orderdate AS DATE)) AS BIGINT) AS serial",
         "parse_int_text(concat(o_orderkey, '.0')) AS number", "format_result(CAST(o_orderkey AS DOUBLE)) AS txt",
-        "euclidean_distance(array(0D, 3D), array(CAST(o_orderkey AS DOUBLE) - o_orderkey + 4D, 0D)) AS dist")
+        "euclidean_distance(array(0D, 3D), array(CAST(o_orderkey AS DOUBLE) - o_orderkey + 4D, 0D)) AS dist",
+        "parse_number_text(translate(format_number(o_totalprice, 2), ',.', '.,')) AS price",
+        "date_format(serial_timestamp(40000 + o_orderkey % 1000), 'yyyy-MM-dd') AS day")
 
 
 # ---- null handling -------------------------------------------------------------------------

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-
 import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions.spec import Feature
 from ..operators import estimators as est
-from ..operators import flow, importance, linear, metrics, reduce, score, sequence
+from ..operators import flow, importance, metrics, reduce, score, sequence
+from ..plans.durable import scratch_folder
 from ..sources import registry
 from . import query
-from .helpers import SQL_DAILY_ORDERS, SQL_EVENT_SERIES, daily_orders, event_series, r, sr
-from .learning import SQL_FLAGS, SQL_SALES, _flags, _sales, _spend, SQL_SPEND
+from .helpers import SQL_EVENT_SERIES, event_series, r, sr
+from .learning import SQL_FLAGS, _flags
 
 SALES_SPEC = [Feature("id", "identifier", "int"), Feature("x1", strategy="scaling"), Feature("x2", strategy="scaling"),
               Feature("c", dtype="str", strategy="one hot encoding"), Feature("y", "target")]
@@ -33,8 +32,7 @@ LINE_SPEC = [Feature("id", "identifier", "int"), Feature("x1", strategy="scaling
 
 
 def _root(t):
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{base}/{next(tempfile._get_candidate_names())}"
+    return scratch_folder(t.spark)
 
 
 @query("N9")

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from ..operators import linear
+from ..plans.durable import scratch_folder
 from ..streaming import operators as st
 from . import query
 from .helpers import r, sr
 
 
 def _folder(t):
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{base}/sparkkit-stream-{next(tempfile._get_candidate_names())}"
+    return scratch_folder(t.spark)
 
 
 def _stream(t, table):
