@@ -375,7 +375,7 @@ def fit_forecast(df: DataFrame, spec: ForecastSpec, holidays: DataFrame | None =
         coefs = _fit_multiplicative(rows, keys, columns, groups, s, steps)
     else:
         coefs = _coefficients(rows.select("*", target), keys, columns, "__y", s)
-    coefs = match(coefs, extra, keys) if s.by else coefs.join(extra, "__all")
+    coefs = match(coefs, extra, keys)
     model_rows = rows.drop("y_scale")
     return ForecastModel(s, columns, groups, coefs, model_rows if s.by else model_rows.drop("__all"))
 

@@ -26,10 +26,28 @@ def largest_group(df: DataFrame, by: Sequence[str]) -> int:
     return df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
 
 
+# name of the constant key of an ungrouped computation
+ALL = "__all"
+
+
+def _attach(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Add the single row of an ungrouped aggregation as literals, so that no cross join is planned."""
+    found = right.limit(2).collect()
+    if len(found) > 1:
+        raise ValueError("an ungrouped table has one row")
+    fields = [f for f in right.schema.fields if f.name != ALL]
+    if not found:
+        missing = left.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+        return missing if how == "left" else missing.filter(F.lit(False))
+    return left.select("*", *[F.lit(found[0][f.name]).cast(f.dataType).alias(f.name) for f in fields])
+
+
 def match(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join in which null keys match each other; the key columns appear once."""
     if not on:
         raise ValueError("match needs at least one key column")
+    if list(on) == [ALL]:
+        return _attach(left, right, how)
     renamed = right.select(*[F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in right.columns])
     cond = None
     for c in on:
