@@ -114,3 +114,10 @@ def op4_pack_sequences(spark, folder):
     from .packing import pack
 
     return pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query()
+def op7_suffix_repeats(spark, folder):
+    from .suffix import digest
+
+    return digest(table(spark, folder, "documents"))
