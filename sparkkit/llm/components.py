@@ -35,19 +35,23 @@ def components(edges: DataFrame) -> DataFrame:
     return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-def in_buckets(rows: DataFrame, item: str, chunk: int) -> DataFrame:
+def in_buckets(rows: DataFrame, item: str, chunk: int, need: str | None = None, payload: DataFrame | None = None) -> DataFrame:
     """Rows of buckets with at least two rows, partitioned and sorted by (bucket, i, j).
 
     `bucket` is a long.  A bucket of more than `chunk` rows is dealt into chunks by the hash of `item`; the task of
     (i, j) gets chunks i and j, so any two rows meet, no task holds more than about two chunks, and column `c` says which
-    chunk a row is from.  Pairs of rows are never materialised.
+    chunk a row is from.  Pairs of rows are never materialised.  With `need`, buckets where that boolean column is nowhere true
+    are left out.  Columns of `payload` (one row per `item`) are joined to what is left.
     """
-    sizes = rows.groupBy(F.col("bucket").alias("__b")).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    wanted = F.max(need) if need else F.lit(True)
+    sizes = rows.groupBy(F.col("bucket").alias("__b")).agg(F.count(F.lit(1)).alias("__n"), wanted.alias("__need")).filter("__n > 1 and __need")
     full = rows.join(sizes, F.col("bucket") == F.col("__b"))
     chunks = F.ceil(F.col("__n") / F.lit(chunk)).cast("int")
     full = full.withColumn("__chunks", chunks).withColumn("c", F.pmod(F.xxhash64(item), F.col("__chunks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1))
     dealt = full.withColumn("__o", other).select(*rows.columns, "c", F.least("c", "__o").alias("i"), F.greatest("c", "__o").alias("j"))
+    if payload is not None:
+        dealt = dealt.join(payload, item)
     return dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
 
 

@@ -121,3 +121,18 @@ def op7_suffix_repeats(spark, folder):
     from .suffix import digest
 
     return digest(table(spark, folder, "documents"))
+
+
+@query()
+def op8_lattice_hashing(spark, folder):
+    from .lattice import near_duplicates
+
+    return near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query()
+def op9_ordinal_quality(spark, folder):
+    from .quality import graded, score, train
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return score(docs, train(docs, graded(table(spark, folder, "labels")))).select("doc_id", "expected_grade", "p_best", "kept")
