@@ -47,14 +47,15 @@ def features(text: str | None):
         plain.add(bare.lower())
         case = "A" if bare.isupper() and len(bare) > 1 else "a" if bare else "-"
         at = w.find(bare) + len(bare) if bare else 0
-        shape = case + w[at : at + 3]
-        shapes[shape] = shapes.get(shape, 0) + n
+        after = w[at:]
+        for shape in (case + after[:3], f"{case} {min(2, len(after))}"):
+            shapes[shape] = shapes.get(shape, 0) + n
     plain.discard("")
     n = len(words)
     index = [xxh32_intdigest(w, SEED) & mask for w in plain]
     value = [1.0] * len(index)
     index += [xxh32_intdigest("\n" + s, SEED) & mask for s in shapes]
-    value += [3.0 * k / n for k in shapes.values()]
+    value += [20.0 * k / n for k in shapes.values()]
     index.append(xxh32_intdigest(f"\n\nvaried {min(9, 10 * len(counts) // n)} {min(6, n.bit_length() // 2)}", SEED) & mask)
     value.append(1.0)
     return np.array(index, np.int32), np.array(value, np.float32)

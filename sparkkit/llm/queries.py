@@ -136,3 +136,10 @@ def op9_ordinal_quality(spark, folder):
 
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return score(docs, train(docs, graded(table(spark, folder, "labels")))).select("doc_id", "expected_grade", "p_best", "kept")
+
+
+@query()
+def op5_closed_syncmers(spark, folder):
+    from .syncmers import fingerprints
+
+    return fingerprints(table(spark, folder, "documents"))
