@@ -173,5 +173,5 @@ def score(docs: DataFrame, model: Model, least: float = LEAST_TAIL) -> DataFrame
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents whose probability of the best grade is at least one half, with their columns."""
-    model = train(docs, graded(labels))
-    return score(docs.select(F.struct("*").alias("row"), F.col("text")), model).filter("kept").select("row.*")
+    scored = score(docs, train(docs, graded(labels)))
+    return scored.filter(F.col(f"`{free_name(docs, 'kept')}`")).select(*[f"`{c}`" for c in docs.columns])

@@ -143,3 +143,18 @@ def op5_closed_syncmers(spark, folder):
     from .syncmers import fingerprints
 
     return fingerprints(table(spark, folder, "documents"))
+
+
+@query()
+def op3_licence_scan(spark, folder):
+    from .licences import document_files, scan
+
+    found = scan(document_files(table(spark, folder, "documents")))
+    return found.select(F.col("id").alias("doc_id"), "path", "licence", F.round("cosine", 6).alias("cosine"), "origin", "directory")
+
+
+@query()
+def pipeline(spark, folder):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
