@@ -88,8 +88,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("doc_id", F.lit(FIRST_ID)).cast("long").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     after = followers(rows).withColumnRenamed("key", "__key")
+    # both sides read the same columns, so the texts are shuffled once
     heads = rows.join(after, F.col("key") == F.col("__key"))
-    heads = heads.select(F.col("follower_of").alias("__of"), F.expr("substring(text, 1, cast(need as int))").alias("head"), sketch(F.col("text")).alias("next_sketch"), F.xxhash64("text").alias("tie"))
+    heads = heads.select(F.col("follower_of").alias("__of"), F.expr("substring(text, 1, cast(need as int))").alias("head"), sketch(F.col("text")).alias("next_sketch"), F.xxhash64("text", "doc_id").alias("tie"))
     heads = heads.groupBy("__of").agg(F.min_by("head", "tie").alias("head"), F.min_by("next_sketch", "tie").alias("next_sketch"))
     both = rows.join(heads, F.col("key") == F.col("__of")).withColumn("n_chars", F.char_length("text"))
     edited = F.expr("concat(substring(text, 1, cast(n_chars - floor(n_chars / 2) as int)), substring(head, 1, cast(floor(n_chars / 2) as int)))")
