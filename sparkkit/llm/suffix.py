@@ -23,6 +23,7 @@ SEGMENT = (1 << POSITION_BITS) - 2 * LEAST
 TRANSFORM_BYTES = 1 << 20  # runs are compared in lots of about so many bytes
 HELD_STRINGS = 100_000  # runs that a task holds to collapse equal ones
 HOT_STRINGS = 50_000  # beyond so many different runs of one minimizer its strings are dealt out singly
+PARTS = 4  # kinds of contexts that candidates share
 SEPARATOR = 0xFF  # never in UTF-8
 LAST_ID = (1 << 63) - 1  # orders rows without an id after all others
 
@@ -59,11 +60,11 @@ def _minima(values, width: int):
 
 
 def text_runs(data, offsets, least: int):
-    """Runs of the texts data[offsets[i]:offsets[i + 1]]: arrays (text, start, number of strings, minimizer hash)."""
+    """Runs of the texts data[offsets[i]:offsets[i + 1]]: arrays (text, start, number of strings, minimizer's place in the run, its hash)."""
     import numpy as np
 
     mask = np.uint64((1 << POSITION_BITS) - 1)
-    found = [[], [], [], []]
+    found = [[], [], [], [], []]
     lots, row, last = [], 0, len(offsets) - 1
     while row < last:
         # whole texts up to a segment's length, or the segments of a longer text
@@ -100,9 +101,10 @@ def text_runs(data, offsets, least: int):
         found[0].append(text)
         found[1].append(own + lo - offsets[text])
         found[2].append(n)
-        found[3].append(h[at[own]].view(np.int64))
+        found[3].append(at[own] - own)
+        found[4].append(h[at[own]].view(np.int64))
     if not found[0]:
-        return [np.zeros(0, np.int64)] * 4
+        return [np.zeros(0, np.int64)] * 5
     return [np.concatenate(c) for c in found]
 
 
@@ -129,7 +131,7 @@ def _suffixes(text, depth: int):
         key = key << np.uint64(8) | padded[o : o + n].astype(np.uint64)
     done = 8
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ranked = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.append(0, ranked[1:] != ranked[:-1]))
@@ -217,16 +219,16 @@ def _spans(key, tie, start, end):
 
 
 def _runs_of(docs: DataFrame, least: int) -> DataFrame:
-    """(key, tie, start, n, hash) of every run of every text."""
+    """(key, tie, start, n, mer, hash) of every run of every text."""
 
     def run(batches):
         for b in batches:
             offsets, data = _buffers(b.column(2))
-            text, start, n, h = text_runs(data, offsets, least)
+            text, *numbers, h = text_runs(data, offsets, least)
             ids = [pa.compute.take(b.column(i), pa.array(text)) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*ids, pa.array(start).cast(pa.int32()), pa.array(n).cast(pa.int32()), pa.array(h)], names=["key", "tie", "start", "n", "hash"])
+            yield pa.RecordBatch.from_arrays([*ids, *(pa.array(x).cast(pa.int32()) for x in numbers), pa.array(h)], names=["key", "tie", "start", "n", "mer", "hash"])
 
-    return docs.mapInArrow(run, "key long, tie long, start int, n int, hash long")
+    return docs.mapInArrow(run, "key long, tie long, start int, n int, mer int, hash long")
 
 
 def _strings(docs: DataFrame, matched: DataFrame, least: int) -> DataFrame:
@@ -240,42 +242,61 @@ def _strings(docs: DataFrame, matched: DataFrame, least: int) -> DataFrame:
         gone: list[tuple] = []
 
         def out(strings, spans):
-            columns = [[], [], [], [], [], []]
+            columns = [[], [], [], [], [], [], []]
             if strings:
-                rows = [(*at[:4], at[4], s) for s, at in strings.items()]
-                columns = [list(c) for c in zip(*rows)]
+                columns = [list(c) for c in zip(*((*at, s) for s, at in strings.items()))]
             if spans:
-                merged = _merge(*(np.array(c, np.int64) for c in zip(*spans)))
-                key, tie, start, end = (c.tolist() for c in merged)
-                for column, more in zip(columns, (key, tie, start, end, start, [None] * len(key))):
+                key, tie, start, end = (c.tolist() for c in _merge(*(np.array(c, np.int64) for c in zip(*spans))))
+                # spread over the tasks by their starts
+                for column, more in zip(columns, (key, tie, start, end, [0] * len(key), start, [None] * len(key))):
                     column += more
-            types = [pa.int64()] * 5 + [pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["key", "tie", "start", "end", "hash", "bytes"])
+            types = [pa.int64()] * 4 + [pa.int32(), pa.int64(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["key", "tie", "start", "end", "mer", "hash", "bytes"])
 
         for b in batches:
             offsets, data = _buffers(b.column(2))
-            lists = b.column(3)
+            borders = b.column(3).offsets.to_numpy()
+            starts, ns, mers, hashes = (b.column(3).values.field(x).to_numpy() for x in ("start", "n", "mer", "hash"))
             for row, (key, tie) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
                 text = data[offsets[row] : offsets[row + 1]].tobytes()
-                for start, n, h in sorted({(x["start"], x["n"], x["hash"]) for x in lists[row].as_py()}):
-                    s = text[start : start + n + least - 1]
-                    here = (key, tie, start, start + len(s), h)
+                # repeated rows list their runs twice
+                _, own = np.unique(starts[borders[row] : borders[row + 1]], return_index=True)
+                own = own + borders[row]
+                for start, n, mer, h in zip(starts[own].tolist(), ns[own].tolist(), mers[own].tolist(), hashes[own].tolist()):
+                    end = start + n + least - 1
+                    s, here = text[start:end], (key, tie, start, end, mer, h)
                     there = seen.setdefault(s, here)
                     if there > here:
-                        seen[s], here = here, there
-                    if seen[s] is not here and seen[s][:3] != here[:3]:
+                        seen[s], here, there = here, there, here
+                    if there is not here and there[:3] != here[:3]:
                         gone.append(here[:4])
                 if len(seen) > HELD_STRINGS or len(gone) > HELD_STRINGS:
                     yield out(seen, gone)
                     seen, gone = {}, []
         yield out(seen, gone)
 
-    return rows.select("key", "tie", "text", "runs").mapInArrow(run, "key long, tie long, start long, end long, hash long, bytes binary")
+    return rows.select("key", "tie", "text", "runs").mapInArrow(run, "key long, tie long, start long, end long, mer int, hash long, bytes binary")
+
+
+def _candidates(strings: list[tuple[bytes, int]], least: int) -> list[int]:
+    """Indices of the strings (bytes, place of the minimizer) of one minimizer that may share `least` bytes with another one.
+
+    What two strings share holds their minimizer, at the same place; wherever that is, it also holds one of `PARTS` contexts
+    around the minimizer in full.  Only strings with a context in common are compared.
+    """
+    step = -(-(least - KMER) // PARTS)
+    seen: dict[tuple[int, bytes], list[int]] = {}
+    for i, (s, m) in enumerate(strings):
+        for k in range(PARTS):
+            start, end = m - step * k, m + least - step * (k + 1)
+            if start >= 0 and end <= len(s):
+                seen.setdefault((k, s[start:end]), []).append(i)
+    return sorted({i for own in seen.values() if len(own) > 1 for i in own})
 
 
 def _compare(strings: DataFrame, least: int) -> DataFrame:
     """Spans of strings of `least` bytes that start earlier elsewhere, from runs partitioned and sorted by hash."""
-    rows = strings.repartition("hash").sortWithinPartitions("hash").select("hash", "key", "tie", "start", "end", "bytes")
+    rows = strings.repartition("hash").sortWithinPartitions("hash").select("hash", "key", "tie", "start", "end", "mer", "bytes")
 
     def run(batches):
         import numpy as np
@@ -298,21 +319,23 @@ def _compare(strings: DataFrame, least: int) -> DataFrame:
         for table in whole_groups(batches, ["hash"]):
             hashes = table.column("hash").to_numpy()
             gone = []
-            columns = [table.column(c).to_pylist() for c in ("bytes", "key", "tie", "start", "end")]
+            columns = [table.column(c).to_pylist() for c in ("bytes", "key", "tie", "start", "end", "mer")]
             for s, e in runs(hashes):
                 if e - s == 1:
                     continue
                 first: dict[bytes, tuple] = {}
-                for data, key, tie, start, end in zip(*(c[s:e] for c in columns)):
-                    here = (key, tie, start, end)
+                for data, *here in zip(*(c[s:e] for c in columns)):
+                    here = tuple(here)
                     there = first.setdefault(data, here)
                     if there > here:
                         first[data], here = here, there
                     if first[data] != here:
-                        gone.append(here)
+                        gone.append(here[:4])
                 if len(first) > 1:
-                    lot += [(data, *at[:3]) for data, at in first.items()]
-                    size += sum(map(len, first))
+                    items = list(first.items())
+                    near = [items[i] for i in _candidates([(data, at[4]) for data, at in items], least)]
+                    lot += [(data, *at[:3]) for data, at in near]
+                    size += sum(len(data) for data, _ in near)
                     if size >= TRANSFORM_BYTES:
                         if (spans := transform()) is not None:
                             yield spans
@@ -343,7 +366,7 @@ def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
         raise ValueError(f"strings of at least {2 * KMER} bytes")
     found = _runs_of(docs, least)
     often = found.groupBy(F.col("hash").alias("__hash")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__hash")
-    matched = found.join(often, F.col("hash") == F.col("__hash")).groupBy("key", "tie").agg(F.collect_list(F.struct("start", "n", "hash")).alias("runs"))
+    matched = found.join(often, F.col("hash") == F.col("__hash")).groupBy("key", "tie").agg(F.collect_list(F.struct("start", "n", "mer", "hash")).alias("runs"))
     strings = store(_strings(docs, store(matched), least))
     whole = strings.filter("bytes is not null")
     hot = store(whole.groupBy(F.col("hash").alias("__hash")).count().filter(F.col("count") > HOT_STRINGS).select("__hash"))
