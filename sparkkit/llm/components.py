@@ -44,7 +44,8 @@ def in_buckets(rows: DataFrame, item: str, chunk: int, need: str | None = None,
     are left out.  Columns of `payload` (one row per `item`) are joined to what is left.
     """
     wanted = F.max(need) if need else F.lit(True)
-    sizes = rows.groupBy(F.col("bucket").alias("__b")).agg(F.count(F.lit(1)).alias("__n"), wanted.alias("__need")).filter("__n > 1 and __need")
+    # stored, so that both sides of the join are plain exchanges and a hot bucket's partition can be split
+    sizes = store(rows.groupBy(F.col("bucket").alias("__b")).agg(F.count(F.lit(1)).alias("__n"), wanted.alias("__need")).filter("__n > 1 and __need"))
     full = rows.join(sizes, F.col("bucket") == F.col("__b"))
     chunks = F.ceil(F.col("__n") / F.lit(chunk)).cast("int")
     full = full.withColumn("__chunks", chunks).withColumn("c", F.pmod(F.xxhash64(item), F.col("__chunks")).cast("int"))

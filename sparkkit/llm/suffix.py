@@ -18,10 +18,10 @@ from .components import runs, whole_groups
 
 LEAST = 100
 KMER = 24
-POSITION_BITS = 20  # of a position inside a segment of a text
+POSITION_BITS = 19  # of a position inside a segment of a text
 SEGMENT = (1 << POSITION_BITS) - 2 * LEAST
-TRANSFORM_BYTES = 1 << 20  # runs are compared in lots of about so many bytes
-HELD_STRINGS = 100_000  # runs that a task holds to collapse equal ones
+TRANSFORM_BYTES = 1 << 19  # runs are compared in lots of about so many bytes
+HELD_STRINGS = 50_000  # runs that a task holds to collapse equal ones
 HOT_STRINGS = 50_000  # beyond so many different runs of one minimizer its strings are dealt out singly
 PARTS = 4  # kinds of contexts that candidates share
 SEPARATOR = 0xFF  # never in UTF-8
@@ -365,7 +365,8 @@ def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     if least < 2 * KMER:
         raise ValueError(f"strings of at least {2 * KMER} bytes")
     found = _runs_of(docs, least)
-    often = found.groupBy(F.col("hash").alias("__hash")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__hash")
+    # stored, so that both sides of the join are plain exchanges and a hot minimizer's partition can be split
+    often = store(found.groupBy(F.col("hash").alias("__hash")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__hash"))
     matched = found.join(often, F.col("hash") == F.col("__hash")).groupBy("key", "tie").agg(F.collect_list(F.struct("start", "n", "mer", "hash")).alias("runs"))
     strings = store(_strings(docs, store(matched), least))
     whole = strings.filter("bytes is not null")

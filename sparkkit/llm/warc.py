@@ -101,7 +101,8 @@ def write_archives(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES)
     # copies meet as digests; only repeated ones are joined back
     first = (html.filter(F.octet_length("payload") >= LEAST_REVISIT_BYTES).groupBy(F.col("digest").alias("__digest"))
              .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
-    rows = html.join(first, F.col("digest") == F.col("__digest"), "left")
+    # stored, so that both sides of the join are plain exchanges and the partition of a hot payload can be split
+    rows = html.join(store(first), F.col("digest") == F.col("__digest"), "left")
     refers = F.when(~F.col("first").eqNullSafe(F.col("page_id")), F.col("first"))
 
     def write(batches):
