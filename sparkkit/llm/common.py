@@ -30,6 +30,13 @@ def store(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(batches, rows: int = 1_000):
+    """The same rows in batches of at most `rows`, so that a task holds few texts as Python objects at a time."""
+    for b in batches:
+        for start in range(0, b.num_rows, rows):
+            yield b.slice(start, rows)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """`name`, with underscores before it until no column of `df` has that name in any case."""
     taken = {c.lower() for c in df.columns}

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import numbered, store
+from .common import numbered, small, store
 
 CAPACITY = 1024
 END_ID = 2
@@ -61,7 +61,7 @@ def pieces(docs: DataFrame, path: str, ranks_path: str | None = None, capacity:
     """(doc_id, piece, start, length, ids_crc32): documents as one piece, longer ones cut so that only the first piece may be shorter."""
 
     def cut(batches):
-        for b in batches:
+        for b in small(batches):
             rows = []
             for doc_id, text in zip(*(c.to_pylist() for c in b.columns)):
                 ids = token_ids(text, path, ranks_path)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from .common import free_name, unit
+from .common import free_name, small, unit
 
 BITS = 18  # weights are hashed to so many bits
 SAMPLE = 12_000  # labelled documents that the model is fitted on, at most
@@ -137,7 +137,7 @@ def train(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE, n_grades: i
     rated = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "grade")
 
     def extract(batches):
-        for b in batches:
+        for b in small(batches):
             both = [features(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).cast(pa.int64()), b.column(2).cast(pa.int32()), pa.array([x[0] for x in both], pa.list_(pa.int32())), pa.array([x[1] for x in both], pa.list_(pa.float32()))],
@@ -162,7 +162,7 @@ def score(docs: DataFrame, model: Model, least: float = LEAST_TAIL) -> DataFrame
     names, at = docs.columns, docs.columns.index("text")
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             both = [shared.value.grade(t) for t in b.column(at).to_pylist()]
             expected, best = [x[0] for x in both], [x[1] for x in both]
             added = [pa.array(expected, pa.float64()), pa.array(best, pa.float64()), pa.array([p >= least for p in best], pa.bool_())]

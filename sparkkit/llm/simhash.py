@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import small, store
 from .components import components, in_buckets, runs, whole_groups
 
 SHINGLE = 3
@@ -48,7 +48,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     def run(batches):
         import numpy as np
 
-        for b in batches:
+        for b in small(batches):
             fps = np.array([fingerprint(t) for t in b.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 

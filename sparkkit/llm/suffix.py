@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from .common import store
+from .common import small, store
 from .components import runs, whole_groups
 
 LEAST = 100
@@ -253,7 +253,7 @@ def _strings(docs: DataFrame, matched: DataFrame, least: int) -> DataFrame:
             types = [pa.int64()] * 4 + [pa.int32(), pa.int64(), pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["key", "tie", "start", "end", "mer", "hash", "bytes"])
 
-        for b in batches:
+        for b in small(batches):
             offsets, data = _buffers(b.column(2))
             borders = b.column(3).offsets.to_numpy()
             starts, ns, mers, hashes = (b.column(3).values.field(x).to_numpy() for x in ("start", "n", "mer", "hash"))
@@ -407,7 +407,7 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, as_text: bool = False) -
 
     def cut(batches):
         at = len(names)
-        for b in batches:
+        for b in small(batches):
             kept, n = [], []
             for text, spans in zip(b.column(at).to_pylist(), b.column(at + 1).to_pylist()):
                 data, count = _kept(text, spans)

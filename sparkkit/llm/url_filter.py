@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import free_name
+from .common import free_name, small
 
 ALLOW, BLOCK = "allow", "block"
 HOST_PATH = re.compile(r"://([^/?#]*)([^?#]*)")
@@ -85,7 +85,7 @@ def filter_urls(rows: DataFrame, rules: Sequence[tuple[str, str, str]], url: str
 
     def judge(batches):
         longest = trie.value.longest
-        for b in batches:
+        for b in small(batches):
             out: list[list] = [[], [], [], []]
             for text in b.column(at).to_pylist():
                 host, path = split_url(text)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.durable import scratch_folder
-from .common import store
+from .common import small, store
 
 LEAST_REVISIT_BYTES = 100
 ROLL_BYTES = 256 << 20  # an archive is closed once it holds so many bytes before compression
@@ -109,7 +109,7 @@ def write_archives(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES)
         fs, path = _fs(folder)
         fs.create_dir(path, recursive=True)
         out, made = None, []
-        for b in batches:
+        for b in small(batches):
             for row in zip(*(c.to_pylist() for c in b.columns)):
                 if out is None:
                     name = f"{uuid.uuid4().hex}.warc.gz"
