@@ -402,8 +402,8 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, as_text: bool = False) -
     keyed = docs.withColumns({"__key": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "__text": F.coalesce("text", F.lit("")).cast("binary")})
     keyed = keyed.withColumn("__tie", F.xxhash64("__text"))
     texts = keyed.filter(F.octet_length("__text") >= least).select(F.col("__key").alias("key"), F.col("__tie").alias("tie"), F.col("__text").alias("text"))
-    spans = repeats(texts, least)
-    rows = keyed.join(spans, (F.col("__key") == F.col("key")) & (F.col("__tie") == F.col("tie")), "left").select(*names, "__text", "spans")
+    spans = repeats(texts, least).toDF("__of", "__of_tie", "__gone")
+    rows = keyed.join(spans, (F.col("__key") == F.col("__of")) & (F.col("__tie") == F.col("__of_tie")), "left").select(*names, "__text", "__gone")
 
     def cut(batches):
         at = len(names)
