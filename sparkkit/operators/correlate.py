@@ -175,19 +175,22 @@ def correlate_one_vs_all(df: DataFrame, series: str, key: str, value: str, chose
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], method: str = "pearson") -> DataFrame:
-    """(a, b, correlation) of all column pairs, incomplete pairs dropped, in one pass over the rows.
+    """(a, b, correlation) of all column pairs, incomplete pairs dropped.
 
-    The pass adds up sums, squares, products and counts of every pair; its result depends on the
-    number of columns only.
+    Pearson takes one pass that adds up sums, squares, products and counts of every pair; its result depends on the
+    number of columns only.  Rank methods rank every pair's complete rows, so each row is dealt out once per pair.
     """
     cols = list(cols)
-    if method == "spearman":
-        df = df.select(*cols)
-        for c in cols:
-            df = average_rank(df, [], c, f"__rank_{c}")
-        df = df.select(*[F.col(f"__rank_{c}").alias(c) for c in cols])
-    elif method != "pearson":
-        raise ValueError("method must be 'pearson' or 'spearman'")
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
+    if method != "pearson":
+        pair = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+                for i, a in enumerate(cols) for b in cols[i:]]
+        rows = df.select(F.inline(F.array(*pair))).filter("x is not null and y is not null")
+        done = correlate(rows, "x", "y", ["a", "b"], method).select("a", "b", "correlation")
+        wanted = df.sparkSession.createDataFrame([(a, b) for a in cols for b in cols], "a string, b string")
+        both = done.unionByName(done.filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "correlation"))
+        return wanted.join(both, ["a", "b"], "left")
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     shift = rows.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in cols]).first()
     means = np.array([shift[c] for c in cols])

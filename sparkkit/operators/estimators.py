@@ -404,11 +404,19 @@ def _kernel(inner):
         names = [f"__rff{i}" for i in range(n_components)]
         mapped = fourier_features(df, features, n_components, gamma, seed)
         apply, model, history = inner(mapped, names, labels, kind, weight, **params)
-        return (lambda d: apply(fourier_features(d, features, n_components, gamma, seed)).drop(*names)), model, history
+        # stored with the model, which knows the mapped columns only
+        model.kernel_map = {"n": n_components, "gamma": float(gamma), "seed": seed}
+        return kernel_apply(apply, features, model.kernel_map), model, history
 
     return fit
 
 
+def kernel_apply(apply, features: Sequence[str], kernel_map: dict):
+    """Predictions of a model of mapped features, for rows of the original ones."""
+    names = [f"__rff{i}" for i in range(kernel_map["n"])]
+    return lambda d: apply(fourier_features(d, features, **kernel_map)).drop(*names)
+
+
 # ---- boosting by re-weighting --------------------------------------------------------------
 
 
@@ -537,7 +545,7 @@ def _theil_sen(df, features, labels, kind, weight=None, n_subsets: int = 20_000,
         return model.predict, model, []
     size = len(features) + 1
     order = F.xxhash64(F.lit(seed), *rows.columns)
-    points = np.array([list(r) for r in rows.dropna().distinct().orderBy(order).limit(min(n_subsets, 2_000) * size).collect()], dtype=float)
+    points = np.array([list(r) for r in rows.dropna().distinct().orderBy(order).limit(n_subsets * size).collect()], dtype=float)
     fits = []
     for s in range(0, len(points) - size + 1, size):
         part = points[s : s + size]

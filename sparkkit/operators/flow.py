@@ -242,7 +242,10 @@ def save_flow(model: FlowModel, spark: SparkSession, root: str, overwrite: bool
              "preprocessor": json.loads(model.preprocessor.to_json()), "target": model.target.__dict__}
     inner = model.fitted.model
     stored = None
+    state["kernel"] = getattr(inner, "kernel_map", None)
     if isinstance(inner, linear.LinearModel):
+        if state["kernel"] is None and list(inner.features) != list(model.fitted.features):
+            raise ValueError(f"{model.estimator} cannot be stored")
         state["linear"] = {"coef": inner.coef.tolist(), "intercept": inner.intercept.tolist(), "targets": inner.targets}
     elif hasattr(inner, "write"):
         stored = inner
@@ -259,12 +262,17 @@ def load_flow(spark: SparkSession, root: str, name: str) -> FlowModel:
     entry = registry.model_entry(spark, root, name)
     state = json.loads(entry["spec"])
     prep = Preprocessor.from_json(json.dumps(state["preprocessor"]))
+    kernel = state.get("kernel")
+    columns = [f"__rff{i}" for i in range(kernel["n"])] if kernel else state["features"]
     if "linear" in state:
-        inner = linear.LinearModel(state["features"], state["linear"]["targets"], np.array(state["linear"]["coef"]), np.array(state["linear"]["intercept"]), {})
+        inner = linear.LinearModel(columns, state["linear"]["targets"], np.array(state["linear"]["coef"]), np.array(state["linear"]["intercept"]), {})
         apply = inner.predict
     else:
         inner = PipelineModel.load(entry["path"]).stages[0]
-        apply = est.ml_apply(inner, state["features"], state["kind"])
+        apply = est.ml_apply(inner, columns, state["kind"])
+    if kernel:
+        inner.kernel_map = kernel
+        apply = est.kernel_apply(apply, state["features"], kernel)
     reducer = None
     if "reducer" in state:
         from .reduce import Projection

@@ -213,11 +213,13 @@ def automatic_seasons(df: DataFrame, by: Sequence[str], ds: str, y: str) -> dict
     return out
 
 
-def _solve_penalised(g: np.ndarray, p: int, hinge: np.ndarray, ridge: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
+def _solve_penalised(g: np.ndarray, p: int, hinge: np.ndarray, ridge: np.ndarray, prior: float, intercept: bool = True) -> tuple[np.ndarray, float]:
     """Coefficients of [1, columns] for one series: Gaussian priors as ridge, the Laplace prior on
     slope changes by re-weighting the same matrix."""
     n = max(g[0, 0], 1.0)
-    a, b, yy = g[: p + 1, : p + 1], g[: p + 1, p + 1], g[p + 1, p + 1]
+    a, b, yy = g[: p + 1, : p + 1].copy(), g[: p + 1, p + 1].copy(), g[p + 1, p + 1]
+    if not intercept:
+        a[0], a[:, 0], b[0] = 0.0, 0.0, 0.0
     sigma2 = 0.05**2
     weight = np.full(int(hinge.sum()), 1.0 / prior**2)
     w = np.zeros(p + 1)
@@ -313,9 +315,9 @@ class ForecastModel:
         return rows.select(*self.spec.by, "position", F.date_add(F.lit("1970-01-01").cast("date"), F.floor("day").cast("int")).alias("ds"), scaled.alias("effect"))
 
 
-def _coefficients(rows: DataFrame, keys, columns, target: str, spec: ForecastSpec) -> DataFrame:
+def _coefficients(rows: DataFrame, keys, columns, target: str, spec: ForecastSpec, intercept: bool = True) -> DataFrame:
     hinge = np.array([c.startswith("hinge_") for c in columns], dtype=bool)
-    prior = [0.0 if c == "t" or h else spec.holiday_prior if c.startswith("holiday_") else
+    prior = [0.0 if c in ("t", "t_const") or h else spec.holiday_prior if c.startswith("holiday_") else
              spec.regressors.get(c[len("regressor_"):], {}).get("prior_scale", spec.holiday_prior) if c.startswith("regressor_") else spec.season_prior
              for c, h in zip(columns, hinge)]
     ridge, p, laplace, n_hinge = np.array(prior, dtype=float), len(columns), spec.changepoint_prior, spec.n_changepoints
@@ -325,7 +327,7 @@ def _coefficients(rows: DataFrame, keys, columns, target: str, spec: ForecastSpe
         for pdf in batches:
             ws, sigmas, jumps, rates = [], [], [], []
             for g in pdf["g"]:
-                w, sigma = _solve_penalised(np.asarray(g).reshape(p + 2, p + 2), p, hinge, ridge, laplace)
+                w, sigma = _solve_penalised(np.asarray(g).reshape(p + 2, p + 2), p, hinge, ridge, laplace, intercept)
                 changes = np.abs(w[1:][hinge])
                 ws.append(w)
                 sigmas.append(sigma)
@@ -414,13 +416,13 @@ def _fit_multiplicative(rows, keys, columns, groups, s, steps) -> DataFrame:
     return coefs
 
 
-def _fit_logistic(rows, keys, columns, groups, s, steps: int = 4) -> DataFrame:
+def _fit_logistic(rows, keys, columns, groups, s, steps: int = 10) -> DataFrame:
     """Saturating trend: linear start on the logit scale, then Gauss-Newton steps, one pass each."""
     at = {c: i for i, c in enumerate(columns)}
     trend = groups["trend"]
     effects = [c for c in columns if c not in set(trend)]
     share = (F.col(s.y) - s.floor) / (s.cap - s.floor)
-    inside = F.least(F.greatest(share, F.lit(0.01)), F.lit(0.99))
+    inside = F.least(F.greatest(share, F.lit(1e-4)), F.lit(1 - 1e-4))
     start = rows.withColumn("__y", F.log(inside / (1 - inside)))
     coefs = _coefficients(start, keys, trend, "__y", s)
     spots = {n: i for i, n in enumerate(trend)}
@@ -434,7 +436,7 @@ def _fit_logistic(rows, keys, columns, groups, s, steps: int = 4) -> DataFrame:
         goal = (F.col(s.y) - s.floor) / F.col("y_scale") - unit * p + slope * line
         # the constant is a column of its own here, because its derivative varies by row
         part = now.select(*keys, goal.alias("__r"), slope.alias("t_const"), *[(F.col(f"`{c}`") * slope).alias(c) for c in trend], *[F.col(f"`{c}`") for c in effects])
-        new = _coefficients(part, keys, ["t_const", *columns], "__r", s)
+        new = _coefficients(part, keys, ["t_const", *columns], "__r", s, intercept=False)
         coefs = new.withColumn("w", F.array(F.col("w")[1], *[F.col("w")[i + 2] for i in range(len(columns))]))
     return coefs
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import encode, nulls, scale
 from ..functions.spec import Feature, check_spec
 
-DEFAULT_TERMS = 200
+MAX_TERMS = 10_000  # a larger vocabulary needs max_features: every term is a column here
 
 
 @dataclass
@@ -46,11 +46,16 @@ class Preprocessor:
         self.characters = {f.name: encode.fit_characters(df, f.name) for f in self._features("text_similarity")}
         self.vocabulary = {}
         for f in self._features("count_vectorizing", "tf_idf"):
-            options = {"max_features": DEFAULT_TERMS} | f.args
+            options = {"max_features": None} | f.args
             texts = df.select(f.name).distinct().withColumn("__id", F.xxhash64(f.name))
             token_options = {k: v for k, v in options.items() if k in ("analyzer", "ngram_range", "stop_words")}
             counts = encode.term_counts(texts, "__id", f.name, **token_options)
-            found = encode.fit_vocabulary(counts, options.get("min_df", 1), options["max_features"]).collect()
+            unknown = set(f.args) - {"analyzer", "ngram_range", "stop_words", "min_df", "max_features"}
+            if unknown:
+                raise ValueError(f"{f.name}: unknown vectoriser arguments {sorted(unknown)}")
+            found = encode.fit_vocabulary(counts, options.get("min_df", 1), options["max_features"]).limit(max(MAX_TERMS, options["max_features"] or 0) + 1).collect()
+            if options["max_features"] is None and len(found) > MAX_TERMS:
+                raise ValueError(f"{f.name}: more than {MAX_TERMS} terms; name max_features")
             n_texts = texts.count()
             ordered = sorted(found, key=lambda r: r["term"])
             self.vocabulary[f.name] = {

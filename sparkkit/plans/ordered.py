@@ -97,13 +97,15 @@ def running_sum(
     sums: dict[str, Column],
     hot: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
-    """Inclusive running sums; `order` must be unique inside the group."""
+    """Inclusive running sums, null until the first value; `order` must be unique inside the group."""
     if largest_group(df, by) <= hot:
         w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.select("*", *[F.sum(c).over(w).alias(k) for k, c in sums.items()])
-    rows = _with_offsets(_blocks(df, by, order), by, {k: F.sum(c) for k, c in sums.items()})
+    totals = {k: F.sum(c) for k, c in sums.items()} | {f"{k}__known": F.count(c) for k, c in sums.items()}
+    rows = _with_offsets(_blocks(df, by, order), by, totals)
     inside = Window.partitionBy(*by, "__block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    added = [(F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.col(f"__off_{k}")).alias(k) for k, c in sums.items()]
+    known = {k: F.count(c).over(inside) + F.col(f"__off_{k}__known") for k, c in sums.items()}
+    added = [F.when(known[k] > 0, F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.col(f"__off_{k}")).alias(k) for k, c in sums.items()]
     return rows.select(*df.columns, *added)
 
 

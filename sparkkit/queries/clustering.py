@@ -85,5 +85,5 @@ def affinity_propagation(t):
 
 @query("L12")
 def feature_agglomeration(t):
-    done = cl.feature_agglomeration(_vectors(t), "vec_id", [f"e{i}" for i in range(12)], 4)
+    done = cl.feature_agglomeration(_vectors(t), "vec_id", [f"e{i}" for i in range(64)], 4)
     return done.select("key", *[r(c).alias(c) for c in done.columns[1:]])

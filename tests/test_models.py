@@ -194,3 +194,26 @@ def test_sequence_prediction_in_blocks(spark):
     plain = score.predict_sequence(df, ["k"], ["i"], "y", model, 3).orderBy("i").toPandas()["prediction"]
     blocks = score.predict_sequence(df, ["k"], ["i"], "y", model, 3, hot=8).orderBy("i").toPandas()["prediction"]
     assert len(plain) == 75 and np.allclose(plain, blocks)
+
+
+def test_logistic_trend_far_below_its_cap(spark):
+    import datetime
+
+    day = datetime.datetime(2024, 1, 1)
+    data = [(day + datetime.timedelta(days=i), 6.0 + (i % 7 == 0)) for i in range(200)]
+    rows = spark.createDataFrame(data, "ds timestamp_ntz, y double")
+    done = forecast.forecast(rows, [], "ds", "y", horizon=5, growth="logistic", cap=2000.0, n_changepoints=3, samples=20, seasons={"weekly": (7.0, 3)}).toPandas()
+    past = done[~done.is_future]
+    assert abs((past.yhat - past.y).mean()) < 0.05 and done.yhat.between(5, 8).all()
+
+
+@pytest.mark.parametrize("name", ["GaussianProcessRegressor", "SVR", "Ridge"])
+def test_loaded_models_predict_like_the_saved_ones(spark, tmp_path, name):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(200, 2))
+    rows = spark.createDataFrame([(i, float(a), float(b), float(np.sin(a) + b)) for i, (a, b) in enumerate(x)], "id int, a double, b double, y double")
+    spec = [Feature("id", "identifier", "int"), Feature("a", strategy="scaling"), Feature("b", strategy="scaling"), Feature("y", "target")]
+    model = flow.fit(rows, spec, name, "m")
+    flow.save_flow(model, spark, str(tmp_path))
+    got = [m.predict(rows).toPandas().sort_values("key").astype({"prediction": float}) for m in (model, flow.load_flow(spark, str(tmp_path), "m"))]
+    assert np.allclose(got[0].prediction, got[1].prediction)

@@ -120,3 +120,23 @@ def test_pivot_refuses_duplicates(spark):
     assert got == {"a": (1.0, 2.0), "b": (3.0, None)}
     with pytest.raises(Exception, match="several rows"):
         relational.pivot(df.union(df), "k", "d", "v").collect()
+
+
+def test_running_sum_is_null_until_the_first_value_on_both_paths(spark):
+    from sparkkit.plans.ordered import running_sum
+
+    df = spark.createDataFrame([(1, None), (2, None), (3, 5), (4, 1), (5, None)], "k int, v int")
+    found = [[r["s"] for r in running_sum(df, [], ["k"], {"s": F.col("v")}, hot=hot).orderBy("k").collect()] for hot in (100, 1)]
+    assert found == [[None, None, 5, 6, 6]] * 2
+
+
+def test_rank_matrix_equals_the_pairs(spark):
+    from sparkkit.operators.correlate import correlate, correlation_matrix
+
+    df = spark.createDataFrame([(1.0, 4.0, 2.0), (2.0, None, 1.0), (3.0, 1.0, 9.0), (None, 2.0, 3.0), (5.0, 2.0, 4.0), (6.0, 0.0, None)], "a double, b double, c double")
+    for method in ("spearman", "kendall"):
+        got = {(r["a"], r["b"]): r["correlation"] for r in correlation_matrix(df, ["a", "b", "c"], method).collect()}
+        assert len(got) == 9
+        for x, y in got:
+            want = correlate(df.dropna(subset=[x, y]).select(F.col(x).alias("x"), F.col(y).alias("y")), "x", "y", [], method).first()["correlation"]
+            assert abs(got[x, y] - want) < 1e-9
