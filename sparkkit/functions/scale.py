@@ -186,22 +186,71 @@ def scale(df: DataFrame, cols: Sequence[str], fitted: Linear | Quantile) -> Data
     return df.select(*[fitted.apply(c).alias(c) if c in wanted else F.col(c) for c in df.columns])
 
 
-def scale_by_group(df: DataFrame, by: Sequence[str], cols: Sequence[str], scaler: str = "standard") -> DataFrame:
+def group_quantiles(df: DataFrame, by: Sequence[str], cols: Sequence[str], probabilities: Sequence[float], hot: int = HOT_GROUP_ROWS) -> DataFrame:
+    """(by..., __feature, q): exact interpolated quantiles of every column per group, nulls left out.
+
+    Values are counted and summed up in order, so no group has to fit into one task.
+    """
+    keys = [*by, "__feature"]
+    pairs = [F.struct(F.lit(c).alias("__feature"), F.col(c).cast("double").alias("__value")) for c in cols]
+    freq = df.select(*by, F.inline(F.array(*pairs))).filter("__value is not null").groupBy(*keys, "__value").agg(F.count(F.lit(1)).alias("__n"))
+    upto = running_sum(freq, keys, ["__value"], {"__upto": F.col("__n")}, hot)
+    rows = match(upto, freq.groupBy(*keys).agg(F.sum("__n").alias("__total")), keys)
+    at = lambda spot: F.max(F.when((F.col("__upto") > spot) & (F.col("__upto") - F.col("__n") <= spot), F.col("__value")))
+    picks, out = [F.max("__total").alias("__total")], []
+    for i, p in enumerate(probabilities):
+        h = (F.col("__total") - 1) * float(p)
+        picks += [at(F.floor(h)).alias(f"__l{i}"), at(F.ceil(h)).alias(f"__h{i}")]
+        out.append(F.col(f"__l{i}") + (F.col(f"__h{i}") - F.col(f"__l{i}")) * (h - F.floor(h)))
+    return rows.groupBy(*keys).agg(*picks).select(*keys, F.array(*out).alias("q"))
+
+
+def _scale_to_places(df: DataFrame, by: Sequence[str], c: str) -> DataFrame:
+    """Column `c` replaced by the mean place (0..1) of its value among the values of the group."""
+    rows = df.withColumn("__v", F.col(c).cast("double"))
+    counts = rows.filter(F.col("__v").isNotNull()).groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__n"))
+    upto = running_sum(counts, by, ["__v"], {"__upto": F.col("__n")})
+    whole = counts.groupBy(*by).agg(F.sum("__n").alias("__total"), F.min("__v").alias("__low"), F.max("__v").alias("__high"))
+    middle = (2 * F.col("__upto") - F.col("__n") - 1) / 2 / F.greatest(F.col("__total") - 1, F.lit(1))
+    place = F.when(F.col("__v") == F.col("__low"), 0.0).when(F.col("__v") == F.col("__high"), 1.0).otherwise(middle)
+    places = match(upto, whole, by).select(*by, "__v", place.alias("__place"))
+    return match(rows, places, [*by, "__v"], "left").select(*[F.col("__place").alias(c) if x == c else F.col(x) for x in df.columns])
+
+
+def scale_by_group(df: DataFrame, by: Sequence[str], cols: Sequence[str], scaler: str = "standard",
+                   quantile_range: tuple[float, float] = (25.0, 75.0)) -> DataFrame:
     """Scale inside each group; the statistics are aggregated per group and joined back.
 
-    A join against one row per group splits a hot group, which a window over it could not.
+    A join against one row per group splits a hot group, which a window over it could not.  The quantile
+    scaler uses every value of the group as its grid.
     """
+    by = list(by)
+    if scaler not in SCALERS:
+        raise ValueError(f"scaler must be one of {SCALERS}")
+    if scaler == "none" or not cols:
+        return df
+    if scaler == "quantile":
+        for c in cols:
+            df = _scale_to_places(df, by, c)
+        return df
     x = {c: F.col(c).cast("double") for c in cols}
-    aggregates = []
-    for c in cols:
-        pair = {
-            "standard": (F.avg(x[c]), F.stddev_pop(x[c])),
-            "minmax": (F.min(x[c]), F.max(x[c]) - F.min(x[c])),
-            "maxabs": (F.lit(0.0), F.max(F.abs(x[c]))),
-        }[scaler]
-        aggregates += [pair[0].alias(f"__c_{c}"), pair[1].alias(f"__s_{c}")]
-    stats = df.groupBy(*by).agg(*aggregates)
-    joined = match(df, stats, list(by))
+    if scaler == "robust":
+        q = group_quantiles(df, by, cols, [quantile_range[0] / 100.0, 0.5, quantile_range[1] / 100.0])
+        of = lambda c, value: F.max(F.when(F.col("__feature") == c, value))
+        stats = q.groupBy(*by).agg(*[a for c in cols for a in (
+            of(c, F.col("q")[1]).alias(f"__c_{c}"), of(c, F.col("q")[2] - F.col("q")[0]).alias(f"__s_{c}"))])
+    else:
+        aggregates = []
+        for c in cols:
+            pair = {
+                "standard": (F.avg(x[c]), F.stddev_pop(x[c])),
+                "minmax": (F.min(x[c]), F.max(x[c]) - F.min(x[c])),
+                "maxabs": (F.lit(0.0), F.max(F.abs(x[c]))),
+            }[scaler]
+            aggregates += [pair[0].alias(f"__c_{c}"), pair[1].alias(f"__s_{c}")]
+        stats = df.groupBy(*by).agg(*aggregates)
+    # a group without any value has no quantiles
+    joined = match(df, stats, by, "left")
     safe = {c: F.when(F.col(f"__s_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"__s_{c}")) for c in cols}
     return joined.select(*[
         ((x[c] - F.col(f"__c_{c}")) / safe[c]).alias(c) if c in x else F.col(c) for c in df.columns

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import distance
 from ..functions.nulls import fill_missing, missing_values
-from ..functions.scale import exact_quantiles, fit_scaler, scale
+from ..functions.scale import exact_quantiles, fit_scaler, group_quantiles, scale, scale_by_group
 from ..plans import neighbours as nb
 from ..plans.durable import durable
 from ..plans.ordered import match, with_position
@@ -110,10 +110,10 @@ def density_components(cores: DataFrame, boxes, keys: Sequence[str] = ()) -> Dat
     return home.join(merged.select(*keys, F.col("id").alias("a"), "comp"), [*keys, "a"]).select(*keys, "id", "comp")
 
 
-def _numbered(labelled: DataFrame, comp: str) -> DataFrame:
-    """Clusters numbered 0, 1, .. by their smallest key; rows without one are noise."""
-    first = labelled.filter(F.col(comp).isNotNull()).groupBy(comp).agg(F.min("key").alias("__first"))
-    numbers = with_position(first, [], ["__first"], "label").select(comp, "label")
+def _numbered(labelled: DataFrame, comp: str, by: Sequence[str] = ()) -> DataFrame:
+    """Clusters numbered 0, 1, .. by their smallest key (per `by`); rows without one are noise."""
+    first = labelled.filter(F.col(comp).isNotNull()).groupBy(comp, *by).agg(F.min("key").alias("__first"))
+    numbers = with_position(first, list(by), ["__first"], "label").select(comp, "label")
     return labelled.join(numbers, comp, "left").select("key", F.coalesce("label", F.lit(-1).cast("long")).alias("label"))
 
 
@@ -156,11 +156,15 @@ def dbscan(df: DataFrame, key: str, cols: Sequence[str], eps: float, min_samples
 # ---- density hierarchy ---------------------------------------------------------------------
 
 
-def _ladder(core: DataFrame, levels: int) -> list[float]:
-    """Distances from coarse to fine: quantiles of the core distances above and their double."""
-    q = exact_quantiles(core, ["core"], list(np.linspace(0.02, 1.0, levels)))["core"]
-    steps = sorted({float(v) for v in q if v is not None and v > 0}, reverse=True)
-    return [steps[0] * 2, *steps] if steps else []
+def _ladder(core: DataFrame, levels: int) -> DataFrame:
+    """(part, level, cut, lam, gain): distances of every part from coarse to fine, quantiles of its core
+    distances under twice the largest one, with their inverse and its increase over the coarser level."""
+    q = group_quantiles(core, ["part"], ["core"], list(np.linspace(0.02, 1.0, levels)))
+    fine = q.select("part", F.sort_array(F.array_distinct(F.filter("q", lambda v: v > 0)), asc=False).alias("s")).filter(F.size("s") > 0)
+    steps = fine.select("part", F.concat(F.array(F.get("s", F.lit(0)) * 2), F.col("s")).alias("s"))
+    rung = lambda v, i: F.struct(i.alias("level"), v.alias("cut"), (1.0 / v).alias("lam"),
+                                 (1.0 / v - F.when(i > 0, 1.0 / F.get("s", i - 1)).otherwise(0.0)).alias("gain"))
+    return steps.select("part", F.inline(F.transform("s", rung)))
 
 
 def hdbscan(df: DataFrame, key: str, features: Sequence[str], min_cluster_size: int = 5, min_samples: int | None = None, *,
@@ -170,10 +174,13 @@ def hdbscan(df: DataFrame, key: str, features: Sequence[str], min_cluster_size:
 
     Core distances are exact.  The hierarchy is cut at `levels` distances instead of at every merge,
     so each level is a distributed component search and no tree of all points is ever held in one
-    place; more levels approach the full hierarchy.  With `group`, every group has its own hierarchy.
+    place; more levels approach the full hierarchy.  With `group`, every group has its own scaler, distances,
+    hierarchy and label numbers, as if it were clustered alone.
     """
+    if group is not None and missing not in ("zeros", "none"):
+        raise ValueError("per group, missing values are zeros or left as they are")
     rows = fill_missing(df, missing_values(df, features, missing))
-    rows = scale(rows, features, fit_scaler(rows, features, scaler))
+    rows = scale(rows, features, fit_scaler(rows, features, scaler)) if group is None else scale_by_group(rows, [group], features, scaler)
     cols = list(features)
     if group is not None:
         # groups lie so far apart that no distance of the ladder joins them
@@ -192,22 +199,30 @@ def hdbscan(df: DataFrame, key: str, features: Sequence[str], min_cluster_size:
     core = durable(found.groupBy("x").agg(F.min(far).alias("core")))
     if group is not None:
         core = core.withColumn("core", F.when(F.col("core") < apart / 2, F.col("core")))
-    steps = _ladder(core, levels)
+    part = (F.col("x")[d - 1] if group is not None else F.lit(0.0)).alias("part")
+    rungs = durable(_ladder(core.select(part, "core"), levels))
+    deepest_level = rungs.agg(F.max("level")).first()[0]
     empty = base.select("key", F.lit(-1).cast("long").alias("label"), F.lit(0.0).alias("probability"), F.lit(0.0).alias("outlier_score"))
-    if not steps:
+    if deepest_level is None:
         return empty
+    n_levels = deepest_level + 1
     leaves = nb.build_leaves(places, "x", leaf_rows)
     placed = places.join(core, "x").withColumn("leaf", leaves.column(F.col("x"))).persist()
     boxes = nb.boxes_of(placed, "x", d)
-    ladder = F.array(*[F.struct(F.lit(i).alias("level"), F.lit(e).alias("cut")) for i, e in enumerate(steps)])
-    dense = placed.select("id", "x", "leaf", "core", F.inline(ladder)).filter("core <= cut").withColumn("eps", F.col("cut") * float(alpha))
-    comps = density_components(dense.select("id", "x", "leaf", "eps", "level"), boxes, ["level"])
-    member = durable(comps.join(placed.select("id", "weight", *([F.col("x")[d - 1].alias("part")] if group else [F.lit(0.0).alias("part")])), "id"))
+    stepped = placed.select("id", "x", "leaf", "core", part)
+    if group is None:
+        # at most `levels` + 1 rows
+        own = rungs.select("level", "cut").orderBy("level").collect()
+        stepped = stepped.select("*", F.inline(F.array(*[F.struct(F.lit(r["level"]).alias("level"), F.lit(r["cut"]).alias("cut")) for r in own])))
+    else:
+        stepped = match(stepped, rungs.select("part", "level", "cut"), ["part"])
+    dense = stepped.filter("core <= cut").withColumn("eps", F.col("cut") * float(alpha))
+    comps = density_components(dense.select("id", "x", "leaf", "eps", "level", "part"), boxes, ["level", "part"])
+    member = durable(comps.join(placed.select("id", "weight"), "id"))
     sizes = member.groupBy("level", "comp", "part").agg(F.sum("weight").alias("size")).filter(F.col("size") >= min_cluster_size)
     # the component of the next coarser level that holds this one: the one of its first place
     up = member.select((F.col("level") + 1).alias("level"), F.col("id").alias("comp"), F.col("comp").alias("parent"))
     tree = durable(sizes.join(up, ["level", "comp"], "left"))
-    lam = [1.0 / e for e in steps]
     # walk from coarse to fine: an only child continues its parent's cluster, several start new ones
     current = tree.filter("level = 0").withColumn("__n", F.lit(1))
     siblings = current.groupBy("part").agg(F.count(F.lit(1)).alias("__n"))
@@ -215,7 +230,7 @@ def hdbscan(df: DataFrame, key: str, features: Sequence[str], min_cluster_size:
     current = current.drop("__n").join(siblings, "part").select("level", "comp", "size", "part", named(F.col("comp")).alias("cluster"),
                                                                 F.lit(None).cast("string").alias("above"), (F.col("__n") == 1).alias("is_root"))
     layers = [current]
-    for i in range(1, len(steps)):
+    for i in range(1, n_levels):
         children = tree.filter(F.col("level") == i)
         parents = layers[-1].select(F.col("comp").alias("parent"), F.col("cluster").alias("__from"), F.col("is_root").alias("__r"), F.col("above").alias("__above"))
         counts = children.groupBy("parent").agg(F.count(F.lit(1)).alias("__n"))
@@ -224,15 +239,14 @@ def hdbscan(df: DataFrame, key: str, features: Sequence[str], min_cluster_size:
         here = here.select("level", "comp", "size", "part", F.when(only, F.col("__from")).otherwise(named(F.col("comp"))).alias("cluster"),
                            F.when(only, F.col("__above")).otherwise(F.col("__from")).alias("above"), (only & F.col("__r")).alias("is_root"))
         layers.append(durable(here))
-    walk = durable(functools.reduce(DataFrame.unionByName, layers))
-    gain = F.element_at(F.array(*[F.lit(v - (lam[i - 1] if i else 0.0)) for i, v in enumerate(lam)]), F.col("level") + 1)
+    walk = durable(match(functools.reduce(DataFrame.unionByName, layers), rungs.drop("cut"), ["part", "level"]))
     clusters = walk.groupBy("cluster").agg(F.first("above").alias("above"), F.max("is_root").alias("is_root"), F.min("level").alias("born"),
-                                           F.max("level").alias("died"), F.sum(F.col("size") * gain).alias("stability"))
+                                           F.max("level").alias("died"), F.sum(F.col("size") * F.col("gain")).alias("stability"))
     clusters = durable(clusters)
     # from fine to coarse: a cluster is kept if it is more stable than what was kept below it
     score = clusters.withColumn("below", F.lit(0.0)).withColumn("has_child", F.lit(False))
     settled = []
-    for i in reversed(range(len(steps))):
+    for i in reversed(range(n_levels)):
         layer = score.filter(F.col("born") == i)
         if settled:
             kept = functools.reduce(DataFrame.unionByName, settled).groupBy(F.col("above").alias("cluster")).agg(F.sum("value").alias("__below"))
@@ -246,21 +260,20 @@ def hdbscan(df: DataFrame, key: str, features: Sequence[str], min_cluster_size:
     # a chosen cluster hides the chosen ones below it
     free = picked.filter("above is null").select("cluster", F.col("chosen").alias("__is"), F.lit(False).alias("__hidden"))
     state = [free]
-    for i in range(1, len(steps)):
+    for i in range(1, n_levels):
         layer = picked.filter((F.col("born") == i) & F.col("above").isNotNull())
         over = functools.reduce(DataFrame.unionByName, state).select(F.col("cluster").alias("above"), (F.col("__is") | F.col("__hidden")).alias("__hidden"))
         state.append(durable(layer.join(over, "above").select("cluster", F.col("chosen").alias("__is"), "__hidden")))
     final = functools.reduce(DataFrame.unionByName, state).filter("__is and not __hidden").select("cluster")
-    lam_col = F.element_at(F.array(*[F.lit(v) for v in lam]), F.col("level") + 1)
-    held = member.join(walk.select("level", "comp", "cluster"), ["level", "comp"])
-    deepest = held.groupBy("id", "cluster").agg(F.max(lam_col).alias("lam"))
+    held = member.join(walk.select("level", "comp", "cluster", "lam"), ["level", "comp"])
+    deepest = held.groupBy("id", "cluster").agg(F.max("lam").alias("lam"))
     tops = deepest.groupBy("cluster").agg(F.max("lam").alias("top"))
     best = deepest.join(final, "cluster", "left_semi").join(tops, "cluster").select("id", F.col("cluster").alias("comp"), (F.col("lam") / F.col("top")).alias("probability"))
     last = deepest.groupBy("id").agg(F.max_by("cluster", "lam").alias("cluster"), F.max("lam").alias("lam")).join(tops, "cluster").select(
         "id", (1 - F.col("lam") / F.col("top")).alias("outlier_score"))
     facts = placed.select("x", "id").join(best, "id", "left").join(last, "id", "left")
-    labelled = durable(base.join(facts.drop("id"), "x", "left").select("key", "comp", "probability", "outlier_score"))
-    numbers = _numbered(labelled.select("key", "comp"), "comp")
+    labelled = durable(base.join(facts.drop("id"), "x", "left").select("key", "comp", part, "probability", "outlier_score"))
+    numbers = _numbered(labelled.select("key", "comp", "part"), "comp", ["part"] if group is not None else [])
     return labelled.join(numbers, "key").select("key", "label", F.coalesce("probability", F.lit(0.0)).alias("probability"),
                                                 F.coalesce("outlier_score", F.lit(1.0)).alias("outlier_score"))
 

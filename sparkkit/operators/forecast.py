@@ -10,6 +10,7 @@ import functools
 import operator
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -54,9 +55,9 @@ def make_future(df: DataFrame, by: Sequence[str], ds: str, horizon: int, freq: s
 
 
 def prepare(df: DataFrame, by: Sequence[str], ds: str, y: str, take_log: bool = False, cap: float | None = None, floor: float | None = None) -> DataFrame:
-    """Rows with `is_future` (no value), the value on its working scale, and cap/floor columns."""
+    """All rows, also those without a date, with `is_future` (no value), the value on its working scale, and cap/floor columns."""
     logged = lambda c: F.when(c > 0, F.log(c)) if take_log else c
-    out = df.filter(F.col(ds).isNotNull()).withColumn("is_future", F.col(y).isNull()).withColumn(y, logged(F.col(y).cast("double")))
+    out = df.withColumn("is_future", F.col(y).isNull()).withColumn(y, logged(F.col(y).cast("double")))
     if cap is not None:
         out = out.withColumn("cap", F.lit(float(np.log(cap) if take_log else cap))).withColumn(
             "floor", F.lit(float((np.log(floor) if take_log else floor) if floor is not None else 0.0)))
@@ -197,20 +198,11 @@ class ForecastSpec:
     seed: int = 42
 
 
-def automatic_seasons(df: DataFrame, by: Sequence[str], ds: str, y: str) -> dict[str, tuple[float, int]]:
-    """Built-in seasons for which the history is long and fine enough (more than two cycles)."""
-    spans = df.filter(F.col(y).isNotNull()).withColumn("day", day_position(ds)).groupBy(*by).agg(
-        (F.max("day") - F.min("day")).alias("span"), F.count(F.lit(1)).alias("n"))
-    row = spans.agg(F.max("span").alias("span"), F.min(F.col("span") / F.greatest(F.col("n") - 1, F.lit(1))).alias("gap")).first()
-    span, gap = row["span"] or 0.0, row["gap"] if row["gap"] is not None else 1.0
-    out = {}
-    if span >= 730:
-        out["yearly"] = SEASONS["yearly"]
-    if span >= 14 and gap < 7:
-        out["weekly"] = SEASONS["weekly"]
-    if span >= 2 and gap < 1:
-        out["daily"] = SEASONS["daily"]
-    return out
+def season_rules() -> dict[str, Column]:
+    """Whether the history of a series (t0, t1, n_known) is long and fine enough for a built-in season."""
+    span = F.col("t1") - F.col("t0")
+    gap = span / F.greatest(F.col("n_known") - 1, F.lit(1))
+    return {"yearly": span >= 730, "weekly": (span >= 14) & (gap < 7), "daily": (span >= 2) & (gap < 1)}
 
 
 def _solve_penalised(g: np.ndarray, p: int, hinge: np.ndarray, ridge: np.ndarray, prior: float, intercept: bool = True) -> tuple[np.ndarray, float]:
@@ -240,6 +232,7 @@ class ForecastModel:
     groups: dict[str, list[str]]
     coefficients: DataFrame
     rows: DataFrame
+    unfitted: DataFrame  # rows without a date or of too short a series
 
     def _dot(self, names: Sequence[str]) -> Column:
         at = {c: i for i, c in enumerate(self.columns)}
@@ -247,7 +240,10 @@ class ForecastModel:
         return functools.reduce(operator.add, terms, F.lit(0.0))
 
     def components(self) -> DataFrame:
-        """Every row with yhat, its interval, the trend and one column per season, holidays, regressors."""
+        """Every row with yhat, its interval, the trend and one column per season, holidays, regressors.
+
+        They are null in rows without a date and in series with fewer than three values.
+        """
         s = self.spec
         keys = s.by or ["__all"]
         rows = self.rows if s.by else self.rows.withColumn("__all", F.lit(0))
@@ -268,21 +264,20 @@ class ForecastModel:
             yhat = trend + total * scale
             shown = {k: v * scale for k, v in parts.items()}
         width, samples, seed = s.interval_width, s.samples, s.seed
+        z = NormalDist().inv_cdf((1 + width) / 2)
 
         @F.pandas_udf("array<double>")
         def interval(t: pd.Series, sigma: pd.Series, slope: pd.Series, rate: pd.Series, key: pd.Series) -> pd.Series:
-            """Quantiles of noise plus simulated future slope changes, relative to yhat."""
-            out = []
-            for ti, si, di, ri, k in zip(t, sigma, slope, rate, key):
-                rng = np.random.default_rng((int(k) & 0x7FFFFFFF, seed))
-                ahead = max(ti - 1.0, 0.0)
-                draw = rng.normal(scale=max(si, 1e-12), size=samples)
-                if ahead > 0 and di > 0:
-                    count = rng.poisson(ri * ahead, size=samples)
-                    owner = np.repeat(np.arange(samples), count)
-                    jumps = rng.laplace(scale=di, size=len(owner)) * rng.uniform(0, ahead, size=len(owner))
-                    draw = draw + np.bincount(owner, weights=jumps, minlength=samples)
-                out.append(np.quantile(draw, [(1 - width) / 2, (1 + width) / 2]))
+            """Quantiles of noise plus simulated future slope changes, relative to yhat; noise alone needs no draws."""
+            ahead, spread = np.maximum(t.to_numpy(float) - 1.0, 0.0), np.maximum(sigma.to_numpy(float), 1e-12)
+            out = list(np.outer(spread, [-z, z]))
+            for i in np.flatnonzero((ahead > 0) & (slope.to_numpy(float) > 0)):
+                rng = np.random.default_rng((int(key.iloc[i]) & 0x7FFFFFFF, seed))
+                draw = rng.normal(scale=spread[i], size=samples)
+                owner = np.repeat(np.arange(samples), rng.poisson(rate.iloc[i] * ahead[i], size=samples))
+                jumps = rng.laplace(scale=slope.iloc[i], size=len(owner)) * rng.uniform(0, ahead[i], size=len(owner))
+                draw = draw + np.bincount(owner, weights=jumps, minlength=samples)
+                out[i] = np.quantile(draw, [(1 - width) / 2, (1 + width) / 2])
             return pd.Series(out)
 
         key = F.xxhash64(*[F.col(c) for c in s.by], F.col(s.ds))
@@ -290,7 +285,7 @@ class ForecastModel:
         done = done.withColumn("__i", interval.asNondeterministic()("t", "sigma", "jump", "rate", key))
         low, high = F.col("yhat") + F.col("__i")[0] * scale, F.col("yhat") + F.col("__i")[1] * scale
         keep = [*s.by, s.ds, s.y, "is_future"]
-        out = done.withColumns({"yhat_lower": low, "yhat_upper": high}).select(*keep, "yhat", "yhat_lower", "yhat_upper", "trend", *shown)
+        out = done.withColumns({"yhat_lower": low, "yhat_upper": high}).select(*keep, "yhat", "yhat_lower", "yhat_upper", "trend", *shown).unionByName(self.unfitted, allowMissingColumns=True)
         if s.take_log:
             # everything but the residual comes back from the logarithm
             out = out.withColumns({c: F.exp(c) for c in [s.y, "yhat", "yhat_lower", "yhat_upper", "trend"]})
@@ -340,14 +335,23 @@ def _coefficients(rows: DataFrame, keys, columns, target: str, spec: ForecastSpe
 
 
 def fit_forecast(df: DataFrame, spec: ForecastSpec, holidays: DataFrame | None = None, lower_window: int = 0, upper_window: int = 0, steps: int = 2) -> ForecastModel:
-    """Fit all series; rows without y are the future.  Series with fewer than three values are dropped."""
+    """Fit all series; rows without y are the future.  Series with fewer than three values and rows without a date keep null results."""
     s = spec
     if s.growth == "logistic" and s.cap is None:
         raise ValueError("logistic growth needs a cap")
-    rows = prepare(df, s.by, s.ds, s.y, s.take_log)
+    for c, given in s.regressors.items():
+        if set(given) - {"standardize", "prior_scale", "mode"} or given.get("mode", s.mode) != s.mode:
+            raise ValueError(f"regressor {c}: unknown argument, or a mode of its own")
+    prepared = prepare(df, s.by, s.ds, s.y, s.take_log)
+    timed = scaled_time(prepared.filter(F.col(s.ds).isNotNull()), s.by, s.ds, s.y)
+    kept = [*s.by, s.ds, s.y, "is_future"]
+    unfitted = timed.filter("n_known < 3").select(*kept).unionByName(prepared.filter(F.col(s.ds).isNull()).select(*kept))
+    rows = timed.filter("n_known >= 3")
+    rules = {}
     if not s.seasons:
-        s.seasons = automatic_seasons(rows, s.by, s.ds, s.y)
-    rows = scaled_time(rows, s.by, s.ds, s.y).filter("n_known >= 3")
+        rules = season_rules()
+        some = rows.agg(*[F.max(c).alias(name) for name, c in rules.items()]).first()
+        s.seasons = {name: SEASONS[name] for name in rules if some[name]}
     keys = s.by or ["__all"]
     if not s.by:
         rows = rows.withColumn("__all", F.lit(0))
@@ -358,6 +362,8 @@ def fit_forecast(df: DataFrame, spec: ForecastSpec, holidays: DataFrame | None =
     else:
         hinges = {}
     waves = {name: fourier_columns("day", period, order, name) for name, (period, order) in s.seasons.items()}
+    # a season that does not suit a series has zeros there, hence no effect
+    waves = {name: {n: F.when(rules[name], c).otherwise(0.0) if name in rules else c for n, c in w.items()} for name, w in waves.items()}
     rows = rows.select("*", *[c.alias(n) for n, c in hinges.items()], *[c.alias(n) for w in waves.values() for n, c in w.items()])
     groups = {"trend": ["t", *hinges], **{name: list(w) for name, w in waves.items()}}
     if holidays is not None:
@@ -379,7 +385,7 @@ def fit_forecast(df: DataFrame, spec: ForecastSpec, holidays: DataFrame | None =
         coefs = _coefficients(rows.select("*", target), keys, columns, "__y", s)
     coefs = match(coefs, extra, keys)
     model_rows = rows.drop("y_scale")
-    return ForecastModel(s, columns, groups, coefs, model_rows if s.by else model_rows.drop("__all"))
+    return ForecastModel(s, columns, groups, coefs, model_rows if s.by else model_rows.drop("__all"), unfitted)
 
 
 def _value(w: str, names: Sequence[str], at: dict[str, int]) -> Column:

@@ -379,6 +379,19 @@ def scale_per_group(t):
     return scale.scale_by_group(rows, ["c_nationkey"], ["c_acctbal"]).withColumn("c_acctbal", r("c_acctbal"))
 
 
+@query("D8", f"""
+WITH s AS (SELECT c_nationkey, quantile_cont(c_acctbal, 0.25) AS a, quantile_cont(c_acctbal, 0.5) AS m, quantile_cont(c_acctbal, 0.75) AS b FROM customer GROUP BY 1),
+p AS (SELECT c_custkey, c_nationkey, rank() OVER w AS first, count(*) OVER (PARTITION BY c_nationkey ORDER BY c_acctbal) AS last, count(*) OVER (PARTITION BY c_nationkey) AS n,
+  min(c_acctbal) OVER (PARTITION BY c_nationkey) = c_acctbal AS low, max(c_acctbal) OVER (PARTITION BY c_nationkey) = c_acctbal AS high FROM customer WINDOW w AS (PARTITION BY c_nationkey ORDER BY c_acctbal))
+SELECT c_custkey, {sr('(c_acctbal - m) / (CASE WHEN b = a THEN 1 ELSE b - a END)')} AS robust,
+  {sr('CASE WHEN low THEN 0.0 WHEN high THEN 1.0 ELSE (first + last - 2) / 2.0 / greatest(n - 1, 1) END', 6)} AS quantile
+FROM customer JOIN s USING (c_nationkey) JOIN p USING (c_custkey)""")
+def scale_per_group_by_rank(t):
+    rows = t.customer.select("c_custkey", "c_nationkey", F.col("c_acctbal").alias("robust"), F.col("c_acctbal").alias("quantile"))
+    done = scale.scale_by_group(scale.scale_by_group(rows, ["c_nationkey"], ["robust"], "robust"), ["c_nationkey"], ["quantile"], "quantile")
+    return done.select("c_custkey", r("robust").alias("robust"), r("quantile", 6).alias("quantile"))
+
+
 # ---- distances -----------------------------------------------------------------------------
 
 

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from sparkkit.functions import scale
 from sparkkit.functions.spec import Feature
 from sparkkit.operators import cluster, estimators, flow, forecast, linear, reduce, rules, score
 from sparkkit.plans import neighbours
@@ -77,6 +78,31 @@ def test_hdbscan_finds_the_blobs(blobs):
     assert got["probability"].between(0, 1).all() and got["outlier_score"].between(0, 1).all()
 
 
+def test_hdbscan_per_group_equals_each_group_alone(spark):
+    rng = np.random.default_rng(8)
+    near = np.concatenate([rng.normal(size=(40, 2)) * 0.1 + c for c in ((0, 0), (1, 1))])
+    wide = np.concatenate([rng.normal(size=(50, 2)) * 300 + c for c in ((0, 0), (9000, 0), (0, 9000))])
+    data = [(i, "a" if i < len(near) else "b", float(x), float(y)) for i, (x, y) in enumerate(np.concatenate([near, wide]))]
+    rows = spark.createDataFrame(data, "id long, k string, x double, y double")
+    options = {"min_cluster_size": 8, "levels": 4}
+    both = cluster.hdbscan_grouped(rows, "id", "k", ["x", "y"], **options).toPandas().set_index("key")["number"]
+    alone = cluster.hdbscan(rows.filter("k = 'a'"), "id", ["x", "y"], **options).toPandas().set_index("key")["label"]
+    assert alone.nunique() > 1 and (both[alone.index] == alone).all()
+
+
+def test_scaling_per_group_by_rank(spark):
+    rows = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 2.0), ("a", 9.0), ("a", None), ("b", 5.0), ("c", None), (None, 3.0), (None, 4.0)], "k string, v double")
+    got = {s: sorted(scale.scale_by_group(rows, ["k"], ["v"], s).collect(), key=str) for s in ("robust", "quantile", "none")}
+    q = np.quantile([1, 2, 2, 9], [0.25, 0.5, 0.75])
+    rounded = lambda kind: sorted([(r.k, None if r.v is None else round(r.v, 4)) for r in got[kind]], key=str)
+    spread = q[2] - q[0]
+    robust = [("a", round(float((v - q[1]) / spread), 4)) for v in (1, 2, 2, 9)] + [("a", None), ("b", 0.0), ("c", None), (None, -1.0), (None, 1.0)]
+    assert rounded("robust") == sorted(robust, key=str)
+    places = [("a", 0.0), ("a", 0.5), ("a", 0.5), ("a", 1.0), ("a", None), ("b", 0.0), ("c", None), (None, 0.0), (None, 1.0)]
+    assert rounded("quantile") == sorted(places, key=str)
+    assert len(got["none"]) == 9
+
+
 @pytest.fixture(scope="module")
 def regression(spark):
     rng = np.random.default_rng(0)
@@ -182,9 +208,37 @@ def test_forecast_recovers_trend_and_week(spark):
     assert ((ahead["yhat_lower"] < ahead["yhat"]) & (ahead["yhat"] < ahead["yhat_upper"])).all()
 
 
-def test_short_series_are_not_forecast(spark):
-    df = spark.createDataFrame([("a", 1.0), ("a", 2.0)], "k string, y double").withColumn("ds", F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(cast(y as int))"))
-    assert forecast.forecast(df, ["k"], "ds", "y", samples=10, seasons={"weekly": (7.0, 1)}).count() == 0
+def test_short_series_keep_their_rows_without_a_forecast(spark):
+    data = [("a", 0, 1.0), ("a", 1, 2.0), ("b", None, 3.0)] + [("b", i, float(i % 7)) for i in range(60)]
+    df = spark.createDataFrame(data, "k string, d int, y double").select("k", "y", F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(d)").alias("ds"))
+    got = forecast.forecast(df, ["k"], "ds", "y", horizon=2, samples=10, n_changepoints=2).toPandas()
+    assert len(got) == 3 + 60 + 4
+    assert got[got["k"] == "a"]["yhat"].isna().all() and sorted(got[(got["k"] == "a") & ~got["is_future"]]["y"]) == [1.0, 2.0]
+    undated = got[got["ds"].isna()]
+    assert undated["y"].tolist() == [3.0] and undated["yhat"].isna().all()
+    assert got[(got["k"] == "b") & got["ds"].notna()]["yhat"].notna().all()
+    assert len(forecast.forecast(df.filter("k = 'a'"), [], "ds", "y", samples=10).toPandas()) == 2
+
+
+def test_seasons_of_a_series_do_not_depend_on_the_others(spark):
+    weeks = [("w", 7 * i, 5.0 + i % 3) for i in range(120)]
+    days = [("d", i, 1.0 + (i % 7 == 0)) for i in range(90)]
+    df = spark.createDataFrame(weeks + days + [("one", 3, 1.0)], "k string, d int, y double").select("k", "y", F.expr("timestamp_ntz'2022-01-01' + make_dt_interval(d)").alias("ds"))
+    options = {"samples": 10, "n_changepoints": 2}
+    both = forecast.forecast(df, ["k"], "ds", "y", **options).toPandas()
+    assert (both[both["k"] == "w"]["weekly"] == 0).all() and (both[both["k"] == "d"]["yearly"] == 0).all()
+    assert both[both["k"] == "d"]["weekly"].abs().max() > 0.1
+    alone = forecast.forecast(df.filter("k = 'w'"), ["k"], "ds", "y", **options).toPandas()
+    assert "weekly" not in alone.columns
+    merged = alone.merge(both, on=["k", "ds"])
+    assert np.allclose(merged["yhat_x"], merged["yhat_y"], atol=1e-4)
+
+
+def test_regressor_arguments_that_do_nothing_are_refused(spark):
+    df = spark.createDataFrame([(float(i), float(i)) for i in range(9)], "x double, y double").withColumn("ds", F.expr("timestamp_ntz'2022-01-01' + make_dt_interval(cast(x as int))"))
+    for bad in ({"mode": "multiplicative"}, {"scale": 2}):
+        with pytest.raises(ValueError):
+            forecast.forecast(df, [], "ds", "y", regressors={"x": bad})
 
 
 def test_sequence_prediction_in_blocks(spark):
