@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 import itertools
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -77,9 +77,14 @@ class FlowModel:
             out = out.withColumn("prediction", self.target.invert(F.col("prediction")))
         return out
 
+    def _scored(self, df: DataFrame) -> tuple[DataFrame, Column]:
+        rows, key = with_key(df, self.spec)
+        return self.score(rows), F.col(key).alias("key")
+
     def predict(self, df: DataFrame) -> DataFrame:
-        """(model_name, key, prediction)."""
-        return self.score(df).select(F.lit(self.name).alias("model_name"), F.col(self.key).alias("key"), "prediction")
+        """(model_name, key, prediction); without an identifier the key is a digest of the features."""
+        scored, key = self._scored(df)
+        return scored.select(F.lit(self.name).alias("model_name"), key, "prediction")
 
     def predict_proba(self, df: DataFrame, log: bool = False) -> DataFrame:
         """(model_name, key, prediction, probabilities): 'No: 0.912, Yes: 0.088'."""
@@ -87,7 +92,8 @@ class FlowModel:
 
         p = F.transform("probability", F.log) if log else F.col("probability")
         text = format_proba(F.array(*[F.lit(v) for v in self.fitted.labels]), p)
-        return self.score(df).select(F.lit(self.name).alias("model_name"), F.col(self.key).alias("key"), "prediction", text.alias("probabilities"))
+        scored, key = self._scored(df)
+        return scored.select(F.lit(self.name).alias("model_name"), key, "prediction", text.alias("probabilities"))
 
     def history(self, spark: SparkSession) -> DataFrame:
         """(model_name, iteration, epoch, loss)."""
@@ -95,6 +101,32 @@ class FlowModel:
         return spark.createDataFrame(rows, "model_name string, iteration int, epoch int, loss double")
 
 
+def with_key(df: DataFrame, spec: Sequence[Feature]) -> tuple[DataFrame, str]:
+    """The rows and the name of their identifier; without one, a digest of the features that equal rows share."""
+    keys = names_with(spec, ["identifier"])
+    if keys:
+        return df, keys[0]
+    features = F.struct(*sorted(names_with(spec, ["feature"])))
+    return df.withColumn("__row", F.sha2(F.to_json(features), 256)), "__row"
+
+
+def _prepare(part: DataFrame, spec: list[Feature], kind: str, y: str, scaler: str = "standard", missing: str = "zeros", scale_hashed: bool = True,
+             scale_vectors: bool = True, reduce: tuple[str, int] | None = None, target: TargetTransform | None = None):
+    """(preprocessor, reducer, target transform, prepared rows, columns, label), all fitted on these rows."""
+    prep = Preprocessor(spec, scaler, missing, scale_hashed, scale_vectors).fit(part)
+    wide, columns, reducer = prep.transform(part), prep.columns, None
+    if reduce is not None:
+        from .reduce import fit_reducer
+
+        reducer = fit_reducer(wide, columns, reduce[0], reduce[1])
+        wide, columns = reducer.transform(wide), reducer.outputs
+    if kind != "regressor":
+        return prep, reducer, TargetTransform(), wide, columns, y
+    change = target or TargetTransform()
+    change = TargetTransform(change.log, change.scale).fit(part, y)
+    return prep, reducer, change, wide.withColumn("__target", change.apply(F.col(y))), columns, "__target"
+
+
 def _score(df: DataFrame, y: str, kind: str) -> float:
     row = metrics.overall_score(df, y, "prediction", kind).first()
     return float(row["score"]) if row["score"] is not None else float("nan")
@@ -126,24 +158,14 @@ def fit(df: DataFrame, spec: Sequence[Feature], estimator: str, name: str = "mod
     """
     spec, params = list(spec), dict(params or {})
     y = names_with(spec, ["target"])[0]
-    key = names_with(spec, ["identifier"])[0]
     kind = est.CATALOGUE[estimator][0]
-    rows = df.select(*[f.name for f in spec if f.role != "excluded"]).filter(F.col(y).isNotNull()).persist()
+    rows, key = with_key(df.select(*[f.name for f in spec if f.role != "excluded"]).filter(F.col(y).isNotNull()), spec)
+    if time_series_splits and not names_with(spec, ["identifier"]):
+        raise ValueError("time series splits need an identifier to order the rows")
+    rows = rows.persist()
 
     def train(part: DataFrame) -> FlowModel:
-        prep = Preprocessor(spec, scaler, missing, scale_hashed, scale_vectors).fit(part)
-        wide = prep.transform(part)
-        reducer, columns = None, prep.columns
-        if reduce is not None:
-            from .reduce import fit_reducer
-
-            reducer = fit_reducer(wide, columns, reduce[0], reduce[1])
-            wide, columns = reducer.transform(wide), reducer.outputs
-        change = (target or TargetTransform())
-        change = TargetTransform(change.log, change.scale).fit(part, y) if kind == "regressor" else TargetTransform()
-        label = y
-        if kind == "regressor":
-            wide, label = wide.withColumn("__target", change.apply(F.col(y))), "__target"
+        prep, reducer, change, wide, columns, label = _prepare(part, spec, kind, y, scaler, missing, scale_hashed, scale_vectors, reduce, target)
         fitted = est.fit_estimator(estimator, wide, columns, label, **params)
         return FlowModel(name, spec, prep, reducer, fitted, change, estimator)
 
@@ -185,49 +207,54 @@ def expand_grid(grids: Sequence[dict[str, Sequence]]) -> list[dict]:
 
 
 def grid_search(df: DataFrame, spec: Sequence[Feature], estimator: str, grids: Sequence[dict[str, Sequence]], cv: int = 3,
-                name: str = "model", parallelism: int = 4, seed: int = 42, **options) -> tuple[DataFrame, FlowModel]:
+                name: str = "model", parallelism: int = 4, seed: int = 42, scoring: Callable[[Column, Column], Column] | None = None,
+                **options) -> tuple[DataFrame, FlowModel]:
     """(model_name, params, fold, score, is_best) rows and the best model refitted on all rows.
 
-    Linear models need one pass for all parameters and folds; other candidates run side by side.
+    The whole preparation is fitted on the training rows of a fold only.  Linear models need one pass per fold for all
+    parameters; other candidates run side by side.  `scoring` is an aggregate of (y, prediction), higher is better; without it
+    accuracy or r2 decides.
     """
     spec = list(spec)
     y = names_with(spec, ["target"])[0]
-    key = names_with(spec, ["identifier"])[0]
     kind = est.CATALOGUE[estimator][0]
     candidates = expand_grid(grids)
-    rows = split.kfold(df, key, cv, y if kind == "classifier" else None, seed).persist()
-    prep = Preprocessor(spec, options.get("scaler", "standard")).fit(rows)
-    wide = prep.transform(rows).persist()
-    scores: list[list[float]] = []
-    if kind == "regressor" and estimator in linear.SOLVERS:
-        from ..plans.gram import gram_by_group
-
-        p = len(prep.columns)
-        parts = gram_by_group(wide.withColumn("__y", F.col(y).cast("double")), [*prep.columns, "__y"], "fold")
-        n_all, g_all = sum(n for n, _ in parts.values()), sum(g for _, g in parts.values())
-        for params in candidates:
-            line = []
-            for f in sorted(parts):
-                n, g = parts[f]
-                train, test = linear.Moments.of(n_all - n, g_all - g, p), linear.Moments.of(n, g, p)
-                w = linear.SOLVERS[estimator](train, **params)
-                loss = linear._loss(test, w, train.y_mean - train.x_mean @ w)
-                line.append(1 - loss / max(float(test.yy[0, 0]), 1e-300))
-            scores.append(line)
-    else:
-        def one(job):
-            params, f = job
-            fitted = est.fit_estimator(estimator, wide.filter(F.col("fold") != f), prep.columns, y, **params)
-            return _score(fitted.predict(wide.filter(F.col("fold") == f)), y, kind)
+    given, key = with_key(df.filter(F.col(y).isNotNull()), spec)
+    rows = split.kfold(given, key, cv, y if kind == "classifier" else None, seed).persist()
+    steps = {k: v for k, v in options.items() if k in ("scaler", "missing", "scale_hashed", "scale_vectors", "reduce", "target")}
+    target = options.get("target") or TargetTransform()
+    by_sums = kind == "regressor" and estimator in linear.SOLVERS and scoring is None and not (target.log or target.scale)
+    scores: list[list[float]] = [[] for _ in candidates]
+    for f in range(cv):
+        train, test = rows.filter(F.col("fold") != f), rows.filter(F.col("fold") == f)
+        prep, reducer, change, wide, columns, label = _prepare(train, spec, kind, y, **steps)
+        if by_sums:
+            from ..plans.gram import gram_by_group
+
+            p = len(columns)
+            every = prep.transform(rows)
+            every = (reducer.transform(every) if reducer is not None else every).withColumn("__test", (F.col("fold") == f).cast("int"))
+            parts = gram_by_group(every.withColumn("__y", F.col(y).cast("double")), [*columns, "__y"], "__test")
+            own, held = linear.Moments.of(*parts[0], p), linear.Moments.of(*parts[1], p)
+            for line, params in zip(scores, candidates):
+                w = linear.SOLVERS[estimator](own, **params)
+                loss = linear._loss(held, w, own.y_mean - own.x_mean @ w)
+                line.append(1 - loss / max(float(held.yy[0, 0]), 1e-300))
+            continue
+        wide = wide.persist()
+
+        def one(params):
+            fitted = est.fit_estimator(estimator, wide, columns, label, **params)
+            done = FlowModel(name, spec, prep, reducer, fitted, change, estimator).score(test)
+            return _score(done, y, kind) if scoring is None else float(done.agg(scoring(F.col(y), F.col("prediction"))).first()[0])
 
-        jobs = [(params, f) for params in candidates for f in range(cv)]
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            flat = list(pool.map(one, jobs))
-        scores = [flat[i : i + cv] for i in range(0, len(flat), cv)]
+            for line, value in zip(scores, pool.map(one, candidates)):
+                line.append(value)
+        wide.unpersist()
     best = int(np.argmax([np.mean(s) for s in scores]))
     table = [(name, json.dumps(c, sort_keys=True), f, float(s), i == best) for i, c in enumerate(candidates) for f, s in enumerate(scores[i])]
     model = fit(df, spec, estimator, name, params=candidates[best], test_size=0, seed=seed, **options)
-    wide.unpersist()
     rows.unpersist()
     schema = "model_name string, params string, fold int, score double, is_best boolean"
     return df.sparkSession.createDataFrame(table, schema), model

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators import linear
 from ..plans.durable import scratch_folder
@@ -49,12 +50,15 @@ def windowed_stats(t):
     return _windows(st.windowed_stats(t.events, "ts", "value", "user_id", "1 day", None, ["event_type"]))
 
 
-@query("S2")
+@query("S2", WINDOW_SQL)
 def windowed_stats_stream(t):
-    """The same statistics from a stream: windows that the watermark has closed."""
+    """The same statistics from a stream, open windows included."""
     events = _stream(t, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     stats = st.windowed_stats(events, "ts", "value", "user_id", "1 day", "1 hour", ["event_type"])
-    return _windows(_finished(t, stats, stats.schema))
+    folder = _folder(t)
+    st.write_updates(stats, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    updates = t.spark.read.schema(StructType([*stats.schema.fields, StructField("batch", LongType())])).parquet(f"{folder}/out")
+    return _windows(st.latest(updates, ["event_type", "start", "end"]))
 
 
 @query("S3")

@@ -53,6 +53,21 @@ def windowed_stats(df: DataFrame, ts: str, x: str, y: str, length: str, lateness
                         F.try_divide(F.col("__c"), F.col("__a") * F.col("__b")).alias("correlation"), "mean_squared_error", "mean_absolute_error")
 
 
+def write_updates(df: DataFrame, folder: str, checkpoint: str):
+    """Run an aggregating stream; a batch stores the rows it changed under its number, so a repeated batch replaces its own."""
+
+    def put(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
+
+    return df.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def latest(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The last stored state of every key, also of windows that the watermark has not closed."""
+    rest = [c for c in updates.columns if c not in {*keys, "batch"}]
+    return updates.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("__last")).select(*keys, "__last.*")
+
+
 def training_statistics(df: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:
     row = df.agg(*[a for f in features for a in (F.avg(f).alias(f"m_{f}"), F.stddev_pop(f).alias(f"s_{f}"))]).first()
     return {f: (row[f"m_{f}"], row[f"s_{f}"]) for f in features}

@@ -1,5 +1,7 @@
 """Models against brute force and planted truths."""
 
+import json
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -271,3 +273,35 @@ def test_loaded_models_predict_like_the_saved_ones(spark, tmp_path, name):
     flow.save_flow(model, spark, str(tmp_path))
     got = [m.predict(rows).toPandas().sort_values("key").astype({"prediction": float}) for m in (model, flow.load_flow(spark, str(tmp_path), "m"))]
     assert np.allclose(got[0].prediction, got[1].prediction)
+
+
+def test_flow_without_an_identifier(spark):
+    rows = spark.createDataFrame([(float(i), float(i % 3), 2.0 * i + i % 3) for i in range(60)], "a double, b double, y double")
+    spec = [Feature("a", strategy="scaling"), Feature("b", strategy="scaling"), Feature("y", "target")]
+    model = flow.fit(rows, spec, "LinearRegression", "m", cv=3)
+    got = model.predict(rows).toPandas()
+    assert got["key"].nunique() == 60 and np.allclose(sorted(got["prediction"].astype(float)), sorted(2.0 * i + i % 3 for i in range(60)))
+    with pytest.raises(ValueError):
+        flow.fit(rows, spec, "LinearRegression", "m", time_series_splits=2)
+
+
+def test_grid_search_prepares_each_fold_alone(spark):
+    rng = np.random.default_rng(3)
+    a = rng.normal(size=90) * np.repeat([1, 5, 30], 30)
+    y = a + rng.normal(size=90)
+    rows = spark.createDataFrame([(i, float(p), float(q)) for i, (p, q) in enumerate(zip(a, y))], "id int, a double, y double")
+    spec = [Feature("id", "identifier", "int"), Feature("a", strategy="scaling"), Feature("y", "target")]
+    grid = [{"alpha": [1.0, 100.0]}]
+    table, _ = flow.grid_search(rows, spec, "Ridge", grid)
+    got = {(json.loads(r["params"])["alpha"], r["fold"]): r["score"] for r in table.collect()}
+    for f in range(3):
+        test = np.arange(90) // 30 == f
+        m, s = a[~test].mean(), a[~test].std()
+        x, held = (a[~test] - m) / s, (a[test] - m) / s
+        for alpha in (1.0, 100.0):
+            w = x @ (y[~test] - y[~test].mean()) / (x @ x + alpha)
+            miss = y[test] - y[~test].mean() - w * held
+            assert np.isclose(got[alpha, f], 1 - (miss**2).sum() / ((y[test] - y[test].mean()) ** 2).sum())
+    minus_mae = lambda y, p: -F.avg(F.abs(y - p))
+    scored, model = flow.grid_search(rows, spec, "Ridge", grid, scoring=minus_mae)
+    assert scored.agg(F.max("score")).first()[0] < 0 and model.estimator == "Ridge"
