@@ -73,6 +73,37 @@ def test_simhash_against_all_pairs(spark, monkeypatch):
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def shingle_set(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+@pytest.mark.parametrize("chunk", [1024, 3])  # the second splits every group
+def test_verified_near_duplicates_against_all_pairs(spark, monkeypatch, chunk):
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    texts = []
+    for _ in range(60):
+        base = words_of(rng, rng.randint(30, 300))
+        for _ in range(rng.randint(1, 5)):
+            v = list(base)
+            for _ in range(rng.randint(0, max(1, len(v) // 45))):
+                v[rng.randrange(len(v))] = "edited"
+            texts.append(" ".join(v))
+    texts += [None, "", "one two", "ONE  two", "one three"]
+    rng.shuffle(texts)
+    sets = [shingle_set(t) for t in texts]
+    close = lambda a, b: a == b or len(a & b) >= 0.8 * len(a | b)
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if close(sets[i], sets[j])]
+    want = {i for i, root in enumerate(union(len(texts), pairs)) if root == i}
+    monkeypatch.setattr(simhash, "SETS", chunk)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    got = [r["doc_id"] for r in corpus_pipeline.one_of_each_group(spark, df, "").collect()]
+    assert sorted(got) == sorted(want) and len(pairs) > 100
+    assert corpus_pipeline.one_of_each_group(spark, df.limit(0), "").count() == 0
+
+
 def test_pivots_lose_no_link():
     rng = np.random.default_rng(2)
     centre = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
