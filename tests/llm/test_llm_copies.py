@@ -104,6 +104,17 @@ def test_verified_near_duplicates_against_all_pairs(spark, monkeypatch, chunk):
     assert corpus_pipeline.one_of_each_group(spark, df.limit(0), "").count() == 0
 
 
+def test_rows_with_repeated_or_null_ids_are_judged_by_their_own_text(spark):
+    import corpus_pipeline
+
+    rng = random.Random(7)
+    a, b, alone = (" ".join(words_of(rng, 80)) for _ in range(3))
+    rows = [(1, a), (2, a + " more"), (2, alone), (None, b), (None, b + " more"), (None, a.upper()), (1, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r["doc_id"], r["text"]) for r in corpus_pipeline.one_of_each_group(spark, df, "").collect()}
+    assert {(1, a), (2, alone)} <= got and len(got) == 3 and (got - {(1, a), (2, alone)}) <= {(None, b), (None, b + " more")}
+
+
 def test_pivots_lose_no_link():
     rng = np.random.default_rng(2)
     centre = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
