@@ -153,6 +153,31 @@ def op3_licence_scan(spark, folder):
     return found.select(F.col("id").alias("doc_id"), "path", "licence", F.round("cosine", 6).alias("cosine"), "origin", "directory")
 
 
+@query()
+def op11_align_tokenizers(spark, folder):
+    import public_tokenizers
+
+    from .align import align
+
+    return align(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op12_byte_bpe(spark, folder):
+    import public_tokenizers
+
+    from .byte_bpe import round_trip
+
+    return round_trip(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query()
+def op13_conversation_repair(spark, folder):
+    from .repair import damage, repair
+
+    return repair(damage(table(spark, folder, "conversations"))).withColumnRenamed("conv", "conv_id")
+
+
 @query()
 def pipeline(spark, folder):
     import corpus_pipeline
