@@ -14,11 +14,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near-duplicates: five-word shingles, similarity 0.8.
-
-    A pair of that similarity differs in 10 of 64 bits on average, and in over 20 with a chance of about 3e-4.
-    """
-    return simhash.drop_near_duplicates(docs, words=5, max_bits=20, least=0.8)
+    """The document with the smallest id of every group whose fingerprints of three-word shingles are linked at 3 or fewer bits."""
+    return simhash.drop_near_duplicates(docs, words=3, max_bits=3)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
