@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -11,10 +12,11 @@ from pyspark.sql import functions as F
 
 from .byte_bpe import byte_chars, encoded
 from .common import small, store
+from .packing import ids_by
 
 SPACE = "▁"
 # characters of the texts that are aligned at once
-HELD = 1 << 18
+HELD = 1 << 17
 
 
 class Vocabularies:
@@ -24,19 +26,19 @@ class Vocabularies:
     is bounded by the lengths of the tokens, whatever the corpus.  `pairs` holds them sorted, as id of A times `width` plus id of B.
     """
 
-    def __init__(self, a_path: str, b_path: str):
+    def __init__(self, a_path: str, b_path: str, ranks_path: str | None = None):
         import numpy as np
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
+        self.a = ids_by(a_path, ranks_path)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         back = {c: b for b, c in enumerate(byte_chars())}
-        self.a_bytes = [b""] * self.a.get_vocab_size()
-        for token, i in self.a.get_vocab().items():
-            # entries outside the byte table are special tokens, which are never made
-            self.a_bytes[i] = bytes(back[c] for c in token) if all(c in back for c in token) else b""
+        with open(a_path, encoding="utf-8") as f:
+            vocab = json.load(f)["model"]["vocab"]
+        self.a_bytes = [b""] * (max(vocab.values()) + 1)
+        for token, i in vocab.items():
+            # special tokens are never made
+            self.a_bytes[i] = b"" if token in self.a.special else bytes(back[c] for c in token)
         size = self.b.get_piece_size()
         self.b_bytes = [b""] * size
         for i in range(size):
@@ -66,9 +68,19 @@ class Vocabularies:
         return found
 
 
+    def encode_a(self, text: str):
+        """Ids of A, in which strings of special tokens are ordinary text."""
+        import numpy as np
+
+        if self.a.plain(text):
+            return self.a(text)
+        self.a.slow.encode_special_tokens = True
+        return np.array([i for _, ids, _, _ in encoded(self.a.slow, [text]) for i in ids], "<u4")
+
+
 @functools.cache
-def vocabularies(a_path: str, b_path: str) -> Vocabularies:
-    return Vocabularies(a_path, b_path)
+def vocabularies(a_path: str, b_path: str, ranks_path: str | None = None) -> Vocabularies:
+    return Vocabularies(a_path, b_path, ranks_path)
 
 
 def coalesce(starts, ends, side):
@@ -96,25 +108,27 @@ def overlaps(a_start, a_end, b_start, b_end):
 
 
 def tokens(v: Vocabularies, texts):
-    """Ids of both tokenizers for each text, empty where a side's bytes are not a space and the text."""
+    """Ids of both tokenizers for each text as numpy arrays, empty where a side's bytes are not a space and the text."""
+    import numpy as np
+
     texts = [t or "" for t in texts]
-    a = [[] for _ in texts]
-    for row, ids, _, _ in encoded(v.a, [" " + t if t else "" for t in texts]):
-        a[row] += ids
-    b = v.b.encode(texts, num_threads=1) if texts else []
-    for row, text in enumerate(texts):
+    none = np.zeros(0, np.int64)
+    a, b = [], []
+    for text, ids_b in zip(texts, v.b.encode(texts, num_threads=1) if texts else []):
         want = b" " + text.encode()
-        if not text or any(b"".join(map(table.__getitem__, ids)) != want for table, ids in ((v.a_bytes, a[row]), (v.b_bytes, b[row]))):
-            a[row], b[row] = [], []
+        ids_a = v.encode_a(" " + text) if text else none
+        same = text and all(b"".join(map(table.__getitem__, ids)) == want for table, ids in ((v.b_bytes, ids_b), (v.a_bytes, ids_a.tolist())))
+        a.append(ids_a if same else none)
+        b.append(np.array(ids_b, np.int64) if same else none)
     return a, b
 
 
-def groups(v: Vocabularies, a: list[list[int]], b: list[list[int]]):
-    """Tokens of all texts laid end to end: (ids, start, side, order, new), and the index of the first token of each text in `order`."""
+def groups(v: Vocabularies, a, b):
+    """Tokens of all texts laid end to end: ids and ends of both sides, then (side, order, new) of all, and where each text begins in `order`."""
     import numpy as np
 
     n_a, n_b = (np.array([len(x) for x in s], np.int64) for s in (a, b))
-    ids_a, ids_b = (np.fromiter((i for x in s for i in x), np.int64, int(n.sum())) for s, n in ((a, n_a), (b, n_b)))
+    ids_a, ids_b = (np.concatenate([*s, np.zeros(0, np.int64)]).astype(np.int64) for s in (a, b))
     end_a, end_b = np.cumsum(v.a_len[ids_a]), np.cumsum(v.b_len[ids_b])
     starts = np.concatenate([end_a - v.a_len[ids_a], end_b - v.b_len[ids_b]])
     side = np.repeat(np.array([0, 1], np.int8), [len(ids_a), len(ids_b)])
@@ -134,13 +148,13 @@ def _rows(batches, held: int = HELD):
                 size, start = 0, i + 1
 
 
-def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
+def aligned(docs: DataFrame, a_path: str, b_path: str, ranks_path: str | None = None) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, groups_sha256, pairs): per document its sizes, the hash of its groups and its links as numbers of `Vocabularies.pairs`."""
 
     def run(batches):
         import numpy as np
 
-        v = vocabularies(a_path, b_path)
+        v = vocabularies(a_path, b_path, ranks_path)
         size_a, size_b = len(v.a_bytes), len(v.b_bytes)
         for rows in _rows(batches):
             a, b = tokens(v, rows.column(1).to_pylist())
@@ -187,10 +201,11 @@ def pair_counts(links: DataFrame, n_pairs: int) -> DataFrame:
     return links.select("pairs").mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
 
-def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
+def align(docs: DataFrame, a_path: str, b_path: str, ranks_path: str | None = None) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of documents (doc_id, text).
 
-    Links are pairs of an A and a B token that end together; a pair of ids counts as often as it is linked in the whole corpus.
+    A is the tokenizer file at `a_path` (`ranks_path` may name its vocabulary as ranks, which is faster for plain texts), B the piece
+    model at `b_path`.  Links are pairs of an A and a B token that end together; a pair of ids counts as often as it is linked in the whole corpus.
     `n_best` are the links whose count is the highest of their B id, `count_sum` adds up the counts of the links.  The
     documents' links are stored once; the counts, one per possible pair of ids at most, go to all tasks.  Texts
     that are null or empty, or that a tokenizer changes, have zeros and an empty string.  A null doc_id stays null; repeated
@@ -198,10 +213,10 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """
     import numpy as np
 
-    stored = store(aligned(docs, a_path, b_path))
+    stored = store(aligned(docs, a_path, b_path, ranks_path))
     spark = docs.sparkSession
-    pairs = vocabularies(a_path, b_path).pairs
-    width = vocabularies(a_path, b_path).width
+    v = vocabularies(a_path, b_path, ranks_path)
+    pairs, width = v.pairs, v.width
     counts = np.zeros(len(pairs), np.int64)
     found = pair_counts(stored, len(pairs)).toArrow()  # bounded by the vocabularies
     counts[found.column("pair").to_numpy()] = found.column("n").to_numpy()
@@ -223,7 +238,7 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     return stored.mapInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 
 
-def token_groups(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
+def token_groups(docs: DataFrame, a_path: str, b_path: str, ranks_path: str | None = None) -> DataFrame:
     """(doc_id, group, start, end, a_ids, b_ids, overlaps): the groups of documents (doc_id, text) with their byte ranges in a space and the text.
 
     `overlaps` lists the pairs of A and B tokens of a group that share bytes, by their places in the group.  Texts without tokens
@@ -233,7 +248,7 @@ def token_groups(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def run(batches):
         import numpy as np
 
-        v = vocabularies(a_path, b_path)
+        v = vocabularies(a_path, b_path, ranks_path)
         for rows in _rows(batches):
             for doc_id, a, b in zip(rows.column(0).to_pylist(), *tokens(v, rows.column(1).to_pylist())):
                 ids_a, ids_b, end_a, end_b, side, order, new, _ = groups(v, [a], [b])
@@ -249,7 +264,7 @@ def token_groups(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 cut = np.searchsorted(of_a[i], np.arange(n + 1))
                 i, j = i - cut_a[of_a[i]], j - cut_b[of_b[j]]
                 out = [[doc_id] * n, list(range(n)), start_a[cut_a[:-1]].tolist(), end_a[cut_a[1:] - 1].tolist()]
-                out += [[ids[s:e] for s, e in zip(cut.tolist(), cut[1:].tolist())] for ids, cut in ((a, cut_a), (b, cut_b))]
+                out += [[ids[s:e].tolist() for s, e in zip(cut.tolist(), cut[1:].tolist())] for ids, cut in ((a, cut_a), (b, cut_b))]
                 out.append([[{"a": x, "b": y} for x, y in zip(i[s:e].tolist(), j[s:e].tolist())] for s, e in zip(cut.tolist(), cut[1:].tolist())])
                 ints, pair = pa.list_(pa.int32()), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
                 types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), ints, ints, pair]

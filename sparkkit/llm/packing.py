@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import json
 import re
 import zlib
 
@@ -10,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .byte_bpe import read_ranks
 from .common import numbered, small, store
 
 CAPACITY = 1024
@@ -21,40 +23,53 @@ PLAIN = re.compile(r"[^\x00-ʯ‐-‧]")
 LONG_RUN = re.compile(r"\s{2000}|[^\s]{20000}")
 
 
-@functools.cache
-def _encoders(path: str, ranks_path: str | None):
-    from tokenizers import Tokenizer
+class Ids:
+    """Ids of texts by the tokenizer file at `path`, and of plain texts by the same byte-level vocabulary as ranks, which is faster.
+
+    Each of the two is read when the first text needs it.
+    """
+
+    def __init__(self, path: str, ranks_path: str | None):
+        self.path, self.ranks_path = path, ranks_path
+        with open(path, encoding="utf-8") as f:
+            self.special = [t["content"] for t in json.load(f).get("added_tokens", ())]
 
-    slow = Tokenizer.from_file(path)
-    fast = None
-    if ranks_path:
-        import base64
+    @functools.cached_property
+    def slow(self):
+        from tokenizers import Tokenizer
 
+        return Tokenizer.from_file(self.path)
+
+    @functools.cached_property
+    def fast(self):
         import public_tokenizers
         import tiktoken
 
-        with open(ranks_path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return slow, fast, [t.content for t in slow.get_added_tokens_decoder().values()]
+        return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(self.ranks_path), special_tokens={})
 
+    def plain(self, text: str) -> bool:
+        return self.ranks_path is not None and not PLAIN.search(text) and not LONG_RUN.search(text) and not any(s in text for s in self.special)
 
-def token_ids(text: str | None, path: str, ranks_path: str | None):
-    """Ids of a text by the tokenizer file at `path`, and the end id, as numpy uint32.
+    def __call__(self, text: str):
+        """Ids as numpy uint32; strings of special tokens in the text are what the tokenizer file makes of them."""
+        import numpy as np
 
-    `ranks_path` may name the same byte-level vocabulary as ranks: plain texts are then split by the faster library, which
-    gives the same ids.
-    """
+        if self.plain(text):
+            return np.array(self.fast.encode_ordinary(text), "<u4")
+        return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4")
+
+
+@functools.cache
+def ids_by(path: str, ranks_path: str | None) -> Ids:
+    return Ids(path, ranks_path)
+
+
+def token_ids(text: str | None, path: str, ranks_path: str | None):
+    """Ids of a text and the end id as numpy uint32."""
     import numpy as np
 
-    slow, fast, special = _encoders(path, ranks_path)
-    if not text:
-        return np.array([END_ID], "<u4")
-    if fast and not PLAIN.search(text) and not LONG_RUN.search(text) and not any(s in text for s in special):
-        ids = fast.encode_ordinary(text)
-    else:
-        ids = slow.encode(text, add_special_tokens=False).ids
-    return np.array([*ids, END_ID], "<u4")
+    end = np.array([END_ID], "<u4")
+    return np.concatenate([ids_by(path, ranks_path)(text), end]) if text else end
 
 
 def pieces(docs: DataFrame, path: str, ranks_path: str | None = None, capacity: int = CAPACITY) -> DataFrame:

@@ -159,7 +159,8 @@ def op11_align_tokenizers(spark, folder):
 
     from .align import align
 
-    return align(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    a, b, ranks = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"))
+    return align(table(spark, folder, "documents"), a, b, ranks)
 
 
 @query()

@@ -127,11 +127,12 @@ def brute_alignment(texts):
         yield n_a, n_b, len(printed), len(links), sum(counts[x] == most[x[1]] for x in links), sum(counts[x] for x in links), digest
 
 
-def test_alignment_against_brute_force(spark):
+@pytest.mark.parametrize("ranks", [None, RANKS])
+def test_alignment_against_brute_force(spark, ranks):
     texts = texts_of(random.Random(3), 500)
     rows = [(i, t, "x") for i, t in enumerate(texts)] + [(None, "an id is missing", None), (5, texts[5], "again")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, pairs string").repartition(5)
-    got = sorted(map(tuple, align.align(docs, JSON, PIECES).collect()), key=repr)
+    got = sorted(map(tuple, align.align(docs, JSON, PIECES, ranks).collect()), key=repr)
     want = sorted(((i, *r) for (i, _, _), r in zip(rows, brute_alignment([t for _, t, _ in rows]))), key=repr)
     assert got == want
     assert align.align(docs.limit(0), JSON, PIECES).count() == 0
