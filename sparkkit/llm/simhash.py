@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from itertools import combinations
 
 import pyarrow as pa
@@ -19,10 +18,6 @@ MAX_BITS = 3
 BLOCKS = (13, 13, 13, 13, 12)
 N_PIVOTS = 12
 CHUNK = 4096
-# min-hashes of a band, chance that no band shows a pair of the least similarity, sets of a chunk
-ROWS = 6
-MISS = 5e-4
-SETS = 1024
 
 
 def fingerprint(text: str | None, words_each: int = SHINGLE) -> int:
@@ -154,190 +149,30 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE, max_bits: int = MAX_B
     return prints.join(named, F.col("fp") == F.col("__fp")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def shingles(text: str | None, words_each: int):
-    """Hash of the words of a text, and the sorted distinct hashes of its word shingles (of all words, if they are fewer)."""
-    import numpy as np
-    from xxhash import xxh64_intdigest
-
-    words = text.encode("utf-8", "replace").lower().split() if text else []
-    joined = b" ".join(words)
-    if len(words) <= words_each:
-        hashes = [xxh64_intdigest(joined, SEED)] if words else []
-    else:
-        ends = np.cumsum([len(w) + 1 for w in words]) - 1
-        starts = [0, *(ends[:-words_each] + 1).tolist()]
-        hashes = [xxh64_intdigest(joined[s:e], SEED) for s, e in zip(starts, ends[words_each - 1 :].tolist())]
-    return xxh64_intdigest(joined, SEED + 1), np.unique(np.array(hashes, np.uint64))
-
-
-def n_bands(least: float) -> int:
-    """Bands of `ROWS` min-hashes, of which two texts of similarity `least` share one with a probability of 1 - `MISS`."""
-    return max(1, math.ceil(math.log(MISS) / math.log1p(-min(least**ROWS, 1 - 1e-9))))
-
-
-def permutations(bands: int):
-    """Odd factors and terms of as many permutations of 64-bit hashes as `bands` need."""
-    import numpy as np
-
-    factors, terms = np.random.default_rng(SEED).integers(0, 1 << 64, (2, bands * ROWS), np.uint64)
-    return factors | np.uint64(1), terms
-
-
-def sketch(hashes, factors, terms):
-    """SimHash of distinct shingle hashes and a key for each band of their min-hashes."""
-    import numpy as np
-    from xxhash import xxh64_intdigest
-
-    if not len(hashes):
-        return 0, []
-    ones, least = np.zeros(64, np.int64), np.full(len(terms), (1 << 64) - 1, np.uint64)
-    for at in range(0, len(hashes), 256):
-        h = hashes[at : at + 256]
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        np.minimum(least, (h[:, None] * factors + terms).min(axis=0), out=least)
-    fp = int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
-    return fp, [xxh64_intdigest(band.tobytes(), i) for i, band in enumerate(least.reshape(-1, ROWS))]
-
-
-def wide_links(nodes: DataFrame, max_bits: int) -> DataFrame:
-    """Links (a, b) that connect all nodes (node, fp, keys) with a common key and `max_bits` or fewer differing bits."""
-    rows = in_buckets(nodes.select("node", "fp", F.explode("keys").alias("bucket")), "node", CHUNK).select("bucket", "i", "j", "node", "fp")
-
-    def run(batches):
-        import numpy as np
-
-        for table in whole_groups(batches, ["bucket", "i", "j"]):
-            *keys, node, fp = (table.column(c).to_numpy() for c in ("bucket", "i", "j", "node", "fp"))
-            bounds = np.array(list(runs(*keys)))
-            starts = np.repeat(bounds[:, 0], bounds[:, 1] - bounds[:, 0])
-            near = np.bitwise_count((fp ^ fp[starts]).view(np.uint64)) <= max_bits
-            head = node[starts]
-            # groups that the first row does not hold together
-            for k in np.flatnonzero(~np.logical_and.reduceat(near, bounds[:, 0])):
-                s, e = bounds[k]
-                own, at = np.unique(fp[s:e].view(np.uint64), return_inverse=True)
-                root = linked(own, max_bits)[at]
-                first = np.full(len(own), np.iinfo(np.int64).max)
-                np.minimum.at(first, root, node[s:e])
-                head[s:e] = first[root]
-            out = node != head
-            yield pa.RecordBatch.from_arrays([pa.array(node[out]), pa.array(head[out])], names=["a", "b"])
-
-    return rows.mapInArrow(run, "a long, b long")
-
+def drop_near_duplicates(docs: DataFrame, words: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """One document of every group whose fingerprints of `words`-word shingles are linked at `max_bits` or fewer differing bits.
 
-def alike(values, starts, least: float):
-    """For every set (a slice of `values`, sorted) the index of the first one that links of Jaccard similarity `least` or more lead to."""
-    import numpy as np
-
-    sizes = np.diff([*starts, len(values)])
-    root = np.full(len(starts), -1)
-    left = np.arange(len(starts))
-    held, edges = values, np.asarray(starts)  # sets of `left`
-    for start in range(len(starts)):
-        if root[start] >= 0:
-            continue
-        root[start] = start
-        todo, fresh = [start], False
-        while todo:
-            if not fresh:
-                stay = root[left] < 0
-                held, left = held[np.repeat(stay, sizes[left])], left[stay]
-                edges, fresh = np.cumsum(sizes[left]) - sizes[left], True
-            if not len(left):
-                break
-            x = todo.pop()
-            own = values[starts[x] : starts[x] + sizes[x]]
-            hit = own[np.minimum(np.searchsorted(own, held), len(own) - 1)] == held
-            common = np.add.reduceat(hit, edges, dtype=np.int64)
-            near = left[common >= least * (sizes[left] + sizes[x] - common) - 1e-9]
-            if len(near):
-                root[near] = start
-                todo.extend(near.tolist())
-                fresh = False
-    return root
-
-
-def verified_links(sets: DataFrame, least: float) -> DataFrame:
-    """Links (a, b) that connect all nodes (bucket, node, s) of a bucket whose sets have Jaccard similarity `least` or more."""
-    rows = in_buckets(sets, "node", SETS).select("bucket", "i", "j", "node", "s")
-
-    def run(batches):
-        import numpy as np
-
-        for table in whole_groups(batches, ["bucket", "i", "j"]):
-            *keys, node = (table.column(c).to_numpy() for c in ("bucket", "i", "j", "node"))
-            s = table.column("s").combine_chunks()
-            offsets, values = s.offsets.to_numpy(), s.values.to_numpy().view(np.uint64)
-            a, b = [node[:0]], [node[:0]]
-            for start, end in runs(*keys):
-                lo = offsets[start]
-                root = alike(values[lo : offsets[end]], offsets[start:end] - lo, least)
-                out = np.flatnonzero(root != np.arange(end - start))
-                a.append(node[start:end][out])
-                b.append(node[start:end][root[out]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (a, b)], names=["a", "b"])
-
-    return rows.mapInArrow(run, "a long, b long")
-
-
-def _drop_verified(docs: DataFrame, words: int, max_bits: int, least: float) -> DataFrame:
-    bands = n_bands(least)
+    The row with the smallest (doc_id, hash of the text) stays, ids before null.  Every row is judged by its own text, so rows of one id with
+    different texts are different documents; rows with equal id and text are one.  Blank and null texts have fingerprint zero.
+    """
     # a row is known by its id, if it has one, and its text
-    none, rid = F.col("doc_id").isNull(), F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
-    rows = docs.select(none.alias("none"), rid.alias("id"), F.xxhash64(F.coalesce("text", F.lit("")), none).alias("h"), "text")
-
-    def prints(batches):
-        import numpy as np
+    none, rid, text = F.col("doc_id").isNull(), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), F.coalesce("text", F.lit(""))
+    rows = docs.select(none.alias("none"), rid.alias("id"), F.md5(text).alias("h"), "text")
 
-        shuffled = permutations(bands)
-        for b in small(batches):
-            made = [shingles(t, words) for t in b.column(3).to_pylist()]
-            sketched = [sketch(s, *shuffled) for _, s in made]
-            long = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
-            ends = np.cumsum([0, *[len(k) for _, k in sketched]]).astype(np.int32)
-            keys = pa.ListArray.from_arrays(pa.array(ends), long([k for _, ks in sketched for k in ks]))
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], long([n for n, _ in made]), long([f for f, _ in sketched]), keys], names=["none", "id", "h", "node", "fp", "keys"])
-
-    def sets(batches):
+    def run(batches):
         import numpy as np
 
         for b in small(batches):
-            made = [shingles(t, words)[1] for t in b.column(2).to_pylist()]
-            ends = np.cumsum([0, *map(len, made)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*made, np.zeros(0, np.uint64)]).view(np.int64)))], names=["bucket", "node", "s"])
+            fps = np.array([fingerprint(t, words) for t in b.column(3).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(fps.view(np.int64))], names=["none", "id", "h", "fp"])
 
-    found = rows.mapInArrow(prints, "none boolean, id long, h long, node long, fp long, keys array<long>")
     heads = F.min(F.struct("none", "id", "h")).alias("head")
-    # equal words have equal fingerprints and keys
-    nodes = store(found.groupBy("node").agg(heads, F.min("fp").alias("fp"), F.min("keys").alias("keys")))
-    wide = store(components(wide_links(nodes, max_bits)))
-    asked = nodes.join(wide.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"))
-    asked = asked.select(F.col("head.id").alias("__id"), F.col("head.h").alias("__h"), F.col("root").alias("bucket"), "node")
-    texts = rows.join(asked, (F.col("id") == F.col("__id")) & (F.col("h") == F.col("__h"))).dropDuplicates(["id", "h"])
-    linked_sets = store(texts.select("bucket", "node", "text").mapInArrow(sets, "bucket long, node long, s array<long>"))
-    roots = store(components(verified_links(linked_sets, least)))
-    rooted = nodes.join(roots.withColumnRenamed("node", "__node"), F.col("node") == F.col("__node"), "left")
-    keep = rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("head").alias("head"))
-    keep = keep.select(F.col("head.id").alias("__keep"), F.col("head.h").alias("__kept"))
-    own, digest = free_name(docs, "__own"), free_name(docs, "__digest")
-    marked = docs.withColumns({own: rid, digest: F.xxhash64(F.coalesce("text", F.lit("")), none)})
-    return marked.join(keep, (F.col(own) == F.col("__keep")) & (F.col(digest) == F.col("__kept")), "left_semi").dropDuplicates([own, digest]).drop(own, digest)
-
-
-def drop_near_duplicates(docs: DataFrame, words: int = SHINGLE, max_bits: int = MAX_BITS, least: float | None = None) -> DataFrame:
-    """One document of every group of near-duplicates.
-
-    Without `least`, documents that name their component of fingerprints of `words`-word shingles with `max_bits` or fewer differing
-    bits (at most four); rows with equal doc_id are one document, rows without an id stay.
-
-    With `least`, links are pairs whose sets of `words`-word shingles have a Jaccard similarity of `least` or more.  Candidates share
-    a band of min-hashes and differ in `max_bits` or fewer bits of their fingerprints; all pairs of a group of candidates are verified.
-    Of a component the row with the smallest (doc_id, hash of the text) stays, ids before null; every row is judged by its own text,
-    and blank texts are one text.
-    """
-    if least is not None:
-        return _drop_verified(docs, words, max_bits, least)
-    keep = near_duplicates(docs, words, max_bits).filter("doc_id = component_id").select(F.col("doc_id").alias("__keep")).distinct()
-    kept = docs.join(keep, docs["doc_id"] == F.col("__keep"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
+    distinct = store(rows.mapInArrow(run, "none boolean, id long, h string, fp long").groupBy("fp").agg(heads))
+    found = store(components(near_links(distinct.select("fp"), max_bits)))
+    rooted = distinct.join(found, F.col("fp") == F.col("node"), "left")
+    keep = rooted.groupBy(F.coalesce("root", "fp")).agg(F.min("head").alias("head"))
+    keep = keep.select(F.col("head.none").alias("__none"), F.col("head.id").alias("__id"), F.col("head.h").alias("__h"))
+    own = [free_name(docs, n) for n in ("keep_none", "keep_id", "keep_hash")]
+    marked = docs.withColumns(dict(zip(own, (none, rid, F.md5(text)))))
+    same = [F.col(a) == F.col(b) for a, b in zip(own, ("__none", "__id", "__h"))]
+    return marked.join(keep, same, "left_semi").dropDuplicates(own).drop(*own)

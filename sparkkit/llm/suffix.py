@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from .common import small, store
+from .common import free_name, small, store
 from .components import runs, whole_groups
 
 LEAST = 100
@@ -392,43 +392,47 @@ def _kept(text: bytes, spans: list[dict] | None) -> tuple[bytes, int]:
 
 
 def remove_repeats(docs: DataFrame, least: int = LEAST, as_text: bool = False) -> DataFrame:
-    """`docs` with columns `__kept` (the bytes that are left, or as text without characters cut in part) and `__spans` (removed runs).
+    """`docs` with two columns more: the bytes that are left (or as text without characters cut in part) and the number of removed runs.
 
-    Documents are ordered by doc_id, those without one last, those of one id by the hash of their texts; rows with
-    equal id and text are one document and keep the same bytes.  A null text is empty.  Texts shorter than `least` bytes keep all.  Matches
-    never cross documents, and strings are judged on the input.
+    The new columns come last; they are called `kept` and `spans`, with underscores before names that are taken.  Documents are ordered by
+    doc_id, those without one last, those of one id by the hash of their texts; rows with equal id and text are one document and
+    keep the same bytes.  A null text is empty.  Texts shorter than `least` bytes keep all.  Matches never cross documents, and strings are
+    judged on the input.
     """
-    names = docs.columns
-    keyed = docs.withColumns({"__key": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "__text": F.coalesce("text", F.lit("")).cast("binary")})
-    keyed = keyed.withColumn("__tie", F.xxhash64("__text"))
-    texts = keyed.filter(F.octet_length("__text") >= least).select(F.col("__key").alias("key"), F.col("__tie").alias("tie"), F.col("__text").alias("text"))
-    spans = repeats(texts, least).toDF("__of", "__of_tie", "__gone")
-    rows = keyed.join(spans, (F.col("__key") == F.col("__of")) & (F.col("__tie") == F.col("__of_tie")), "left").select(*names, "__text", "__gone")
+    names, (kept_as, spans_as) = docs.columns, (free_name(docs, n) for n in ("kept", "spans"))
+    key, tie, data, of, of_tie, gone = (free_name(docs, n) for n in ("own_key", "own_tie", "own_text", "of_key", "of_tie", "gone"))
+    keyed = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), data: F.coalesce("text", F.lit("")).cast("binary")})
+    keyed = keyed.withColumn(tie, F.xxhash64(data))
+    texts = keyed.filter(F.octet_length(data) >= least).select(F.col(key).alias("key"), F.col(tie).alias("tie"), F.col(data).alias("text"))
+    found = repeats(texts, least).toDF(of, of_tie, gone)
+    rows = keyed.join(found, (F.col(key) == F.col(of)) & (F.col(tie) == F.col(of_tie)), "left").select(*names, data, gone)
 
     def cut(batches):
         at = len(names)
         for b in small(batches):
             kept, n = [], []
             for text, spans in zip(b.column(at).to_pylist(), b.column(at + 1).to_pylist()):
-                data, count = _kept(text, spans)
-                kept.append(data.decode("utf-8", "ignore") if as_text else data)
+                left, count = _kept(text, spans)
+                kept.append(left.decode("utf-8", "ignore") if as_text else left)
                 n.append(count)
-            yield pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(kept, pa.string() if as_text else pa.binary()), pa.array(n, pa.int64())], names=[*names, "__kept", "__spans"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:at], pa.array(kept, pa.string() if as_text else pa.binary()), pa.array(n, pa.int64())], names=[*names, kept_as, spans_as])
 
-    return rows.mapInArrow(cut, StructType([*docs.schema.fields, StructField("__kept", StringType() if as_text else BinaryType()), StructField("__spans", LongType())]))
+    added = [StructField(kept_as, StringType() if as_text else BinaryType()), StructField(spans_as, LongType())]
+    return rows.mapInArrow(cut, StructType([*docs.schema.fields, *added]))
 
 
 def digest(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of documents (doc_id, text)."""
     done = remove_repeats(docs.select("doc_id", "text"), least)
     size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
-    return done.select("doc_id", size.alias("n_bytes"), (size - F.octet_length("__kept")).alias("n_removed"), F.col("__spans").alias("n_spans"), F.sha2("__kept", 256).alias("kept_sha256"))
+    return done.select("doc_id", size.alias("n_bytes"), (size - F.octet_length("kept")).alias("n_removed"), F.col("spans").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def drop_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """Documents without their repeated strings; a character that is cut in part goes too, and `n_chars`, if there is one, is counted anew."""
     done = remove_repeats(docs, least, as_text=True)
-    done = done.withColumn("text", F.when(F.col("__spans") == 0, F.col("text")).otherwise(F.col("__kept")))
+    kept, spans = done.columns[-2:]
+    done = done.withColumn("text", F.when(F.col(spans) == 0, F.col("text")).otherwise(F.col(kept)))
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return done.select(*docs.columns)
