@@ -1,7 +1,7 @@
 """The supervised flow on ordered series: lagged samples, a lagged or stationary target, walking forward.
 
 A sample of row t holds the features of the rows t-lags .. t (or t-lags .. t-1) and, with `lag_target`, the targets
-before these.  Predictions of future rows are inputs of later ones, so steps follow one another, but every step is
+before these.  Predictions of future rows are inputs of later ones, so steps follow one another, but every few steps are
 one distributed job over all series: the state of a series is its last few rows.
 """
 
@@ -22,6 +22,7 @@ from . import flow, metrics
 from .sequence import top_k
 
 PREVIOUS = "previous_y"
+BLOCK = 8  # steps of one job
 ONE = "__series"  # constant key of a table that is one series
 
 
@@ -218,9 +219,9 @@ def fit_sequence(df: DataFrame, spec: Sequence[Feature], estimator: str, by: Seq
 
 
 def _walk(model: SequenceModel, df: DataFrame, proba: bool) -> DataFrame:
-    """Step by step over the future rows: the h-th row of every series is scored in one job.
+    """Block by block over the future rows: `BLOCK` steps of every series are scored in one job, each from the ones before.
 
-    The rows are stored by step, so a step reads its own ones only; what a step hands on is stored too, so a lost executor costs one step.
+    The rows are stored by block, so a job reads its own ones only; what a block hands on is stored too, so a lost executor costs one block.
     """
     by, order, y, hot = model.by, model.order, model.y, model.hot
     if by == [ONE] and ONE not in df.columns:
@@ -233,23 +234,26 @@ def _walk(model: SequenceModel, df: DataFrame, proba: bool) -> DataFrame:
     rows = match(rows, last, by, "left")
     ahead = F.col("__last").isNull() | (place > F.col("__last"))
     future = with_position(rows.filter(ahead).drop("__last", "__y"), by, order, "__step", hot)
+    own = F.struct("__step", F.struct(*order).alias("at"), F.struct(*[F.col(f).alias(f"f{i}") for i, f in enumerate(model.features)], F.lit(0).alias("none")).alias("now"))
+    # at most BLOCK rows in a list
+    future = future.groupBy(*by, F.floor(F.col("__step") / BLOCK).alias("__block")).agg(F.sort_array(F.collect_list(own)).alias("__rows"))
     folder = scratch_folder(df.sparkSession)
-    future.repartition("__step", *by).write.partitionBy("__step").parquet(folder)
+    future.repartition("__block", *by).write.partitionBy("__block").parquet(folder)
     stored = df.sparkSession.read.schema(future.schema).parquet(folder)
-    steps = (stored.agg(F.max("__step")).first()[0] + 1) if stored.take(1) else 0
-    out = future.limit(0).select(*by, *order, F.lit(None).cast("string" if text else "double").alias("prediction"),
-                                 *([F.lit("").alias("probabilities")] if proba else []))
-    if not steps:
-        return out.drop(ONE)
+    blocks = (stored.agg(F.max("__block")).first()[0] + 1) if stored.take(1) else 0
+    kind = "string" if text else "double"
+    if not blocks:
+        empty = df.limit(0).select(*by, *order, F.lit(None).cast(kind).alias("prediction"), *([F.lit("").alias("probabilities")] if proba else []))
+        return empty.drop(ONE)
 
     need = max(model.history, 1)
-    # z of a known row needs rows before it
-    lagged = top_k(rows.filter(~ahead), by, [F.desc(o) for o in order], need + model.target.reach).drop("row_no")
+    width = need + model.target.reach  # z of a known row needs rows before it
+    lagged = top_k(rows.filter(~ahead), by, [F.desc(o) for o in order], width).drop("row_no")
     past = F.sort_array(F.collect_list(F.struct(*order, *[F.col(f).alias(f"f{i}") for i, f in enumerate(model.features)], F.col("__y").alias("y"))))
     state = lagged.groupBy(*by).agg(past.alias("__raw"))
     raw = lambda i: F.get("__raw", i)["y"]
     if text:
-        z = lambda i: raw(i)
+        z = raw
     else:
         z = lambda i: model.target.scaled(model.target.raw(raw(i), {k: raw(i - F.lit(k)) for k in model.target.lags}))
     kept = [f"f{i}" for i in range(len(model.features))]
@@ -258,27 +262,29 @@ def _walk(model: SequenceModel, df: DataFrame, proba: bool) -> DataFrame:
     back = lambda k, f: F.try_element_at("__state", F.lit(-k))[f]
 
     results = []
-    for h in range(steps):
-        now = stored.filter(F.col("__step") == h).drop("__step")
-        joined = match(now, state, by, "left")
-        inputs = {}
-        for k in model.steps_back:
-            inputs |= {_name(f, k): back(k, f"f{i}") if k else F.col(f) for i, f in enumerate(model.features)}
-            if model.lag_target:
-                inputs[_name(PREVIOUS, k)] = back(k + 1, "z")
-        current = F.struct(*[F.col(f).alias(f"f{i}") for i, f in enumerate(model.features)]) if model.features else F.struct(F.lit(0).alias("none"))
-        ready = joined.select(*by, *order, "__state", current.alias("__now"), *[c.alias(n) for n, c in inputs.items()])
-        scored = model.model.score(ready)
-        found = F.col("prediction") if text else model.target.invert(F.col("prediction"), {k: back(k, "y") for k in model.target.lags})
-        enough = F.col("__state").isNotNull()
-        done = scored.select(*by, *order, "__state", "__now", F.when(enough, F.col("prediction")).alias("__z"), F.when(enough, found).alias("prediction"),
-                             *([F.when(enough, _shown(model)).alias("probabilities")] if proba else []))
-        done = durable(done)
-        results.append(done.select(*out.columns))
-        row = F.struct(*[F.col("__now")[f].alias(f) for f in kept], F.col("prediction").alias("y"), F.col("__z").alias("z"))
-        longer = F.concat("__state", F.array(row))
-        width = need + model.target.reach
-        state = done.filter("__state is not null").select(*by, F.slice(longer, F.greatest(F.size(longer) - width + 1, F.lit(1)), F.lit(width)).alias("__state"))
+    for b in range(blocks):
+        now = match(stored.filter(F.col("__block") == b).drop("__block"), state, by, "left").withColumn("__found", F.array())
+        first = True
+        for i in range(BLOCK):
+            row = F.get("__rows", F.lit(i))
+            inputs = {}
+            for k in model.steps_back:
+                inputs |= {_name(f, k): back(k, f"f{j}") if k else row["now"][f"f{j}"] for j, f in enumerate(model.features)}
+                if model.lag_target:
+                    inputs[_name(PREVIOUS, k)] = back(k + 1, "z")
+            scored = model.model.score(now.select(*by, "__rows", "__state", "__found", *[c.alias(n) for n, c in inputs.items()]))
+            done = F.col("__state").isNotNull() & row.isNotNull()
+            found = F.col("prediction") if text else model.target.invert(F.col("prediction"), {k: back(k, "y") for k in model.target.lags})
+            cell = F.struct(F.when(done, found).alias("prediction"), *([F.when(done, _shown(model)).alias("probabilities")] if proba else []))
+            longer = F.concat("__state", F.array(F.struct(*[row["now"][f].alias(f) for f in kept], found.alias("y"), F.col("prediction").alias("z"))))
+            shifted = F.when(done, F.slice(longer, F.greatest(F.size(longer) - width + 1, F.lit(1)), F.lit(width))).otherwise(F.col("__state"))
+            now = scored.select(*by, "__rows", shifted.alias("__state"), (F.array(cell) if first else F.concat("__found", F.array(cell))).alias("__found"))
+            first = False
+        now = durable(now)
+        each = now.select(*by, F.inline(F.arrays_zip("__rows", "__found")))
+        each = each.filter("__rows is not null").select(*by, *[F.col("__rows")["at"][o].alias(o) for o in order], "__found.*")
+        results.append(each)
+        state = now.filter("__state is not null").select(*by, "__state")
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)

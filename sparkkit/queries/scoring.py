@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.spec import Feature
 from ..operators import estimators as est
-from ..operators import flow, importance, metrics, reduce, score, sequence
+from ..operators import flow, importance, metrics, reduce, score, sequence, sequence_flow
 from ..plans.durable import scratch_folder
 from ..sources import registry
 from . import query
@@ -113,6 +113,52 @@ def predict_sequence_any_model(t):
     return done.filter(~F.col("is_history")).select("event_type", "h", r("prediction").alias("prediction"))
 
 
+AR_SPEC = [Feature("n", "target")]
+
+
+@query("Q5 N9", f"""WITH {SQL_AR} SELECT event_type, h, {sr('a * (1 - pow(b, k)) / (1 - b) + pow(b, k) * y0')} AS prediction FROM f JOIN last USING (event_type), m""")
+def predict_sequence_flow(t):
+    """A fitted flow with a lagged target, walked forward over the future rows of every series."""
+    rows = _with_future(t)
+    model = sequence_flow.fit_sequence(rows, AR_SPEC, "LinearRegression", ["event_type"], ["h"], lag_target=True)
+    return model.predict(rows).withColumn("prediction", r("prediction"))
+
+
+@query("N9", f"""WITH {SQL_EVENT_SERIES}, l AS (SELECT event_type, h, n::DOUBLE AS n, lag(total) OVER (PARTITION BY event_type ORDER BY h) AS x FROM series),
+m AS (SELECT regr_slope(n, x) AS b, regr_intercept(n, x) AS a FROM l WHERE x IS NOT NULL)
+SELECT event_type, h, CASE WHEN x IS NOT NULL THEN {sr('a + b * x')} END AS prediction FROM l, m""")
+def fit_flow_on_lags(t):
+    """The last hour's value explains the number of events; the current row is no input."""
+    rows = event_series(t).select("event_type", "h", "total", F.col("n").cast("double").alias("n"))
+    spec = [Feature("total", strategy="scaling"), *AR_SPEC]
+    model = sequence_flow.fit_sequence(rows, spec, "LinearRegression", ["event_type"], ["h"], lags=1, current_sample=False)
+    return model.predict_known(rows).withColumn("prediction", r("prediction"))
+
+
+@query("N16 Q5", f"""WITH {SQL_EVENT_SERIES}, s AS (SELECT event_type, h, n::DOUBLE AS n, h < '2024-01-25' AS known FROM series),
+d AS (SELECT event_type, h, n - lag(n) OVER w AS z FROM s WHERE known WINDOW w AS (PARTITION BY event_type ORDER BY h)),
+l AS (SELECT *, lag(z) OVER (PARTITION BY event_type ORDER BY h) AS p FROM d),
+m AS (SELECT regr_slope(z, p) AS b, regr_intercept(z, p) AS a FROM l WHERE p IS NOT NULL),
+last AS (SELECT s.event_type, arg_max(n, s.h) AS y0, arg_max(z, s.h) AS z0 FROM s JOIN d ON s.event_type = d.event_type AND s.h = d.h GROUP BY 1),
+f AS (SELECT event_type, h, row_number() OVER (PARTITION BY event_type ORDER BY h) AS k FROM s WHERE NOT known)
+SELECT event_type, h, {sr('y0 + sum(a * (1 - pow(b, k)) / (1 - b) + pow(b, k) * z0) OVER (PARTITION BY event_type ORDER BY h)', 3)} AS prediction FROM f JOIN last USING (event_type), m""")
+def predict_differenced_flow(t):
+    """The model sees hourly differences; predictions are added up to the original scale."""
+    rows = _with_future(t)
+    model = sequence_flow.fit_sequence(rows, AR_SPEC, "LinearRegression", ["event_type"], ["h"], lag_target=True, stationary="difference")
+    return model.predict(rows).withColumn("prediction", r("prediction", 3))
+
+
+@query("N16", f"""WITH {SQL_EVENT_SERIES}, w AS (SELECT event_type, h, n::DOUBLE AS n, total, lag(n::DOUBLE) OVER v AS p, n - lag(n) OVER v AS z FROM series WINDOW v AS (PARTITION BY event_type ORDER BY h)),
+m AS (SELECT regr_slope(z, total) AS b, regr_intercept(z, total) AS a FROM w WHERE z IS NOT NULL)
+SELECT event_type, h, CASE WHEN z IS NOT NULL THEN {sr('a + b * total + p')} END AS prediction FROM w, m""")
+def differenced_target(t):
+    """One step ahead on differences, led back to the target over every known row."""
+    rows = event_series(t).select("event_type", "h", "total", F.col("n").cast("double").alias("n"))
+    model = sequence_flow.fit_sequence(rows, [Feature("total", strategy="scaling"), *AR_SPEC], "LinearRegression", ["event_type"], ["h"], stationary="difference", scale_target=True)
+    return model.predict_known(rows).withColumn("prediction", r("prediction"))
+
+
 @query("Q6", f"""WITH {SQL_EVENT_SERIES}, s AS (SELECT event_type, h, n::DOUBLE AS n, row_number() OVER w - 1 AS pos, lag(n) OVER w AS b1, lag(n, 2) OVER w AS b2, lag(n, 3) OVER w AS b3,
   lead(n) OVER w AS a1, lead(n, 2) OVER w AS a2 FROM series WINDOW w AS (PARTITION BY event_type ORDER BY h)),
 m AS (SELECT regr_slope(n, b1) AS s0, regr_intercept(n, b1) AS i0, regr_slope(a1, b1) AS s1, regr_intercept(a1, b1) AS i1, regr_slope(a2, b1) AS s2, regr_intercept(a2, b1) AS i2
