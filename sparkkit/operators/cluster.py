@@ -22,8 +22,9 @@ from ..functions import distance
 from ..functions.nulls import fill_missing, missing_values
 from ..functions.scale import exact_quantiles, fit_scaler, group_quantiles, scale, scale_by_group
 from ..plans import neighbours as nb
-from ..plans.durable import durable
+from ..plans.durable import durable, stored
 from ..plans.ordered import match, with_position
+from . import hierarchy
 from .relational import groups_larger_than, pivot
 from .reduce import covariance
 
@@ -61,11 +62,11 @@ def connected_components(nodes: DataFrame, edges: DataFrame, keys: Sequence[str]
     """(keys..., id, comp): smallest id reachable over (keys..., a, b) edges.
 
     Every round takes the smallest label among the neighbours and then follows labels once more
-    (pointer jumping); it is stored in the checkpoint folder, so lineage stays short.
+    (pointer jumping); it is written to the shared folder, so plans stay short.
     """
     keys = list(keys)
     both = edges.select(*keys, "a", "b").unionByName(edges.select(*keys, F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = durable(both)
+    both = stored(both)
     labels = nodes.select(*keys, "id", F.col("id").alias("comp"))
     for _round in range(max_rounds):
         offered = both.join(labels.select(*keys, F.col("id").alias("b"), "comp"), [*keys, "b"]).groupBy(*keys, F.col("a").alias("id")).agg(F.min("comp").alias("__near"))
@@ -73,7 +74,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, keys: Sequence[str]
         jump = lower.select(*keys, F.col("id").alias("__new"), F.col("__new").alias("__far"))
         done = lower.join(jump, [*keys, "__new"], "left").select(
             *keys, "id", F.least(F.col("__new"), F.coalesce("__far", "__new")).alias("comp"), (F.least(F.col("__new"), F.coalesce("__far", "__new")) != F.col("comp")).alias("__moved"))
-        done = durable(done)
+        done = stored(done)
         labels = done.drop("__moved")
         if not done.filter("__moved").take(1):
             return labels
@@ -156,123 +157,47 @@ def dbscan(df: DataFrame, key: str, cols: Sequence[str], eps: float, min_samples
 # ---- density hierarchy ---------------------------------------------------------------------
 
 
-def _ladder(core: DataFrame, levels: int) -> DataFrame:
-    """(part, level, cut, lam, gain): distances of every part from coarse to fine, quantiles of its core
-    distances under twice the largest one, with their inverse and its increase over the coarser level."""
-    q = group_quantiles(core, ["part"], ["core"], list(np.linspace(0.02, 1.0, levels)))
-    fine = q.select("part", F.sort_array(F.array_distinct(F.filter("q", lambda v: v > 0)), asc=False).alias("s")).filter(F.size("s") > 0)
-    steps = fine.select("part", F.concat(F.array(F.get("s", F.lit(0)) * 2), F.col("s")).alias("s"))
-    rung = lambda v, i: F.struct(i.alias("level"), v.alias("cut"), (1.0 / v).alias("lam"),
-                                 (1.0 / v - F.when(i > 0, 1.0 / F.get("s", i - 1)).otherwise(0.0)).alias("gain"))
-    return steps.select("part", F.inline(F.transform("s", rung)))
-
-
 def hdbscan(df: DataFrame, key: str, features: Sequence[str], min_cluster_size: int = 5, min_samples: int | None = None, *,
-            levels: int = 24, missing: str = "zeros", scaler: str = "robust", alpha: float = 1.0, selection: str = "eom",
-            allow_single_cluster: bool = False, group: str | None = None, leaf_rows: int = nb.LEAF_ROWS) -> DataFrame:
-    """(key, label, probability, outlier_score) of a density hierarchy.
-
-    Core distances are exact.  The hierarchy is cut at `levels` distances instead of at every merge,
-    so each level is a distributed component search and no tree of all points is ever held in one
-    place; more levels approach the full hierarchy.  With `group`, every group has its own scaler, distances,
-    hierarchy and label numbers, as if it were clustered alone.
+            missing: str = "zeros", scaler: str = "robust", alpha: float = 1.0, metric: str = "euclidean", selection: str = "eom",
+            allow_single_cluster: bool = False, group: str | None = None, leaf_rows: int = nb.LEAF_ROWS, edges_each: int = hierarchy.EDGES) -> DataFrame:
+    """(key, label, probability, outlier_score) of the density hierarchy at every merge.
+
+    Core distances are exact, mutual reachability is joined by a minimum spanning forest, and its merges are condensed in order.
+    With `group`, every group has its own scaler, distances, hierarchy and label numbers, as if it were clustered alone.
     """
     if group is not None and missing not in ("zeros", "none"):
         raise ValueError("per group, missing values are zeros or left as they are")
+    if metric not in nb.METRICS:
+        raise ValueError(f"{metric!r} is not one of {nb.METRICS}")
     rows = fill_missing(df, missing_values(df, features, missing))
     rows = scale(rows, features, fit_scaler(rows, features, scaler)) if group is None else scale_by_group(rows, [group], features, scaler)
     cols = list(features)
     if group is not None:
-        # groups lie so far apart that no distance of the ladder joins them
+        # groups lie so far apart that the neighbours of a place are those of its group
         ends = rows.agg(*[(F.max(c) - F.min(c)).alias(c) for c in cols]).first()
-        apart = 10.0 * (sum(float(v or 0.0) ** 2 for v in ends) ** 0.5 + 1.0)
+        apart = 10.0 * (sum(float(v or 0.0) for v in ends) + 1.0)
         numbers = with_position(rows.select(group).distinct(), [], [group], "__g")
         rows = match(rows, numbers, [group]).withColumn("__g", F.col("__g") * apart)
         cols = [*cols, "__g"]
-    k = min_samples or min_cluster_size
+    k, d = min_samples or min_cluster_size, len(cols)
     base, places = _points(rows, key, cols)
-    places = places.persist()
-    d = len(cols)
+    part = (F.col("x")[d - 1] if group is not None else F.lit(0.0)).alias("part")
     spread = base.select("key", *[F.col("x")[i].alias(f"__x{i}") for i in range(d)])
-    found = nb.nearest(spread, spread, "key", [f"__x{i}" for i in range(d)], k, exclude_self=True, leaf_rows=leaf_rows)
+    found = nb.nearest(spread, spread, "key", [f"__x{i}" for i in range(d)], k, exclude_self=True, leaf_rows=leaf_rows, metric=metric)
     far = F.when(F.size("neighbours") >= k, F.col("neighbours")[k - 1]["dist"])
-    core = durable(found.groupBy("x").agg(F.min(far).alias("core")))
+    core = found.groupBy("x").agg(F.min(far).alias("core"))
     if group is not None:
         core = core.withColumn("core", F.when(F.col("core") < apart / 2, F.col("core")))
-    part = (F.col("x")[d - 1] if group is not None else F.lit(0.0)).alias("part")
-    rungs = durable(_ladder(core.select(part, "core"), levels))
-    deepest_level = rungs.agg(F.max("level")).first()[0]
-    empty = base.select("key", F.lit(-1).cast("long").alias("label"), F.lit(0.0).alias("probability"), F.lit(0.0).alias("outlier_score"))
-    if deepest_level is None:
-        return empty
-    n_levels = deepest_level + 1
-    leaves = nb.build_leaves(places, "x", leaf_rows)
-    placed = places.join(core, "x").withColumn("leaf", leaves.column(F.col("x"))).persist()
-    boxes = nb.boxes_of(placed, "x", d)
-    stepped = placed.select("id", "x", "leaf", "core", part)
-    if group is None:
-        # at most `levels` + 1 rows
-        own = rungs.select("level", "cut").orderBy("level").collect()
-        stepped = stepped.select("*", F.inline(F.array(*[F.struct(F.lit(r["level"]).alias("level"), F.lit(r["cut"]).alias("cut")) for r in own])))
-    else:
-        stepped = match(stepped, rungs.select("part", "level", "cut"), ["part"])
-    dense = stepped.filter("core <= cut").withColumn("eps", F.col("cut") * float(alpha))
-    comps = density_components(dense.select("id", "x", "leaf", "eps", "level", "part"), boxes, ["level", "part"])
-    member = durable(comps.join(placed.select("id", "weight"), "id"))
-    sizes = member.groupBy("level", "comp", "part").agg(F.sum("weight").alias("size")).filter(F.col("size") >= min_cluster_size)
-    # the component of the next coarser level that holds this one: the one of its first place
-    up = member.select((F.col("level") + 1).alias("level"), F.col("id").alias("comp"), F.col("comp").alias("parent"))
-    tree = durable(sizes.join(up, ["level", "comp"], "left"))
-    # walk from coarse to fine: an only child continues its parent's cluster, several start new ones
-    current = tree.filter("level = 0").withColumn("__n", F.lit(1))
-    siblings = current.groupBy("part").agg(F.count(F.lit(1)).alias("__n"))
-    named = lambda c: F.concat_ws(":", "level", c.cast("string"))
-    current = current.drop("__n").join(siblings, "part").select("level", "comp", "size", "part", named(F.col("comp")).alias("cluster"),
-                                                                F.lit(None).cast("string").alias("above"), (F.col("__n") == 1).alias("is_root"))
-    layers = [current]
-    for i in range(1, n_levels):
-        children = tree.filter(F.col("level") == i)
-        parents = layers[-1].select(F.col("comp").alias("parent"), F.col("cluster").alias("__from"), F.col("is_root").alias("__r"), F.col("above").alias("__above"))
-        counts = children.groupBy("parent").agg(F.count(F.lit(1)).alias("__n"))
-        here = children.join(parents, "parent").join(counts, "parent")
-        only = F.col("__n") == 1
-        here = here.select("level", "comp", "size", "part", F.when(only, F.col("__from")).otherwise(named(F.col("comp"))).alias("cluster"),
-                           F.when(only, F.col("__above")).otherwise(F.col("__from")).alias("above"), (only & F.col("__r")).alias("is_root"))
-        layers.append(durable(here))
-    walk = durable(match(functools.reduce(DataFrame.unionByName, layers), rungs.drop("cut"), ["part", "level"]))
-    clusters = walk.groupBy("cluster").agg(F.first("above").alias("above"), F.max("is_root").alias("is_root"), F.min("level").alias("born"),
-                                           F.max("level").alias("died"), F.sum(F.col("size") * F.col("gain")).alias("stability"))
-    clusters = durable(clusters)
-    # from fine to coarse: a cluster is kept if it is more stable than what was kept below it
-    score = clusters.withColumn("below", F.lit(0.0)).withColumn("has_child", F.lit(False))
-    settled = []
-    for i in reversed(range(n_levels)):
-        layer = score.filter(F.col("born") == i)
-        if settled:
-            kept = functools.reduce(DataFrame.unionByName, settled).groupBy(F.col("above").alias("cluster")).agg(F.sum("value").alias("__below"))
-            layer = layer.join(kept, "cluster", "left").withColumn("has_child", F.col("__below").isNotNull()).withColumn("below", F.coalesce("__below", F.lit(0.0))).drop("__below")
-        allowed = ~F.col("is_root") | F.lit(allow_single_cluster)
-        better = (F.col("stability") >= F.col("below")) if selection == "eom" else ~F.col("has_child")
-        chosen = allowed & better
-        layer = layer.withColumn("chosen", chosen).withColumn("value", F.when(chosen, F.col("stability")).otherwise(F.col("below")))
-        settled.append(durable(layer.select("cluster", "above", "born", "chosen", "value")))
-    picked = durable(functools.reduce(DataFrame.unionByName, settled))
-    # a chosen cluster hides the chosen ones below it
-    free = picked.filter("above is null").select("cluster", F.col("chosen").alias("__is"), F.lit(False).alias("__hidden"))
-    state = [free]
-    for i in range(1, n_levels):
-        layer = picked.filter((F.col("born") == i) & F.col("above").isNotNull())
-        over = functools.reduce(DataFrame.unionByName, state).select(F.col("cluster").alias("above"), (F.col("__is") | F.col("__hidden")).alias("__hidden"))
-        state.append(durable(layer.join(over, "above").select("cluster", F.col("chosen").alias("__is"), "__hidden")))
-    final = functools.reduce(DataFrame.unionByName, state).filter("__is and not __hidden").select("cluster")
-    held = member.join(walk.select("level", "comp", "cluster", "lam"), ["level", "comp"])
-    deepest = held.groupBy("id", "cluster").agg(F.max("lam").alias("lam"))
-    tops = deepest.groupBy("cluster").agg(F.max("lam").alias("top"))
-    best = deepest.join(final, "cluster", "left_semi").join(tops, "cluster").select("id", F.col("cluster").alias("comp"), (F.col("lam") / F.col("top")).alias("probability"))
-    last = deepest.groupBy("id").agg(F.max_by("cluster", "lam").alias("cluster"), F.max("lam").alias("lam")).join(tops, "cluster").select(
-        "id", (1 - F.col("lam") / F.col("top")).alias("outlier_score"))
-    facts = placed.select("x", "id").join(best, "id", "left").join(last, "id", "left")
-    labelled = durable(base.join(facts.drop("id"), "x", "left").select("key", "comp", part, "probability", "outlier_score"))
+    numbered = with_position(places.join(core.filter("core is not null"), "x"), [], ["id"], "node").select("node", "x", "weight", "core", part)
+    numbered = durable(numbered)
+    forest = hierarchy.spanning_forest(numbered, d, float(alpha), metric, leaf_rows)
+    points, clusters = hierarchy.condense(numbered, forest, min_cluster_size, selection, allow_single_cluster, edges_each)
+    last = points.join(clusters.withColumnRenamed("cluster", "__c"), F.col("cluster") == F.col("__c"))
+    tops = clusters.select(F.col("cluster").alias("__f"), F.col("top").alias("__top"))
+    facts = last.join(tops, F.col("final") == F.col("__f"), "left").select(
+        "node", F.col("final").alias("comp"), (F.least("lam", "__top") / F.col("__top")).alias("probability"), (1 - F.col("lam") / F.col("deep")).alias("outlier_score"))
+    by_place = numbered.join(facts, "node").select("x", "comp", "probability", "outlier_score")
+    labelled = durable(base.join(by_place, "x", "left").select("key", "comp", part, "probability", "outlier_score"))
     numbers = _numbered(labelled.select("key", "comp", "part"), "comp", ["part"] if group is not None else [])
     return labelled.join(numbers, "key").select("key", "label", F.coalesce("probability", F.lit(0.0)).alias("probability"),
                                                 F.coalesce("outlier_score", F.lit(1.0)).alias("outlier_score"))

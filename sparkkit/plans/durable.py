@@ -29,3 +29,14 @@ def durable(df: DataFrame) -> DataFrame:
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(_shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows of `df` as a table written to the shared folder.
+
+    Unlike a checkpoint the table knows nothing of the plan that made it: in loops with many joins the constraints that a
+    checkpoint hands on multiply until planning takes longer than the work.
+    """
+    path = scratch_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -99,7 +99,7 @@ def boxes_of(placed: DataFrame, x: str, d: int) -> tuple[np.ndarray, np.ndarray,
             np.array([[r[f"hi{i}"] for i in range(d)] for r in rows]).reshape(-1, d))
 
 
-def reach_column(boxes, x: Column, bound: Column) -> Column:
+def reach_column(boxes, x: Column, bound: Column, metric: str = "euclidean") -> Column:
     """Leaves whose box lies within `bound` of a place."""
     numbers, low, high = boxes
 
@@ -112,27 +112,49 @@ def reach_column(boxes, x: Column, bound: Column) -> Column:
             for s in range(0, len(q), step):
                 part = q[s : s + step, None, :]
                 gap = np.maximum(np.maximum(low[None] - part, part - high[None]), 0.0)
-                inside = np.sqrt((gap**2).sum(axis=2)) <= limit[s : s + step, None] * (1 + 1e-12) + 1e-300
+                inside = norm(gap, metric) <= limit[s : s + step, None] * (1 + 1e-12) + 1e-300
                 out += [numbers[row].tolist() for row in inside]
         return pd.Series(out, dtype=object)
 
     return near(x, bound)
 
 
-def distances(q: np.ndarray, p: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+METRICS = ("euclidean", "manhattan", "chebyshev")
+
+
+def norm(gaps: np.ndarray, metric: str) -> np.ndarray:
+    """Length of differences along the last axis."""
+    if metric == "euclidean":
+        return np.sqrt((gaps**2).sum(axis=-1))
+    return np.abs(gaps).sum(axis=-1) if metric == "manhattan" else np.abs(gaps).max(axis=-1, initial=0.0)
+
+
+def distances(q: np.ndarray, p: np.ndarray, metric: str = "euclidean") -> Iterator[tuple[int, np.ndarray]]:
     """(first row, distance block) of all queries against all points of one leaf, block by block."""
+    if metric not in METRICS:
+        raise ValueError(f"{metric!r} is not one of {METRICS}")
     step = max(_BLOCK_CELLS // max(len(p), 1), 1)
     for s in range(0, len(q), step):
         block = np.zeros((len(q[s : s + step]), len(p)))
         for j in range(q.shape[1]):
-            block += (q[s : s + step, j, None] - p[None, :, j]) ** 2
-        yield s, np.sqrt(block)
+            gap = q[s : s + step, j, None] - p[None, :, j]
+            if metric == "euclidean":
+                block += gap**2
+            elif metric == "manhattan":
+                block += np.abs(gap)
+            else:
+                np.maximum(block, np.abs(gap), out=block)
+        yield s, np.sqrt(block) if metric == "euclidean" else block
+
+
+def fresh(df: DataFrame) -> DataFrame:
+    """The same rows under column identities of their own, for joins and cogroups with relatives."""
+    return df.select(*[F.col(c).alias(f"__fresh_{c}") for c in df.columns]).toDF(*df.columns)
 
 
 def salted(queries: DataFrame, points: DataFrame, leaf_rows: int) -> tuple[DataFrame, DataFrame]:
     """Spread the queries of a crowded leaf over several tasks; its points are copied to each."""
-    # fresh column identities: both sides may come from the same rows
-    points = points.select(*[F.col(c).alias(f"__fresh_{c}") for c in points.columns]).toDF(*points.columns)
+    points = fresh(points)  # both sides may come from the same rows
     crowd = queries.groupBy("leaf").agg((F.floor(F.count(F.lit(1)) / leaf_rows) + 1).alias("__salts"))
     q = queries.join(crowd, "leaf").withColumn("__salt", F.pmod(F.xxhash64("__q"), F.col("__salts"))).drop("__salts")
     p = points.join(crowd, "leaf").withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__salts") - 1))).drop("__salts")
@@ -144,7 +166,7 @@ def place_points(points: DataFrame, leaves: Leaves) -> DataFrame:
 
 
 def nearest(queries: DataFrame, points: DataFrame, key: str, cols: Sequence[str], k: int, payload: str | None = None,
-            exclude_self: bool = False, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+            exclude_self: bool = False, leaf_rows: int = LEAF_ROWS, metric: str = "euclidean") -> DataFrame:
     """(key, x, neighbours): the k nearest points as array<struct<dist, id, payload>>, ties by id.
 
     Both tables have `key` and numeric `cols`; with `exclude_self` a point is no neighbour of itself.
@@ -169,7 +191,7 @@ def nearest(queries: DataFrame, points: DataFrame, key: str, cols: Sequence[str]
             qx = np.stack(q["x"].to_numpy()).astype(float)
             px = np.stack(p["x"].to_numpy()).astype(float) if len(p) else np.zeros((0, qx.shape[1]))
             names = q["__q"].to_numpy()
-            for s, block in distances(qx, px):
+            for s, block in distances(qx, px, metric):
                 for i, row in enumerate(block):
                     if exclude_self:
                         row = np.where(ids == names[s + i], np.inf, row)
@@ -193,7 +215,7 @@ def nearest(queries: DataFrame, points: DataFrame, key: str, cols: Sequence[str]
         return first.select(F.col("__q").alias(key), "x", F.col("found").alias("neighbours"))
     first = first.persist()
     bound = F.when(F.size("found") >= k, F.col("found")[k - 1]["dist"]).otherwise(F.lit(float("inf")))
-    other = first.withColumn("leaf", F.explode(reach_column(boxes, F.col("x"), bound)))
+    other = first.withColumn("leaf", F.explode(reach_column(boxes, F.col("x"), bound, metric)))
     other = other.withColumn("__home", leaves.column(F.col("x"))).filter("leaf <> __home").select("__q", "x", "leaf")
     every = first.select("__q", "found").unionByName(visit(other))
     best = every.groupBy("__q").agg(F.slice(F.sort_array(F.flatten(F.collect_list("found"))), 1, k).alias("neighbours"))
@@ -201,7 +223,7 @@ def nearest(queries: DataFrame, points: DataFrame, key: str, cols: Sequence[str]
 
 
 def within_radius(queries: DataFrame, points: DataFrame, key: str, cols: Sequence[str], radius: float, group: str | None = None,
-                  value: str | None = None, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+                  value: str | None = None, leaf_rows: int = LEAF_ROWS, metric: str = "euclidean") -> DataFrame:
     """(key, group, n, total): number of points (and their value sum) within `radius`, per group of points.
 
     Equal places are added up first; a task sends sums, not neighbours.
@@ -215,7 +237,7 @@ def within_radius(queries: DataFrame, points: DataFrame, key: str, cols: Sequenc
     leaves = build_leaves(p0, "x", leaf_rows)
     placed = place_points(p0, leaves).persist()
     boxes = boxes_of(placed, "x", len(cols))
-    asked = q0.withColumn("leaf", F.explode(reach_column(boxes, F.col("x"), F.lit(float(radius)))))
+    asked = q0.withColumn("leaf", F.explode(reach_column(boxes, F.col("x"), F.lit(float(radius)), metric)))
     schema = f"__q {q0.schema['__q'].dataType.simpleString()}, label string, n long, total double"
 
     def search(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
@@ -227,7 +249,7 @@ def within_radius(queries: DataFrame, points: DataFrame, key: str, cols: Sequenc
             counts, sums = one * p["w"].to_numpy(float)[:, None], one * p["v"].to_numpy(float)[:, None]
             ids = q["__q"].to_numpy()
             px = np.stack(p["x"].to_numpy()).astype(float)
-            for s, block in distances(np.stack(q["x"].to_numpy()).astype(float), px):
+            for s, block in distances(np.stack(q["x"].to_numpy()).astype(float), px, metric):
                 near = (block <= radius).astype(float)
                 n, total = near @ counts, near @ sums
                 i, j = np.nonzero(n)

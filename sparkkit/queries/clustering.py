@@ -36,24 +36,24 @@ def kmeans(t):
 
 @query("L1")
 def hdbscan(t):
-    done = cl.hdbscan(_spend(t), "c_custkey", ["x1", "x2"], 8, levels=6)
+    done = cl.hdbscan(_spend(t), "c_custkey", ["x1", "x2"], 8)
     return done.select("key", "label", r("probability").alias("probability"), r("outlier_score").alias("outlier_score"))
 
 
 @query("L2")
 def hdbscan_by_dim(t):
     spend = t.orders.groupBy("o_custkey", "o_orderstatus").agg((F.sum("o_totalprice") / 1e5).alias("spend"))
-    return cl.hdbscan_by_dim(spend, "o_custkey", "o_orderstatus", "spend", ["F", "O", "P"], min_cluster_size=8, levels=5).select("key", "label")
+    return cl.hdbscan_by_dim(spend, "o_custkey", "o_orderstatus", "spend", ["F", "O", "P"], min_cluster_size=8).select("key", "label")
 
 
 @query("L3")
 def hdbscan_geo(t):
-    return cl.hdbscan_geo(_places(t), "c_custkey", "lat", "long", min_cluster_size=6, levels=5).select("key", "label")
+    return cl.hdbscan_geo(_places(t), "c_custkey", "lat", "long", min_cluster_size=6).select("key", "label")
 
 
 @query("L4 G19")
 def hdbscan_grouped(t):
-    return cl.hdbscan_grouped(_spend(t), "c_custkey", "c", ["x1", "x2"], min_cluster_size=6, levels=5).select("key", "label")
+    return cl.hdbscan_grouped(_spend(t), "c_custkey", "c", ["x1", "x2"], min_cluster_size=6).select("key", "label")
 
 
 @query("L7")

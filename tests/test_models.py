@@ -70,7 +70,7 @@ def test_nearest_neighbours_are_exact(blobs, leaf_rows):
 
 
 def test_hdbscan_finds_the_blobs(blobs):
-    got = cluster.hdbscan(blobs, "id", ["a", "b"], 10, levels=10, scaler="none", leaf_rows=30).toPandas().sort_values("key")
+    got = cluster.hdbscan(blobs, "id", ["a", "b"], 10, scaler="none", leaf_rows=30).toPandas().sort_values("key")
     labels = got["label"].to_numpy()
     assert len(got) == 175
     for part in (range(0, 60), range(60, 120), range(120, 160)):
@@ -86,7 +86,7 @@ def test_hdbscan_per_group_equals_each_group_alone(spark):
     wide = np.concatenate([rng.normal(size=(50, 2)) * 300 + c for c in ((0, 0), (9000, 0), (0, 9000))])
     data = [(i, "a" if i < len(near) else "b", float(x), float(y)) for i, (x, y) in enumerate(np.concatenate([near, wide]))]
     rows = spark.createDataFrame(data, "id long, k string, x double, y double")
-    options = {"min_cluster_size": 8, "levels": 4}
+    options = {"min_cluster_size": 8}
     both = cluster.hdbscan_grouped(rows, "id", "k", ["x", "y"], **options).toPandas().set_index("key")["number"]
     alone = cluster.hdbscan(rows.filter("k = 'a'"), "id", ["x", "y"], **options).toPandas().set_index("key")["label"]
     assert alone.nunique() > 1 and (both[alone.index] == alone).all()
