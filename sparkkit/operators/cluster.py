@@ -325,7 +325,7 @@ def mean_shift(df: DataFrame, key: str, cols: Sequence[str], bandwidth: float, m
     placed = nb.place_points(spots, leaves).persist()
     boxes = nb.boxes_of(placed, "x", d)
     bins = df.select(F.array(*[(F.rint(F.col(c) / bandwidth) * bandwidth).cast("double") for c in names]).alias("x")).distinct()
-    seeds = durable(bins.withColumn("__q", F.xxhash64("x")))
+    seeds = stored(bins.withColumn("__q", F.xxhash64("x")))
 
     def pull(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -344,7 +344,7 @@ def mean_shift(df: DataFrame, key: str, cols: Sequence[str], bandwidth: float, m
         sums = q.groupBy("leaf", "__salt").cogroup(p.groupBy("leaf", "__salt")).applyInPandas(lambda a, b: pull(a, b), "__q long, n double, total array<double>")
         mean = sums.groupBy("__q").agg(F.sum("n").alias("n"), *[F.sum(F.col("total")[i]).alias(f"t{i}") for i in range(d)])
         moved = seeds.withColumnRenamed("x", "old").join(mean, "__q").select("__q", "n", F.array(*[F.col(f"t{i}") / F.col("n") for i in range(d)]).alias("x"), "old")
-        moved = durable(moved.withColumn("step", distance.euclidean(F.col("x"), F.col("old"))))
+        moved = stored(moved.withColumn("step", distance.euclidean(F.col("x"), F.col("old"))))
         seeds = moved.select("__q", "x")
         if not moved.filter(F.col("step") > 1e-3 * bandwidth).take(1):
             break
@@ -365,7 +365,7 @@ def affinity_propagation(df: DataFrame, key: str, cols: Sequence[str], k: int =
     if preference is None:
         preference = exact_quantiles(edges, ["s"], [0.5])["s"][0] or 0.0
     own = df.select(F.col(key).alias("src"), F.col(key).alias("dst"), F.lit(float(preference)).alias("s"))
-    state = durable(edges.unionByName(own).withColumns({"r": F.lit(0.0), "a": F.lit(0.0)}))
+    state = stored(edges.unionByName(own).withColumns({"r": F.lit(0.0), "a": F.lit(0.0)}))
     for _step in range(max_iter):
         total = state.withColumn("t", F.col("s") + F.col("a"))
         # the two largest values per source come from one aggregation of bounded size (k + 1 edges)
@@ -376,7 +376,7 @@ def affinity_propagation(df: DataFrame, key: str, cols: Sequence[str], k: int =
                                          F.max(F.when(F.col("src") == F.col("dst"), F.col("r"))).alias("self"))
         other = F.col("pos") - F.greatest("r", F.lit(0.0))
         avail = F.when(F.col("src") == F.col("dst"), F.col("pos")).otherwise(F.least(F.lit(0.0), F.col("self") + other))
-        state = durable(new.join(support, "dst").withColumn("a", damping * F.col("a") + (1 - damping) * avail).select("src", "dst", "s", "r", "a"))
+        state = stored(new.join(support, "dst").withColumn("a", damping * F.col("a") + (1 - damping) * avail).select("src", "dst", "s", "r", "a"))
     exemplars = state.filter("src = dst and r + a > 0").select(F.col("dst"))
     reach = state.join(exemplars, "dst", "left_semi").groupBy("src").agg(F.max_by("dst", F.when(F.col("src") == F.col("dst"), 1e300).otherwise(F.col("s"))).alias("comp"))
     labelled = df.select(F.col(key).alias("key")).join(reach.withColumnRenamed("src", "key"), "key", "left")

@@ -685,7 +685,20 @@ def _voting(df, features, labels, kind, weight=None, estimators: Sequence[tuple[
     return apply, members, []
 
 
-_logistic = _ml(lambda max_iter=100, C=None, reg=0.0, l1=0.0, **_: mc.LogisticRegression(maxIter=max_iter, regParam=reg, elasticNetParam=l1))
+def _inverse_penalty(fit):
+    """`C` weighs the summed loss against the penalty; Spark's models weigh the mean loss, so their penalty is 1 / (C n)."""
+
+    def run(df, features, labels, kind, weight=None, C=None, **params):
+        if C is not None:
+            if "reg" in params:
+                raise ValueError("C or reg")
+            params["reg"] = 1.0 / (C * max(df.filter("__label is not null").count(), 1))
+        return fit(df, features, labels, kind, weight, **params)
+
+    return run
+
+
+_logistic = _ml(lambda max_iter=100, reg=0.0, l1=0.0, **_: mc.LogisticRegression(maxIter=max_iter, regParam=reg, elasticNetParam=l1))
 _svc_binary = _ml(lambda max_iter=100, reg=0.01, **_: mc.LinearSVC(maxIter=max_iter, regParam=reg))
 
 
@@ -732,7 +745,7 @@ _sgd = _ml(lambda max_iter=100, reg=1e-4, l1=0.0, **_: mr.LinearRegression(maxIt
 C, R = "classifier", "regressor"
 CATALOGUE: dict[str, tuple[str, Callable]] = {
     "DummyClassifier": (C, _dummy), "DummyRegressor": (R, _dummy),
-    "LogisticRegression": (C, _logistic), "LogisticRegressionCV": (C, _logistic_cv),
+    "LogisticRegression": (C, _inverse_penalty(_logistic)), "LogisticRegressionCV": (C, _logistic_cv),
     "DecisionTreeClassifier": (C, _ml(_tree(mc.DecisionTreeClassifier))), "DecisionTreeRegressor": (R, _ml(_tree(mr.DecisionTreeRegressor))),
     "ExtraTreeClassifier": (C, _ml(_tree(mc.RandomForestClassifier, numTrees=1, bootstrap=False, featureSubsetStrategy="sqrt"))),
     "ExtraTreeRegressor": (R, _ml(_tree(mr.RandomForestRegressor, numTrees=1, bootstrap=False, featureSubsetStrategy="onethird"))),
@@ -747,7 +760,7 @@ CATALOGUE: dict[str, tuple[str, Callable]] = {
     "BernoulliNB": (C, _naive_bayes("bernoulli")), "GaussianNB": (C, _naive_bayes("gaussian")), "MultinomialNB": (C, _naive_bayes("multinomial")),
     "KNeighborsClassifier": (C, _k_neighbours), "KNeighborsRegressor": (R, _k_neighbours),
     "RadiusNeighborsClassifier": (C, _radius_neighbours), "RadiusNeighborsRegressor": (R, _radius_neighbours),
-    "LinearSVC": (C, _svc), "SGDClassifier": (C, _svc), "SGDClassifierLog": (C, _logistic),
+    "LinearSVC": (C, _inverse_penalty(_svc)), "SGDClassifier": (C, _svc), "SGDClassifierLog": (C, _logistic),
     "LinearSVR": (R, _svr), "HuberRegressor": (R, _huber), "SGDRegressor": (R, _sgd),
     "Perceptron": (C, _online("perceptron")), "PassiveAggressiveClassifier": (C, _online("aggressive")),
     "PassiveAggressiveRegressor": (R, _online("regress")),

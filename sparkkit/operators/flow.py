@@ -235,6 +235,8 @@ def grid_search(df: DataFrame, spec: Sequence[Feature], estimator: str, grids: S
             every = prep.transform(rows)
             every = (reducer.transform(every) if reducer is not None else every).withColumn("__test", (F.col("fold") == f).cast("int"))
             parts = gram_by_group(every.withColumn("__y", F.col(y).cast("double")), [*columns, "__y"], "__test")
+            if not {0, 1} <= parts.keys():
+                raise ValueError(f"fold {f} of {cv} has no rows; fewer folds")
             own, held = linear.Moments.of(*parts[0], p), linear.Moments.of(*parts[1], p)
             for line, params in zip(scores, candidates):
                 w = linear.SOLVERS[estimator](own, **params)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import functools
 import operator
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from statistics import NormalDist
 
 import numpy as np
@@ -336,7 +336,7 @@ def _coefficients(rows: DataFrame, keys, columns, target: str, spec: ForecastSpe
 
 def fit_forecast(df: DataFrame, spec: ForecastSpec, holidays: DataFrame | None = None, lower_window: int = 0, upper_window: int = 0, steps: int = 2) -> ForecastModel:
     """Fit all series; rows without y are the future.  Series with fewer than three values and rows without a date keep null results."""
-    s = spec
+    s = replace(spec)  # seasons found here are not the caller's
     if s.growth == "logistic" and s.cap is None:
         raise ValueError("logistic growth needs a cap")
     for c, given in s.regressors.items():

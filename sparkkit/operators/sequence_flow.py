@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.spec import Feature, names_with
-from ..plans.durable import durable, scratch_folder
+from ..plans.durable import scratch_folder, stored as keep
 from ..plans.ordered import HOT_GROUP_ROWS, bounded_frame, match, with_position
 from . import estimators as est
 from . import flow, metrics
@@ -203,7 +203,7 @@ def fit_sequence(df: DataFrame, spec: Sequence[Feature], estimator: str, by: Seq
     if test_size:
         rows = with_position(known, by, order, "__pos", hot)
         sizes = known.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) * (1 - test_size)).alias("__train"))
-        rows = durable(match(rows, sizes, by).withColumn("__test", F.col("__pos") >= F.col("__train")).drop("__pos", "__train"))
+        rows = keep(match(rows, sizes, by).withColumn("__test", F.col("__pos") >= F.col("__train")).drop("__pos", "__train"))
         asked = rows.withColumn(y, F.when(~F.col("__test"), F.col(y)))
         keys = [*by, *order]
         found = train(rows.filter(~F.col("__test"))).predict(asked)
@@ -258,7 +258,7 @@ def _walk(model: SequenceModel, df: DataFrame, proba: bool) -> DataFrame:
         z = lambda i: model.target.scaled(model.target.raw(raw(i), {k: raw(i - F.lit(k)) for k in model.target.lags}))
     kept = [f"f{i}" for i in range(len(model.features))]
     made = F.transform(F.sequence(F.lit(0), F.size("__raw") - 1), lambda i: F.struct(*[F.get("__raw", i)[f].alias(f) for f in kept], raw(i).alias("y"), z(i).alias("z")))
-    state = durable(state.select(*by, made.alias("__state")).filter(F.size("__state") >= need))
+    state = keep(state.select(*by, made.alias("__state")).filter(F.size("__state") >= need))
     back = lambda k, f: F.try_element_at("__state", F.lit(-k))[f]
 
     results = []
@@ -280,7 +280,7 @@ def _walk(model: SequenceModel, df: DataFrame, proba: bool) -> DataFrame:
             shifted = F.when(done, F.slice(longer, F.greatest(F.size(longer) - width + 1, F.lit(1)), F.lit(width))).otherwise(F.col("__state"))
             now = scored.select(*by, "__rows", shifted.alias("__state"), (F.array(cell) if first else F.concat("__found", F.array(cell))).alias("__found"))
             first = False
-        now = durable(now)
+        now = keep(now)
         each = now.select(*by, F.inline(F.arrays_zip("__rows", "__found")))
         each = each.filter("__rows is not null").select(*by, *[F.col("__rows")["at"][o].alias(o) for o in order], "__found.*")
         results.append(each)

@@ -70,17 +70,17 @@ def birch(t):
 
 @query("L9")
 def spectral(t):
-    return cl.spectral(_vectors(t), "vec_id", [f"e{i}" for i in range(64)], 10, max_iter=5)
+    return cl.spectral(_vectors(t), "vec_id", [f"e{i}" for i in range(64)], 10)
 
 
 @query("L10")
 def mean_shift(t):
-    return cl.mean_shift(_spend(t), "c_custkey", ["x1", "x2"], 2.0, 6)
+    return cl.mean_shift(_spend(t), "c_custkey", ["x1", "x2"], 2.0)
 
 
 @query("L11")
 def affinity_propagation(t):
-    return cl.affinity_propagation(_spend(t), "c_custkey", ["x1", "x2"], 8, max_iter=4)
+    return cl.affinity_propagation(_spend(t), "c_custkey", ["x1", "x2"], 8)
 
 
 @query("L12")

@@ -61,6 +61,29 @@ def windowed_stats_stream(t):
     return _windows(st.latest(updates, ["event_type", "start", "end"]))
 
 
+SQL_SESSIONS = """e AS (SELECT user_id, ts, value, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER w <= 6 * 3600 * 1000000::BIGINT THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+n AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM e),
+sessions AS (SELECT user_id, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) + 6 * 3600 * 1000000::BIGINT AS end_us, count(*)::BIGINT AS n, avg(value) AS m FROM n GROUP BY user_id, k)"""
+
+
+def _sessions(df):
+    us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    return df.select("user_id", us("start").alias("start_us"), us("end").alias("end_us"), "n", r("mean", 3).alias("mean"))
+
+
+@query("S2", f"WITH {SQL_SESSIONS} SELECT user_id, start_us, end_us, n, {sr('m', 3)} AS mean FROM sessions")
+def session_stats(t):
+    return _sessions(st.session_stats(t.events, "ts", "value", "6 hours", ["user_id"]))
+
+
+@query("S2", f"WITH {SQL_SESSIONS} SELECT user_id, start_us, end_us, n, {sr('m', 3)} AS mean FROM sessions WHERE end_us <= (SELECT max(epoch_us(ts)) FROM events) - 3600 * 1000000::BIGINT")
+def session_stats_stream(t):
+    """The sessions that the watermark, an hour behind the last event, has closed."""
+    events = _stream(t, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    stats = st.session_stats(events, "ts", "value", "6 hours", ["user_id"], "1 hour")
+    return _sessions(_finished(t, stats, stats.schema))
+
+
 @query("S3")
 def extract_stream(t):
     found = st.extract_stream(_stream(t, "documents"), "doc_id", "text")

@@ -53,6 +53,18 @@ def windowed_stats(df: DataFrame, ts: str, x: str, y: str, length: str, lateness
                         F.try_divide(F.col("__c"), F.col("__a") * F.col("__b")).alias("correlation"), "mean_squared_error", "mean_absolute_error")
 
 
+def session_stats(df: DataFrame, ts: str, value: str, gap: str, by: Sequence[str], lateness: str | None = None) -> DataFrame:
+    """(by..., start, end, n, total, mean) per session: rows of a key that follow one another within `gap`.
+
+    The state is one row of sums per open session; a row that falls between two sessions merges them.  On a stream, rows later than
+    `lateness` are dropped and a session is returned once the watermark has passed its end, so the output mode is append.
+    """
+    rows = df.withWatermark(ts, lateness) if lateness else df
+    v = F.col(value).cast("double")
+    stats = rows.filter(F.col(ts).isNotNull()).groupBy(F.session_window(ts, gap), *by).agg(F.count(F.lit(1)).alias("n"), F.sum(v).alias("total"), F.avg(v).alias("mean"))
+    return stats.select(*by, F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), "n", "total", "mean")
+
+
 def write_updates(df: DataFrame, folder: str, checkpoint: str):
     """Run an aggregating stream; a batch stores the rows it changed under its number, so a repeated batch replaces its own."""
 

@@ -305,3 +305,24 @@ def test_grid_search_prepares_each_fold_alone(spark):
     minus_mae = lambda y, p: -F.avg(F.abs(y - p))
     scored, model = flow.grid_search(rows, spec, "Ridge", grid, scoring=minus_mae)
     assert scored.agg(F.max("score")).first()[0] < 0 and model.estimator == "Ridge"
+
+
+def test_a_specification_can_be_used_twice(spark):
+    days = pd.date_range("2024-01-01", periods=70)
+    rows = [("d", str(x.date()), 5.0 + (x.dayofweek == 5) * 3 + 0.01 * i) for i, x in enumerate(days)] + [("w", str(x.date()), 2.0 + 0.1 * i) for i, x in enumerate(days[::7])]
+    df = spark.createDataFrame(rows, "k string, ds string, y double").selectExpr("k", "to_date(ds) ds", "y")
+    spec = forecast.ForecastSpec(by=["k"], ds="ds", y="y")
+    fits = [forecast.fit_forecast(df, spec) for _ in range(2)]
+    assert not spec.seasons and fits[0].spec.seasons == fits[1].spec.seasons
+
+
+def test_inverse_penalty_acts(regression):
+    spark = regression.sparkSession
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(300, 2))
+    y = np.where(x[:, 0] + 0.5 * rng.normal(size=300) > 0, "b", "a")
+    df = spark.createDataFrame(pd.DataFrame({"p": x[:, 0], "q": x[:, 1], "y": y}))
+    size = [abs(estimators.fit_estimator("LogisticRegression", df, ["p", "q"], "y", C=c).model.coefficients[0]) for c in (0.001, 1.0)]
+    assert size[0] < 0.5 * size[1]
+    with pytest.raises(ValueError):
+        estimators.fit_estimator("LogisticRegression", df, ["p", "q"], "y", C=1.0, reg=0.1)

@@ -68,3 +68,17 @@ def test_query_matches_its_oracle(spark, name):
 
 def test_every_query_has_a_coverage_entry():
     assert all(q.operator for q in Q.load().values())
+
+
+def test_sessions_merge_and_close_behind_the_watermark(spark, tmp_path):
+    rows = [("a", 0), ("a", 50), ("a", 200), ("b", 10), ("a", 100), ("b", 400), ("b", 1000)]
+    df = spark.createDataFrame(rows, "k string, s long").selectExpr("k", "timestamp_seconds(s) ts", "cast(s as double) v")
+    want = {("a", 0, 160, 3), ("a", 200, 260, 1), ("b", 10, 70, 1), ("b", 400, 460, 1), ("b", 1000, 1060, 1)}
+    shown = lambda d: {tuple(r) for r in d.selectExpr("k", "unix_seconds(start)", "unix_seconds(end)", "n").collect()}
+    assert shown(st.session_stats(df, "ts", "v", "60 seconds", ["k"])) == want
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    df.limit(0).write.parquet(str(tmp_path / "none"))
+    stats = st.session_stats(st.read_stream(spark, str(tmp_path / "in"), df.schema), "ts", "v", "60 seconds", ["k"], "100 seconds")
+    st.write_stream(stats, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    # the watermark ends at 900: the last session stays open
+    assert shown(spark.read.schema(stats.schema).parquet(str(tmp_path / "out"))) == {w for w in want if w[2] <= 900}
