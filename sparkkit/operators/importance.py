@@ -11,28 +11,22 @@ from ..plans.ordered import match, with_position
 from . import metrics
 from .split import uniform
 
-BUCKET_ROWS = 100_000
-
 
 def shuffled_copies(df: DataFrame, key: str, features: Sequence[str], repeats: int, seed: int = 42) -> DataFrame:
     """Rows once per (feature, repeat) with that feature's values permuted, plus `__feature`, `__repeat`.
 
-    A permutation pairs two numberings of the same rows.  Both are made inside hash buckets of
-    bounded size, so neither a window nor a join key grows with the table.
+    A permutation pairs two numberings of all rows, one by the key and one by a number drawn from the key; whatever the number of
+    rows, values move over the whole table.
     """
-    n = max(df.count(), 1)
-    buckets = max(n // BUCKET_ROWS, 1)
     jobs = F.array(*[F.struct(F.lit(f).alias("__feature"), F.lit(i).alias("__repeat")) for f in features for i in range(repeats)])
     value = F.lit(None).cast("double")
     for f in features:
         value = F.when(F.col("__feature") == f, F.col(f"`{f}`").cast("double")).otherwise(value)
-    base = df.withColumn("__b", F.pmod(F.xxhash64(key), F.lit(buckets)))
-    numbered = with_position(base, ["__b"], [key], "__i")
-    copies = numbered.select("*", F.inline(jobs))
-    donors = copies.select("__b", "__feature", "__repeat", F.col(key).alias("__k"), value.alias("__value"),
+    copies = with_position(df, [], [key], "__i").select("*", F.inline(jobs))
+    donors = copies.select("__feature", "__repeat", F.col(key).alias("__k"), value.alias("__value"),
                            uniform(key, "__feature", "__repeat", seed).alias("__u"))
-    donors = with_position(donors, ["__b", "__feature", "__repeat"], ["__u", "__k"], "__i").select("__b", "__feature", "__repeat", "__i", "__value")
-    joined = match(copies, donors, ["__b", "__feature", "__repeat", "__i"])
+    donors = with_position(donors, ["__feature", "__repeat"], ["__u", "__k"], "__i").select("__feature", "__repeat", "__i", "__value")
+    joined = match(copies, donors, ["__feature", "__repeat", "__i"])
     replaced = [F.when(F.col("__feature") == c, F.col("__value")).otherwise(F.col(f"`{c}`").cast("double")).alias(c) if c in set(features) else F.col(f"`{c}`")
                 for c in df.columns]
     return joined.select(*replaced, "__feature", "__repeat")

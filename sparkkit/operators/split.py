@@ -61,16 +61,11 @@ def split_texts(df: DataFrame, text: str, test: float = 0.3, seed: int = 42) ->
     return df.withColumn("subset", F.when(uniform(text, seed) < test, "test").otherwise("train"))
 
 
-def shuffled_column(df: DataFrame, key: str, col: str, seed, out: str, bucket_rows: int = 100_000) -> DataFrame:
-    """Permutation of a column: rows and values are numbered in two orders inside hash buckets."""
-    n = max(df.count(), 1)
-    buckets = max(n // bucket_rows, 1)
-    where = F.pmod(F.xxhash64(key), F.lit(buckets))
-    rows = with_position(df.withColumn("__b", where), ["__b"], [key], "__i")
-    values = with_position(
-        df.select(where.alias("__b"), F.col(col).alias(out), uniform(key, str(seed), col).alias("__u"), F.col(key).alias("__k")),
-        ["__b"], ["__u", "__k"], "__i").select("__b", "__i", out)
-    return match(rows, values, ["__b", "__i"]).drop("__b", "__i")
+def shuffled_column(df: DataFrame, key: str, col: str, seed, out: str) -> DataFrame:
+    """Permutation of a column: rows and values are numbered in two orders of the whole table."""
+    rows = with_position(df, [], [key], "__i")
+    values = with_position(df.select(F.col(col).alias(out), uniform(key, seed).alias("__u"), F.col(key).alias("__k")), [], ["__u", "__k"], "__i")
+    return match(rows, values.select("__i", out), ["__i"]).drop("__i")
 
 
 def profile_features(df: DataFrame, spec: Sequence, model_name: str = "model") -> DataFrame:

@@ -140,3 +140,24 @@ def test_rank_matrix_equals_the_pairs(spark):
         for x, y in got:
             want = correlate(df.dropna(subset=[x, y]).select(F.col(x).alias("x"), F.col(y).alias("y")), "x", "y", [], method).first()["correlation"]
             assert abs(got[x, y] - want) < 1e-9
+
+
+def test_permutations_move_values_over_the_whole_table(spark):
+    from sparkkit.operators import importance, split
+
+    df = spark.range(3000).selectExpr("id", "cast(id as double) a", "cast(id % 7 as double) b").repartition(6)
+    copies = importance.shuffled_copies(df, "id", ["a", "b"], 2).toPandas()
+    for (feature, _), part in copies.groupby(["__feature", "__repeat"]):
+        assert len(part) == 3000 and sorted(part["id"]) == list(range(3000))
+        assert sorted(part["a"]) == list(range(3000)) and (part["a"] == part["id"]).all() == (feature != "a")
+    moved = split.shuffled_column(df, "id", "a", 1, "other").toPandas()
+    assert sorted(moved["other"]) == list(range(3000)) and (moved["other"] != moved["id"]).mean() > 0.9
+
+
+def test_theil_sen_on_one_feature(spark):
+    from sparkkit.operators import estimators
+
+    df = spark.range(500).selectExpr("cast(id as double) x", "cast(if(id % 10 = 0, 1000, 3 * id + 2) as double) y")
+    model = estimators.fit_estimator("TheilSenRegressor", df, ["x"], "y")
+    got = {r["x"]: r["prediction"] for r in model.predict(df).filter("x in (1, 101)").collect()}
+    assert abs(got[101.0] - got[1.0] - 300) < 15
