@@ -262,7 +262,7 @@ def brute_syncmers(text):
 
     words = []
     for w in "".join(c if c not in " \t\n\v\f\r" else " " for c in text).split(" "):
-        words += [w[i : i + 16] for i in range(0, len(w), 16)]
+        words += list(w) if len(w) > 16 else [w] * bool(w)
     words = [signed(h(w.encode(), 42)) for w in words]
     if len(words) < 5:
         return [(0, None)] * bool(words)
@@ -272,7 +272,7 @@ def brute_syncmers(text):
 
 def test_anchors_against_brute_force(spark):
     rng = random.Random(8)
-    texts = [" ".join(words_of(rng, n)) for n in (0, 1, 4, 5, 6, 7, 60, 800)] + ["x" * 3_000, "é" * 90 + "\n\n" + "ß " * 40, "same " * 50]
+    texts = [" ".join(words_of(rng, n)) for n in (0, 1, 4, 5, 6, 7, 60, 800)] + ["x" * 3_000, "a b " + "xyz" * 7 + " " + "y" * 16 + " c d " + "语" * 17, "é" * 90 + "\n\n" + "ß " * 40, "same " * 50]
     df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
     for r in df.select("id", syncmers.anchors(F.col("text")).alias("a")).collect():
         want = brute_syncmers(texts[r["id"]])
@@ -280,6 +280,40 @@ def test_anchors_against_brute_force(spark):
         assert [p for p, _ in got] == [p for p, _ in want] and all(h in (None, x) for (_, x), (_, h) in zip(got, want))
 
 
+def brute_likeness(a, b):
+    first = [{}, {}]
+    for seen, anchors in zip(first, (a, b)):
+        for pos, h in anchors:
+            seen.setdefault(h, pos)
+    a, b = first
+    if not a and not b:
+        return 1.0
+    width = max(syncmers.LEAST_BAND, max([*a.values(), *b.values()]) // syncmers.BAND)
+    moved = [b[h] - p for h, p in a.items() if h in b]
+    best = max([sum((o + shift) // width == (m + shift) // width for o in moved) for shift in (0, width // 2) for m in set(moved)], default=0)
+    return best / (len(a) + len(b) - best)
+
+
+def test_likeness_of_positions(spark):
+    rng = random.Random(10)
+    fresh = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    one, two, passage = fresh(10_000), fresh(10_000), fresh(200)
+    runs = "".join(chr(0x4E00 + rng.randrange(5_000)) for _ in range(3_000))
+    filler = fresh(300)
+    pairs = [(one + " " + two, two + " " + one), (one + " " + passage, passage + " " + two), (one, one), (one, two), ("", ""), ("", "a"), ("a b", "a b"),
+             (runs, "x" + runs), (runs, runs[:1500] + "x" + runs[1500:]), (one, fresh(20) + " " + one), (filler + " " + passage + " " + filler, passage + " " + filler),
+             *[(" ".join(words_of(rng, 400)), " ".join(words_of(rng, 300))) for _ in range(5)], ("same " * 500, "same " * 300), (one, one.replace(" w1", " v1"))]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "id long, a string, b string").repartition(4)
+    tables = df.select("id", syncmers.table(F.col("a")).alias("a"), syncmers.table(F.col("b")).alias("b"))
+    got = [r["n"] for r in tables.select("id", syncmers.likeness(F.col("a"), F.col("b")).alias("n")).orderBy("id").collect()]
+    assert abs(got[0] - 1 / 3) < 0.01 and 0 < got[1] < 0.03 and got[2:7] == [1, 0, 1, 0, 1]
+    assert got[7] > 0.99 and got[8] > 0.99 and got[9] > 0.99
+    known = [i for i, p in enumerate(pairs) if all(len(t.split()) > 4 or not t or len(t) > 80 for t in p)]
+    for i in known:
+        want = brute_likeness(*[brute_syncmers(t) for t in pairs[i]])
+        assert got[i] == pytest.approx(want), i
+
+
 def test_fingerprints_of_edited_and_next_texts(spark):
     rng = random.Random(9)
     texts = near_texts(rng, 25) + ["", "one", "one two", "\t", "w " * 30_000]
@@ -297,6 +331,10 @@ def test_fingerprints_of_edited_and_next_texts(spark):
         hashes = sorted({h for _, h in brute_syncmers(text)}) if len(text.split()) > 4 else None
         if hashes and max(len(w) for w in text.split()) <= 16:
             assert r["fingerprint"] == "".join(f"{h & (1 << 64) - 1:016x}" for h in hashes[: syncmers.KEPT])
+        edited = text[: len(text) - half] + after[:half]
+        for name, other in (("near_edited", edited), ("near_next", after)):
+            if all(len(brute_syncmers(t)) != 1 for t in (text, other)):
+                assert r[name] == pytest.approx(brute_likeness(brute_syncmers(text), brute_syncmers(other)))
         if text == after:
             assert r["near_next"] == 1
     assert np.mean([r["near_edited"] for r in got.values()]) > 0.2
