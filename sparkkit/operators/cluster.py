@@ -8,6 +8,7 @@ several leaves have seen.  Equal places count as one weighted point.
 from __future__ import annotations
 
 import functools
+import math
 import operator
 from collections.abc import Sequence
 
@@ -24,7 +25,7 @@ from ..functions.scale import exact_quantiles, fit_scaler, group_quantiles, scal
 from ..plans import neighbours as nb
 from ..plans.durable import durable, stored
 from ..plans.ordered import match, with_position
-from . import hierarchy
+from . import cells, hierarchy
 from .relational import groups_larger_than, pivot
 from .reduce import covariance
 
@@ -37,10 +38,10 @@ def _points(df: DataFrame, key: str, cols: Sequence[str], extra: Sequence[str] =
     return rows, places
 
 
-def _union(x: np.ndarray, eps: float) -> np.ndarray:
+def _union(x: np.ndarray, eps: float, metric: str = "euclidean") -> np.ndarray:
     """Smallest row number connected to each row by steps of at most eps."""
     parent = np.arange(len(x))
-    for s, block in nb.distances(x, x):
+    for s, block in nb.distances(x, x, metric):
         near = block <= eps
         for i in range(len(block)):
             roots = parent[np.flatnonzero(near[i])]
@@ -81,20 +82,20 @@ def connected_components(nodes: DataFrame, edges: DataFrame, keys: Sequence[str]
     raise RuntimeError("components did not settle")
 
 
-def density_components(cores: DataFrame, boxes, keys: Sequence[str] = ()) -> DataFrame:
+def density_components(cores: DataFrame, boxes, keys: Sequence[str] = (), metric: str = "euclidean") -> DataFrame:
     """(keys..., id, comp) of places with `leaf`, `x`, `eps`, connected by steps of at most eps.
 
     A task holds one leaf (per key) and the places within eps of its box; a place seen by several
     leaves ties their pieces together.
     """
     keys = list(keys)
-    seen = cores.withColumn("task", F.explode(nb.reach_column(boxes, F.col("x"), F.col("eps"))))
+    seen = cores.withColumn("task", F.explode(nb.reach_column(boxes, F.col("x"), F.col("eps"), metric)))
     types = {f.name: f.dataType.simpleString() for f in cores.schema}
     fields = ", ".join([*[f"{k} {types[k]}" for k in keys], f"id {types['id']}", f"root {types['id']}", "home boolean"])
 
     def local(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id", ignore_index=True)
-        root = _union(np.stack(pdf["x"].to_numpy()).astype(float), float(pdf["eps"].iloc[0]))
+        root = _union(np.stack(pdf["x"].to_numpy()).astype(float), float(pdf["eps"].iloc[0]), metric)
         return pdf[[*keys, "id"]].assign(root=pdf["id"].to_numpy()[root], home=(pdf["leaf"] == pdf["task"]).to_numpy())
 
     pieces = durable(seen.groupBy(*keys, "task").applyInPandas(local, fields))
@@ -118,20 +119,43 @@ def _numbered(labelled: DataFrame, comp: str, by: Sequence[str] = ()) -> DataFra
     return labelled.join(numbers, comp, "left").select("key", F.coalesce("label", F.lit(-1).cast("long")).alias("label"))
 
 
-def dbscan(df: DataFrame, key: str, cols: Sequence[str], eps: float, min_samples: int = 5, leaf_rows: int = nb.LEAF_ROWS) -> DataFrame:
-    """(key, label); a border point joins the smallest-numbered cluster that reaches it."""
+def dbscan(df: DataFrame, key: str, cols: Sequence[str], eps: float, min_samples: int = 5, leaf_rows: int = nb.LEAF_ROWS, metric: str = "euclidean") -> DataFrame:
+    """(key, label); a border point joins the smallest-numbered cluster that reaches it, a row without a finite place is noise.
+
+    `metric` is one of `nb.METRICS`, or haversine for (latitude, longitude) in degrees and `eps` in radians.  Up to three coordinates
+    are clustered on a graph of cells (`operators.cells`), more on leaves of space.
+    """
+    cols = list(cols)
+    if metric == "haversine":
+        # the chord of an angle grows with it
+        df, cols, eps, metric = _on_sphere(df, *cols), ["__sx", "__sy", "__sz"], 2 * math.sin(min(eps, math.pi) / 2), "euclidean"
+    if metric not in nb.METRICS:
+        raise ValueError(f"{metric!r} is neither haversine nor one of {nb.METRICS}")
     rows, places = _points(df, key, cols)
-    places = places.persist()
+    places = stored(places.filter(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))))
+    # cell numbers are exact up to 2^52
+    widest = places.agg(F.max(F.array_max(F.transform("x", F.abs)))).first()[0] or 0.0
+    if len(cols) <= cells.DIMENSIONS and eps > 0 and widest / cells.side_of(eps, len(cols), metric) < 2.0**52:
+        spread = places.select("id", "weight", *[F.col("x")[i].alias(f"x{i}") for i in range(len(cols))])
+        found = cells.labels(spread, len(cols), eps, min_samples, metric, leaf_rows)
+    else:
+        found = _leaf_labels(places, cols, eps, min_samples, leaf_rows, metric)
+    named = places.select("id", "x").join(found, "id").select("x", "comp")
+    return _numbered(match(rows, named, ["x"], "left").select("key", "comp"), "comp")
+
+
+def _leaf_labels(places: DataFrame, cols: Sequence[str], eps: float, min_samples: int, leaf_rows: int, metric: str) -> DataFrame:
+    """(id, comp) of places (id, x, weight) in a component, on leaves of space."""
     leaves = nb.build_leaves(places, "x", leaf_rows)
     spread = places.select("id", "weight", *[F.col("x")[i].alias(c) for i, c in enumerate(cols)])
-    counts = nb.within_radius(spread, spread, "id", cols, eps, None, "weight", leaf_rows).select("id", F.col("total").alias("near"))
+    counts = nb.within_radius(spread, spread, "id", cols, eps, None, "weight", leaf_rows, metric).select("id", F.col("total").alias("near"))
     placed = places.join(counts, "id").withColumn("leaf", leaves.column(F.col("x"))).withColumn("eps", F.lit(float(eps))).persist()
     boxes = nb.boxes_of(placed, "x", len(cols))
     cores = placed.filter(F.col("near") >= min_samples)
-    comps = durable(density_components(cores.select("id", "x", "leaf", "eps"), boxes))
+    comps = durable(density_components(cores.select("id", "x", "leaf", "eps"), boxes, metric=metric))
     inside = cores.join(comps, "id").select("x", "comp", "leaf")
     border = placed.filter(F.col("near") < min_samples).select(F.col("id").alias("__q"), "x", "eps")
-    asked = border.withColumn("leaf", F.explode(nb.reach_column(boxes, F.col("x"), F.col("eps")))).drop("eps")
+    asked = border.withColumn("leaf", F.explode(nb.reach_column(boxes, F.col("x"), F.col("eps"), metric))).drop("eps")
     kind = placed.schema["id"].dataType.simpleString()
 
     def reach(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
@@ -139,7 +163,7 @@ def dbscan(df: DataFrame, key: str, cols: Sequence[str], eps: float, min_samples
         if len(q) and len(p):
             p = p.sort_values("comp")
             names, ids = p["comp"].to_numpy(), q["__q"].to_numpy()
-            for s, block in nb.distances(np.stack(q["x"].to_numpy()).astype(float), np.stack(p["x"].to_numpy()).astype(float)):
+            for s, block in nb.distances(np.stack(q["x"].to_numpy()).astype(float), np.stack(p["x"].to_numpy()).astype(float), metric):
                 near = block <= eps
                 hit = np.flatnonzero(near.any(axis=1))
                 out["__q"] += ids[s + hit].tolist()
@@ -149,9 +173,7 @@ def dbscan(df: DataFrame, key: str, cols: Sequence[str], eps: float, min_samples
     q, p = nb.salted(asked, inside, leaf_rows)
     reached = q.groupBy("leaf", "__salt").cogroup(p.groupBy("leaf", "__salt")).applyInPandas(lambda a, b: reach(a, b), f"__q {kind}, comp {kind}")
     reached = reached.groupBy(F.col("__q").alias("id")).agg(F.min("comp").alias("comp"))
-    label_of = placed.select("id", "x").join(comps.unionByName(reached.select("id", "comp")), "id", "left")
-    labelled = rows.join(label_of.select("x", "comp"), "x", "left")
-    return _numbered(labelled.select("key", "comp"), "comp")
+    return comps.select("id", "comp").unionByName(reached.select("id", "comp"))
 
 
 # ---- density hierarchy ---------------------------------------------------------------------

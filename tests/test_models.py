@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkkit.functions import scale
 from sparkkit.functions.spec import Feature
-from sparkkit.operators import cluster, estimators, flow, forecast, linear, reduce, rules, score
+from sparkkit.operators import cells, cluster, estimators, flow, forecast, linear, reduce, rules, score
 from sparkkit.plans import neighbours
 from sparkkit.plans.gram import gram_matrix
 from sparkkit.sources import registry
@@ -23,8 +23,17 @@ def blobs(spark):
     return spark.createDataFrame(pd.DataFrame({"id": np.arange(len(x)), "a": x[:, 0], "b": x[:, 1]})).repartition(5).persist()
 
 
-def brute_dbscan(x, eps, k):
-    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+def all_distances(x, metric):
+    gaps = np.abs(x[:, None] - x[None])
+    if metric == "haversine":
+        lat, long = np.radians(x).T
+        h = np.sin((lat[:, None] - lat) / 2) ** 2 + np.cos(lat[:, None]) * np.cos(lat) * np.sin((long[:, None] - long) / 2) ** 2
+        return 2 * np.arcsin(np.minimum(np.sqrt(h), 1))
+    return {"euclidean": np.sqrt((gaps**2).sum(axis=2)), "manhattan": gaps.sum(axis=2), "chebyshev": gaps.max(axis=2)}[metric]
+
+
+def brute_dbscan(x, eps, k, metric="euclidean"):
+    d = all_distances(x, metric)
     near = d <= eps
     core = near.sum(axis=1) >= k
     label = np.full(len(x), -1)
@@ -56,6 +65,47 @@ def test_dbscan_across_leaves(blobs, leaf_rows):
     assert ((got == -1) == (want == -1)).all()
 
 
+@pytest.mark.parametrize("metric, d, eps, chunk", [("euclidean", 2, 0.5, 7), ("manhattan", 3, 1.2, 1000), ("chebyshev", 1, 0.05, 3), ("haversine", 2, 0.04, 1000), ("manhattan", 4, 1.5, 30)])
+def test_dbscan_by_metric(spark, metric, d, eps, chunk):
+    rng = np.random.default_rng(d)
+    x = np.vstack([rng.normal(0, 0.6, (70, d)), rng.uniform(-6, 6, (90, d)), rng.normal(3, 0.1, (60, d)), np.full((9, d), -4.0)]) * (10 if metric == "haversine" else 1)
+    names = [f"c{i}" for i in range(d)]
+    df = spark.createDataFrame(pd.DataFrame(x, columns=names).assign(id=np.arange(len(x)))).repartition(3)
+    got = cluster.dbscan(df, "id", names, eps, 4, chunk, metric).toPandas().sort_values("key")["label"].to_numpy()
+    want = brute_dbscan(x, eps, 4, metric)
+    assert len(got) == len(x) and partition(got) == partition(want) and ((got == -1) == (want == -1)).all()
+
+
+def test_cells_are_joined_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(cells, "BLOCK", {2: 3})
+    x = np.array([[0.3 * i, 2 * np.sin(i / 4)] for i in range(60)] + [[40.0, 0.0], [40.2, 0.0]])
+    df = spark.createDataFrame([(f"n{i:02d}", *map(float, p)) for i, p in enumerate(x)], "id string, a double, b double")
+    got = cluster.dbscan(df, "id", ["a", "b"], 0.8, 2).toPandas().sort_values("key")["label"].to_numpy()
+    assert partition(got) == partition(brute_dbscan(x, 0.8, 2)) and len(partition(got)) == 2
+
+
+def test_dbscan_of_cells_that_only_inner_cores_tie(spark):
+    # neighbouring cells whose outermost cores are apart; a row without a place; an empty table
+    x = np.array([[0.1, 0.1], [0.1, 0.65], [0.69, 0.35], [1.35, 0.9], [1.35, 0.02], [0.9, 0.66], [30.0, 30.0]])
+    rows = [(i, *map(float, p)) for i, p in enumerate(x)] + [(90, None, 1.0), (91, float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    for eps, k in ((0.4, 1), (0.6, 2), (0.6, 3), (50.0, 3)):
+        got = {r["key"]: r["label"] for r in cluster.dbscan(df, "id", ["a", "b"], eps, k).collect()}
+        assert got.pop(90) == got.pop(91) == -1
+        assert partition(np.array([got[i] for i in range(len(x))])) == partition(brute_dbscan(x, eps, k))
+    assert cluster.dbscan(df.limit(0), "id", ["a", "b"], 1.0).count() == 0
+
+
+def test_few_rows_meet_a_cell_at_every_eps(spark):
+    rng = np.random.default_rng(5)
+    x = np.vstack([rng.normal(0, 1, (2_000, 2)), rng.uniform(-8, 8, (2_000, 2))])
+    places = spark.createDataFrame(pd.DataFrame({"id": np.arange(len(x)), "x0": x[:, 0], "x1": x[:, 1], "weight": 1})).persist()
+    for eps in (0.01, 0.1, 0.5, 2.0, 20.0):
+        c = cells.Cells(places, 2, eps, 5, "euclidean")
+        sparse = c.places.filter("not dense").select("id", "cell", "x0", "x1")
+        assert c.within(sparse, c.places.select("id", "cell", "weight", "x0", "x1"))[0].count() <= 12 * len(x)
+
+
 @pytest.mark.parametrize("leaf_rows", [8, 1000])
 def test_nearest_neighbours_are_exact(blobs, leaf_rows):
     pdf = blobs.toPandas().sort_values("id", ignore_index=True)
