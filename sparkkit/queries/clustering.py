@@ -12,17 +12,28 @@ from .learning import SQL_SPEND, _spend
 from .scoring import _vectors
 
 
-@query("L5", f"""WITH RECURSIVE {SQL_SPEND}, e AS (SELECT a.c_custkey AS a, b.c_custkey AS b FROM spend a, spend b WHERE sqrt(pow(a.x1 - b.x1, 2) + pow(a.x2 - b.x2, 2)) <= 0.3),
+def _density_sql(points: str, near: str) -> str:
+    """Labels of `p` (key, ..) when `near` says which of `a` and `b` are within reach and five rows make a core."""
+    return f"""WITH RECURSIVE {points}, e AS (SELECT a.key AS a, b.key AS b FROM p a, p b WHERE {near}),
 n AS (SELECT a, count(*) AS n FROM e GROUP BY 1), c AS (SELECT a FROM n WHERE n >= 5), ce AS (SELECT e.a, e.b FROM e SEMI JOIN c ON e.a = c.a WHERE e.b IN (SELECT a FROM c)),
 l AS (SELECT a, a AS root FROM c UNION SELECT ce.b, l.root FROM l JOIN ce ON l.a = ce.a),
 m AS (SELECT a, min(root) AS root FROM l GROUP BY 1),
-b AS (SELECT spend.c_custkey AS key, coalesce(any_value(own.root), min(m.root)) AS root FROM spend LEFT JOIN m own ON own.a = spend.c_custkey LEFT JOIN e ON e.a = spend.c_custkey LEFT JOIN m ON m.a = e.b GROUP BY 1),
+b AS (SELECT p.key, coalesce(any_value(own.root), min(m.root)) AS root FROM p LEFT JOIN m own ON own.a = p.key LEFT JOIN e ON e.a = p.key LEFT JOIN m ON m.a = e.b GROUP BY 1),
 f AS (SELECT root, row_number() OVER (ORDER BY k) - 1 AS label FROM (SELECT root, min(key) AS k FROM b WHERE root IS NOT NULL GROUP BY 1))
-SELECT key, coalesce(label, -1)::BIGINT AS label FROM b LEFT JOIN f USING (root)""")
+SELECT key, coalesce(label, -1)::BIGINT AS label FROM b LEFT JOIN f USING (root)"""
+
+
+@query("L5", _density_sql(f"{SQL_SPEND}, p AS (SELECT c_custkey AS key, x1, x2 FROM spend)", "sqrt(pow(a.x1 - b.x1, 2) + pow(a.x2 - b.x2, 2)) <= 0.3"))
 def dbscan(t):
     return cl.dbscan(_spend(t), "c_custkey", ["x1", "x2"], 0.3, 5)
 
 
+@query("L5", _density_sql("p AS (SELECT c_custkey AS key, radians(c_custkey % 90 - 44.75) AS lat, radians(c_custkey % 360 - 179.5) AS long FROM customer)",
+                          "2 * asin(sqrt(pow(sin((a.lat - b.lat) / 2), 2) + cos(a.lat) * cos(b.lat) * pow(sin((a.long - b.long) / 2), 2))) <= 0.03"))
+def dbscan_geo(t):
+    return cl.dbscan(_places(t), "c_custkey", ["lat", "long"], 0.03, 5, metric="haversine")
+
+
 @query("L6", f"""WITH {SQL_SPEND}, d AS (SELECT c_custkey AS key, pow(x1 - 2, 2) + pow(x2 - 8, 2) AS a, pow(x1 - 5, 2) + pow(x2 - 10, 2) AS b, pow(x1 - 8, 2) + pow(x2 - 12, 2) AS c FROM spend)
 SELECT key, CASE WHEN a <= b AND a <= c THEN 0 WHEN b <= c THEN 1 ELSE 2 END::BIGINT AS label FROM d""")
 def assign_to_centres(t):
