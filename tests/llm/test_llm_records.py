@@ -6,6 +6,7 @@ import zlib
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sparkkit.llm import licences, mix, packing, url_filter, warc
@@ -170,28 +171,77 @@ def test_licences_are_found_and_inherited(spark):
     assert licences.scan(df.limit(0)).count() == 0
 
 
+def _wrap(text, width, before=""):
+    import textwrap
+
+    return "\n".join(before + line for line in textwrap.wrap(text, width))
+
+
+def test_full_texts_wrapped_headers_and_long_files(spark):
+    mit, bsd3 = licences.TEMPLATES["MIT"][1], licences.TEMPLATES["BSD-3-Clause"][0]
+    apache, gpl = licences.TEMPLATES["Apache-2.0"][2], licences.TEMPLATES["GPL-3.0"][2]
+    prose = "The quick brown fox jumps over the lazy dog and the work goes on under the sun. "
+    files = [(1, "m/LICENSE", "MIT License\n\nCopyright (c) 2020 A. Writer\n\n" + _wrap(mit, 78)), (2, "m/src/x.c", prose), (3, "b/COPYING", "Copyright 2021 Someone\n" + _wrap(bsd3, 70)),
+             (4, "s/a.py", "#!/usr/bin/env python\n" + _wrap(apache, 60, "# ") + "\nimport os\n" + prose * 50), (5, "s/b.py", prose * 3 + gpl + " " + prose * 3),
+             (6, "s/c.py", "# Released\n#\n# under the\n# MIT License.\n" + prose), (7, "s/d.py", prose * 20_000),
+             (8, "s/e.py", (prose + "\n") * 50_000 + _wrap(mit, 40, " * ") + ("\n" + prose) * 50_000), (9, "s/f.py", "software license work version " * 20_000)]
+    files += [(i, f"z/{i}", prose + str(i)) for i in range(10, 60)]
+    df = spark.createDataFrame(files, "id long, path string, text string")
+    got = {r["id"]: (r["licence"], r["origin"]) for r in licences.scan(df).collect()}
+    want = {1: ("MIT", "file"), 2: ("MIT", "inherited"), 3: ("BSD-3-Clause", "file"), 4: ("Apache-2.0", "header"), 5: ("GPL-3.0", "header"), 6: ("MIT", "header"), 8: ("MIT", "header")}
+    assert got == {i: want.get(i, (None, None)) for i, _, _ in files}
+
+
+def test_common_words_weigh_little_at_every_table_size(spark):
+    notice = "Distributed under the MIT License by the authors."
+    found = []
+    for n in (20, 400):
+        texts = [("x", notice)] + [("y", f"the words by the authors under the number {i}") for i in range(n)]
+        got = licences.scores(spark.createDataFrame(texts, "name string, text string"), {"MIT": ["Released under the MIT License."]}, 0.5).collect()
+        found.append(got[0]["cosine"])
+    # the weight of words in nearly all files does not grow with the table
+    assert len(found) == 2 and abs(found[0] - found[1]) < 0.05
+
+
 def test_licence_cosines_against_brute_force(spark):
     import math
     import re
     from collections import Counter
 
     rng = random.Random(6)
-    vocabulary = ["licensed", "under", "the", "mit", "apache", "license", "version", "2.0", "released", "foo", "bar", "baz"]
-    docs = [(i, "f", "\n".join(" ".join(rng.choices(vocabulary, k=rng.randint(0, 7))) for _ in range(rng.randint(1, 4)))) for i in range(400)]
-    terms = lambda t: re.findall(r"[^\W_]+(?:[.\-][^\W_]+)*", t.lower())
-    df = Counter(t for d in docs for t in set(terms(d[2])))
-    known = {t for x in licences.TEMPLATES.values() for t in terms(x)}
-    idf = lambda t: math.log((1 + len(docs)) / (1 + (df[t] if t in known else 0))) + 1
-    unit = lambda c: {t: n * idf(t) / math.sqrt(sum((m * idf(u)) ** 2 for u, m in c.items())) for t, n in c.items()}
-    want = {}
-    for i, _, text in docs:
-        lines = text.split("\n")
-        for n in licences.SPANS:
-            for s in range(len(lines) - n + 1):
-                v = unit(Counter(terms("\n".join(lines[s : s + n]))))
-                for name, template in licences.TEMPLATES.items():
-                    c = sum(w * v.get(t, 0) for t, w in unit(Counter(terms(template))).items())
-                    if c >= licences.LEAST_COSINE:
-                        want[i] = max(want.get(i, 0), round(c, 9))
-    frame = spark.createDataFrame(docs, "id long, name string, text string")
-    assert {r["id"]: round(r["cosine"], 9) for r in licences.scores(frame, licences.TEMPLATES).collect()} == want and len(want) > 3
+    templates = {"B": ["Released under the MIT License."], "A": ["licensed under the apache license, version 2.0. foo bar", "bar bar baz mit"]}
+    vocabulary = ["licensed", "under", "the", "mit", "apache", "license", "version", "2.0", "released", "foo", "bar", "baz", "qux"]
+    docs = []
+    for i in range(300):
+        lines = [" ".join(rng.choice(vocabulary) + rng.choice(["", "", "", ".", ";"]) for _ in range(rng.randint(0, 5))) for _ in range(rng.randint(0, 12))]
+        docs.append((rng.choice(["LICENSE", "a.c"]), None if i % 50 == 0 else "\n".join(lines)))
+    docs += docs[:20]
+    words = lambda t: re.findall(r"[^\W_]+(?:[.\-][^\W_]+)*", t.lower())
+    df = Counter(t for _, d in docs if d is not None for t in set(words(d)))
+    idf = lambda t: math.log((1 + len(docs)) / (1 + df[t])) + 1
+
+    def cosine(x, y):
+        x, y = ({t: m * idf(t) for t, m in Counter(z).items()} for z in (x, y))
+        length = math.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values()))
+        return sum(v * y.get(t, 0) for t, v in x.items()) / length if length else 0.0
+
+    want = Counter()
+    for name, text in docs:
+        if text is None:
+            continue
+        units = [u for u in map(words, re.split(r"[\r\n]+|(?<=[.!?;:])\s+", text)) if u]
+        best = []
+        for licence in sorted(templates):
+            for template in map(words, templates[licence]):
+                spans = [sum(units[s:e], []) for s in range(len(units)) for e in range(s + 1, len(units) + 1)]
+                tried = [x for x in spans if len(x) <= 2 * len(template)] + ([words(text)] if name == "LICENSE" else [])
+                best.append((max([cosine(x, template) for x in tried], default=0.0), licence))
+        high = max(c for c, _ in best)
+        if high >= 0.8:
+            licence = min(a for c, a in best if c > high - 1e-12)
+            want[(name, text, licence, round(high, 9))] = 1
+    frame = spark.createDataFrame(docs, "name string, text string")
+    keyed = frame.select("name", "text", licences.text_key(F.col("name"), F.col("text")).alias("key")).distinct()
+    got = licences.scores(frame, templates).join(keyed, "key").collect()
+    assert Counter((r["name"], r["text"], r["licence"], round(r["cosine"], 9)) for r in got) == want and len(want) > 20
+    assert licences.scores(frame.limit(0), templates).count() == 0
