@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.ordered import largest_group
+from ..plans.durable import stored
+from ..plans.ordered import largest_group, with_position
 
 MAX_RULE_ITEMS = 20
 MAX_BASKET_ITEMS = 1_000_000
@@ -30,32 +30,80 @@ def _threshold(n_groups: int, min_support: float) -> int:
     return max(math.ceil(min_support * n_groups - 1e-9), 1)
 
 
+def _candidates(level: DataFrame, k: int) -> DataFrame:
+    """(node, allowed): items that may extend a frequent set of k items, since every set of k of them is frequent."""
+    left, right = level.select("parent", "node", "ids", "item"), level.select("parent", F.col("item").alias("next"))
+    joined = left.join(right, "parent").filter(F.col("item") < F.col("next"))
+    # without the last item or the one before it the set is one of the two that were joined
+    grown = joined.select("node", "next", F.concat("ids", F.array("next")).alias("ids"), F.explode(F.sequence(F.lit(0), F.lit(k - 2))).alias("out"))
+    smaller = grown.select("node", "next", F.filter("ids", lambda x, i: i != F.col("out")).alias("ids"))
+    whole = smaller.join(level.select("ids"), "ids").groupBy("node", "next").count().filter(F.col("count") == k - 1)
+    return whole.groupBy("node").agg(F.collect_list("next").alias("allowed"))
+
+
+def _mine(baskets_: DataFrame, single: DataFrame, least: int, max_length: int) -> list[DataFrame]:
+    """(items, freq) of the frequent sets of 2, 3 .. `max_length` items.
+
+    `baskets_` holds (rest, m): sorted item numbers and how many groups have just these; `single` (item, i, freq) names the numbers.
+    A frequent set is a node below the set without its last item.  Every row is a node that a basket holds and the basket's later items, so
+    a level reads the rows of the level before and no set above `max_length` is looked at.
+    """
+    level = single.select(F.lit(-1).cast("long").alias("parent"), F.col("item").alias("node"), F.array("item").alias("ids"), "item", F.array("i").alias("items"))
+    names = single.select("item", F.col("i").alias("name"))
+    held = baskets_.select(F.lit(-1).cast("long").alias("node"), "rest", "m")
+    found = []
+
+    def split(rows):
+        return rows.select("node", "m", "rest", F.posexplode("rest").alias("at", "item"))
+
+    def below(rows):
+        return rows.select(F.col("child").alias("node"), F.slice("rest", F.col("at") + 2, F.size("rest")).alias("rest"), "m").filter(F.size("rest") > 0)
+
+    held = below(split(held).withColumn("child", F.col("item")))
+    for k in range(2, max_length + 1):
+        if k > 2:
+            held = held.join(_candidates(level, k - 1), "node").select("node", F.array_intersect("rest", "allowed").alias("rest"), "m")
+        grown = split(held)
+        counts = grown.groupBy("node", "item").agg(F.sum("m").alias("freq")).filter(F.col("freq") >= least)
+        above = level.select("node", "ids", "items")
+        named = counts.join(above, "node").join(names, "item").select(
+            F.col("node").alias("parent"), F.monotonically_increasing_id().alias("node"), F.concat("ids", F.array("item")).alias("ids"), "item",
+            F.array_sort(F.concat("items", F.array("name"))).alias("items"), "freq")
+        # the numbers of the nodes are fixed by the stored table
+        level = stored(named)
+        if level.isEmpty():
+            break
+        found.append(level.select("items", "freq"))
+        if k < max_length:
+            children = level.select(F.col("parent").alias("node"), "item", F.col("node").alias("child"))
+            held = stored(below(grown.join(children, ["node", "item"])))
+    return found
+
+
 def frequent_itemsets(df: DataFrame, group: str, item: str, min_support: float = 0.5, max_length: int = 8) -> DataFrame:
     """(items, freq, support), items sorted.
 
     Items below the support threshold go before any basket is collected: the number of remaining
-    items, and so the size of a basket, is then bounded by rows / (min_support * groups).
+    items, and so the size of a basket, is then bounded by rows / (min_support * groups).  Sets grow
+    by an item per level up to `max_length`; equal baskets are counted once.
     """
     if not 0 < min_support <= 1:
         raise ValueError("min_support must lie in (0, 1]")
+    if max_length < 1:
+        raise ValueError("max_length must be 1 or more")
     pairs = df.select(F.col(group).alias("g"), F.col(item).cast("string").alias("i")).dropna().distinct().persist()
     n_groups = pairs.select("g").distinct().count()
     least = _threshold(n_groups, min_support)
-    single = pairs.groupBy("i").agg(F.count(F.lit(1)).alias("freq")).filter(F.col("freq") >= least)
-    if max_length == 1 or n_groups == 0:
-        found = single.select(F.array("i").alias("items"), "freq")
-    else:
-        kept = pairs.join(single.select("i"), "i", "left_semi")
-        rows = kept.groupBy("g").agg(F.collect_list("i").alias("items")).filter(F.size("items") > 1).persist()
-        n_rows = rows.count()
-        # single items are already counted, so only baskets of two or more items are mined
-        pairs_up = single.select(F.array("i").alias("items"), "freq")
-        if n_rows >= least:
-            mined = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_rows, minConfidence=1.0).fit(rows).freqItemsets
-            mined = mined.filter((F.size("items") > 1) & (F.size("items") <= max_length))
-            found = pairs_up.unionByName(mined.select(F.sort_array("items").alias("items"), "freq"))
-        else:
-            found = pairs_up
+    single = stored(pairs.groupBy("i").agg(F.count(F.lit(1)).alias("freq")).filter(F.col("freq") >= least))
+    found = single.select(F.array("i").alias("items"), "freq")
+    if max_length > 1 and n_groups:
+        # rare items first: their sets are pruned soonest
+        numbered = stored(with_position(single, [], ["freq", "i"], "item").select(F.col("item").cast("long").alias("item"), "i", "freq"))
+        kept = pairs.join(numbered.select("i", "item"), "i").groupBy("g").agg(F.sort_array(F.collect_list("item")).alias("rest"))
+        rows = stored(kept.filter(F.size("rest") > 1).groupBy("rest").agg(F.count(F.lit(1)).alias("m")))
+        for level in _mine(rows, numbered, least, max_length):
+            found = found.unionByName(level)
+    pairs.unpersist()
     return found.withColumn("support", F.col("freq") / F.lit(float(max(n_groups, 1))))
 
 

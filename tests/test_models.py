@@ -1,6 +1,8 @@
 """Models against brute force and planted truths."""
 
+import itertools
 import json
+import math
 
 import numpy as np
 import pandas as pd
@@ -223,6 +225,21 @@ def test_pca_matches_numpy(regression):
     assert np.allclose(np.abs(got), np.abs((u * s)[:, :2]), atol=1e-6)
 
 
+def test_itemsets_of_every_length_against_brute_force(spark):
+    rng = np.random.default_rng(5)
+    baskets = [set(rng.choice(list("abcdefgh"), size=rng.integers(0, 7), p=[0.3, 0.2, 0.15, 0.1, 0.1, 0.05, 0.05, 0.05], replace=False)) for _ in range(150)]
+    baskets += [set("abcdef")] * 20
+    rows = [(g, i) for g, b in enumerate(baskets) for i in b] + [(0, None), (None, "a")] + [(3, i) for i in baskets[3]]
+    df = spark.createDataFrame([(None if g is None else int(g), None if i is None else str(i)) for g, i in rows], "g int, i string")
+    held = [b for b in baskets if b]
+    for length, support in ((2, 0.1), (4, 0.05), (8, 0.12)):
+        least = math.ceil(support * len(held) - 1e-9)
+        every = {c: sum(set(c) <= b for b in held) for n in range(1, length + 1) for c in itertools.combinations("abcdefgh", n)}
+        got = {tuple(r["items"]): r["freq"] for r in rules.frequent_itemsets(df, "g", "i", support, length).collect()}
+        assert got == {c: n for c, n in every.items() if n >= least} and len(got) > 10
+    assert rules.frequent_itemsets(df.limit(0), "g", "i", 0.1, 3).count() == 0
+
+
 def test_rules_have_every_split(spark):
     rows = [(g, i) for g, items in enumerate(["abc", "abc", "abd", "acd", "b"]) for i in items]
     df = spark.createDataFrame(rows + rows, "g int, i string")
