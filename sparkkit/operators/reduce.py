@@ -7,7 +7,9 @@ a projection; what differs is the sums that matrix is computed from.
 from __future__ import annotations
 
 import functools
+import math
 import operator
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -29,6 +31,7 @@ class Projection:
     features: list[str]
     mean: np.ndarray
     matrix: np.ndarray
+    converged: bool = True
 
     @property
     def outputs(self) -> list[str]:
@@ -96,8 +99,19 @@ def factor_analysis(df: DataFrame, features: Sequence[str], k: int, max_iter: in
     return Projection(list(features), mean, _signed((load / noise[:, None]) @ middle))
 
 
-def fast_ica(df: DataFrame, features: Sequence[str], k: int, max_iter: int = 30, tol: float = 1e-4, seed: int = 42) -> Projection:
-    """Whiten, then fixed-point steps with tanh; every step is one pass that adds up k x k sums."""
+def _settled(name: str, moved: float, tol: float, max_iter: int) -> bool:
+    """Whether a loop ended below its tolerance; a warning if it ran out of rounds."""
+    if moved < tol:
+        return True
+    warnings.warn(f"{name} moved by {moved:.3g} in its last of {max_iter} rounds (tolerance {tol:g})", RuntimeWarning, stacklevel=3)
+    return False
+
+
+def fast_ica(df: DataFrame, features: Sequence[str], k: int, max_iter: int = 200, tol: float = 1e-4, seed: int = 42) -> Projection:
+    """Whiten, then fixed-point steps with tanh; every step is one pass that adds up k x k sums.
+
+    `converged` of the result tells whether the last step moved by less than `tol`.
+    """
     white = pca(df, features, k, whiten=True)
     names = white.outputs
     rows = white.transform(df).select(*names).persist()
@@ -108,6 +122,7 @@ def fast_ica(df: DataFrame, features: Sequence[str], k: int, max_iter: int = 30,
         return u @ v
 
     w = orthogonal(np.random.default_rng(seed).normal(size=(k, k)))
+    moved = math.inf
     for _step in range(max_iter):
         now = w
 
@@ -128,7 +143,7 @@ def fast_ica(df: DataFrame, features: Sequence[str], k: int, max_iter: int = 30,
         if moved < tol:
             break
     rows.unpersist()
-    return Projection(list(features), white.mean, _signed(white.matrix @ w.T))
+    return Projection(list(features), white.mean, _signed(white.matrix @ w.T), _settled("FastICA", moved, tol, max_iter))
 
 
 @dataclass
@@ -137,6 +152,7 @@ class Mapped:
 
     outputs: list[str]
     apply: object
+    converged: bool = True
 
     def transform(self, df: DataFrame) -> DataFrame:
         return self.apply(df)
@@ -166,8 +182,8 @@ def _codes(x: np.ndarray, atoms: np.ndarray, alpha: float, steps: int = 50, posi
     return code
 
 
-def _factorise(df: DataFrame, features: Sequence[str], k: int, alpha: float, positive: bool, centre: bool, max_iter: int, seed: int) -> Mapped:
-    """Alternate codes (per row, in the tasks) and atoms (from summed C'C and C'X)."""
+def _factorise(df: DataFrame, features: Sequence[str], k: int, alpha: float, positive: bool, centre: bool, max_iter: int, seed: int, tol: float) -> Mapped:
+    """Alternate codes (per row, in the tasks) and atoms (from summed C'C and C'X), until no part of an atom moves by `tol`."""
     names = list(features)
     d = len(names)
     rows = df.select(*[F.coalesce(F.col(f"`{f}`").cast("double"), F.lit(0.0)).alias(f"__x{i}") for i, f in enumerate(names)]).persist()
@@ -179,6 +195,7 @@ def _factorise(df: DataFrame, features: Sequence[str], k: int, alpha: float, pos
     rng = np.random.default_rng(seed)
     atoms = np.abs(rng.normal(size=(k, d))) if positive else rng.normal(size=(k, d))
     atoms /= np.linalg.norm(atoms, axis=1, keepdims=True)
+    moved = math.inf
     for _step in range(max_iter):
         now = atoms
 
@@ -201,8 +218,11 @@ def _factorise(df: DataFrame, features: Sequence[str], k: int, alpha: float, pos
                 new = np.maximum(new, 0.0) if positive else new
                 size = np.linalg.norm(new)
                 atoms[j] = new / size if size > 1e-12 else atoms[j]
+        moved = float(np.max(np.abs(atoms - now)))
+        if moved < tol:
+            break
     rows.unpersist()
-    final = atoms
+    final, settled = atoms, _settled("factorisation", moved, tol, max_iter)
     outputs = [f"dim_{j + 1}" for j in range(k)]
 
     def apply(frame):
@@ -216,15 +236,15 @@ def _factorise(df: DataFrame, features: Sequence[str], k: int, alpha: float, pos
         done = frame.withColumn("__code", code.asNondeterministic()(vector))
         return done.select(*[F.col(f"`{c}`") for c in frame.columns], *[F.col("__code")[j].alias(o) for j, o in enumerate(outputs)])
 
-    return Mapped(outputs, apply)
+    return Mapped(outputs, apply, settled)
 
 
-def nmf(df, features, k, max_iter: int = 15, seed: int = 42) -> Mapped:
-    return _factorise(df, features, k, 0.0, True, False, max_iter, seed)
+def nmf(df, features, k, max_iter: int = 200, tol: float = 1e-3, seed: int = 42) -> Mapped:
+    return _factorise(df, features, k, 0.0, True, False, max_iter, seed, tol)
 
 
-def dictionary_learning(df, features, k, alpha: float = 0.1, max_iter: int = 15, seed: int = 42) -> Mapped:
-    return _factorise(df, features, k, alpha, False, True, max_iter, seed)
+def dictionary_learning(df, features, k, alpha: float = 0.1, max_iter: int = 200, tol: float = 1e-3, seed: int = 42) -> Mapped:
+    return _factorise(df, features, k, alpha, False, True, max_iter, seed, tol)
 
 
 def lda(df: DataFrame, features: Sequence[str], k: int, max_iter: int = 10, seed: int = 42) -> Mapped:

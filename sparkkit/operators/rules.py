@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.durable import stored
-from ..plans.ordered import largest_group, with_position
+from ..plans.ordered import largest_group
 
 MAX_RULE_ITEMS = 20
 MAX_BASKET_ITEMS = 1_000_000
@@ -61,8 +61,6 @@ def _mine(baskets_: DataFrame, single: DataFrame, least: int, max_length: int) -
 
     held = below(split(held).withColumn("child", F.col("item")))
     for k in range(2, max_length + 1):
-        if k > 2:
-            held = held.join(_candidates(level, k - 1), "node").select("node", F.array_intersect("rest", "allowed").alias("rest"), "m")
         grown = split(held)
         counts = grown.groupBy("node", "item").agg(F.sum("m").alias("freq")).filter(F.col("freq") >= least)
         above = level.select("node", "ids", "items")
@@ -74,9 +72,14 @@ def _mine(baskets_: DataFrame, single: DataFrame, least: int, max_length: int) -
         if level.isEmpty():
             break
         found.append(level.select("items", "freq"))
-        if k < max_length:
-            children = level.select(F.col("parent").alias("node"), "item", F.col("node").alias("child"))
-            held = stored(below(grown.join(children, ["node", "item"])))
+        if k == max_length:
+            break
+        longer = stored(_candidates(level, k))
+        if longer.isEmpty():
+            break
+        children = level.select(F.col("parent").alias("node"), "item", F.col("node").alias("child"))
+        held = below(grown.join(children, ["node", "item"])).join(longer, "node")
+        held = stored(held.select("node", F.array_intersect("rest", "allowed").alias("rest"), "m").filter(F.size("rest") > 0))
     return found
 
 
@@ -94,14 +97,15 @@ def frequent_itemsets(df: DataFrame, group: str, item: str, min_support: float =
     pairs = df.select(F.col(group).alias("g"), F.col(item).cast("string").alias("i")).dropna().distinct().persist()
     n_groups = pairs.select("g").distinct().count()
     least = _threshold(n_groups, min_support)
-    single = stored(pairs.groupBy("i").agg(F.count(F.lit(1)).alias("freq")).filter(F.col("freq") >= least))
+    single = pairs.groupBy("i").agg(F.count(F.lit(1)).alias("freq")).filter(F.col("freq") >= least)
+    # rare items first: their sets are pruned soonest; at most rows / (min_support * groups) items are left to number
+    rarest = Window.partitionBy(F.lit(0)).orderBy("freq", "i")
+    single = stored(single.withColumn("item", F.row_number().over(rarest).cast("long")))
     found = single.select(F.array("i").alias("items"), "freq")
     if max_length > 1 and n_groups:
-        # rare items first: their sets are pruned soonest
-        numbered = stored(with_position(single, [], ["freq", "i"], "item").select(F.col("item").cast("long").alias("item"), "i", "freq"))
-        kept = pairs.join(numbered.select("i", "item"), "i").groupBy("g").agg(F.sort_array(F.collect_list("item")).alias("rest"))
+        kept = pairs.join(single.select("i", "item"), "i").groupBy("g").agg(F.sort_array(F.collect_list("item")).alias("rest"))
         rows = stored(kept.filter(F.size("rest") > 1).groupBy("rest").agg(F.count(F.lit(1)).alias("m")))
-        for level in _mine(rows, numbered, least, max_length):
+        for level in _mine(rows, single, least, max_length):
             found = found.unionByName(level)
     pairs.unpersist()
     return found.withColumn("support", F.col("freq") / F.lit(float(max(n_groups, 1))))

@@ -325,22 +325,22 @@ def factor_analysis(t):
 
 @query("M5")
 def fast_ica(t):
-    return _reduced(t, "FastICA", max_iter=8)
+    return _reduced(t, "FastICA")
 
 
 @query("M6")
 def nmf(t):
-    return _reduced(t, "NMF", max_iter=5)
+    return _reduced(t, "NMF")
 
 
 @query("M7")
 def lda(t):
-    return _reduced(t, "LatentDirichletAllocation", max_iter=3)
+    return _reduced(t, "LatentDirichletAllocation")
 
 
 @query("M8")
 def dictionary_learning(t):
-    return _reduced(t, "DictionaryLearning", max_iter=5)
+    return _reduced(t, "DictionaryLearning")
 
 
 @query("M9")

@@ -393,3 +393,12 @@ def test_inverse_penalty_acts(regression):
     assert size[0] < 0.5 * size[1]
     with pytest.raises(ValueError):
         estimators.fit_estimator("LogisticRegression", df, ["p", "q"], "y", C=1.0, reg=0.1)
+
+
+def test_reductions_tell_whether_they_settled(spark):
+    x = np.random.default_rng(2).uniform(0, 1, (200, 3))
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id int, a double, b double, c double")
+    for fit in (reduce.fast_ica, reduce.nmf, reduce.dictionary_learning):
+        with pytest.warns(RuntimeWarning, match="moved by"):
+            assert not fit(df, ["a", "b", "c"], 2, max_iter=1, tol=1e-12).converged
+        assert fit(df, ["a", "b", "c"], 2, tol=0.05).converged
