@@ -286,32 +286,69 @@ def agglomerative(df: DataFrame, key: str, cols: Sequence[str], n_clusters: int
     return BisectingKMeans(k=n_clusters, seed=seed).fit(rows).transform(rows).select("key", F.col("prediction").cast("long").alias("label"))
 
 
+def _nearest_other(x: np.ndarray, block: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """(row number, squared distance) of the nearest other row of every row."""
+    square = (x**2).sum(axis=1)
+    at, gap = np.zeros(len(x), int), np.zeros(len(x))
+    for s in range(0, len(x), block):
+        e = min(s + block, len(x))
+        near = square[s:e, None] + square[None] - 2 * (x[s:e] @ x.T)
+        near[np.arange(e - s), np.arange(s, e)] = np.inf
+        at[s:e] = near.argmin(axis=1)
+        gap[s:e] = near[np.arange(e - s), at[s:e]]
+    return at, gap
+
+
+def _merged_entries(sums: np.ndarray, counts: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """At most `limit` entries: those nearest to each other join, closest pairs first."""
+    while len(counts) > limit:
+        near, gap = _nearest_other(sums / counts[:, None])
+        target, leads, spare = np.arange(len(counts)), np.zeros(len(counts), bool), len(counts) - limit
+        for i in np.argsort(gap, kind="stable"):
+            j = near[i]
+            if spare and not leads[i] and target[j] == j:
+                target[i], leads[j], spare = j, True, spare - 1
+        kept, inverse = np.unique(target, return_inverse=True)
+        new_sums, new_counts = np.zeros((len(kept), sums.shape[1])), np.zeros(len(kept))
+        np.add.at(new_sums, inverse, sums)
+        np.add.at(new_counts, inverse, counts)
+        sums, counts = new_sums, new_counts
+    return sums, counts
+
+
 def birch(df: DataFrame, key: str, cols: Sequence[str], n_clusters: int = 3, threshold: float = 0.5, max_entries: int = 2_000, seed: int = 42) -> DataFrame:
-    """Rows shrink to (n, sum) entries per partition; weighted k-means of the entries labels the rows."""
+    """Rows shrink to (n, sum) entries per partition; weighted k-means of the entries labels the rows.
+
+    Entries are cells of side `threshold`; beyond `max_entries` those nearest to each other join.
+    """
     names = [f"__c{i}" for i in range(len(cols))]
     rows = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(n) for c, n in zip(cols, names)])
 
     def entries(batches):
-        radius, sums, counts = threshold, np.zeros((0, len(names))), np.zeros(0)
+        sums, counts = np.zeros((0, len(names))), np.zeros(0)
 
         def absorb(points, weights):
             nonlocal sums, counts
-            cell, inverse = np.unique(np.floor(points / np.maximum(weights, 1)[:, None] / radius), axis=0, return_inverse=True)
+            cell, inverse = np.unique(np.floor(points / np.maximum(weights, 1)[:, None] / threshold), axis=0, return_inverse=True)
             new_sums, new_counts = np.zeros((len(cell), len(names))), np.zeros(len(cell))
             np.add.at(new_sums, inverse.ravel(), points)
             np.add.at(new_counts, inverse.ravel(), weights)
-            sums, counts = new_sums, new_counts
+            sums, counts = _merged_entries(new_sums, new_counts, max_entries)
 
         for pdf in batches:
             x = pdf.to_numpy(float)
             absorb(np.vstack([sums, x]), np.concatenate([counts, np.ones(len(x))]))
-            while len(counts) > max_entries:
-                radius *= 1.5
-                absorb(sums, counts)
         if len(counts):
             yield pd.DataFrame(sums / counts[:, None], columns=names).assign(weight=counts)
 
-    summary = rows.mapInPandas(entries, ", ".join(f"{n} double" for n in names) + ", weight double")
+    # k-means reads the entries many times
+    summary = stored(rows.mapInPandas(entries, ", ".join(f"{n} double" for n in names) + ", weight double"))
+    few = summary.select(*names).distinct().limit(n_clusters).collect()
+    if len(few) < n_clusters:
+        # k-means fails on fewer places than clusters; each place is a cluster then
+        filled = df.select(F.col(key), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(n) for c, n in zip(cols, names)])
+        centres = sorted(tuple(f) for f in few)
+        return assign_to_centres(filled, key, names, centres) if centres else filled.select(F.col(key).alias("key"), F.lit(-1).cast("long").alias("label"))
     spots = VectorAssembler(inputCols=names, outputCol="features").transform(summary)
     model = KMeans(k=n_clusters, seed=seed, weightCol="weight").fit(spots)
     every = _vectors(df, key, cols)
