@@ -205,7 +205,9 @@ def hdbscan(df: DataFrame, key: str, features: Sequence[str], min_cluster_size:
     base, places = _points(rows, key, cols)
     part = (F.col("x")[d - 1] if group is not None else F.lit(0.0)).alias("part")
     spread = base.select("key", *[F.col("x")[i].alias(f"__x{i}") for i in range(d)])
-    found = nb.nearest(spread, spread, "key", [f"__x{i}" for i in range(d)], k, exclude_self=True, leaf_rows=leaf_rows, metric=metric)
+    # rows of one place are as far from the others
+    asked = places.select(F.col("id").alias("key"), *[F.col("x")[i].alias(f"__x{i}") for i in range(d)])
+    found = nb.nearest(asked, spread, "key", [f"__x{i}" for i in range(d)], k, exclude_self=True, leaf_rows=leaf_rows, metric=metric)
     far = F.when(F.size("neighbours") >= k, F.col("neighbours")[k - 1]["dist"])
     core = found.groupBy("x").agg(F.min(far).alias("core"))
     if group is not None:

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ LEAF_ROWS = 2_000
 MAX_LEAVES = 16_384
 SAMPLE_ROWS = 100_000
 _BLOCK_CELLS = 4_000_000
+SIFTED = 8  # coordinates beyond which a matrix product sifts the pairs
 
 
 @dataclass
@@ -147,6 +150,53 @@ def distances(q: np.ndarray, p: np.ndarray, metric: str = "euclidean") -> Iterat
         yield s, np.sqrt(block) if metric == "euclidean" else block
 
 
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Places of an array column, one per row."""
+    values = pa.concat_arrays([c.flatten() for c in column.chunks]).to_numpy(zero_copy_only=False) if column.num_chunks else np.zeros(0)
+    return values.astype(float, copy=False).reshape(len(column), -1)
+
+
+def _closest(q: np.ndarray, p: np.ndarray, k: int, metric: str, bound: np.ndarray, skip: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, point row, distance) of the k nearest points within `bound` of every query, in order of (query, distance, point).
+
+    `skip` numbers queries and points; those of one number do not meet.  Long vectors are sifted by a matrix product whose
+    rounding is allowed for; the distances that are returned are those of `distances`.
+    """
+    rows, cols, dists = [], [], []
+    sift = metric == "euclidean" and q.shape[1] > SIFTED and np.isfinite(q).all() and np.isfinite(p).all()
+    if sift:
+        q2, p2 = (q**2).sum(axis=1), (p**2).sum(axis=1)
+        step = max(_BLOCK_CELLS // max(len(p), 1), 1)
+        blocks = ((s, q2[s : s + step, None] + p2[None] - 2 * (q[s : s + step] @ p.T)) for s in range(0, len(q), step))
+        slack = 1e-9 * (q2 + p2.max(initial=0.0)) + 1e-300
+    else:
+        blocks = distances(q, p, metric)
+    for s, block in blocks:
+        e = s + len(block)
+        if skip is not None:
+            block[skip[0][s:e, None] == skip[1][None]] = np.inf
+        edge = bound[s:e] ** 2 if sift else bound[s:e]
+        if len(p) > k:
+            edge = np.minimum(edge, np.partition(block, k - 1, axis=1)[:, k - 1])
+        i, j = np.nonzero((block <= (edge + 2 * slack[s:e] if sift else edge)[:, None]) & np.isfinite(block))
+        if sift:
+            total = np.zeros(len(i))
+            for c in range(q.shape[1]):
+                total += (q[s + i, c] - p[j, c]) ** 2
+            dist = np.sqrt(total)
+            inside = dist <= bound[s + i]
+            i, j, dist = i[inside], j[inside], dist[inside]
+        else:
+            dist = block[i, j]
+        order = np.lexsort((j, dist, i))
+        i, j, dist = i[order], j[order], dist[order]
+        first = np.arange(len(i)) - np.searchsorted(i, i) < k
+        rows.append(s + i[first])
+        cols.append(j[first])
+        dists.append(dist[first])
+    return np.concatenate(rows or [np.zeros(0, int)]), np.concatenate(cols or [np.zeros(0, int)]), np.concatenate(dists or [np.zeros(0)])
+
+
 def fresh(df: DataFrame) -> DataFrame:
     """The same rows under column identities of their own, for joins and cogroups with relatives."""
     return df.select(*[F.col(c).alias(f"__fresh_{c}") for c in df.columns]).toDF(*df.columns)
@@ -166,57 +216,56 @@ def place_points(points: DataFrame, leaves: Leaves) -> DataFrame:
 
 
 def nearest(queries: DataFrame, points: DataFrame, key: str, cols: Sequence[str], k: int, payload: str | None = None,
-            exclude_self: bool = False, leaf_rows: int = LEAF_ROWS, metric: str = "euclidean") -> DataFrame:
+            exclude_self: bool = False, leaf_rows: int | None = None, metric: str = "euclidean") -> DataFrame:
     """(key, x, neighbours): the k nearest points as array<struct<dist, id, payload>>, ties by id.
 
-    Both tables have `key` and numeric `cols`; with `exclude_self` a point is no neighbour of itself.
+    Both tables have `key` and numeric `cols`; with `exclude_self` a point is no neighbour of itself.  Without `leaf_rows`
+    leaves hold more rows of more coordinates, as their boxes exclude less.
     """
+    leaf_rows = leaf_rows or LEAF_ROWS * max(len(cols) // 8, 1)
     vector = F.array(*[F.col(c).cast("double") for c in cols])
     q0 = queries.select(F.col(key).alias("__q"), vector.alias("x"))
     p0 = points.select(F.col(key).alias("__p"), vector.alias("x"),
                        (F.col(payload) if payload else F.lit(None)).cast("string").alias("payload"))
     # of equal places only the k smallest ids can be neighbours (one more when the point itself is skipped)
     twin = F.row_number().over(Window.partitionBy("x").orderBy("__p"))
-    kept = p0.withColumn("__twin", twin).filter(F.col("__twin") <= k + int(exclude_self)).drop("__twin")
+    kept = p0.withColumn("__twin", twin).filter(F.col("__twin") <= k + int(exclude_self)).drop("__twin").persist()
     leaves = build_leaves(kept, "x", leaf_rows)
     placed = place_points(kept, leaves).persist()
     boxes = boxes_of(placed, "x", len(cols))
-    found_type = f"__q {q0.schema['__q'].dataType.simpleString()}, found array<struct<dist:double,id:{p0.schema['__p'].dataType.simpleString()},payload:string>>"
+    id_type = p0.schema["__p"].dataType.simpleString()
+    found_type = f"array<struct<dist:double,id:{id_type},payload:string>>"
 
-    def search(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(q):
-            p = p.sort_values("__p")
-            ids, notes = p["__p"].to_numpy(), p["payload"].to_numpy()
-            qx = np.stack(q["x"].to_numpy()).astype(float)
-            px = np.stack(p["x"].to_numpy()).astype(float) if len(p) else np.zeros((0, qx.shape[1]))
-            names = q["__q"].to_numpy()
-            for s, block in distances(qx, px, metric):
-                for i, row in enumerate(block):
-                    if exclude_self:
-                        row = np.where(ids == names[s + i], np.inf, row)
-                    edge = np.partition(row, k - 1)[k - 1] if len(row) > k else np.inf
-                    pick = np.flatnonzero((row <= edge) & np.isfinite(row))
-                    pick = pick[np.argsort(row[pick], kind="stable")][:k]
-                    out.append([{"dist": float(row[j]), "id": ids[j].item() if hasattr(ids[j], "item") else ids[j],
-                                 "payload": notes[j]} for j in pick])
-        return pd.DataFrame({"__q": q["__q"], "found": out}, columns=["__q", "found"])
+    def search(q: pa.Table, p: pa.Table) -> pa.Table:
+        p = p.take(pc.sort_indices(p, sort_keys=[("__p", "ascending")])) if len(p) else p
+        names, ids, notes = (t.column(c).combine_chunks() for t, c in ((q, "__q"), (p, "__p"), (p, "payload")))
+        i, j, dist = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+        if len(q) and len(p):
+            skip = None
+            if exclude_self:
+                known = pc.unique(ids)
+                skip = tuple(pc.fill_null(pc.index_in(v, value_set=known, skip_nulls=not pa.types.is_string(v.type)), missing).to_numpy() for v, missing in ((names.cast(ids.type), -1), (ids, -2)))
+                skip = skip if np.isin(skip[0], skip[1]).any() else None
+            i, j, dist = _closest(_matrix(q.column("x")), _matrix(p.column("x")), k, metric, q.column("bound").to_numpy(), skip)
+        asking, starts = np.unique(i, return_index=True)
+        found = pa.StructArray.from_arrays([pa.array(dist, pa.float64()), ids.take(pa.array(j)), notes.take(pa.array(j)).cast(pa.string())], ["dist", "id", "payload"])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(i)), pa.int32()), found)
+        return pa.table({"__q": names.take(pa.array(asking)), "found": lists})
 
     def visit(asked: DataFrame) -> DataFrame:
         q, p = salted(asked, placed, leaf_rows)
-        return q.groupBy("leaf", "__salt").cogroup(p.groupBy("leaf", "__salt")).applyInPandas(
-            lambda a, b: search(a, b), found_type)
+        return q.groupBy("leaf", "__salt").cogroup(p.groupBy("leaf", "__salt")).applyInArrow(
+            lambda a, b: search(a, b), f"__q {q0.schema['__q'].dataType.simpleString()}, found {found_type}")
 
-    home = q0.withColumn("leaf", leaves.column(F.col("x")))
+    home = q0.withColumn("leaf", leaves.column(F.col("x"))).withColumn("bound", F.lit(float("inf")))
     # every query keeps a row even if its leaf holds no point
-    first = match(q0, visit(home), ["__q"], "left").withColumn("found", F.coalesce("found", F.array().cast(
-        f"array<struct<dist:double,id:{p0.schema['__p'].dataType.simpleString()},payload:string>>")))
+    first = match(q0, visit(home), ["__q"], "left").withColumn("found", F.coalesce("found", F.array().cast(found_type)))
     if leaves.count == 1:
         return first.select(F.col("__q").alias(key), "x", F.col("found").alias("neighbours"))
     first = first.persist()
     bound = F.when(F.size("found") >= k, F.col("found")[k - 1]["dist"]).otherwise(F.lit(float("inf")))
-    other = first.withColumn("leaf", F.explode(reach_column(boxes, F.col("x"), bound, metric)))
-    other = other.withColumn("__home", leaves.column(F.col("x"))).filter("leaf <> __home").select("__q", "x", "leaf")
+    other = first.withColumn("bound", bound).withColumn("leaf", F.explode(reach_column(boxes, F.col("x"), F.col("bound"), metric)))
+    other = other.withColumn("__home", leaves.column(F.col("x"))).filter("leaf <> __home").select("__q", "x", "leaf", "bound")
     every = first.select("__q", "found").unionByName(visit(other))
     best = every.groupBy("__q").agg(F.slice(F.sort_array(F.flatten(F.collect_list("found"))), 1, k).alias("neighbours"))
     return match(q0, best, ["__q"]).select(F.col("__q").alias(key), "x", "neighbours")

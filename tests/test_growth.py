@@ -22,3 +22,42 @@ def test_birch_with_fewer_places_than_clusters(spark):
     for k in (2, 5):
         found = {r["key"]: r["label"] for r in cl.birch(spark.createDataFrame(rows, "id long, a double, b double"), "id", ["a", "b"], k).collect()}
         assert found[0] == found[2] != found[1] == found[5]
+
+
+def _brute(x, ids, k, exclude=True):
+    out = {}
+    for i, key in enumerate(ids):
+        near = sorted((float(np.sqrt(((x[i] - x[j]) ** 2).sum())), ids[j]) for j in range(len(ids)) if not (exclude and ids[j] == key))
+        out[key] = near[:k]
+    return out
+
+
+def test_nearest_of_long_vectors_and_equal_places(spark):
+    from sparkkit.plans import neighbours as nb
+
+    rng = np.random.default_rng(3)
+    for d, name in ((12, "long"), (2, "string")):
+        x = np.round(rng.normal(0, 1, (150, d)), 1)
+        x[100:] = x[:50]
+        ids = [int(i) if name == "long" else f"k{i}" for i in range(150)]
+        cols = [f"e{i}" for i in range(d)]
+        df = spark.createDataFrame([(i, *map(float, v)) for i, v in zip(ids, x)], f"id {name}, {', '.join(f'{c} double' for c in cols)}")
+        found = {r["id"]: [(n["dist"], n["id"]) for n in r["neighbours"]] for r in nb.nearest(df, df, "id", cols, 4, exclude_self=True, leaf_rows=20).collect()}
+        wanted = _brute(x, ids, 4)
+        assert found.keys() == wanted.keys()
+        for key, near in wanted.items():
+            assert [i for _, i in found[key]] == [i for _, i in near]
+            np.testing.assert_allclose([v for v, _ in found[key]], [v for v, _ in near], rtol=1e-12)
+
+
+def test_long_vectors_meet_in_one_product(spark, monkeypatch):
+    from sparkkit.plans import neighbours as nb
+
+    def never(*_):
+        raise AssertionError("coordinate by coordinate")
+
+    monkeypatch.setattr(nb, "distances", never)
+    x = np.random.default_rng(5).normal(0, 1, (60, 32))
+    i, j, dist = nb._closest(x, x, 3, "euclidean", np.full(60, np.inf), (np.arange(60), np.arange(60)))
+    wanted = _brute(x, list(range(60)), 3)
+    assert [list(j[i == q]) for q in range(60)] == [[n for _, n in wanted[q]] for q in range(60)]
