@@ -9,7 +9,7 @@ import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.sql import DataFrame, Window
@@ -26,6 +26,7 @@ PATTERNS = {
     "DATE": (r"\d{4}-\d{2}-\d{2}", "Absolute or relative dates or periods"),
     "CARDINAL": (r"\d+", "Numerals that do not fall under another type"),
 }
+WORDS = 50_000  # words of a result batch
 
 
 def _positions(text: str, pattern: str):
@@ -55,20 +56,37 @@ def pattern_entities(df: DataFrame, key: str, text: str, patterns: dict[str, tup
     return spans.select("key", "entity", "start", "end", "type", "description")
 
 
+_WORD = re.compile(r"\w{2,}|\w|[^\w\s]")
+
+
+def _word_batches(batches: Iterator[pa.RecordBatch], size: int = WORDS) -> Iterator[pa.RecordBatch]:
+    """Words of (key, text) rows, no more than `size` at a time, whatever the texts of a batch."""
+    for batch in batches:
+        keys, texts = batch.column("key"), batch.column("text")
+        at, found = [], [[], [], [], []]
+
+        def taken() -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.string(), pa.int32(), pa.int32())
+            return pa.RecordBatch.from_arrays([keys.take(pa.array(at, pa.int64())), *(pa.array(c, t) for c, t in zip(found, kinds))], ["key", "pos", "word", "start", "end"])
+
+        for row in range(batch.num_rows):
+            for i, m in enumerate(_WORD.finditer(texts[row].as_py())):
+                at.append(row)
+                for column, value in zip(found, (i, m.group(), m.start(), m.end())):
+                    column.append(value)
+                if len(at) == size:
+                    yield taken()
+                    at, found = [], [[], [], [], []]
+        if at:
+            yield taken()
+
+
 def words(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, pos, word, start, end): words of every text with their offsets, read by mapInPandas
+    """(key, pos, word, start, end): words of every text with their offsets, read by mapInArrow
     because a running offset over tens of thousands of words is quadratic as an array expression."""
-    word = re.compile(r"\w{2,}|\w|[^\w\s]")
     kind = df.schema[key].dataType.simpleString()
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = [(k, i, m.group(), m.start(), m.end()) for k, t in zip(pdf["key"], pdf["text"]) for i, m in enumerate(word.finditer(t))]
-            for s in range(0, len(out), 50_000):
-                yield pd.DataFrame(out[s : s + 50_000], columns=["key", "pos", "word", "start", "end"])
-
     rows = df.filter(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows.mapInPandas(cut, f"key {kind}, pos long, word string, start int, end int")
+    return rows.mapInArrow(_word_batches, f"key {kind}, pos long, word string, start int, end int")
 
 
 def gazetteer_entities(df: DataFrame, key: str, text: str, gazetteer: DataFrame) -> DataFrame:

@@ -61,3 +61,39 @@ def test_long_vectors_meet_in_one_product(spark, monkeypatch):
     i, j, dist = nb._closest(x, x, 3, "euclidean", np.full(60, np.inf), (np.arange(60), np.arange(60)))
     wanted = _brute(x, list(range(60)), 3)
     assert [list(j[i == q]) for q in range(60)] == [[n for _, n in wanted[q]] for q in range(60)]
+
+
+def test_words_of_a_batch_are_handed_on_in_small_lots():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from sparkkit.operators import entities as ent
+
+    batch = pa.record_batch({"key": pa.array([1, 2, 3]), "text": pa.array(["ab cd. " * 40_000, "", "ef"])})
+    tracemalloc.start()
+    sizes, rows = [], []
+    for out in ent._word_batches(iter([batch]), 1_000):
+        sizes.append(out.num_rows)
+        rows = rows[:3] + out.to_pylist()[-1:] if rows else out.to_pylist()[:3]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sizes) == 120_001 and max(sizes) == 1_000
+    assert rows == [{"key": 1, "pos": 0, "word": "ab", "start": 0, "end": 2}, {"key": 1, "pos": 1, "word": "cd", "start": 3, "end": 5},
+                    {"key": 1, "pos": 2, "word": ".", "start": 5, "end": 6}, {"key": 3, "pos": 0, "word": "ef", "start": 0, "end": 2}]
+    assert peak < 8_000_000
+
+
+def test_ngrams_cut_the_words_once_a_text(spark):
+    from sparkkit.functions.encode import tokens
+
+    df = spark.createDataFrame([(0, "One two three"), (1, "one"), (2, ""), (3, None)], "id long, t string")
+    found = {r["id"]: r["n"] for r in df.select("id", tokens("t", ngram_range=(1, 2)).alias("n")).collect()}
+    assert found == {0: ["one", "two", "three", "one two", "two three"], 1: ["one"], 2: [], 3: []}
+    # cutting them once a place takes a second for every thousand words
+    import time
+
+    long = df.filter('id = 0').selectExpr("repeat(concat(t, ' '), 4000) t")
+    begin = time.time()
+    assert long.select(tokens("t", ngram_range=(2, 2)).alias("n")).selectExpr("size(n)").first()[0] == 11_999
+    assert time.time() - begin < 8
