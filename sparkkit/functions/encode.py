@@ -88,12 +88,14 @@ def tokens(col: str | Column, analyzer: str = "word", ngram_range: tuple[int, in
     low, high = ngram_range
     if (low, high) == (1, 1):
         return parts
-    def runs(n):
-        joined = F.transform(F.sequence(F.lit(1), F.size(parts) - n + 1), lambda i: F.array_join(F.slice(parts, i, n), glue))
-        return F.when(F.size(parts) >= n, joined).otherwise(F.array().cast("array<string>"))
 
-    sizes = [runs(n) for n in range(low, high + 1)]
-    return F.concat(*sizes)
+    def runs(words, n):
+        places = F.sequence(F.lit(1), F.size(words) - n + 1)
+        joined = F.transform(places, lambda i: F.array_join(F.slice(words, i, n), glue))
+        return F.when(F.size(words) >= n, joined).otherwise(F.array().cast("array<string>"))
+
+    # bound to a variable, the words are cut out once a text
+    return F.flatten(F.transform(F.array(parts), lambda words: F.concat(*[runs(words, n) for n in range(low, high + 1)])))
 
 
 def term_counts(df: DataFrame, key: str, col: str, **options) -> DataFrame:
