@@ -5,12 +5,15 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.durable import stored
 from ..plans.ordered import match
 
 MAX_COLUMNS = 10_000
+SENT_TERMS = 500_000  # terms of a vocabulary that tasks hold as a whole
+TASK_CHARS = 24_000_000  # characters of the texts that a task takes apart
 
 
 def _bounded(rows: list, what: str) -> list:
@@ -121,15 +124,23 @@ def count_vectorize(df: DataFrame, key: str, col: str, min_df: int = 1, max_feat
 
 
 def tf_idf(df: DataFrame, key: str, col: str, min_df: int = 1, max_features: int | None = None, **options) -> DataFrame:
-    """(key, term, weight): n * (ln((1+N)/(1+df)) + 1), each text scaled to length one."""
-    counts = term_counts(df, key, col, **options)
-    vocabulary = fit_vocabulary(counts, min_df, max_features)
-    n_texts = df.count()
+    """(key, term, weight): n * (ln((1+N)/(1+df)) + 1), each text scaled to length one.
+
+    The texts are dealt out by key, as they are shorter than their terms; counts and norms then need no exchange.  A
+    vocabulary of at most `SENT_TERMS` is sent to the tasks, a larger one is joined.
+    """
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(col)).alias("chars")).first()
+    n_texts = size["n"]
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(size["chars"] or 0) // TASK_CHARS))
+    counts = term_counts(df.select(key, col).repartition(parts, key), key, col, **options)
+    vocabulary = stored(fit_vocabulary(counts, min_df, max_features).select("term", "df"))
     idf = vocabulary.select("term", (F.log((1.0 + n_texts) / (1 + F.col("df"))) + 1).alias("idf"))
+    if vocabulary.count() <= SENT_TERMS:
+        idf = F.broadcast(idf)
     weighted = counts.join(idf, "term").withColumn("w", F.col("n") * F.col("idf"))
-    # sum per text and join back: a text never has to fit into one window partition
-    norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return match(weighted, norms, [key]).select(key, "term", (F.col("w") / F.col("norm")).alias("weight"))
+    # a window partition is the different terms of one text
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
+    return weighted.withColumn("norm", norm).select(key, "term", (F.col("w") / F.col("norm")).alias("weight"))
 
 
 def fit_characters(df: DataFrame, col: str) -> list[str]:

@@ -97,3 +97,24 @@ def test_ngrams_cut_the_words_once_a_text(spark):
     begin = time.time()
     assert long.select(tokens("t", ngram_range=(2, 2)).alias("n")).selectExpr("size(n)").first()[0] == 11_999
     assert time.time() - begin < 8
+
+
+def test_tf_idf_deals_out_texts_not_terms(spark):
+    import io
+    from contextlib import redirect_stdout
+
+    from sparkkit.functions.encode import tf_idf
+
+    rows = [(1, "one two two"), (2, "two three"), (None, "one"), (None, "four four"), (3, None), (4, "")]
+    df = spark.createDataFrame(rows, "id long, t string")
+    done = tf_idf(df, "id", "t")
+    with redirect_stdout(io.StringIO()) as plan:
+        done.explain()
+    # texts by key, once
+    assert plan.getvalue().count("Exchange hashpartitioning") == 1
+    found = {(r["id"], r["term"]): r["weight"] for r in done.collect()}
+    n, idf = len(rows), lambda d: np.log((1 + len(rows)) / (1 + d)) + 1
+    raw = {(1, "one"): idf(2), (1, "two"): 2 * idf(2), (2, "two"): idf(2), (2, "three"): idf(1), (None, "one"): idf(2), (None, "four"): 2 * idf(1)}
+    norm = {k: np.sqrt(sum(w * w for (i, _), w in raw.items() if i == k)) for k, _ in raw}
+    assert found.keys() == raw.keys() and n == 6
+    np.testing.assert_allclose([found[k] for k in raw], [w / norm[k[0]] for k, w in raw.items()], rtol=1e-12)
