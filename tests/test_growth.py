@@ -118,3 +118,18 @@ def test_tf_idf_deals_out_texts_not_terms(spark):
     norm = {k: np.sqrt(sum(w * w for (i, _), w in raw.items() if i == k)) for k, _ in raw}
     assert found.keys() == raw.keys() and n == 6
     np.testing.assert_allclose([found[k] for k in raw], [w / norm[k[0]] for k, w in raw.items()], rtol=1e-12)
+
+
+def test_normal_quantiles_of_whole_arrays(monkeypatch):
+    import math
+    from statistics import NormalDist
+
+    from sparkkit.functions.scale import _normal_quantile
+
+    calls = []
+    erf = math.erf
+    monkeypatch.setattr(math, "erf", lambda v: calls.append(v) or erf(v))
+    p = np.concatenate([np.linspace(1e-7, 1 - 1e-7, 4001), [1e-6, 0.075, 0.925, 0.5]])
+    np.testing.assert_allclose(_normal_quantile(p), [NormalDist().inv_cdf(v) for v in p], rtol=0, atol=1e-9)
+    assert np.isnan(_normal_quantile(np.array([np.nan]))[0])
+    assert not calls  # no call for every value
