@@ -123,16 +123,21 @@ def count_vectorize(df: DataFrame, key: str, col: str, min_df: int = 1, max_feat
     return counts.join(fit_vocabulary(counts, min_df, max_features).select("term"), "term", "left_semi")
 
 
+def dealt_texts(df: DataFrame, key: str, col: str) -> tuple[DataFrame, int]:
+    """((key, col) dealt out by key, rows): parts of about `TASK_CHARS`, so what a task counts does not grow with the table."""
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(col)).alias("chars")).first()
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(size["chars"] or 0) // TASK_CHARS))
+    return df.select(key, col).repartition(parts, key), size["n"]
+
+
 def tf_idf(df: DataFrame, key: str, col: str, min_df: int = 1, max_features: int | None = None, **options) -> DataFrame:
     """(key, term, weight): n * (ln((1+N)/(1+df)) + 1), each text scaled to length one.
 
     The texts are dealt out by key, as they are shorter than their terms; counts and norms then need no exchange.  A
     vocabulary of at most `SENT_TERMS` is sent to the tasks, a larger one is joined.
     """
-    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(col)).alias("chars")).first()
-    n_texts = size["n"]
-    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(size["chars"] or 0) // TASK_CHARS))
-    counts = term_counts(df.select(key, col).repartition(parts, key), key, col, **options)
+    texts, n_texts = dealt_texts(df, key, col)
+    counts = term_counts(texts, key, col, **options)
     vocabulary = stored(fit_vocabulary(counts, min_df, max_features).select("term", "df"))
     idf = vocabulary.select("term", (F.log((1.0 + n_texts) / (1 + F.col("df"))) + 1).alias("idf"))
     if vocabulary.count() <= SENT_TERMS:

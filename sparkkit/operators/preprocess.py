@@ -49,6 +49,7 @@ class Preprocessor:
             options = {"max_features": None} | f.args
             texts = df.select(f.name).distinct().withColumn("__id", F.xxhash64(f.name))
             token_options = {k: v for k, v in options.items() if k in ("analyzer", "ngram_range", "stop_words")}
+            texts, n_texts = encode.dealt_texts(texts, "__id", f.name)
             counts = encode.term_counts(texts, "__id", f.name, **token_options)
             unknown = set(f.args) - {"analyzer", "ngram_range", "stop_words", "min_df", "max_features"}
             if unknown:
@@ -56,7 +57,6 @@ class Preprocessor:
             found = encode.fit_vocabulary(counts, options.get("min_df", 1), options["max_features"]).limit(max(MAX_TERMS, options["max_features"] or 0) + 1).collect()
             if options["max_features"] is None and len(found) > MAX_TERMS:
                 raise ValueError(f"{f.name}: more than {MAX_TERMS} terms; name max_features")
-            n_texts = texts.count()
             ordered = sorted(found, key=lambda r: r["term"])
             self.vocabulary[f.name] = {
                 "terms": [r["term"] for r in ordered], "df": [r["df"] for r in ordered], "n": n_texts, "options": token_options}
