@@ -13,7 +13,7 @@ from ..plans.ordered import match
 
 MAX_COLUMNS = 10_000
 SENT_TERMS = 500_000  # terms of a vocabulary that tasks hold as a whole
-TASK_CHARS = 24_000_000  # characters of the texts that a task takes apart
+TASK_CHARS = 8_000_000  # characters of the texts that a task takes apart
 
 
 def _bounded(rows: list, what: str) -> list:
