@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import math
 import operator
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -71,6 +72,41 @@ class Fitted:
         return out.withColumn("prediction", F.get(names, F.col("prediction").cast("int")))
 
 
+# ---- equal rows ----------------------------------------------------------------------------
+
+COPIES = "__copies"
+MERGE_ROWS = 100_000
+
+
+def _copies(rows: DataFrame, features: Sequence[str], weight: str | None = None) -> tuple[DataFrame, str | None]:
+    """Equal rows of features and label as weighted ones, for losses that are sums over rows; tables of less than two times
+    MERGE_ROWS rows and weighted ones stay as they are.
+
+    No row weighs more than one in MERGE_ROWS of the table: a weighted variance, by which Spark scales the features, departs
+    from that of single rows by the share of the heaviest row.
+    """
+    part = 0 if weight else rows.count() // MERGE_ROWS
+    if part < 2:
+        return rows, weight
+    plain = rows.select(*[F.col(f"`{f}`").cast("double").alias(f) for f in features], "__label")
+    same = plain.groupBy(*[F.col(f"`{f}`") for f in features], "__label").agg(F.count(F.lit(1)).alias("__m"))
+    pieces = F.ceil(F.col("__m") / part).cast("int")
+    return same.withColumn(COPIES, F.explode(F.array_repeat(F.col("__m") / pieces, pieces))).drop("__m").persist(), COPIES
+
+
+def _places(rows: DataFrame, features: Sequence[str], weight: str | None = None) -> tuple[DataFrame, str | None]:
+    """Rows of equal features as one weighted row of their mean label, from two times MERGE_ROWS rows on.
+
+    For trees that part the labels by variance and see every row: the spread of labels at one place is on the same side of every
+    split and adds nothing to its gain, and the values of the leaves are means.
+    """
+    if rows.count() < 2 * MERGE_ROWS:
+        return rows, weight
+    plain = rows.select(*[F.col(f"`{f}`").cast("double").alias(f) for f in features], "__label", (F.col(weight) if weight else F.lit(1.0)).alias("__m"))
+    means = plain.groupBy(*[F.col(f"`{f}`") for f in features]).agg(F.sum("__m").alias(COPIES), F.sum(F.col("__label") * F.col("__m")).alias("__label"))
+    return means.withColumn("__label", F.try_divide("__label", COPIES)).filter(F.col(COPIES) > 0).persist(), COPIES
+
+
 # ---- Spark ML models -----------------------------------------------------------------------
 
 
@@ -80,14 +116,21 @@ def _assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(safe.values()), outputCol="__features", handleInvalid="keep").transform(plain).drop(*safe.values())
 
 
-def _ml(make, history: bool = False):
+def _ml(make, merge=None):
+    """`merge` (_copies or _places) sums up rows where that leaves the model as it is."""
+
     def fit(df, features, labels, kind, weight=None, **params):
         estimator = make(**params)
         estimator.setFeaturesCol("__features").setLabelCol("__label")
+        given = weight
+        rows = df.filter("__label is not null")
+        if merge and not weight:
+            rows, weight = merge(rows, features)
         if weight:
             estimator.setWeightCol(weight)
-        rows = _assemble(df, features).filter("__label is not null")
-        model = estimator.fit(rows)
+        model = estimator.fit(_assemble(rows, features))
+        if weight != given:
+            rows.unpersist()
         return ml_apply(model, features, kind), model, _history(model)
 
     return fit
@@ -134,7 +177,8 @@ def _gbt_classifier(**params):
             classes = rows.agg(F.max("__label")).first()[0]
             if classes is None or classes < 2:
                 return base.fit(rows)
-            return mc.OneVsRest(classifier=base, featuresCol="__features", labelCol="__label").fit(rows)
+            weight = base.getWeightCol() if base.isSet(base.weightCol) else None
+            return mc.OneVsRest(classifier=base, featuresCol="__features", labelCol="__label", weightCol=weight).fit(rows)
 
     return Multi()
 
@@ -290,14 +334,18 @@ def _ridge_classifier(cv: bool):
     return fit
 
 
-def _svr(df, features, labels, kind, weight=None, C: float = 1.0, epsilon: float = 0.1, max_iter: int = 25, **_):
+def _svr(df, features, labels, kind, weight=None, C: float = 1.0, epsilon: float = 0.1, max_iter: int = 25, mapped=None, **_):
     """Epsilon-insensitive regression by re-weighted least squares: one weighted pass per step."""
-    rows = df.filter("__label is not null").select(*[F.col(f"`{f}`") for f in features], "__label").persist()
-    model = linear.fit_linear(rows, features, ["__label"], "Ridge", alpha=1.0 / C)
+    given = features if mapped is None else mapped[0]
+    rows = df.filter("__label is not null").select(*[F.col(f"`{f}`") for f in given], "__label").persist()
+    model = linear.fit_linear(rows, features, ["__label"], "Ridge", alpha=1.0 / C, mapped=mapped)
     for _step in range(max_iter):
-        over = F.greatest(F.abs(F.col("__label") - model.expression()) - epsilon, F.lit(0.0))
-        weighted = rows.withColumn("__irls", F.when(over > 0, 1.0 / F.greatest(over, F.lit(1e-3))).otherwise(1e-6))
-        new = linear.fit_linear(weighted, features, ["__label"], "Ridge", alpha=1.0 / C, weight="__irls")
+        if mapped is None:
+            over = F.greatest(F.abs(F.col("__label") - model.expression()) - epsilon, F.lit(0.0))
+            weighted = rows.withColumn("__irls", F.when(over > 0, 1.0 / F.greatest(over, F.lit(1e-3))).otherwise(1e-6))
+            new = linear.fit_linear(weighted, features, ["__label"], "Ridge", alpha=1.0 / C, weight="__irls")
+        else:
+            new = linear.fit_linear(rows, features, ["__label"], "Ridge", alpha=1.0 / C, mapped=(given, _tube(mapped[1], model, epsilon)))
         moved = float(np.max(np.abs(new.coef - model.coef))) if len(features) else 0.0
         model = new
         if moved < 1e-4 * max(float(np.max(np.abs(new.coef))), 1e-12):
@@ -306,8 +354,31 @@ def _svr(df, features, labels, kind, weight=None, C: float = 1.0, epsilon: float
     return model.predict, model, []
 
 
+def _tube(expand, model, epsilon: float):
+    """The mapped rows of a batch and their weights by the errors of `model`."""
+    coef, intercept = model.coef[:, 0], float(model.intercept[0])
+
+    def weigh(xy: np.ndarray):
+        zy, _ = expand(xy)
+        over = np.maximum(np.abs(zy[:, -1] - zy[:, :-1] @ coef - intercept) - epsilon, 0.0)
+        return zy, np.where(over > 0, 1.0 / np.maximum(over, 1e-3), 1e-6)
+
+    return weigh
+
+
 # ---- online linear models: local passes, averaged per epoch --------------------------------
 
+NARROW = 15  # features up to which a row is cheaper as plain numbers than as an array
+
+
+def _dot(w: list[float], x: list[float]) -> float:
+    """Sum of products, rounded as numpy rounds that of short arrays."""
+    total = 0.0
+    for a, b in zip(w, x):
+        total = math.fma(a, b, total)
+    return total
+
+
 
 def _online(update: str):
     """Perceptron and passive-aggressive learning: every partition makes a pass of its own over its
@@ -318,6 +389,26 @@ def _online(update: str):
         if kind == "classifier" and len(classes) == 2:
             classes = [1]
         p = len(features)
+
+        def walk(w, lines, labels, sizes, c):
+            """Coefficients after a pass over the rows of a batch, lists or arrays."""
+            narrow = isinstance(lines, list)
+            for x, y, size in zip(lines, labels, sizes):
+                value = _dot(w, x) if narrow else float(w @ x)
+                if update == "regress":
+                    gap = abs(y - value) - epsilon
+                    tau = (1.0 if y > value else -1.0) * min(C, gap / size) if gap > 0 else 0.0
+                else:
+                    side = 1.0 if y == c else -1.0
+                    if update == "perceptron":
+                        tau = side if side * value <= 0 else 0.0
+                    else:
+                        gap = 1 - side * value
+                        tau = side * min(C, gap / size) if gap > 0 else 0.0
+                if tau:
+                    w = [a + tau * b for a, b in zip(w, x)] if narrow else w + tau * x
+            return w
+
         rows = df.filter("__label is not null").select(*[F.col(f"`{f}`").cast("double").alias(f"__f{i}") for i, f in enumerate(features)], "__label")
         rows = rows.persist()
         w = np.zeros((len(classes), p + 1))
@@ -326,28 +417,19 @@ def _online(update: str):
             start = w
 
             def local(batches, start=start):
-                here, n = start.copy(), 0
+                here, n = start, 0
                 for pdf in batches:
                     pdf = pdf.dropna()
                     x = np.column_stack([np.ones(len(pdf)), pdf[names].to_numpy(float)])
-                    y = pdf["__label"].to_numpy(float)
-                    n += len(pdf)
-                    size = np.maximum((x * x).sum(axis=1), 1e-12)
-                    for i in range(len(x)):
-                        for k, c in enumerate(classes):
-                            value = here[k] @ x[i]
-                            if update == "regress":
-                                gap = y[i] - value
-                                tau = np.sign(gap) * min(C, max(abs(gap) - epsilon, 0.0) / size[i])
-                            else:
-                                side = 1.0 if y[i] == c else -1.0
-                                if update == "perceptron":
-                                    tau = side if side * value <= 0 else 0.0
-                                else:
-                                    tau = side * min(C, max(1 - side * value, 0.0) / size[i])
-                            here[k] += tau * x[i]
+                    size = np.maximum((x * x).sum(axis=1), 1e-12).tolist()
+                    y, n = pdf["__label"].tolist(), n + len(pdf)
+                    # values without bounds are left to numpy, whose products overflow without an error
+                    narrow = p <= NARROW and np.abs(x).max(initial=0.0) < 1e100 and np.abs(here).max() < 1e100
+                    lines = x.tolist() if narrow else x
+                    # the classes learn apart
+                    here = np.array([walk(line.tolist() if narrow else line, lines, y, size, c) for line, c in zip(here, classes)])
                 if n:
-                    yield pd.DataFrame({"n": [n], "w": [here.ravel()]})
+                    yield pd.DataFrame({"n": [n], "w": [np.ravel(here)]})
 
             parts = rows.mapInPandas(local, "n long, w array<double>")
             # weighted mean per coefficient, added up on the executors
@@ -377,18 +459,24 @@ def _online(update: str):
 # ---- kernels by random Fourier features ----------------------------------------------------
 
 
-def fourier_features(df: DataFrame, features: Sequence[str], n: int, gamma: float, seed: int) -> DataFrame:
-    """Columns __rff0.. = cos(w.x + b) whose inner products approximate the kernel exp(-gamma d^2)."""
+def _waves(p: int, n: int, gamma: float, seed: int) -> Callable[[np.ndarray], np.ndarray]:
+    """The map of places to cos(w.x + b), whose inner products approximate the kernel exp(-gamma d^2)."""
     rng = np.random.default_rng(seed)
-    w = rng.normal(scale=np.sqrt(2 * gamma), size=(len(features), n))
+    w = rng.normal(scale=np.sqrt(2 * gamma), size=(p, n))
     b = rng.uniform(0, 2 * np.pi, size=n)
     scale = np.sqrt(2.0 / n)
+    return lambda x: scale * np.cos(x @ w + b)
+
+
+def fourier_features(df: DataFrame, features: Sequence[str], n: int, gamma: float, seed: int) -> DataFrame:
+    """Columns __rff0.. of the map by `_waves`."""
+    of = _waves(len(features), n, gamma, seed)
 
     @F.pandas_udf("array<double>")
     def waves(x: pd.Series) -> pd.Series:
         if not len(x):
             return pd.Series([], dtype=object)
-        return pd.Series(list(scale * np.cos(np.stack(x.to_numpy()).astype(float) @ w + b)))
+        return pd.Series(list(of(np.stack(x.to_numpy()).astype(float))))
 
     # kept out of pushed-down filters and merged projections, which would repeat the call per column
     once = waves.asNondeterministic()
@@ -402,8 +490,16 @@ def _kernel(inner):
             spread = df.agg(functools.reduce(operator.add, [F.coalesce(F.var_pop(f"`{f}`"), F.lit(0.0)) for f in features])).first()[0]
             gamma = 1.0 / max(spread, 1e-12)
         names = [f"__rff{i}" for i in range(n_components)]
-        mapped = fourier_features(df, features, n_components, gamma, seed)
-        apply, model, history = inner(mapped, names, labels, kind, weight, **params)
+        if kind == "regressor":
+            # least squares need sums only: rows are mapped where they are added up
+            of, p = _waves(len(features), n_components, gamma, seed), len(features)
+            mapped = (features, lambda xy: (np.column_stack([of(xy[:, :p]), xy[:, p:]]), None))
+            apply, model, history = inner(df, names, labels, kind, weight, mapped=mapped, **params)
+        else:
+            rows, copies = _copies(df.filter("__label is not null"), features, weight)
+            apply, model, history = inner(fourier_features(rows, features, n_components, gamma, seed), names, labels, kind, copies, **params)
+            if copies != weight:
+                rows.unpersist()
         # stored with the model, which knows the mapped columns only
         model.kernel_map = {"n": n_components, "gamma": float(gamma), "seed": seed}
         return kernel_apply(apply, features, model.kernel_map), model, history
@@ -423,16 +519,24 @@ def kernel_apply(apply, features: Sequence[str], kernel_map: dict):
 def _adaboost(df, features, labels, kind, weight=None, n_estimators: int = 10, learning_rate: float = 1.0, maxDepth: int = 2, **_):
     """SAMME for classes, R2 weights for values.  The weight of a row is an expression of the trees
     so far, so no round stores or joins weights."""
-    rows = df.filter("__label is not null").persist()
+    rows = df.filter("__label is not null").select(*[F.col(f"`{f}`") for f in features], "__label")
+    copies = None
+    if kind == "classifier":
+        rows, copies = _copies(rows, features)
+    rows = rows.persist()
     apply_stage, weights = [], []
     k = max(len(labels), 2)
-    current = rows.withColumn("__w", F.lit(1.0))
+    current = rows.withColumn("__w", F.col(copies) if copies else F.lit(1.0))
     for stage in range(n_estimators):
         if kind == "classifier":
             tree = mc.DecisionTreeClassifier(maxDepth=maxDepth, featuresCol="__features", labelCol="__label", weightCol="__w")
+            model = tree.fit(_assemble(current, features))
         else:
-            tree = mr.DecisionTreeRegressor(maxDepth=maxDepth, featuresCol="__features", labelCol="__label", weightCol="__w")
-        model = tree.fit(_assemble(current, features))
+            seen, shares = _places(current, features, "__w")
+            tree = mr.DecisionTreeRegressor(maxDepth=maxDepth, featuresCol="__features", labelCol="__label", weightCol=shares)
+            model = tree.fit(_assemble(seen, features))
+            if shares != "__w":
+                seen.unpersist()
         stage_apply = ml_apply(model, features, "regressor")
         scored = _drop_probability(stage_apply(current))
         if kind == "classifier":
@@ -443,13 +547,14 @@ def _adaboost(df, features, labels, kind, weight=None, n_estimators: int = 10, l
             alpha = learning_rate * (np.log((1 - max(error, 1e-10)) / max(error, 1e-10)) + np.log(k - 1))
             factor = F.exp(F.lit(float(alpha)) * wrong)
         else:
-            top = scored.agg(F.max(F.abs(F.col("prediction") - F.col("__label")))).first()[0] or 0.0
+            off = F.abs(F.col("prediction") - F.col("__label"))
+            top, lost, whole = scored.agg(F.max(off), F.sum(F.col("__w") * off), F.sum("__w")).first()
+            top = top or 0.0
             if top == 0:
                 apply_stage.append(stage_apply)
                 weights.append(1.0)
                 break
-            loss = F.abs(F.col("prediction") - F.col("__label")) / F.lit(float(top))
-            error = scored.agg(F.sum(F.col("__w") * loss) / F.sum("__w")).first()[0]
+            loss, error = off / F.lit(float(top)), lost / top / whole
             if error >= 0.5 and apply_stage:
                 break
             beta = max(error, 1e-10) / (1 - min(error, 1 - 1e-10))
@@ -698,15 +803,19 @@ def _inverse_penalty(fit):
     return run
 
 
-_logistic = _ml(lambda max_iter=100, reg=0.0, l1=0.0, **_: mc.LogisticRegression(maxIter=max_iter, regParam=reg, elasticNetParam=l1))
-_svc_binary = _ml(lambda max_iter=100, reg=0.01, **_: mc.LinearSVC(maxIter=max_iter, regParam=reg))
+_logistic = _ml(lambda max_iter=100, reg=0.0, l1=0.0, **_: mc.LogisticRegression(maxIter=max_iter, regParam=reg, elasticNetParam=l1), _copies)
+_svc_binary = _ml(lambda max_iter=100, reg=0.01, **_: mc.LinearSVC(maxIter=max_iter, regParam=reg), _copies)
 
 
 def _svc(df, features, labels, kind, weight=None, **params):
     if len(labels) <= 2:
         return _svc_binary(df, features, labels, kind, weight, **params)
     base = mc.LinearSVC(maxIter=params.get("max_iter", 50), regParam=params.get("reg", 0.01))
-    model = mc.OneVsRest(classifier=base, featuresCol="__features", labelCol="__label").fit(_assemble(df, features).filter("__label is not null"))
+    given = weight if weight == COPIES else None
+    rows, copies = _copies(df.filter("__label is not null"), features, given)
+    model = mc.OneVsRest(classifier=base, featuresCol="__features", labelCol="__label", weightCol=copies).fit(_assemble(rows, features))
+    if copies != given:
+        rows.unpersist()
     return ml_apply(model, features, "regressor"), model, []
 
 
@@ -746,15 +855,15 @@ C, R = "classifier", "regressor"
 CATALOGUE: dict[str, tuple[str, Callable]] = {
     "DummyClassifier": (C, _dummy), "DummyRegressor": (R, _dummy),
     "LogisticRegression": (C, _inverse_penalty(_logistic)), "LogisticRegressionCV": (C, _logistic_cv),
-    "DecisionTreeClassifier": (C, _ml(_tree(mc.DecisionTreeClassifier))), "DecisionTreeRegressor": (R, _ml(_tree(mr.DecisionTreeRegressor))),
-    "ExtraTreeClassifier": (C, _ml(_tree(mc.RandomForestClassifier, numTrees=1, bootstrap=False, featureSubsetStrategy="sqrt"))),
-    "ExtraTreeRegressor": (R, _ml(_tree(mr.RandomForestRegressor, numTrees=1, bootstrap=False, featureSubsetStrategy="onethird"))),
+    "DecisionTreeClassifier": (C, _ml(_tree(mc.DecisionTreeClassifier), _copies)), "DecisionTreeRegressor": (R, _ml(_tree(mr.DecisionTreeRegressor), _places)),
+    "ExtraTreeClassifier": (C, _ml(_tree(mc.RandomForestClassifier, numTrees=1, bootstrap=False, featureSubsetStrategy="sqrt"), _copies)),
+    "ExtraTreeRegressor": (R, _ml(_tree(mr.RandomForestRegressor, numTrees=1, bootstrap=False, featureSubsetStrategy="onethird"), _places)),
     "RandomForestClassifier": (C, _ml(_tree(mc.RandomForestClassifier))), "RandomForestRegressor": (R, _ml(_tree(mr.RandomForestRegressor))),
     "BaggingClassifier": (C, _ml(_tree(mc.RandomForestClassifier, featureSubsetStrategy="all"))),
     "BaggingRegressor": (R, _ml(_tree(mr.RandomForestRegressor, featureSubsetStrategy="all"))),
-    "ExtraTreesClassifier": (C, _ml(_tree(mc.RandomForestClassifier, bootstrap=False))),
-    "ExtraTreesRegressor": (R, _ml(_tree(mr.RandomForestRegressor, bootstrap=False))),
-    "GradientBoostingClassifier": (C, _ml(_boosted)), "GradientBoostingRegressor": (R, _ml(_tree(mr.GBTRegressor))),
+    "ExtraTreesClassifier": (C, _ml(_tree(mc.RandomForestClassifier, bootstrap=False), _copies)),
+    "ExtraTreesRegressor": (R, _ml(_tree(mr.RandomForestRegressor, bootstrap=False), _places)),
+    "GradientBoostingClassifier": (C, _ml(_boosted, _copies)), "GradientBoostingRegressor": (R, _ml(_tree(mr.GBTRegressor), _places)),
     "AdaBoostClassifier": (C, _adaboost), "AdaBoostRegressor": (R, _adaboost),
     "VotingClassifier": (C, _voting),
     "BernoulliNB": (C, _naive_bayes("bernoulli")), "GaussianNB": (C, _naive_bayes("gaussian")), "MultinomialNB": (C, _naive_bayes("multinomial")),

@@ -244,13 +244,19 @@ def candidates(m: Moments, argument: str, grid=None, n_alphas: int = 30, l1_rati
 
 def fit_linear(df: DataFrame, features: Sequence[str], targets: Sequence[str], name: str = "LinearRegression",
                fold: str | None = None, grid=None, weight: str | None = None, fit_intercept: bool = True,
-               **params) -> LinearModel:
-    """Fit one of SOLVERS, or one of TUNED by k-fold over the `fold` column, in one pass."""
+               mapped=None, **params) -> LinearModel:
+    """Fit one of SOLVERS, or one of TUNED by k-fold over the `fold` column, in one pass.
+
+    `mapped` (columns, function) tells features that are no columns: see `expand` of gram; for SOLVERS.
+    """
     features, targets = list(features), list(targets)
     p = len(features)
     read = lambda n, g: Moments.of(n, g, p) if fit_intercept else _raw(n, g, p)
     if name in SOLVERS:
-        n, g = gram_matrix(df, [*features, *targets], weight)
+        if mapped is None:
+            n, g = gram_matrix(df, [*features, *targets], weight)
+        else:
+            n, g = gram_matrix(df, [*mapped[0], *targets], weight, mapped[1], p + len(targets) + 1)
         m = read(n, g)
         return _model(m, SOLVERS[name](m, **params), features, targets, params)
     solver, argument = TUNED[name]

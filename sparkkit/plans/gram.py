@@ -20,8 +20,12 @@ MAX_WIDTH = 4_000
 _FLUSH = 64
 
 
-def gram(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
-    """(by..., n, g): g is the row-major (d+1) x (d+1) matrix; rows with a null in `cols` are left out."""
+def gram(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), weight: str | None = None, expand=None) -> DataFrame:
+    """(by..., n, g): g is the row-major (d+1) x (d+1) matrix; rows with a null in `cols` are left out.
+
+    `expand` turns the columns of some rows, an array, into the columns that enter the matrix and weights or None: wide rows
+    that can be computed are made where they are added up.
+    """
     cols, by = list(cols), list(by)
     width = len(cols) + 1
     if width > MAX_WIDTH:
@@ -30,7 +34,7 @@ def gram(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), weight: str
                      *([F.col(weight).cast("double").alias("__w")] if weight else []))
     # incomplete rows are left out inside the sums: a filter on dozens of computed columns would be
     # pushed below their projection, where deriving constraints takes the optimizer minutes
-    return _gram_sql(rows, cols, by, weight) if width <= SQL_WIDTH else _gram_arrow(rows, cols, by, weight)
+    return _gram_sql(rows, cols, by, weight) if width <= SQL_WIDTH and expand is None else _gram_arrow(rows, cols, by, weight, expand)
 
 
 def _gram_sql(rows, cols, by, weight):
@@ -47,9 +51,7 @@ def _gram_sql(rows, cols, by, weight):
     return totals.select(*by, "n", full.alias("g"))
 
 
-def _gram_arrow(rows, cols, by, weight):
-    width = len(cols) + 1
-
+def _gram_arrow(rows, cols, by, weight, expand=None):
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[tuple, list] = {}
 
@@ -62,11 +64,17 @@ def _gram_arrow(rows, cols, by, weight):
             pdf = pdf.dropna(subset=cols)
             groups = pdf.groupby(by, dropna=False, sort=False) if by else [((), pdf)]
             for key, part in groups:
-                z = np.column_stack([np.ones(len(part)), part[cols].to_numpy(float)])
-                left = z * part["__w"].to_numpy(float)[:, None] if weight else z
+                x, w = part[cols].to_numpy(float), part["__w"].to_numpy(float) if weight else None
+                if expand is not None:
+                    x, own = expand(x)
+                    w = own if w is None else w if own is None else w * own
+                    known = ~np.isnan(x).any(axis=1)
+                    x, w = x[known], None if w is None else w[known]
+                z = np.column_stack([np.ones(len(x)), x])
+                left = z if w is None else z * w[:, None]
                 key = key if isinstance(key, tuple) else (key,)
                 n, g = held.get(key, (0, 0.0))
-                held[key] = (n + len(part), g + left.T @ z)
+                held[key] = (n + len(x), g + left.T @ z)
                 if len(held) >= _FLUSH:
                     yield release()
         if held:
@@ -81,10 +89,10 @@ def _gram_arrow(rows, cols, by, weight):
     return ordered.select(*by, "n", F.col("cells.v").alias("g"))
 
 
-def gram_matrix(df: DataFrame, cols: Sequence[str], weight: str | None = None) -> tuple[int, np.ndarray]:
-    """The single matrix of an ungrouped pass; its size depends on the columns only."""
-    width = len(cols) + 1
-    row = gram(df, cols, (), weight).first()
+def gram_matrix(df: DataFrame, cols: Sequence[str], weight: str | None = None, expand=None, width: int | None = None) -> tuple[int, np.ndarray]:
+    """The single matrix of an ungrouped pass; its size depends on the columns only (`width` with those of `expand`)."""
+    width = width or len(cols) + 1
+    row = gram(df, cols, (), weight, expand).first()
     if row is None:
         return 0, np.zeros((width, width))
     return int(row["n"]), np.asarray(row["g"], dtype=float).reshape(width, width)

@@ -1,8 +1,10 @@
 """Queries that failed, or whose cost grew faster than their input."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from sparkkit.operators import cluster as cl
+from sparkkit.operators import estimators as est
 
 
 def test_birch_keeps_clusters_of_many_signs(spark):
@@ -133,3 +135,63 @@ def test_normal_quantiles_of_whole_arrays(monkeypatch):
     np.testing.assert_allclose(_normal_quantile(p), [NormalDist().inv_cdf(v) for v in p], rtol=0, atol=1e-9)
     assert np.isnan(_normal_quantile(np.array([np.nan]))[0])
     assert not calls  # no call for every value
+
+
+def _pieces(spark, n=3000, seed=5):
+    rng = np.random.default_rng(seed)
+    x = np.round(rng.uniform(0, 4, (n, 2)), 1)
+    c = np.where(x[:, 0] + rng.normal(0, 1, n) > 2, "a", np.where(x[:, 1] > 2, "b", "c"))
+    y = x[:, 0] * x[:, 1] + rng.normal(0, 1, n)
+    return spark.createDataFrame([(float(a), float(b), str(k), float(v)) for (a, b), k, v in zip(x, c, y)], "a double, b double, c string, y double")
+
+
+def test_equal_rows_are_fitted_as_one(spark, monkeypatch):
+    rows = _pieces(spark).persist()
+    seen = []
+    for name, label, options in (("LogisticRegression", "c", {}), ("LinearSVC", "c", {"max_iter": 15}), ("GradientBoostingClassifier", "c", {"n_estimators": 2, "maxDepth": 3}),
+                                 ("GaussianProcessClassifier", "c", {"n_components": 6, "max_iter": 30}), ("DecisionTreeRegressor", "y", {}), ("ExtraTreesRegressor", "y", {"n_estimators": 2}),
+                                 ("GradientBoostingRegressor", "y", {"n_estimators": 2})):
+        got = {}
+        for size in (10**9, 1000):
+            monkeypatch.setattr(est, "MERGE_ROWS", size)
+            read = []
+            assemble = est._assemble
+            monkeypatch.setattr(est, "_assemble", lambda df, features: (read.append(df), assemble(df, features))[1])
+            model = est.fit_estimator(name, rows, ["a", "b"], label, **options)
+            monkeypatch.setattr(est, "_assemble", assemble)
+            seen.append(est.COPIES in read[0].columns)
+            got[size] = [r["prediction"] for r in model.predict(rows).select("a", "b", "prediction").distinct().orderBy("a", "b").collect()]
+        if label == "c":
+            assert np.mean([p == q for p, q in zip(*got.values())]) > 0.98
+        else:
+            assert np.allclose(*got.values(), atol=1e-6)
+    assert seen == [False, True] * 7
+
+
+def test_boosted_values_grow_trees_on_places(spark, monkeypatch):
+    rows = _pieces(spark)
+    got = []
+    for size in (10**9, 1000):
+        monkeypatch.setattr(est, "MERGE_ROWS", size)
+        model = est.fit_estimator("AdaBoostRegressor", rows, ["a", "b"], "y", n_estimators=3)
+        got.append([r["prediction"] for r in model.predict(rows).select("a", "b", "prediction").distinct().orderBy("a", "b").collect()])
+    assert np.allclose(*got, atol=1e-6)
+
+
+def test_kernel_sums_are_made_of_the_mapped_columns(spark):
+    rows = _pieces(spark, 500).withColumn("__label", F.col("y"))
+    wide = est.fourier_features(rows, ["a", "b"], 20, 0.3, 42)
+    names = [f"__rff{i}" for i in range(20)]
+    _, want, _ = est._svr(wide, names, [], "regressor", max_iter=3)
+    _, got, _ = est._kernel(est._svr)(rows, ["a", "b"], [], "regressor", n_components=20, gamma=0.3, max_iter=3)
+    assert np.allclose(got.coef, want.coef, rtol=1e-6) and np.allclose(got.intercept, want.intercept, rtol=1e-6)
+
+
+def test_online_learners_round_like_arrays(spark, monkeypatch):
+    rows = _pieces(spark, 800).coalesce(2).persist()
+    for name, label in (("Perceptron", "c"), ("PassiveAggressiveClassifier", "c"), ("PassiveAggressiveRegressor", "y")):
+        got = []
+        for narrow in (15, 0):
+            monkeypatch.setattr(est, "NARROW", narrow)
+            got.append(est.fit_estimator(name, rows, ["a", "b"], label, epochs=2).model)
+        assert np.array_equal(*got)
