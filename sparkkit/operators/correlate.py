@@ -158,13 +158,81 @@ def correlate_arrays(a: Column, b: Column) -> Column:
     return F.when(F.size(a) == F.size(b), F.try_divide(sab, F.sqrt(saa * sbb)))
 
 
-def correlate_rows(df: DataFrame, key: str, a: str, b: str, method: str = "pearson") -> DataFrame:
-    """(key, correlation) of two array columns per row."""
+def _ties(change: np.ndarray, unit: np.ndarray, units: int) -> np.ndarray:
+    """Per unit: pairs inside the runs of sorted rows that begin where `change` is true."""
+    starts = np.flatnonzero(change)
+    m = np.diff(np.append(starts, len(unit))).astype(float)
+    return np.bincount(unit[starts], weights=m * (m - 1) / 2, minlength=units)
+
+
+def _taus(unit: np.ndarray, x: np.ndarray, y: np.ndarray, units: int) -> np.ndarray:
+    """Tau-b of every unit (0..units-1), NaN for fewer than two pairs or a constant series."""
+    order = np.lexsort((y, x, unit))
+    unit, x, y = unit[order], x[order], y[order]
+    if not len(unit):
+        return np.full(units, np.nan)
+    new = np.diff(unit, prepend=-1) != 0
+    new_x = new | (np.diff(x, prepend=np.nan) != 0)
+    n1, n3 = _ties(new_x, unit, units), _ties(new_x | (np.diff(y, prepend=np.nan) != 0), unit, units)
+    by_y = np.lexsort((y, unit))
+    n2 = _ties(new | (np.diff(y[by_y], prepend=np.nan) != 0), unit, units)
+    place = np.empty(len(unit), dtype=np.int64)
+    place[by_y] = np.arange(len(unit))
+    discordant = np.zeros(units)
+    found = _inversions(unit, place)
+    discordant[: len(found)] = found
+    n = np.bincount(unit, minlength=units).astype(float)
+    n0 = n * (n - 1) / 2
+    scale = np.sqrt((n0 - n1) * (n0 - n2))
+    return np.where(scale > 0, (n0 - n1 - n2 + n3 - 2 * discordant) / np.where(scale > 0, scale, 1.0), np.nan)
+
+
+ROW_PAIRS = 1_000  # pairs of a row up to which its tau is computed in place
+_BATCH_PAIRS = 500_000
+
+
+def _row_tau(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Tau of two array columns, row by row."""
+    sizes = np.array([len(v) if v is not None and w is not None and len(v) == len(w) else 0 for v, w in zip(a, b)], dtype=np.int64)
+    out = np.full(len(sizes), np.nan)
+    ends = np.cumsum(sizes)
+    s = 0
+    while s < len(sizes):
+        e = max(int(np.searchsorted(ends, ends[s] - sizes[s] + _BATCH_PAIRS, side="right")), s + 1)
+        at = [i for i in range(s, e) if sizes[i]]
+        if at:
+            x, y = (np.concatenate([np.asarray(v.iloc[i], dtype=float) for i in at]) for v in (a, b))
+            unit = np.repeat(np.arange(e - s), sizes[s:e])
+            full = ~(np.isnan(x) | np.isnan(y))
+            out[s:e] = _taus(unit[full], x[full], y[full], e - s)
+        s = e
+    return pd.Series(out).astype(object).where(~np.isnan(out), None)
+
+
+def correlate_rows(df: DataFrame, key: str, a: str, b: str, method: str = "pearson", row_pairs: int = ROW_PAIRS) -> DataFrame:
+    """(key, correlation) of two array columns per row.
+
+    Rank methods take the rows of a repeated key as one series.  Tau of arrays of up to `row_pairs` under keys of their own
+    is computed where the row is; longer ones are dealt out.
+    """
     if method == "pearson":
         return df.select(key, correlate_arrays(F.col(a), F.col(b)).alias("correlation"))
-    same = df.filter(F.size(a) == F.size(b)).select(key, F.inline(F.arrays_zip(F.col(a), F.col(b))).alias("x", "y"))
-    done = correlate(same, "x", "y", [key], method).select(key, "correlation")
-    return match(df.select(key), done, [key], "left")
+
+    def dealt(rows):
+        same = rows.filter(F.size(a) == F.size(b)).select(key, F.inline(F.arrays_zip(F.col(a), F.col(b))).alias("x", "y"))
+        done = correlate(same, "x", "y", [key], method).select(key, "correlation")
+        return match(rows.select(key), done, [key], "left")
+
+    if method != "kendall":
+        return dealt(df)
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max(F.size(a)).alias("m"))
+    rows, longest = per_key.agg(F.max("n"), F.max("m")).first()
+    if (rows or 0) > 1:
+        return dealt(df)
+    brief = F.coalesce(F.size(a) <= row_pairs, F.lit(True))
+    here = (df if (longest or 0) <= row_pairs else df.filter(brief)).select(
+        key, F.pandas_udf(_row_tau, "double")(F.col(a).cast("array<double>"), F.col(b).cast("array<double>")).alias("correlation"))
+    return here if (longest or 0) <= row_pairs else here.unionByName(dealt(df.filter(~brief)))
 
 
 def correlate_one_vs_all(df: DataFrame, series: str, key: str, value: str, chosen, method: str = "pearson") -> DataFrame:

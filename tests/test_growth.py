@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from sparkkit.operators import cluster as cl
+from sparkkit.operators import correlate as cor
 from sparkkit.operators import estimators as est
 
 
@@ -195,3 +196,18 @@ def test_online_learners_round_like_arrays(spark, monkeypatch):
             monkeypatch.setattr(est, "NARROW", narrow)
             got.append(est.fit_estimator(name, rows, ["a", "b"], label, epochs=2).model)
         assert np.array_equal(*got)
+
+
+def test_tau_of_a_row_needs_no_shuffle(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(v) for v in rng.integers(0, 4, i)], [float(v) for v in rng.integers(0, 4, i)]) for i in range(40)]
+    rows += [(40, [1.0, None, 2.0, 3.0], [2.0, 1.0, float("nan"), 5.0]), (41, [1.0], [1.0, 2.0]), (42, None, [1.0]), (None, [1.0, 2.0], [3.0, 4.0])]
+    df = spark.createDataFrame(rows, "k int, a array<double>, b array<double>").persist()
+    want = {r["k"]: r["correlation"] for r in cor.correlate_rows(df, "k", "a", "b", "kendall", row_pairs=-1).collect()}
+    for limit in (1000, 10):
+        out = cor.correlate_rows(df, "k", "a", "b", "kendall", row_pairs=limit)
+        got = {r["k"]: r["correlation"] for r in out.collect()}
+        assert got.keys() == want.keys() and all(got[k] == want[k] or abs(got[k] - want[k]) < 1e-12 for k in want)
+        assert ("Exchange" in out._jdf.queryExecution().toString()) == (limit == 10)
+    twice = {r["k"]: r["correlation"] for r in cor.correlate_rows(df.union(df.filter("k = 9")), "k", "a", "b", "kendall").collect()}
+    assert len(twice) == len(want)
