@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import math
 import operator
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -368,17 +367,6 @@ def _tube(expand, model, epsilon: float):
 
 # ---- online linear models: local passes, averaged per epoch --------------------------------
 
-NARROW = 15  # features up to which a row is cheaper as plain numbers than as an array
-
-
-def _dot(w: list[float], x: list[float]) -> float:
-    """Sum of products, rounded as numpy rounds that of short arrays."""
-    total = 0.0
-    for a, b in zip(w, x):
-        total = math.fma(a, b, total)
-    return total
-
-
 
 def _online(update: str):
     """Perceptron and passive-aggressive learning: every partition makes a pass of its own over its
@@ -391,10 +379,9 @@ def _online(update: str):
         p = len(features)
 
         def walk(w, lines, labels, sizes, c):
-            """Coefficients after a pass over the rows of a batch, lists or arrays."""
-            narrow = isinstance(lines, list)
+            """Coefficients after a pass over the rows of a batch; rows that fit change nothing."""
             for x, y, size in zip(lines, labels, sizes):
-                value = _dot(w, x) if narrow else float(w @ x)
+                value = float(w @ x)
                 if update == "regress":
                     gap = abs(y - value) - epsilon
                     tau = (1.0 if y > value else -1.0) * min(C, gap / size) if gap > 0 else 0.0
@@ -406,7 +393,7 @@ def _online(update: str):
                         gap = 1 - side * value
                         tau = side * min(C, gap / size) if gap > 0 else 0.0
                 if tau:
-                    w = [a + tau * b for a, b in zip(w, x)] if narrow else w + tau * x
+                    w = w + tau * x
             return w
 
         rows = df.filter("__label is not null").select(*[F.col(f"`{f}`").cast("double").alias(f"__f{i}") for i, f in enumerate(features)], "__label")
@@ -423,11 +410,9 @@ def _online(update: str):
                     x = np.column_stack([np.ones(len(pdf)), pdf[names].to_numpy(float)])
                     size = np.maximum((x * x).sum(axis=1), 1e-12).tolist()
                     y, n = pdf["__label"].tolist(), n + len(pdf)
-                    # values without bounds are left to numpy, whose products overflow without an error
-                    narrow = p <= NARROW and np.abs(x).max(initial=0.0) < 1e100 and np.abs(here).max() < 1e100
-                    lines = x.tolist() if narrow else x
+                    lines = list(x)
                     # the classes learn apart
-                    here = np.array([walk(line.tolist() if narrow else line, lines, y, size, c) for line, c in zip(here, classes)])
+                    here = np.array([walk(line, lines, y, size, c) for line, c in zip(here, classes)])
                 if n:
                     yield pd.DataFrame({"n": [n], "w": [np.ravel(here)]})
 

@@ -188,14 +188,18 @@ def test_kernel_sums_are_made_of_the_mapped_columns(spark):
     assert np.allclose(got.coef, want.coef, rtol=1e-6) and np.allclose(got.intercept, want.intercept, rtol=1e-6)
 
 
-def test_online_learners_round_like_arrays(spark, monkeypatch):
-    rows = _pieces(spark, 800).coalesce(2).persist()
-    for name, label in (("Perceptron", "c"), ("PassiveAggressiveClassifier", "c"), ("PassiveAggressiveRegressor", "y")):
-        got = []
-        for narrow in (15, 0):
-            monkeypatch.setattr(est, "NARROW", narrow)
-            got.append(est.fit_estimator(name, rows, ["a", "b"], label, epochs=2).model)
-        assert np.array_equal(*got)
+def test_online_learners_change_by_rows_that_do_not_fit(spark):
+    rows = _pieces(spark, 300).coalesce(1).persist()
+    seen = rows.toPandas()
+    x = np.column_stack([np.ones(len(seen)), seen[["a", "b"]].to_numpy()])
+    want = np.zeros((3, 3))
+    for _epoch in range(2):
+        for i, c in enumerate(seen["c"]):
+            for k in range(3):
+                side = 1.0 if "abc"[k] == c else -1.0
+                if side * (want[k] @ x[i]) <= 0:
+                    want[k] += side * x[i]
+    assert np.allclose(est.fit_estimator("Perceptron", rows, ["a", "b"], "c", epochs=2).model, want)
 
 
 def test_tau_of_a_row_needs_no_shuffle(spark):
