@@ -8,7 +8,7 @@ queries with one leaf; no table of all pairs exists.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +25,12 @@ MAX_LEAVES = 16_384
 SAMPLE_ROWS = 100_000
 _BLOCK_CELLS = 4_000_000
 SIFTED = 8  # coordinates beyond which a matrix product sifts the pairs
+# radius search: leaves of queries that go to a task together (at most, and as long as there are fewer tasks than TASKS),
+# places of a task on either side, places of a box inside a task
+TASK_LEAVES, TASKS = 32, 128
+TASK_QUERIES, TASK_POINTS = 100_000, 500_000
+BUCKET = 32
+_SUM_CELLS = 250_000
 
 
 @dataclass
@@ -92,10 +98,13 @@ def build_leaves(points: DataFrame, x: str, leaf_rows: int = LEAF_ROWS, max_leav
     return Leaves(np.array(axis), np.array(threshold), np.array(child), leaves)
 
 
+def _corners(x: str, d: int) -> list[Column]:
+    return [f(F.col(x)[i]).alias(f"{n}{i}") for i in range(d) for n, f in (("lo", F.min), ("hi", F.max))]
+
+
 def boxes_of(placed: DataFrame, x: str, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(leaf numbers, lower corners, upper corners) of the points in each leaf: at most MAX_LEAVES rows."""
-    corners = [f(F.col(x)[i]).alias(f"{n}{i}") for i in range(d) for n, f in (("lo", F.min), ("hi", F.max))]
-    rows = placed.groupBy("leaf").agg(*corners).collect()
+    rows = placed.groupBy("leaf").agg(*_corners(x, d)).collect()
     rows.sort(key=lambda r: r["leaf"])
     return (np.array([r["leaf"] for r in rows], dtype=np.int64),
             np.array([[r[f"lo{i}"] for i in range(d)] for r in rows]).reshape(-1, d),
@@ -271,43 +280,187 @@ def nearest(queries: DataFrame, points: DataFrame, key: str, cols: Sequence[str]
     return match(q0, best, ["__q"]).select(F.col("__q").alias(key), "x", "neighbours")
 
 
+def _length(gaps: Iterable[np.ndarray], metric: str) -> np.ndarray:
+    """Length of differences given coordinate by coordinate, rounded as in `distances`."""
+    total = np.zeros(1)
+    for gap in gaps:
+        if metric == "euclidean":
+            total = total + gap**2
+        elif metric == "manhattan":
+            total = total + np.abs(gap)
+        else:
+            total = np.maximum(total, np.abs(gap))
+    return np.sqrt(total) if metric == "euclidean" else total
+
+
+def _sides(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], radius: float, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """(all places of two boxes are within `radius`, some may be and some not); boxes are (low, high) with coordinates last.
+
+    Every rounding is monotonic, so no pair's distance, computed alike, is on another side of `radius` than its boxes'.
+    """
+    (alow, ahigh), (blow, bhigh) = a, b
+    d = range(alow.shape[-1])
+    with np.errstate(invalid="ignore", over="ignore"):
+        far = _length((np.maximum(bhigh[..., j] - alow[..., j], ahigh[..., j] - blow[..., j]) for j in d), metric)
+        near = _length((np.fmax(np.fmax(blow[..., j] - ahigh[..., j], alow[..., j] - bhigh[..., j]), 0.0) for j in d), metric)
+        inside = (far <= radius) & np.isfinite(far)
+        return inside, (near <= radius) & ~inside
+
+
+def _tree(x: np.ndarray, size: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """(order, lower corners, upper corners by level) of a balanced tree of median splits along the widest axis.
+
+    Level l has 2^l boxes of equally many places that follow each other in `order`, at most `size` at the last level; numbers
+    from len(x) on fill up and stand for the last place.
+    """
+    n, d = x.shape
+    levels = (-(-n // size) - 1).bit_length()
+    order = np.arange(-(-n >> levels) << levels)
+    padded = x[np.minimum(order, n - 1)]
+    for level in range(levels):
+        parts = order.reshape(1 << level, -1)
+        block = padded[parts]
+        with np.errstate(invalid="ignore", over="ignore"):
+            axis = np.argmax(block.max(axis=1) - block.min(axis=1), axis=1)
+        values = np.take_along_axis(block, axis[:, None, None], axis=2)[:, :, 0]
+        order = np.take_along_axis(parts, np.argpartition(values, parts.shape[1] // 2, axis=1), axis=1).ravel()
+    block = padded[order].reshape(1 << levels, -1, d)
+    low, high = [block.min(axis=1)], [block.max(axis=1)]
+    for _level in range(levels):
+        low.insert(0, low[0].reshape(-1, 2, d).min(axis=1))
+        high.insert(0, high[0].reshape(-1, 2, d).max(axis=1))
+    return order, low, high
+
+
+def _ball_sums(q: np.ndarray, p: np.ndarray, code: np.ndarray, amounts: Sequence[np.ndarray], k: int, radius: float, metric: str) -> list[np.ndarray]:
+    """Per query and code (0 to k - 1) the sum of each of `amounts` over the points within `radius`.
+
+    Groups of near queries go down the tree of points together and stop at boxes that lie wholly inside or outside; sums are
+    only added up, so no value acts beyond its own radius.
+    """
+    order, low, high = _tree(p, max(BUCKET, k))
+    levels, width = len(low) - 1, len(order) >> (len(low) - 1)
+    real, at = order < len(p), np.minimum(order, len(p) - 1)
+    code, px = code[at].reshape(-1, width), [p[at, j].reshape(-1, width) for j in range(p.shape[1])]
+    amounts = [np.where(real, a[at], 0.0).reshape(-1, width) for a in amounts]
+    box = (np.arange(1 << levels)[:, None] * k + code).ravel()
+    tables = []
+    for a in amounts:
+        table = [np.bincount(box, weights=a.ravel(), minlength=k << levels).reshape(-1, k)]
+        for _level in range(levels):
+            table.insert(0, table[0].reshape(-1, 2, k).sum(axis=1))
+        tables.append(table)
+    asked, glow, ghigh = _tree(q, 2 * BUCKET)
+    glow, ghigh = glow[-1], ghigh[-1]
+    groups, size = len(glow), len(asked) // len(glow)
+    qx = q[np.minimum(asked, len(q) - 1)]
+    out = [np.zeros((groups, size, k)) for _ in amounts]
+    batch = max(min(_SUM_CELLS // (size * k), _BLOCK_CELLS >> levels), 1)
+    for s in range(0, groups, batch):
+        g = np.arange(s, min(s + batch, groups))
+        rows = len(g) * size
+        node = np.zeros(len(g), dtype=np.int64)
+        for level in range(levels + 1):
+            inside, edge = _sides((glow[g], ghigh[g]), (low[level][node], high[level][node]), radius, metric)
+            if inside.any():
+                whole = g[inside]
+                first = np.flatnonzero(np.append(True, whole[1:] != whole[:-1]))
+                for sums, table in zip(out, tables):
+                    sums[whole[first]] += np.add.reduceat(table[level][node[inside]], first, axis=0)[:, None]
+            g, node = g[edge], node[edge]
+            if level < levels:
+                g, node = np.repeat(g, 2), (2 * node[:, None] + np.arange(2)).ravel()
+
+        def add(cells: np.ndarray, weights: Sequence[np.ndarray], s=s, rows=rows) -> None:
+            for sums, w in zip(out, weights):
+                sums[s : s + batch] += np.bincount(cells.ravel(), weights=w.ravel(), minlength=rows * k).reshape(-1, size, k)
+
+        step = max(_BLOCK_CELLS // (4 * size), 1)
+        for c in range(0, len(g), step):
+            row, bucket = (g[c : c + step, None] * size + np.arange(size)).ravel(), np.repeat(node[c : c + step], size)
+            inside, edge = _sides((qx[row], qx[row]), (low[-1][bucket], high[-1][bucket]), radius, metric)
+            if inside.any():
+                add((row[inside, None] - s * size) * k + np.arange(k), [t[-1][bucket[inside]] for t in tables])
+            row, bucket = row[edge], bucket[edge]
+            each = max(_BLOCK_CELLS // (4 * width), 1)
+            for b in range(0, len(row), each):
+                r, n = row[b : b + each], bucket[b : b + each]
+                with np.errstate(invalid="ignore", over="ignore"):
+                    i, j = np.nonzero(_length((qx[r, c, None] - x[n] for c, x in enumerate(px)), metric) <= radius)
+                add((r[i] - s * size) * k + code[n[i], j], [a[n[i], j] for a in amounts])
+    back = np.flatnonzero(asked < len(q))
+    done = [np.empty((len(q), k)) for _ in amounts]
+    for sums, a in zip(done, out):
+        sums[asked[back]] = a.reshape(-1, k)[back]
+    return done
+
+
 def within_radius(queries: DataFrame, points: DataFrame, key: str, cols: Sequence[str], radius: float, group: str | None = None,
                   value: str | None = None, leaf_rows: int = LEAF_ROWS, metric: str = "euclidean") -> DataFrame:
     """(key, group, n, total): number of points (and their value sum) within `radius`, per group of points.
 
-    Equal places are added up first; a task sends sums, not neighbours.
+    Equal places are added up first.  Queries of neighbouring leaves form a block: leaves of points that are wholly within the
+    radius of a block come to it as one sum per group, those on the edge with their points.  A task sends sums, not neighbours.
     """
+    if metric not in METRICS:
+        raise ValueError(f"{metric!r} is not one of {METRICS}")
+    d, radius = len(cols), float(radius)
     vector = F.array(*[F.col(c).cast("double") for c in cols])
-    q0 = queries.select(F.col(key).alias("__q"), vector.alias("x"))
+    known = F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c))
+    q0 = queries.select(F.col(key).alias("__q"), vector.alias("x")).filter(known)
     label = (F.col(group) if group else F.lit("")).cast("string").alias("label")
     amount = (F.col(value) if value else F.lit(0.0)).cast("double")
-    p0 = points.select(vector.alias("x"), label, amount.alias("v")).groupBy("x", "label").agg(
-        F.count(F.lit(1)).alias("w"), F.sum("v").alias("v"))
+    p0 = points.select(vector.alias("x"), label, amount.alias("v")).filter(known).groupBy("x", "label").agg(
+        F.count(F.lit(1)).alias("w"), F.sum("v").alias("v")).persist()
     leaves = build_leaves(p0, "x", leaf_rows)
-    placed = place_points(p0, leaves).persist()
-    boxes = boxes_of(placed, "x", len(cols))
-    asked = q0.withColumn("leaf", F.explode(reach_column(boxes, F.col("x"), F.lit(float(radius)), metric)))
-    schema = f"__q {q0.schema['__q'].dataType.simpleString()}, label string, n long, total double"
+    place = F.struct(*[F.col("x")[i].alias(f"x{i}") for i in range(d)], "label", F.col("w").cast("double").alias("w"), "v")
+    packed = place_points(p0, leaves).groupBy("leaf").agg(F.count(F.lit(1)).alias("rows"), *_corners("x", d), F.collect_list(place).alias("points")).persist()
+    ends = packed.drop("points").collect()
+    p0.unpersist()
+    numbers, size = np.array([r["leaf"] for r in ends], dtype=np.int64), np.array([r["rows"] for r in ends], dtype=np.int64)
+    low, high = (np.array([[r[f"{n}{i}"] for i in range(d)] for r in ends], dtype=float).reshape(-1, d) for n in ("lo", "hi"))
+    together = min(max(leaves.count // TASKS, 1), TASK_LEAVES)
+    asked = q0.withColumn("block", F.floor(leaves.column(F.col("x")) / together)).persist()
+
+    def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for r in pdf.to_dict("records"):
+                box = tuple(np.array([[r[f"{n}{i}"] for i in range(d)]], dtype=float) for n in ("lo", "hi"))
+                inside, edge = _sides(box, (low, high), radius, metric)
+                near = np.flatnonzero(inside | edge)
+                before = np.cumsum(np.where(edge, size, 0))[near]
+                yield pd.DataFrame({"block": r["block"], "leaf": numbers[near], "whole": inside[near],
+                                    "chunk": np.where(inside[near], 0, (before - size[near]) // TASK_POINTS), "salts": r["rows"] // TASK_QUERIES + 1})
+
+    blocks = asked.groupBy("block").agg(F.count(F.lit(1)).alias("rows"), *_corners("x", d))
+    met = blocks.mapInPandas(reach, "block long, leaf long, whole boolean, chunk long, salts long").persist()
+    sums = packed.select("leaf", F.inline("points")).groupBy("leaf", "label").agg(F.sum("w").alias("w"), F.sum("v").alias("v"))
+    whole = met.filter("whole").join(sums, "leaf").groupBy("block", "chunk", "salts", "label").agg(F.sum("w").alias("w"), F.sum("v").alias("v"))
+    nowhere = F.struct(*[F.lit(None).cast("double").alias(f"x{i}") for i in range(d)], "label", "w", "v")
+    whole = whole.select("block", "chunk", "salts", F.lit(True).alias("whole"), F.array(nowhere).alias("points"))
+    parts = met.filter("not whole").join(packed.select("leaf", "points"), "leaf").select("block", "chunk", "salts", "whole", "points").unionByName(whole)
+    p = fresh(parts.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).drop("salts"))
+    q = asked.join(met.select("block", "chunk", "salts").distinct(), "block").withColumn("salt", F.pmod(F.xxhash64("__q", "x"), F.col("salts"))).drop("salts")
 
-    def search(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        out = {"__q": [], "label": [], "n": [], "total": []}
+    def search(q: pa.Table, p: pa.Table) -> pa.Table:
+        names, n, total, label = q.column("__q").combine_chunks(), np.zeros((0, 0)), np.zeros((0, 0)), pa.array([], pa.string())
         if len(q) and len(p):
-            code, names = pd.factorize(p["label"])
-            one = np.zeros((len(p), len(names)))
-            one[np.arange(len(p)), code] = 1.0
-            counts, sums = one * p["w"].to_numpy(float)[:, None], one * p["v"].to_numpy(float)[:, None]
-            ids = q["__q"].to_numpy()
-            px = np.stack(p["x"].to_numpy()).astype(float)
-            for s, block in distances(np.stack(q["x"].to_numpy()).astype(float), px, metric):
-                near = (block <= radius).astype(float)
-                n, total = near @ counts, near @ sums
-                i, j = np.nonzero(n)
-                out["__q"] += ids[s + i].tolist()
-                out["label"] += [names[c] for c in j]
-                out["n"] += n[i, j].astype(np.int64).tolist()
-                out["total"] += total[i, j].tolist()
-        return pd.DataFrame(out)
-
-    q, p = salted(asked, placed, leaf_rows)
-    hits = q.groupBy("leaf", "__salt").cogroup(p.groupBy("leaf", "__salt")).applyInPandas(lambda a, b: search(a, b), schema)
+            lists = p.column("points").combine_chunks()
+            *x, text, w, v = lists.flatten().flatten()
+            text = text.dictionary_encode("encode")
+            label, code = text.dictionary, text.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            amounts = [a.to_numpy(zero_copy_only=False) for a in ((w, v) if value else (w,))]
+            apart = ~np.repeat(p.column("whole").to_numpy(zero_copy_only=False), pc.list_value_length(lists).to_numpy())
+            sums = [np.tile(np.bincount(code[~apart], weights=a[~apart], minlength=len(label)), (len(q), 1)) for a in amounts]
+            if apart.any():
+                px = np.column_stack([a.to_numpy(zero_copy_only=False) for a in x])
+                more = _ball_sums(_matrix(q.column("x")), px[apart], code[apart], [a[apart] for a in amounts], len(label), radius, metric)
+                sums = [a + b for a, b in zip(sums, more)]
+            n, total = sums if value else (sums[0], np.zeros_like(sums[0]))
+        i, j = np.nonzero(n)
+        return pa.table({"__q": names.take(pa.array(i)), "label": label.take(pa.array(j)), "n": n[i, j].astype(np.int64), "total": total[i, j]})
+
+    schema = f"__q {q0.schema['__q'].dataType.simpleString()}, label string, n long, total double"
+    by = ("block", "chunk", "salt")
+    hits = q.groupBy(*by).cogroup(p.groupBy(*by)).applyInArrow(lambda a, b: search(a, b), schema)
     return hits.groupBy("__q", "label").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).withColumnRenamed("__q", key)

@@ -215,3 +215,56 @@ def test_tau_of_a_row_needs_no_shuffle(spark):
         assert ("Exchange" in out._jdf.queryExecution().toString()) == (limit == 10)
     twice = {r["k"]: r["correlation"] for r in cor.correlate_rows(df.union(df.filter("k = 9")), "k", "a", "b", "kendall").collect()}
     assert len(twice) == len(want)
+
+
+def test_radius_sums_are_those_of_all_pairs(spark, monkeypatch):
+    from sparkkit.plans import neighbours as nb
+
+    # several leaves a block, several tasks a block on either side
+    monkeypatch.setattr(nb, "TASKS", 8)
+    monkeypatch.setattr(nb, "TASK_QUERIES", 60)
+    monkeypatch.setattr(nb, "TASK_POINTS", 50)
+    rng = np.random.default_rng(11)
+    for d, metric, radius in ((2, "euclidean", 1.0), (1, "manhattan", 0.3), (3, "chebyshev", 0.5), (2, "euclidean", 100.0)):
+        x = np.round(rng.normal(0, 1, (500, d)), 1)
+        x[:50, 0] = np.round(x[:50, 0])  # distances of exactly the radius
+        rows = [(i, "abc"[i % 3], float(i % 7), *map(float, v)) for i, v in enumerate(x)]
+        cols = [f"e{i}" for i in range(d)]
+        bad = [(900, "a", 1.0, None, *[0.0] * (d - 1)), (901, "a", 1.0, float("nan"), *[0.0] * (d - 1))]
+        df = spark.createDataFrame(rows + bad, f"id long, g string, v double, {', '.join(f'{c} double' for c in cols)}")
+        found = nb.within_radius(df, df, "id", cols, radius, "g", "v", leaf_rows=15, metric=metric).collect()
+        wanted = {}
+        for i, block in ((s + k, line) for s, lines in nb.distances(x, x, metric) for k, line in enumerate(lines)):
+            for g in range(3):
+                near = np.flatnonzero((block <= radius) & (np.arange(500) % 3 == g))
+                if len(near):
+                    wanted[i, "abc"[g]] = (len(near), float((near % 7).sum()))
+        assert len(found) == len(wanted)
+        assert {(r["id"], r["label"]): (r["n"], r["total"]) for r in found} == wanted
+
+
+def test_radius_sums_of_a_far_value_stay_away(spark):
+    from sparkkit.plans import neighbours as nb
+
+    df = spark.createDataFrame([(0, 0.0, 1.0), (1, 0.5, 2.0), (2, 9.0, float("inf"))], "id long, x double, v double")
+    found = {r["id"]: (r["n"], r["total"]) for r in nb.within_radius(df, df, "id", ["x"], 1.0, None, "v").collect()}
+    assert found == {0: (2, 3.0), 1: (2, 3.0), 2: (1, float("inf"))}
+
+
+def test_radius_sums_compare_places_near_the_edge_only(monkeypatch):
+    from sparkkit.plans import neighbours as nb
+
+    seen = []
+    length = nb._length
+    monkeypatch.setattr(nb, "_length", lambda gaps, metric: seen.append(length(gaps, metric)) or seen[-1])
+    cells = []
+    for n in (8_000, 32_000):
+        rng = np.random.default_rng(2)
+        x = np.column_stack([rng.uniform(0, 10, n), rng.poisson(10, n)])
+        seen.clear()
+        count, = nb._ball_sums(x, x, np.zeros(n, int), [np.ones(n)], 1, 1.05, "euclidean")
+        cells.append(sum(s.size for s in seen))
+        pairs = sum(int((block <= 1.05).sum()) for _, block in nb.distances(x[:100], x))
+        assert count[:100].sum() == pairs
+    # all pairs are 16 times as many; the edge of a circle grows with the root of the points
+    assert cells[1] < 8 * cells[0] and cells[1] < 32_000**2 / 20
