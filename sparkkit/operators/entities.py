@@ -27,6 +27,8 @@ PATTERNS = {
     "CARDINAL": (r"\d+", "Numerals that do not fall under another type"),
 }
 WORDS = 50_000  # words of a result batch
+# a dictionary of so many entries and such phrases, in characters, goes to every task; a larger one meets all words in a shuffle
+ENTRIES, LONGEST = 100_000, 500
 
 
 def _positions(text: str, pattern: str):
@@ -59,6 +61,38 @@ def pattern_entities(df: DataFrame, key: str, text: str, patterns: dict[str, tup
 _WORD = re.compile(r"\w{2,}|\w|[^\w\s]")
 
 
+def _wanted_batches(batches: Iterator[pa.RecordBatch], first: dict[str, int], size: int = WORDS) -> Iterator[pa.RecordBatch]:
+    """Words of (key, text) rows that may begin a phrase, with the text from there on if the phrase is longer than the word.
+
+    `first` has the first words in small letters and how many characters their phrases need, 0 for the word alone.  Only letters of
+    ASCII are sure to have the same small ones here and in Spark, so words with others are all handed on.
+    """
+    longest = max(first.values(), default=0)
+    for batch in batches:
+        keys, texts = batch.column("key"), batch.column("text")
+        at, found = [], [[], [], [], []]
+
+        def taken() -> pa.RecordBatch:
+            kinds = (pa.string(), pa.int32(), pa.int32(), pa.string())
+            return pa.RecordBatch.from_arrays([keys.take(pa.array(at, pa.int64())), *(pa.array(c, t) for c, t in zip(found, kinds))], ["key", "word", "start", "end", "ahead"])
+
+        for row in range(batch.num_rows):
+            text = texts[row].as_py()
+            for m in _WORD.finditer(text):
+                word = m.group()
+                reach = first.get(word.lower()) if word.isascii() else longest
+                if reach is None:
+                    continue
+                at.append(row)
+                for column, value in zip(found, (word, m.start(), m.end(), text[m.start() : m.start() + reach + 1] if reach else None)):
+                    column.append(value)
+                if len(at) == size:
+                    yield taken()
+                    at, found = [], [[], [], [], []]
+        if at:
+            yield taken()
+
+
 def _word_batches(batches: Iterator[pa.RecordBatch], size: int = WORDS) -> Iterator[pa.RecordBatch]:
     """Words of (key, text) rows, no more than `size` at a time, whatever the texts of a batch."""
     for batch in batches:
@@ -94,10 +128,31 @@ def gazetteer_entities(df: DataFrame, key: str, text: str, gazetteer: DataFrame)
     (phrase, type, description).
 
     Phrases and texts meet in an equi-join on the first word; the whole phrase is then compared with
-    the text at that place.  Nothing is broadcast by force, since dictionaries can be large.
+    the text at that place.  A dictionary of up to ENTRIES rows is sent to the texts, of which only words that
+    may begin a phrase leave a task; a larger one is not, since dictionaries can be of any size.
     """
     first = F.regexp_extract(F.lower("phrase"), r"(?U)\w{2,}|\w|[^\w\s]", 0)
     entries = gazetteer.filter("phrase is not null and phrase <> ''").select(first.alias("__first"), "phrase", "type", "description").distinct()
+    single, size = F.lower("phrase") == F.col("__first"), F.length("phrase")
+    known = entries.withColumn("__reach", F.when(single, 0).otherwise(size)).limit(ENTRIES + 1).collect()
+    if len(known) > ENTRIES or any(e["__reach"] > LONGEST for e in known):
+        return _shuffled_entities(df, key, text, entries)
+    reach: dict[str, int] = {}
+    for e in known:
+        reach[e["__first"]] = max(reach.get(e["__first"], 0), e["__reach"])
+    listed = df.sparkSession.createDataFrame([tuple(e)[:-1] for e in known], entries.schema)
+    kind = df.schema[key].dataType.simpleString()
+    rows = df.filter(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
+    found = rows.mapInArrow(lambda batches: _wanted_batches(batches, reach), f"key {kind}, word string, start int, end int, ahead string")
+    met = found.withColumn("__first", F.lower("word")).join(F.broadcast(listed), "__first")
+    entity, after = F.substring("ahead", F.lit(1), size), F.substring("ahead", size + 1, F.lit(1))
+    longer = F.col("key").isNotNull() & (F.lower(entity) == F.lower("phrase")) & ~after.rlike(r"^[\p{L}\p{N}_]")
+    return met.filter(single | longer).select("key", F.when(single, F.col("word")).otherwise(entity).alias("entity"), "start",
+                                              F.when(single, F.col("end")).otherwise(F.col("start") + size).alias("end"), "type", "description")
+
+
+def _shuffled_entities(df: DataFrame, key: str, text: str, entries: DataFrame) -> DataFrame:
+    """As `gazetteer_entities`, for entries of any number and length."""
     found = words(df, key, text).withColumn("__first", F.lower("word"))
     single = entries.filter(F.lower("phrase") == F.col("__first"))
     plain = found.join(single, "__first").select("key", F.col("word").alias("entity"), "start", "end", "type", "description")
