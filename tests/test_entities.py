@@ -33,6 +33,11 @@ def test_a_dictionary_goes_to_the_texts(spark, monkeypatch):
     assert ent.gazetteer_entities(texts, "k", "t", phrases.limit(0)).count() == 0
 
 
+def test_extraction_shuffles_what_is_found_only(spark):
+    texts, phrases = tables(spark)
+    assert shuffles(ent.extract_entities(texts, "k", "t", phrases)) == 1
+
+
 def test_only_words_that_begin_a_phrase_leave_a_task():
     import pyarrow as pa
 
