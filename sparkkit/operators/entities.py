@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from .estimators import class_labels, index_of
 from .split import split_texts
 
+# a capitalised word; no place is tried twice, so a text of capitals only needs no stack
+_CAPITAL = r"[\p{Lu}\p{Lt}][\p{L}\p{M}\p{N}_]*+(?:['’-][\p{L}][\p{L}\p{M}\p{N}_]*+)*+"
 # fixed values: pattern and description of the built-in entity types
 PATTERNS = {
     "EMAIL": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "E-mail addresses"),
@@ -25,6 +27,7 @@ PATTERNS = {
     "MONEY": (r"[$€£]\s?\d[\d,]*(?:\.\d+)?", "Monetary values, including unit"),
     "DATE": (r"\d{4}-\d{2}-\d{2}", "Absolute or relative dates or periods"),
     "CARDINAL": (r"\d+", "Numerals that do not fall under another type"),
+    "NAME": (rf"(?<![\p{{L}}\p{{M}}\p{{N}}_]){_CAPITAL}(?:\h++{_CAPITAL})*+", "Capitalised words that follow each other"),
 }
 WORDS = 50_000  # words of a result batch
 # a dictionary of so many entries and such phrases, in characters, goes to every task; a larger one meets all words in a shuffle
@@ -167,24 +170,31 @@ def _shuffled_entities(df: DataFrame, key: str, text: str, entries: DataFrame) -
     return plain.unionByName(multi)
 
 
-def drop_contained_spans(spans: DataFrame, by: Sequence[str] = ("key",)) -> DataFrame:
+def drop_contained_spans(spans: DataFrame, by: Sequence[str] = ("key",), weak: str | None = None) -> DataFrame:
     """Spans that no other span of the text contains; of equal spans one stays.
 
     In order of start (longest first) a span is contained exactly if an earlier one ends at or
-    after its end, so one running maximum per text replaces a comparison of all pairs.
+    after its end, so one running maximum per text replaces a comparison of all pairs.  Spans whose
+    column `weak` is true give way to others and hold none but their like.
     """
     # a window partition is one text, whose spans are bounded by the text itself
-    w = Window.partitionBy(*by).orderBy("start", F.desc("end"), "type").rowsBetween(Window.unboundedPreceding, -1)
+    order = ["start", F.desc("end"), *([weak] if weak else []), "type"]
+    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     reach = F.max("end").over(w)
+    if weak:
+        reach = F.when(F.col(weak), reach).otherwise(F.max(F.when(~F.col(weak), F.col("end"))).over(w))
     return spans.withColumn("__reach", reach).filter(F.col("__reach").isNull() | (F.col("__reach") < F.col("end"))).drop("__reach")
 
 
 def extract_entities(df: DataFrame, key: str, text: str, gazetteer: DataFrame | None = None, patterns: dict | None = None) -> DataFrame:
-    """(key, entity, start, end, type, description): patterns and dictionary, longest spans first."""
-    found = pattern_entities(df, key, text, patterns)
+    """(key, entity, start, end, type, description): patterns and dictionary, longest spans first.
+
+    A run of capitals is only a likely name, so it is left out inside another span and takes none away.
+    """
+    found = pattern_entities(df, key, text, patterns).withColumn("__weak", F.col("type") == "NAME")
     if gazetteer is not None:
-        found = found.unionByName(gazetteer_entities(df, key, text, gazetteer))
-    return drop_contained_spans(found)
+        found = found.unionByName(gazetteer_entities(df, key, text, gazetteer).withColumn("__weak", F.lit(False)))
+    return drop_contained_spans(found, weak="__weak").drop("__weak")
 
 
 def describe_types(spans: DataFrame, descriptions: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Dictionary search inside the task that has the text."""
+"""Dictionary search inside the task that has the text, and capitalised runs."""
 
 from sparkkit.operators import entities as ent
 
@@ -44,3 +44,16 @@ def test_only_words_that_begin_a_phrase_leave_a_task():
     batch = pa.record_batch({"key": pa.array([7]), "text": pa.array(["no " * 500 + "yes we can"])})
     out = [r for b in ent._wanted_batches(iter([batch]), {"yes": 6, "can": 0}, 1) for r in b.to_pylist()]
     assert out == [{"key": 7, "word": "yes", "start": 1500, "end": 1503, "ahead": "yes we "}, {"key": 7, "word": "can", "start": 1507, "end": 1510, "ahead": None}]
+
+
+def test_capitalised_runs(spark):
+    rows = [(1, "we met Jean-Luc O’Brien and Élan Ωmega, iPhone Ab\nCd; a_B x2Y"), (2, "mail John.Doe@x.org or In New York see Windows11"), (3, "WORD " * 20_000)]
+    texts = spark.createDataFrame(rows, "k int, t string")
+    phrases = spark.createDataFrame([("New York", "GPE", "Places"), ("élan", "ZZ", "")], "phrase string, type string, description string")
+    got = spans(ent.extract_entities(texts, "k", "t", phrases).select("key", "start", "type", "entity"))
+    assert [g for g in got if g[0] == 1] == [(1, 7, "NAME", "Jean-Luc O’Brien"), (1, 28, "NAME", "Élan Ωmega"), (1, 28, "ZZ", "Élan"), (1, 47, "NAME", "Ab"), (1, 50, "NAME", "Cd"), (1, 59, "CARDINAL", "2")]
+    assert [g[2:] for g in got if g[0] == 2] == [("EMAIL", "John.Doe@x.org"), ("NAME", "In New York"), ("GPE", "New York"), ("NAME", "Windows11"), ("CARDINAL", "11")]
+    assert [g[1:3] + (len(g[3]),) for g in got if g[0] == 3] == [(0, "NAME", 99_999)]
+    # a word of the dictionary is no name besides
+    alone = ent.extract_entities(spark.createDataFrame([(1, "so Élan it is")], "k int, t string"), "k", "t", phrases)
+    assert spans(alone.select("type", "entity")) == [("ZZ", "Élan")]
