@@ -21,42 +21,100 @@ EDGES = 1_000_000  # merges that one task plays
 EDGE = "part double, comp long, w double, a long, b long, to long"
 
 
+class _Buckets:
+    """Places of a task in boxes of equally many, in order of their number; `real` tells places from those that fill up."""
+
+    def __init__(self, x: np.ndarray):
+        order, low, high = nb._tree(x, nb.BUCKET)
+        order = np.sort(order.reshape(len(low[-1]), -1), axis=1)
+        self.x, self.low, self.high = x, low[-1], high[-1]
+        self.at, self.real = np.minimum(order, len(x) - 1), order < len(x)
+
+    def facts(self, core: np.ndarray, comp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(least core, the only component or -1) of every box."""
+        comps = comp[self.at]
+        return np.where(self.real, core[self.at], np.inf).min(axis=1), np.where((comps == comps[:, :1]).all(axis=1), comps[:, 0], -1)
+
+
+def _best(q: tuple, p: tuple, limit: np.ndarray, alpha: float, metric: str) -> tuple[np.ndarray, ...]:
+    """(component, query, point, w) of the cheapest edge of each component of the queries to another component of the points.
+
+    Sides are (boxes, nodes, core, component numbers from 0); `limit` per component is a weight beyond which no edge is wanted.  Pairs of
+    boxes are compared in order of the least weight between them until that exceeds what the components of the queries have found:
+    every rounding is monotonic, so no edge weighs less than its boxes say, and edges of equal weight are all seen.
+    """
+    (qb, q_node, q_core, q_comp), (pb, p_node, p_core, p_comp) = q, p
+    (q_least, q_only), (p_least, p_only) = qb.facts(q_core, q_comp), pb.facts(p_core, p_comp)
+    d = range(qb.x.shape[1])
+    gaps = (np.maximum(np.maximum(pb.low[None, :, j] - qb.high[:, None, j], qb.low[:, None, j] - pb.high[None, :, j]), 0.0) for j in d)
+    least = np.maximum(np.maximum(nb._length(gaps, metric) / alpha, q_least[:, None]), p_least[None])
+    least[(q_only[:, None] == p_only[None]) & (q_only >= 0)[:, None]] = np.inf
+    turn = np.argsort(least, axis=1, kind="stable")
+    least = np.take_along_axis(least, turn, axis=1)
+    limit, comps = limit.copy(), q_comp[qb.at]
+    each = max(nb._BLOCK_CELLS // (qb.at.shape[1] * pb.at.shape[1]), 1)
+    found, seen, step = [], 0, 2
+    while seen < least.shape[1]:
+        reach = np.where(qb.real, limit[comps], -np.inf).max(axis=1)
+        some = least[:, seen : seen + step]
+        box, other = np.nonzero((some <= reach[:, None]) & np.isfinite(some))
+        if not len(box):
+            break
+        other = turn[box, seen + other]
+        for s in range(0, len(box), each):
+            i, j = qb.at[box[s : s + each]], pb.at[other[s : s + each]]
+            w = nb._length((qb.x[i, c][:, :, None] - pb.x[j, c][:, None] for c in d), metric)
+            w = np.maximum(np.maximum(w / alpha, q_core[i][:, :, None]), p_core[j][:, None])
+            w[(q_comp[i][:, :, None] == p_comp[j][:, None]) | ~pb.real[other[s : s + each]][:, None]] = np.inf
+            at = w.argmin(axis=2)  # of equal weights the smallest end, as points are sorted
+            w, j = np.take_along_axis(w, at[:, :, None], axis=2)[:, :, 0], np.take_along_axis(j, at, axis=1)
+            fit = np.isfinite(w) & (w <= limit[q_comp[i]]) & qb.real[box[s : s + each]]
+            i, j, w = i[fit], j[fit], w[fit]
+            np.minimum.at(limit, q_comp[i], w)
+            found.append((i, j, w))
+        seen, step = seen + step, 2 * step
+    i, j, w = (np.concatenate(f) for f in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+    fit = w <= limit[q_comp[i]]
+    i, j, w = i[fit], j[fit], w[fit]
+    order = np.lexsort((np.maximum(q_node[i], p_node[j]), np.minimum(q_node[i], p_node[j]), w, q_comp[i]))
+    i, j, w = i[order], j[order], w[order]
+    first = np.append(True, q_comp[i][1:] != q_comp[i][:-1])[: len(i)]
+    return q_comp[i[first]], i[first], j[first], w[first]
+
+
 def _cheapest(q: pd.DataFrame, p: pd.DataFrame, alpha: float, metric: str) -> pd.DataFrame:
-    """(part, comp, w, a, b, to): per component of the queries its cheapest edge to another component of the points."""
-    p = p.sort_values("node", ignore_index=True)
-    qx, px = (np.stack(d["x"].to_numpy()).astype(float) for d in (q, p))
-    q_comp, p_comp, q_core, p_core, nodes = q["comp"].to_numpy(), p["comp"].to_numpy(), q["core"].to_numpy(float), p["core"].to_numpy(float), p["node"].to_numpy()
-    w, at = np.full(len(q), np.inf), np.zeros(len(q), int)
-    for s, block in nb.distances(qx, px, metric):
-        e = s + len(block)
-        block = np.maximum(np.maximum(block / alpha, q_core[s:e, None]), p_core[None])
-        block[q_comp[s:e, None] == p_comp[None]] = np.inf
-        at[s:e] = block.argmin(axis=1)  # of equal weights the smallest end, as points are sorted
-        w[s:e] = block[np.arange(e - s), at[s:e]]
-    own = q["node"].to_numpy()
-    found = pd.DataFrame({"part": q["part"].to_numpy(), "comp": q_comp, "w": w, "a": np.minimum(own, nodes[at]), "b": np.maximum(own, nodes[at]), "to": p_comp[at]})
-    found = found[np.isfinite(found["w"])].sort_values(["w", "a", "b"])
-    return found.drop_duplicates(["part", "comp"])
-
-
-def _local(pdf: pd.DataFrame, alpha: float, metric: str) -> pd.DataFrame:
+    """(part, comp, w, a, b, to): per component of the queries its cheapest edge to another component of the points, of at most its `bound`."""
+    q, p = q.sort_values("node", ignore_index=True), p.sort_values("node", ignore_index=True)
+    names, codes = np.unique(np.concatenate([q["comp"].to_numpy(), p["comp"].to_numpy()]), return_inverse=True)
+    sides = [(_Buckets(np.stack(t["x"].to_numpy()).astype(float)), t["node"].to_numpy(), t["core"].to_numpy(float), c) for t, c in ((q, codes[: len(q)]), (p, codes[len(q) :]))]
+    limit = np.full(len(names), np.inf)
+    np.minimum.at(limit, codes[: len(q)], q["bound"].to_numpy(float) * (1 + 1e-12))
+    comp, i, j, w = _best(*sides, limit, alpha, metric)
+    a, b = sides[0][1][i], sides[1][1][j]
+    return pd.DataFrame({"part": q["part"].iloc[0], "comp": names[comp], "w": w, "a": np.minimum(a, b), "b": np.maximum(a, b), "to": names[sides[1][3][j]]})
+
+
+def _local(pdf: pd.DataFrame, cells, alpha: float, metric: str) -> pd.DataFrame:
     """Rows (node, comp) and edges (w, a, b) of one leaf: edges below what any place outside could offer the component."""
     pdf = pdf.sort_values("node", ignore_index=True)
-    nodes, escape = pdf["node"].to_numpy(), pdf["escape"].to_numpy(float)
-    comp = np.arange(len(nodes))
+    nodes, core, comp = pdf["node"].to_numpy(), pdf["core"].to_numpy(float), np.arange(len(pdf))
+    escape = _escape(cells, pdf["part"], pdf["x"], pdf["leaf"], core, alpha, metric)
+    boxes = _Buckets(np.stack(pdf["x"].to_numpy()).astype(float))
     edges = []
     while True:
-        pdf["comp"] = nodes[comp]
-        best = _cheapest(pdf, pdf, alpha, metric)
-        limit = pd.Series(escape).groupby(pdf["comp"].to_numpy()).min()
-        best = best[best["w"].to_numpy() < limit.loc[best["comp"]].to_numpy()]
-        if best.empty:
+        limit = np.full(len(nodes), np.inf)
+        np.minimum.at(limit, comp, escape)
+        side = (boxes, nodes, core, comp)
+        own, i, j, w = _best(side, side, limit, alpha, metric)
+        fit = w < limit[own]
+        if not fit.any():
             break
-        for w, a, b in best[["w", "a", "b"]].drop_duplicates().sort_values(["w", "a", "b"]).itertuples(index=False):
-            i, j = comp[np.searchsorted(nodes, a)], comp[np.searchsorted(nodes, b)]
-            if i != j:
-                edges.append((w, a, b))
-                comp[comp == max(i, j)] = min(i, j)
+        best = {(v, min(a, b), max(a, b)) for v, a, b in zip(w[fit].tolist(), i[fit].tolist(), j[fit].tolist())}
+        for v, a, b in sorted(best):
+            low, high = sorted((comp[a], comp[b]))
+            if low != high:
+                edges.append((v, nodes[a], nodes[b]))
+                comp[comp == high] = low
     out = pd.DataFrame({"node": nodes, "comp": nodes[comp], "w": np.nan, "a": -1, "b": -1})
     more = pd.DataFrame(edges, columns=["w", "a", "b"]).assign(node=-1, comp=-1)
     return pd.concat([out, more[out.columns]], ignore_index=True) if edges else out
@@ -75,41 +133,50 @@ def _cells(state: DataFrame, d: int) -> dict[float, tuple]:
                    np.array([r["least"] if r["least"] == r["most"] else -1 for r in rows])) for part, rows in out.items()}
 
 
-def _to_boxes(x, low, high, metric: str):
-    """(least, largest) distance of places to boxes."""
-    x = x[:, None, :]
-    near = np.maximum(np.maximum(low[None] - x, x - high[None]), 0.0)
-    return nb.norm(near, metric), nb.norm(np.maximum(high[None] - x, x - low[None]), metric)
+def _nearest_of(low, high, to_low, to_high, metric: str) -> np.ndarray:
+    """Least distance of every box (places are boxes without extent) to every other."""
+    return nb.norm(np.maximum(np.maximum(to_low[None] - high[:, None], low[:, None] - to_high[None]), 0.0), metric)
 
 
-def _by_part(cells, part, x, leaf, work):
-    """`work(cell table, row numbers, places, own leaves)` for all rows of every part with several leaves, some rows at a time."""
-    places = np.stack(x.to_numpy()).astype(float) if len(x) else np.zeros((0, 1))
-    parts, leaves = part.to_numpy(), leaf.to_numpy()
-    for p in set(parts.tolist()) & cells.keys():
-        rows = np.flatnonzero(parts == p)
-        step = max(200_000 // len(cells[p][0]), 1)
-        for s in range(0, len(rows), step):
-            own = rows[s : s + step]
-            work(cells[p], own, places[own], leaves[own])
+def _farthest_of(low, high, to_low, to_high, metric: str) -> np.ndarray:
+    """Largest distance of every box to every other."""
+    return nb.norm(np.maximum(to_high[None] - low[:, None], high[:, None] - to_low[None]), metric)
 
 
-def _escape(cells, alpha: float, metric: str) -> Column:
-    """The least weight of an edge that leaves the own leaf."""
+def _by_leaf(cells, part, x, leaf, metric: str, near, work):
+    """`work(cells to look at, row numbers, places)` for the rows of every leaf of every part with several leaves, some rows at a time.
 
-    @F.pandas_udf("double")
-    def escape(part: pd.Series, x: pd.Series, leaf: pd.Series, core: pd.Series) -> pd.Series:
-        out = np.full(len(x), np.inf)
+    `near(cells, row numbers, other, least, most)` picks cells by the distances of the box of these rows to them; `other` are those of other leaves.
+    """
+    if not len(x):
+        return
+    places, parts, leaves = np.stack(x.to_numpy()).astype(float), part.to_numpy(), leaf.to_numpy()
+    order = np.lexsort((leaves, parts))
+    cuts = np.flatnonzero((parts[order][1:] != parts[order][:-1]) | (leaves[order][1:] != leaves[order][:-1])) + 1
+    for rows in np.split(order, cuts):
+        cell = cells.get(parts[rows[0]])
+        if cell is None:
+            continue
+        box = places[rows].min(axis=0)[None], places[rows].max(axis=0)[None]
+        least, most = _nearest_of(*box, cell[1], cell[2], metric)[0] * (1 - 1e-12), _farthest_of(*box, cell[1], cell[2], metric)[0] * (1 + 1e-12)
+        some = np.flatnonzero(near(cell, rows, cell[0] != leaves[rows[0]], least, most))
+        step = max(200_000 // max(len(some), 1), 1)
+        for s in range(0, len(rows) if len(some) else 0, step):
+            work([c[some] for c in cell], rows[s : s + step], places[rows[s : s + step]])
+
+
+def _escape(cells, part: pd.Series, x: pd.Series, leaf: pd.Series, core: np.ndarray, alpha: float, metric: str) -> np.ndarray:
+    """The least weight of an edge that leaves the own leaf."""
+    out = np.full(len(x), np.inf)
 
-        def work(cell, rows, places, own):
-            least = _to_boxes(places, cell[1], cell[2], metric)[0]
-            least[own[:, None] == cell[0][None]] = np.inf
-            out[rows] = np.maximum(least.min(axis=1) / alpha, core.to_numpy(float)[rows])
+    def near(cell, rows, other, least, most):
+        return other & (least <= most[other].min(initial=np.inf))
 
-        _by_part(cells, part, x, leaf, work)
-        return pd.Series(out)
+    def work(cell, rows, places):
+        out[rows] = np.maximum(_nearest_of(places, places, cell[1], cell[2], metric).min(axis=1) / alpha, core[rows])
 
-    return escape("part", "x", "leaf", "core")
+    _by_leaf(cells, part, x, leaf, metric, near, work)
+    return out
 
 
 def _ceiling(cells, alpha: float, metric: str) -> Column:
@@ -117,14 +184,19 @@ def _ceiling(cells, alpha: float, metric: str) -> Column:
 
     @F.pandas_udf("double")
     def ceiling(part: pd.Series, x: pd.Series, leaf: pd.Series, core: pd.Series, comp: pd.Series) -> pd.Series:
-        out = np.full(len(x), np.inf)
+        out, cores, comps = np.full(len(x), np.inf), core.to_numpy(float), comp.to_numpy()
+
+        def near(cell, rows, other, least, most):
+            free = ~np.isin(cell[4], comps[rows])
+            edge = np.maximum(np.maximum(most / alpha, cell[3]), cores[rows].max())[free].min(initial=np.inf)
+            return np.maximum(least / alpha, cell[3]) <= edge
 
-        def work(cell, rows, places, own):
-            most = np.maximum(np.maximum(_to_boxes(places, cell[1], cell[2], metric)[1] / alpha, cell[3][None]), core.to_numpy(float)[rows, None])
-            most[comp.to_numpy()[rows, None] == cell[4][None]] = np.inf
+        def work(cell, rows, places):
+            most = np.maximum(np.maximum(_farthest_of(places, places, cell[1], cell[2], metric) / alpha, cell[3][None]), cores[rows, None])
+            most[comps[rows, None] == cell[4][None]] = np.inf
             out[rows] = most.min(axis=1)
 
-        _by_part(cells, part, x, leaf, work)
+        _by_leaf(cells, part, x, leaf, metric, near, work)
         return pd.Series(out)
 
     return ceiling("part", "x", "leaf", "core", "comp")
@@ -136,23 +208,27 @@ def _targets(cells, alpha: float, metric: str) -> Column:
     @F.pandas_udf("array<long>")
     def targets(part: pd.Series, x: pd.Series, leaf: pd.Series, core: pd.Series, comp: pd.Series, bound: pd.Series) -> pd.Series:
         out = [[] for _ in range(len(x))]
+        cores, comps, bounds = core.to_numpy(float), comp.to_numpy(), bound.to_numpy(float) * (1 + 1e-12)
 
-        def work(cell, rows, places, own):
-            least = np.maximum(_to_boxes(places, cell[1], cell[2], metric)[0] / alpha, core.to_numpy(float)[rows, None])
-            fits = (least <= bound.to_numpy(float)[rows, None] * (1 + 1e-12)) & (own[:, None] != cell[0][None]) & (comp.to_numpy()[rows, None] != cell[4][None])
-            for i, row in zip(rows.tolist(), fits):
-                out[i] = cell[0][row].tolist()
+        def near(cell, rows, other, least, most):
+            return other & (np.maximum(least / alpha, cores[rows].min()) <= bounds[rows].max())
 
-        _by_part(cells, part, x, leaf, work)
+        def work(cell, rows, places):
+            least = np.maximum(_nearest_of(places, places, cell[1], cell[2], metric) / alpha, cores[rows, None])
+            fits = (least <= bounds[rows, None]) & (comps[rows, None] != cell[4][None])
+            for k in np.flatnonzero(fits.any(axis=1)):
+                out[rows[k]] = cell[0][fits[k]].tolist()
+
+        _by_leaf(cells, part, x, leaf, metric, near, work)
         return pd.Series(out, dtype=object)
 
     return targets("part", "x", "leaf", "core", "comp", "bound")
 
 
 def _search(queries: DataFrame, points: DataFrame, alpha: float, metric: str, leaf_rows: int) -> DataFrame:
-    """Cheapest edge of every component from its queries to the points of the leaves they ask."""
+    """Cheapest edge, of at most `bound`, of every component from its queries to the points of the leaves they ask."""
     columns = ["part", "node", "x", "core", "comp"]
-    q, p = nb.salted(queries.select("leaf", F.col("node").alias("__q"), *columns), points.select("leaf", *columns), leaf_rows)
+    q, p = nb.salted(queries.select("leaf", F.col("node").alias("__q"), *columns, "bound"), points.select("leaf", *columns), leaf_rows)
     found = q.groupBy("leaf", "part", "__salt").cogroup(p.groupBy("leaf", "part", "__salt")).applyInPandas(
         lambda a, b: _cheapest(a, b, alpha, metric) if len(a) and len(b) else pd.DataFrame(columns=[f.split()[0] for f in EDGE.split(", ")]), EDGE)
     return found.groupBy("part", "comp").agg(F.min(F.struct("w", "a", "b", "to")).alias("e")).select("part", "comp", "e.*")
@@ -168,8 +244,7 @@ def spanning_forest(places: DataFrame, d: int, alpha: float = 1.0, metric: str =
     leaves = nb.build_leaves(places, "x", leaf_rows)
     placed = stored(places.withColumn("leaf", leaves.column(F.col("x"))))
     cells = _cells(placed.withColumn("comp", F.col("node")), d)
-    first = placed.withColumn("escape", _escape(cells, alpha, metric)).groupBy("leaf", "part").applyInPandas(
-        lambda pdf: _local(pdf, alpha, metric), "node long, comp long, w double, a long, b long")
+    first = placed.groupBy("leaf", "part").applyInPandas(lambda pdf: _local(pdf, cells, alpha, metric), "node long, comp long, w double, a long, b long")
     first = stored(first)
     owner = placed.select(F.col("node").alias("a"), "part")
     forest = first.filter("node < 0").select("a", "b", "w").join(owner, "a").select("part", "a", "b", "w")
@@ -184,11 +259,12 @@ def spanning_forest(places: DataFrame, d: int, alpha: float = 1.0, metric: str =
             return stored(forest)
         cells = _cells(state, d)
         asking = state.join(open_ones, F.col("comp") == F.col("__open"), "left_semi")
-        near = stored(_search(asking, state, alpha, metric, leaf_rows))
+        near = stored(_search(asking.withColumn("bound", F.lit(float("inf"))), state, alpha, metric, leaf_rows))
         bounded = asking.join(near.select(F.col("comp").alias("__c"), F.col("w").alias("__w")), F.col("comp") == F.col("__c"), "left")
         lost = bounded.filter("__w is null").groupBy("comp").agg(F.min(_ceiling(cells, alpha, metric)).alias("__u"))
         asked = bounded.join(lost.withColumnRenamed("comp", "__l"), F.col("comp") == F.col("__l"), "left").withColumn("bound", F.coalesce("__w", "__u", F.lit(float("inf"))))
-        asked = asked.withColumn("leaf", F.explode(_targets(cells, alpha, metric)))
+        # rows of a leaf come together, so that most leaves are left out for all of them at once
+        asked = asked.repartition("leaf").sortWithinPartitions("leaf").withColumn("leaf", F.explode(_targets(cells, alpha, metric)))
         far = _search(asked, state, alpha, metric, leaf_rows)
         best = near.unionByName(far).groupBy("part", "comp").agg(F.min(F.struct("w", "a", "b", "to")).alias("e")).select("part", "comp", "e.*")
         best = stored(best)
@@ -224,6 +300,7 @@ def _play(edges: pd.DataFrame, states: pd.DataFrame, least: float, smallest: flo
     """Play the merges of one part in order; edges join components (ca, cb)."""
     part = states["part"].iloc[0]
     live, parent, out = {}, {}, []
+    fallen, into, when = [], [], []
     for s in states.to_dict("records"):
         s["members"] = [(m["node"], m["weight"]) for m in s["members"]]
         live[s["comp"]] = s
@@ -236,33 +313,48 @@ def _play(edges: pd.DataFrame, states: pd.DataFrame, least: float, smallest: flo
         return c
 
     def fall(members, cluster, lam):
-        out.extend({"kind": "point", "node": n, "cluster": cluster, "lam": lam} for n, _ in members)
-
-    for e in edges.sort_values(["w", "a", "b"]).itertuples(index=False):
-        a, b = sorted((root(e.ca), root(e.cb)))
-        x, y, lam, name = live[a], live.pop(b), 1.0 / max(e.w, smallest), f"{e.a}:{e.b}"
+        for n, _ in members:
+            fallen.append(n)
+            into.append(cluster)
+            when.append(lam)
+
+    ordered = edges.sort_values(["w", "a", "b"])
+    for w, ea, eb, ca, cb in zip(*(ordered[c].tolist() for c in ("w", "a", "b", "ca", "cb"))):
+        a, b = root(ca), root(cb)
+        if a > b:
+            a, b = b, a
+        x, y, lam = live[a], live.pop(b), 1.0 / max(w, smallest)
         if x["cluster"] is None and y["cluster"] is None:
             members, size = x["members"] + y["members"], x["size"] + y["size"]
             if size >= least:
+                name = f"{ea}:{eb}"
                 fall(members, name, lam)
-                x = _born(name, size, lam)
+                live[a] = _born(name, size, lam)
             else:
-                x = x | {"members": members, "size": size}
+                x["members"], x["size"] = members, size
         elif x["cluster"] is not None and y["cluster"] is not None:
+            name = f"{ea}:{eb}"
             (cx, vx), (cy, vy) = _close(x, lam, selection), _close(y, lam, selection)
             out += [{"kind": "cluster", **{f: s[f] for f in ("cluster", "size", "top", "deep")}, "parent": name, "chosen": c} for s, c in ((x, cx), (y, cy))]
-            x = _born(name, x["size"] + y["size"], lam, below=vx + vy, has_child=True, deep=max(x["deep"], y["deep"]))
+            live[a] = _born(name, x["size"] + y["size"], lam, below=vx + vy, has_child=True, deep=max(x["deep"], y["deep"]))
         else:
             big, small = (x, y) if x["cluster"] is not None else (y, x)
             fall(small["members"], big["cluster"], lam)
-            x = big | {"size": big["size"] + small["size"], "acc": big["acc"] + small["size"] * lam}
+            big["size"], big["acc"] = big["size"] + small["size"], big["acc"] + small["size"] * lam
+            live[a] = big
         parent[b] = a
-        live[a] = x | {"comp": a}
+        live[a]["comp"] = a
     out += [{"kind": "state", **{f: s[f] for f in _FIELDS}, "members": [{"node": n, "weight": w} for n, w in s["members"]]} for s in live.values()]
-    out += [{"kind": "map", "old": c, "comp": root(c)} for c in parent if root(c) != c]
-    for o in out:
-        o["part"] = part
-    return pd.DataFrame({n: pd.Series([o.get(n) for o in out], dtype=_DTYPES.get(t, object)) for n, t in (f.split() for f in PLAYED.split(", "))})
+    moved = [(c, root(c)) for c in parent if root(c) != c]
+    points, maps = [None] * len(fallen), [None] * len(moved)
+    # most rows are points and maps, of few columns each
+    known = {"kind": (["point"] * len(fallen), ["map"] * len(moved)), "cluster": (into, maps), "lam": (when, maps), "node": (fallen, maps),
+             "old": (points, [c for c, _ in moved]), "comp": (points, [c for _, c in moved])}
+    columns = {}
+    for n, t in (f.split() for f in PLAYED.split(", ")):
+        values = [part] * (len(out) + len(fallen) + len(moved)) if n == "part" else [o.get(n) for o in out] + [v for half in known.get(n, (points, maps)) for v in half]
+        columns[n] = pd.Series(values, dtype=_DTYPES.get(t, object))
+    return pd.DataFrame(columns)
 
 
 def condense(places: DataFrame, forest: DataFrame, least: int, selection: str = "eom", allow_single: bool = False, edges_each: int = EDGES) -> tuple[DataFrame, DataFrame]:
